@@ -115,7 +115,11 @@ def pharmacy_inventory(spark, d) -> DataFrame:
 
 
 def vitals(spark, d) -> DataFrame:
-    e = table(spark, d, "events")
+    return vitals_from_events(table(spark, d, "events"))
+
+
+def vitals_from_events(e: DataFrame) -> DataFrame:
+    """Works on batch and streaming event frames alike."""
     null_d = F.lit(None).cast("double")
     return e.select(
         "event_id", F.col("user_id").alias("patient_id"),

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from . import catalog, catalog_rules  # noqa: F401  (registration side effects)
+from . import catalog, catalog_rules, catalog_streams  # noqa: F401  (registration side effects)
 from .catalog import REGISTRY
 
-try:  # streaming / functions / monitoring catalogs (optional modules)
-    from . import catalog_streams  # noqa: F401
-except ImportError:  # pragma: no cover
-    pass
-
 
 def queries() -> dict:
     return {k: fn for k, (fn, _) in REGISTRY.items()}

@@ -1 +1 @@
-"""wardlake sources."""
+"""Raw-file readers, layered writers and warehouse-table helpers."""

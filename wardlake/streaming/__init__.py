@@ -1 +1 @@
-"""wardlake streaming."""
+"""Structured Streaming operators (sources, alert stream, landing, curation)."""
