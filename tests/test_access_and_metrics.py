@@ -28,6 +28,20 @@ def test_viewer_filter(data):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_many_viewers_in_one_pass_equal_one_by_one(data):
+    ds, access, universe = data
+    users = ["all", "two", "one", "nobody"]
+    many = A.row_filter_viewer(ds, access, users, universe)
+    for u in users:
+        one = A.row_filter_viewer(ds, access, u, universe)
+        assert sorted(r.id for r in many.filter(F.col("viewer") == u).collect()) == sorted(r.id for r in one.collect())
+    strict = A.row_filter_strict(ds, access, users)
+    for u in users:
+        one = A.row_filter_strict(ds, access, u)
+        assert strict.filter(F.col("db_user") == u).count() == one.count()
+    assert "NestedLoop" not in _plan(many) and "CartesianProduct" not in _plan(many)
+
+
 def test_strict_filter(data):
     ds, access, _ = data
     assert A.row_filter_strict(ds, access, "all").count() == 0                  # NULL mapping sees nothing

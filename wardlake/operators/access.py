@@ -60,23 +60,44 @@ def _allowed_keys(access: DataFrame, user: str, key: str, user_col: str,
     return explicit.unionByName(expanded).distinct()
 
 
-def row_filter_strict(df: DataFrame, access: DataFrame, user: str, key: str = "facility_id",
-                      bypass: bool = False, user_col: str = "user_name") -> DataFrame:
+def row_filter_strict(df: DataFrame, access: DataFrame, user, key: str = "facility_id",
+                      bypass: bool = False, user_col: str = "user_name", viewer_col: str = "db_user") -> DataFrame:
     """Rows whose facility is mapped to ``user``; NULL mapping or unmapped user
-    sees nothing; ``bypass`` (the exempt reader role) sees everything."""
+    sees nothing; ``bypass`` (the exempt reader role) sees everything.
+    A list of users returns every user's rows in one pass, tagged with
+    ``viewer_col``."""
     if bypass:
         return df
-    allowed = _allowed_keys(access, user, key, user_col, None, False)
-    return df.join(broadcast_if_small(allowed), on=key, how="left_semi")
+    if isinstance(user, str):
+        allowed = _allowed_keys(access, user, key, user_col, None, False)
+        return df.join(broadcast_if_small(allowed), on=key, how="left_semi")
+    pairs = (access.filter(F.col(user_col).isin(list(user)) & F.col(key).isNotNull())
+             .select(F.col(user_col).alias(viewer_col), key).distinct())
+    return df.join(broadcast_if_small(pairs), on=key, how="inner")
 
 
-def row_filter_viewer(df: DataFrame, access: DataFrame, user: str, universe: DataFrame,
-                      key: str = "facility_id", user_col: str = "user_name") -> DataFrame:
+def row_filter_viewer(df: DataFrame, access: DataFrame, user, universe: DataFrame,
+                      key: str = "facility_id", user_col: str = "user_name",
+                      viewer_col: str = "viewer") -> DataFrame:
     """BI policy: mapped facilities, a NULL mapping means unrestricted, an
     unmapped viewer sees nothing. Viewer mapped twice -> union, no duplicates
-    (semi-join never multiplies rows)."""
-    allowed = _allowed_keys(access, user, key, user_col, universe, True)
-    return df.join(broadcast_if_small(allowed), on=key, how="left_semi")
+    (semi-join never multiplies rows).
+
+    ``user`` may be a list: then every viewer's rows come out in one pass,
+    tagged with ``viewer_col`` (one broadcast equi-join against the small
+    viewer x facility table instead of one query per viewer)."""
+    if isinstance(user, str):
+        allowed = _allowed_keys(access, user, key, user_col, universe, True)
+        return df.join(broadcast_if_small(allowed), on=key, how="left_semi")
+    users = list(user)
+    mine = access.filter(F.col(user_col).isin(users)).select(F.col(user_col).alias(viewer_col), key)
+    explicit = mine.filter(F.col(key).isNotNull())
+    wildcard = F.lit("*")
+    want = mine.select(viewer_col, F.coalesce(F.col(key).cast("string"), wildcard).alias("__m"))
+    offered = universe.select(key, F.explode(F.array(F.col(key).cast("string"), wildcard)).alias("__m"))
+    expanded = offered.join(want, on="__m", how="inner").select(viewer_col, key)
+    pairs = explicit.unionByName(expanded).distinct()
+    return df.join(broadcast_if_small(pairs), on=key, how="inner")
 
 
 def filter_facilities(datasets: Mapping[str, DataFrame], selected: Sequence[str] | None,

@@ -7,8 +7,8 @@ into order-preserving chunks (by default one chunk per calendar day of the
 ordering timestamp), runs the window per (entity, chunk), and stitches the
 first row of every chunk to the last row of the entity's previous chunk:
 
-* chunk tails: one ``max(struct(order..., value))`` per (entity, chunk),
-  partially aggregated before the shuffle;
+* chunk tails: the last row of each (entity, chunk), flagged by ``lead``
+  in the same window pass;
 * previous tail per chunk: a window over the tails, partitioned by entity
   (an entity has at most one tail per day, so this is small per entity);
 * stitch: equi-join on (entity, chunk). The big side is already hash
@@ -45,24 +45,27 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
         return df.withColumn(out, F.lag(value).over(w))
 
     chunk_col = _day_chunk(order[0]) if isinstance(chunk, str) else chunk
-    ck = "__chunk"
-    rn = "__rn"
+    ck, rn, last = "__chunk", "__rn", "__last"
     base = df.withColumn(ck, chunk_col)
     w = Window.partitionBy(entity, ck).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = base.withColumns({out: F.lag(value).over(w), rn: F.row_number().over(w)})
-
-    # last row of every (entity, chunk): max over the ordering key carries the
-    # value along (struct comparison is field by field, NULL value allowed).
-    key = F.struct(*[F.col(c) for c in order], F.col(value).alias("__v"))
-    tails = base.groupBy(entity, ck).agg(F.max(key).alias("__tail"))
+    # lag, row_number and lead share one window spec: one shuffle, one sort.
+    local = base.withColumns({out: F.lag(value).over(w), rn: F.row_number().over(w),
+                              last: F.lead(F.lit(True)).over(w).isNull()})
+
+    # The last row of every (entity, chunk) comes out of the same window
+    # (the exchange is reused, the source is not scanned again). An entity has
+    # at most one tail per chunk, so the tail window per entity stays small
+    # even for a hot entity.
+    tails = local.filter(F.col(last)).select(entity, ck, F.col(value).alias("__v"))
     tw = Window.partitionBy(entity).orderBy(F.col(ck).asc_nulls_first())
-    prev = (tails.withColumn("__prev", F.lag("__tail").over(tw))
-            .select(entity, ck, F.col("__prev.__v").alias("__prev_v"),
-                    F.col("__prev").isNotNull().alias("__has_prev")))
+    prev = tails.select(entity, ck, F.lag("__v").over(tw).alias("__prev_v"),
+                        F.lag(F.lit(True)).over(tw).isNotNull().alias("__has_prev"))
 
+    # Equi-join on (entity, chunk): the big side is already hash partitioned
+    # and sorted on these keys by the window, so only the tails shuffle.
     stitched = local.join(prev, on=[entity, ck], how="left")
     fixed = F.when(F.col(rn) == 1, F.when(F.col("__has_prev"), F.col("__prev_v"))).otherwise(F.col(out))
-    return stitched.withColumn(out, fixed).drop(ck, rn, "__prev_v", "__has_prev")
+    return stitched.withColumn(out, fixed).drop(ck, rn, last, "__prev_v", "__has_prev")
 
 
 def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "admission_time",

@@ -293,14 +293,9 @@ query("mask_columns", over("""
 
 
 def _row_filter_viewer(s, d):
-    ds = ds_claims(s, d)
-    out = None
-    for user in ["exec", "north", "south", "nobody"]:
-        part = A.row_filter_viewer(ds, B.access_map(s), user, B.facilities(s, d))
-        part = part.groupBy("facility_name").agg(F.count(F.lit(1)).alias("rows_seen")).select(
-            F.lit(user).alias("viewer"), "facility_name", "rows_seen")
-        out = part if out is None else out.unionByName(part)
-    return out
+    seen = A.row_filter_viewer(ds_claims(s, d), B.access_map(s), ["exec", "north", "south", "nobody"],
+                               B.facilities(s, d))
+    return seen.groupBy("viewer", "facility_name").agg(F.count(F.lit(1)).alias("rows_seen"))
 
 
 query("row_filter_viewer", over("""
@@ -312,14 +307,9 @@ query("row_filter_viewer", over("""
 
 
 def _row_filter_strict(s, d):
-    base = C.fact_claim(B.claims(s, d))
-    out = None
-    for user in ["exec", "north", "south", "strict_null"]:
-        part = A.row_filter_strict(base, B.access_map(s), user)
-        part = part.groupBy("facility_id").agg(F.count(F.lit(1)).alias("rows_seen")).select(
-            F.lit(user).alias("db_user"), "facility_id", "rows_seen")
-        out = part if out is None else out.unionByName(part)
-    return out
+    seen = A.row_filter_strict(C.fact_claim(B.claims(s, d)), B.access_map(s),
+                               ["exec", "north", "south", "strict_null"])
+    return seen.groupBy("db_user", "facility_id").agg(F.count(F.lit(1)).alias("rows_seen"))
 
 
 query("row_filter_strict", over("""
