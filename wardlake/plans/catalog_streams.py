@@ -94,7 +94,7 @@ def _write_cleansed_then_read(s, d):
     root = scratch_path(s, "clean")
     ev = R.evaluate_rules_rows(B.vitals(s, d), vitals_rules())
     good = R.split_valid(ev, B.vitals(s, d).columns).withColumn("dt", F.to_date("event_ts"))
-    good.repartition("dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/vitals")
+    good.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/vitals")
     return IO.read_cleansed(s, root, "vitals")
 
 
@@ -118,7 +118,7 @@ def _write_quarantine(s, d):
     v = B.vitals(s, d)
     ev = R.evaluate_rules_rows(v, vitals_rules())
     bad = R.split_quarantine(ev, v.columns).withColumn("dt", F.to_date("event_ts"))
-    bad.repartition("dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/{IO.QUARANTINE_DIR}/vitals")
+    bad.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/{IO.QUARANTINE_DIR}/vitals")
     return s.read.parquet(f"{root}/{IO.QUARANTINE_DIR}/vitals").drop("dt")
 
 
@@ -325,3 +325,89 @@ query("stream_lag", """
     FROM (SELECT epoch_us(ts) + CAST(floor(value * 1e6) AS BIGINT) AS a,
                  CAST(floor(CAST(floor(value * 1e6) AS BIGINT) / 1000) AS BIGINT) AS lag_ms FROM events) t
     GROUP BY 1""")(lambda s, d: MO.stream_lag(_lagged_events(s, d), "arrival", "event_time"))
+
+
+# ------------------------------------------------------- writers / warehouse
+
+
+def _write_dq_results(s, d):
+    from .catalog_rules import SUMMARY_COLS  # noqa: F401
+    root = scratch_path(s, "clean")
+    IO.write_dq_results(R.evaluate_rules_summary(B.vitals(s, d), vitals_rules()), root, "vitals", "2024-01-31")
+    return s.read.parquet(f"{root}/{IO.DQ_RESULTS_DIR}/source=vitals/dt=2024-01-31").select(
+        "rule", "outcome", "failure_reason")
+
+
+def _dq_sql():
+    from .catalog_rules import summary_sql
+    return with_ctes(f"SELECT rule, outcome, failure_reason FROM ({summary_sql(vitals_rules(), vitals_preds(), 'vitals')}) s",
+                     ["vitals"])
+
+
+query("write_dq_results", _dq_sql())(_write_dq_results)
+
+
+def _write_curated(s, d):
+    from .catalog import ds_claims
+    path = scratch_path(s, "curated") + "/claims"
+    IO.write_curated(ds_claims(s, d), path)
+    return s.read.parquet(path)
+
+
+query("write_curated", __import__("wardlake.plans.sqlparts", fromlist=["over"]).over(
+    "SELECT * FROM ds_claims", "ds_claims"))(_write_curated)
+
+
+def _table_layout(s, d):
+    from .catalog import fact_visit
+    lay = WH.TABLE_LAYOUT["fact_patient_visit"]
+    return WH.table_layout(fact_visit(s, d), lay["dist_key"], lay["sort_keys"])
+
+
+query("table_layout", __import__("wardlake.plans.sqlparts", fromlist=["over"]).over(
+    "SELECT * FROM fact_patient_visit", "fact_patient_visit"))(_table_layout)
+
+
+def _register_tables(s, d):
+    root = scratch_path(s, "clean")
+    for name, df, col in [("vitals", B.vitals(s, d), "event_ts"), ("claims", B.claims(s, d), "service_date")]:
+        # one folder per month keeps the partition count small for a multi-year table
+        df.withColumn("dt", F.trunc(col, "month")).hint("rebalance", "dt").write.partitionBy("dt") \
+            .parquet(f"{root}/{name}")
+    views = WH.register_tables(s, root, ["vitals", "claims"], prefix="cleansed_")
+    return s.sql(f"SELECT 'vitals' AS src, count(*) AS n, count(DISTINCT dt) AS days FROM {views[0]} "
+                 f"UNION ALL SELECT 'claims', count(*), count(DISTINCT dt) FROM {views[1]}")
+
+
+query("register_tables", with_ctes("""
+    SELECT 'vitals' AS src, count(*) AS n, count(DISTINCT date_trunc('month', event_ts)) AS days FROM vitals
+    UNION ALL SELECT 'claims', count(*), count(DISTINCT date_trunc('month', service_date)) FROM claims""",
+    ["vitals", "claims"]))(_register_tables)
+
+PATIENTS_RAW_DDL = "patient_id string, full_name string, account_balance double, facility_id string, segment string"
+
+
+def _read_reference(s, d):
+    root = scratch_path(s, "raw")
+    p = B.patients(s, d)
+    text = p.select(*[F.col(c).cast("string").alias(c) for c in ["patient_id", "full_name"]], "account_balance",
+                    F.col("facility_id").cast("string").alias("facility_id"), "segment",
+                    F.lit("2025-01-01").alias("land_day"))
+    IO.land_partitioned(text, root, "patients", "land_day", "csv")
+    return IO.read_reference(s, root, "patients", StructType.fromDDL(PATIENTS_RAW_DDL), "2025-01-01")
+
+
+query("read_reference", with_ctes("""
+    SELECT CAST(patient_id AS VARCHAR) AS patient_id, full_name, account_balance,
+           CAST(facility_id AS VARCHAR) AS facility_id, segment FROM patients""", ["patients"]))(_read_reference)
+
+
+def _warehouse_schema(s, d):
+    c = B.claims(s, d).withColumn("service_date", F.date_format("service_date", "yyyy-MM-dd"))
+    return WH.conform(c, WH.warehouse_schema("fact_claim"))
+
+
+query("warehouse_schema", with_ctes("""
+    SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(patient_id AS VARCHAR) AS patient_id,
+           CAST(facility_id AS VARCHAR) AS facility_id, payer, claim_amount, status,
+           strftime(service_date, '%Y-%m-%d') AS service_date FROM claims""", ["claims"]))(_warehouse_schema)

@@ -65,10 +65,7 @@ def read_raw_csv(spark: SparkSession, root: str, source: str, schema: StructType
     path = partition_path(root, source, run_date)
     schema = _with_dt(schema) if run_date == ALL_DAYS else schema
     reader = (spark.read.schema(schema).option("header", True).option("nullValue", "")
-              .option("mode", "PERMISSIVE")
-              # Spark's header check counts the discovered dt column, so it is
-              # applied to single-day reads (the daily path) only.
-              .option("enforceSchema", not check_header or run_date == ALL_DAYS))
+              .option("mode", "PERMISSIVE").option("enforceSchema", not check_header))
     return _read_day(spark, path, reader.csv, schema, missing)
 
 
@@ -157,7 +154,12 @@ def land_partitioned(df: DataFrame, root: str, source: str, dt: str, fmt: str =
     """Write ``df`` as a dt-partitioned raw source (one folder per day, the
     day column dropped from the files). Returns the source folder."""
     path = f"{root.rstrip('/')}/{source}"
-    w = df.withColumn("dt", F.col(dt)).repartition("dt").write.mode("overwrite").partitionBy("dt")
+    # rebalance (not repartition): AQE splits a day holding a large share of
+    # the rows into several tasks/files instead of one.
+    out = df.withColumn("dt", F.col(dt))
+    if dt != "dt":
+        out = out.drop(dt)
+    w = out.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
     if fmt == "csv":
         w.option("header", True).csv(path)
     elif fmt == "json":
