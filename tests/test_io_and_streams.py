@@ -77,7 +77,8 @@ def test_conform_and_layout(spark):
     out = WH.conform(df, WH.warehouse_schema("fact_bed_occupancy"))
     assert out.schema == WH.warehouse_schema("fact_bed_occupancy")
     laid = WH.table_layout(df, dist_key="facility_id", sort_keys=["snapshot_date"], partitions=4)
-    assert "hashpartitioning(facility_id" in laid._jdf.queryExecution().executedPlan().toString()
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(facility_id" in plan and "REBALANCE" in plan
 
 
 def test_decode_and_stream_equals_batch(spark, scratch):

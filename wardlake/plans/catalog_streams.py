@@ -90,17 +90,28 @@ query("split_glued_json", with_ctes("SELECT * EXCLUDE (dt) FROM vt", ["vitals"],
     _split_glued)
 
 
-def _write_cleansed_then_read(s, d):
+def _write_cleansed(s, d):
+    """Promoted vitals written per event day (all days in one write)."""
     root = scratch_path(s, "clean")
-    ev = R.evaluate_rules_rows(B.vitals(s, d), vitals_rules())
-    good = R.split_valid(ev, B.vitals(s, d).columns).withColumn("dt", F.to_date("event_ts"))
-    good.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/vitals")
-    return IO.read_cleansed(s, root, "vitals")
+    v = B.vitals(s, d)
+    ev = R.evaluate_rules_rows(v, vitals_rules())
+    IO.write_cleansed(R.split_valid(ev, v.columns).withColumn("dt", F.to_date("event_ts")), root, "vitals",
+                      IO.ALL_DAYS)
+    return root
+
+
+def _write_cleansed_then_read(s, d):
+    return IO.read_cleansed(s, _write_cleansed(s, d), "vitals")
 
 
 query("read_cleansed", with_ctes(f"SELECT * FROM vitals WHERE {_valid_sql(vitals_preds())}", ["vitals"]))(
     _write_cleansed_then_read)
 
+query("write_cleansed", with_ctes(f"""
+    SELECT CAST(event_ts AS DATE) AS dt, count(*) AS n FROM vitals WHERE {_valid_sql(vitals_preds())}
+    GROUP BY 1""", ["vitals"]))(
+    lambda s, d: s.read.parquet(f"{_write_cleansed(s, d)}/vitals").groupBy("dt").agg(F.count(F.lit(1)).alias("n")))
+
 
 def _read_date_range(s, d):
     root = scratch_path(s, "raw")
@@ -118,7 +129,7 @@ def _write_quarantine(s, d):
     v = B.vitals(s, d)
     ev = R.evaluate_rules_rows(v, vitals_rules())
     bad = R.split_quarantine(ev, v.columns).withColumn("dt", F.to_date("event_ts"))
-    bad.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{root}/{IO.QUARANTINE_DIR}/vitals")
+    IO.write_quarantine(bad, root, "vitals", IO.ALL_DAYS)
     return s.read.parquet(f"{root}/{IO.QUARANTINE_DIR}/vitals").drop("dt")
 
 
@@ -411,3 +422,80 @@ query("warehouse_schema", with_ctes("""
     SELECT CAST(claim_id AS VARCHAR) AS claim_id, CAST(patient_id AS VARCHAR) AS patient_id,
            CAST(facility_id AS VARCHAR) AS facility_id, payer, claim_amount, status,
            strftime(service_date, '%Y-%m-%d') AS service_date FROM claims""", ["claims"]))(_warehouse_schema)
+
+# --------------------------------------------------------------------- runs
+
+def _as_raw_text(df, day_col, grain="year"):
+    """Binding rows as they would land: dates/times as ISO text, one folder
+    per ``grain`` (year: a handful of folders for a multi-year table)."""
+    from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+    cols = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            cols.append(F.date_format(f.name, ISO_FMT).alias(f.name))
+        elif isinstance(f.dataType, DateType):
+            cols.append(F.date_format(f.name, "yyyy-MM-dd").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    land = F.date_format(F.trunc(F.col(day_col), grain), "yyyy-MM-dd").alias("land_day")
+    return df.select(*cols, land)
+
+
+def _batch_sources():
+    from ..operators import rulesets as RS
+    from .catalog_rules import (beds_preds, beds_rules, billing_claims_preds, billing_claims_rules,
+                                pharmacy_preds, pharmacy_rules, staff_schedules_preds, staff_schedules_rules,
+                                visits_preds)
+    from .catalog_rules import visits_rules as vrules
+    return {  # raw source: (binding, binding CTE, rules, sql preds, extra row rules, extra sql, day column)
+        "visits": (B.visits, "visits", vrules, visits_preds, [], [], "admission_ts"),
+        "staff_schedules": (B.staff_schedules, "staff_schedules", staff_schedules_rules, staff_schedules_preds,
+                            [], [], "shift_date"),
+        "billing_claims": (B.claims, "claims", billing_claims_rules, billing_claims_preds, [], [], "service_date"),
+        "pharmacy_inventory": (B.pharmacy_inventory, "pharmacy_inventory", pharmacy_rules, pharmacy_preds, [], [],
+                               "snapshot_date"),
+        "bed_capacity": (B.bed_capacity, "bed_capacity", beds_rules, beds_preds, RS.bed_capacity_extra(),
+                         ["COALESCE(occupied_beds <= total_beds, FALSE)"], "snapshot_date"),
+    }
+
+
+def _run_batch(s, d):
+    from . import runs
+    raw, clean, cur = scratch_path(s, "raw"), scratch_path(s, "clean"), scratch_path(s, "curated")
+    sources = {}
+    for name, (bind, _, rules_fn, _, extra, _, day) in _batch_sources().items():
+        text = _as_raw_text(bind(s, d), day)
+        IO.land_partitioned(text, raw, name, "land_day", "csv")
+        sources[name] = (text.drop("land_day").schema, rules_fn(), extra)
+    return runs.run_batch_daily(s, {"raw": raw, "cleansed": clean, "curated": cur}, IO.ALL_DAYS, sources,
+                                runs.DEFAULT_GOLD)
+
+
+def _run_batch_sql():
+    parts, binds = [], []
+    for name, (_, cte, _, preds_fn, _, extra_sql, _) in _batch_sources().items():
+        valid = " AND ".join([f"({p})" for p in preds_fn(cte) if isinstance(p, str)] + [f"({x})" for x in extra_sql])
+        parts.append(f"SELECT '{name}' AS source, '*' AS run_date, count_if(v) AS promoted, "
+                     f"count_if(NOT v) AS quarantined FROM (SELECT {valid} AS v FROM {cte}) t")
+        binds.append(cte)
+    return with_ctes("\nUNION ALL\n".join(parts), binds)
+
+
+query("run_batch_daily", _run_batch_sql())(_run_batch)
+
+
+def _run_streaming(s, d):
+    from . import runs
+    cur, ck = scratch_path(s, "curated"), scratch_path(s, "ckpt")
+    runs.run_streaming_curation(s, B.vitals_from_events(_event_stream(s, d)), {"curated": cur}, vitals_rules(),
+                                B.VITAL_LIMITS, ck)
+    g = s.read.parquet(f"{cur}/fact_vitals_alert")
+    return g.select("event_id", "patient_id", "facility_id", "heart_rate", "spo2",
+                    F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "heart_rate_breach", "spo2_breach")
+
+
+query("run_streaming_curation", with_ctes(f"""
+    SELECT event_id, patient_id, facility_id, heart_rate, spo2, event_ts,
+           (heart_rate < 1 OR heart_rate > 150) AS heart_rate_breach, spo2 < 5 AS spo2_breach
+    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ((heart_rate < 1 OR heart_rate > 150) OR spo2 < 5)""",
+    ["vitals"]))(_run_streaming)

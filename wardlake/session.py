@@ -21,6 +21,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", SESSION_TIME_ZONE)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -8,6 +8,7 @@ inferred: a bad cell becomes NULL (PERMISSIVE) instead of changing a type.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -119,25 +120,40 @@ def read_reference(spark: SparkSession, root: str, source: str, schema: StructTy
     return read_raw_csv(spark, root, source, schema, run_date=fixed_date)
 
 
+def _write_days(df: DataFrame, base: str, source: str, run_date: str) -> None:
+    """One day: overwrite exactly ``dt=<day>``. All days (``"*"``): the rows
+    carry a ``dt`` column and the whole source folder is replaced in a static
+    overwrite, so days that no longer have rows are cleared as well."""
+    if run_date == ALL_DAYS:
+        (df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("dt").parquet(f"{base.rstrip('/')}/{source}"))
+    else:
+        df.drop("dt").write.mode("overwrite").parquet(partition_path(base, source, run_date))
+
+
 def write_cleansed(df: DataFrame, root: str, source: str, run_date: str) -> None:
-    """Overwrite exactly one day directory (idempotent re-run)."""
-    df.write.mode("overwrite").parquet(partition_path(root, source, run_date))
+    """Overwrite exactly one day directory (idempotent re-run), or every day."""
+    _write_days(df, root, source, run_date)
 
 
 def write_quarantine(df: DataFrame, root: str, source: str, run_date: str) -> None:
     """Overwrite the day's quarantine directory, also when there are no bad
     rows: an empty overwrite clears stale rows from an earlier run (a dynamic
     partition overwrite with no rows would leave them)."""
-    df.write.mode("overwrite").parquet(partition_path(f"{root.rstrip('/')}/{QUARANTINE_DIR}", source, run_date))
+    _write_days(df, f"{root.rstrip('/')}/{QUARANTINE_DIR}", source, run_date)
+
+
+BACKFILL_TAG = "all-days"
 
 
 def write_dq_results(summary: DataFrame, root: str, source: str, run_date: str) -> None:
     """One row per rule under ``_dq_results/source=<s>/dt=<d>/``; the keys live
-    in the path only, metrics are serialised to JSON text."""
+    in the path only, metrics are serialised to JSON text. A run over all
+    days records its outcomes under ``dt=all-days``."""
     out = summary.select("rule", "outcome", "failure_reason",
                          F.to_json("evaluated_metrics").alias("evaluated_metrics"))
-    out.write.mode("overwrite").parquet(
-        f"{root.rstrip('/')}/{DQ_RESULTS_DIR}/source={source}/dt={run_date}")
+    tag = BACKFILL_TAG if run_date == ALL_DAYS else run_date
+    out.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{DQ_RESULTS_DIR}/source={source}/dt={tag}")
 
 
 def write_curated(df: DataFrame, root_or_table: str, schema: StructType | None = None) -> None:
@@ -176,17 +192,23 @@ def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date:
     from ..operators.rules import VALID, evaluate_rules_rows, evaluate_rules_summary, split_quarantine, split_valid
     cols = df.columns
     ev = evaluate_rules_rows(df, rules, extra)
-    obs = Observation(f"cleanse_{source}_{run_date}".replace("-", "_"))
+    obs = Observation(f"cleanse_{source}_{uuid.uuid4().hex[:8]}")
     ev = ev.observe(obs, F.count_if(F.col(VALID)).alias("promoted"),
                     F.count_if(~F.col(VALID)).alias("quarantined"))
-    # persist: the evaluated rows feed two writes; without it the source is read twice
-    ev = ev.persist()
+    # One day: persist, since the evaluated rows feed two writes. All days
+    # (backfill): no cache -- re-reading the source for the second write is
+    # cheaper than caching a whole source on executor disks.
+    cache = run_date != ALL_DAYS
+    if cache:
+        ev = ev.persist()
     try:
         write_cleansed(split_valid(ev, cols), root, source, run_date)
         write_quarantine(split_quarantine(ev, cols), root, source, run_date)
     finally:
-        ev.unpersist()
-    write_dq_results(evaluate_rules_summary(df, rules, extra), root, source, run_date)
+        if cache:
+            ev.unpersist()
+    write_dq_results(evaluate_rules_summary(df.drop("dt") if run_date == ALL_DAYS else df, rules, extra),
+                     root, source, run_date)
     m = obs.get
     return {"source": source, "run_date": run_date, "promoted": int(m.get("promoted", 0)),
             "quarantined": int(m.get("quarantined", 0))}

@@ -65,15 +65,17 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 def table_layout(df: DataFrame, dist_key: str | None = None, sort_keys: Sequence[str] = (),
                  replicate: bool = False, partitions: int | None = None) -> DataFrame:
     """Distribution/sort layout: ``replicate`` -> broadcast hint (small dims);
-    ``dist_key`` -> hash partitioning on the entity key (co-locates joins and
-    windows on it); ``sort_keys`` -> local sort so Parquet min/max statistics
-    skip row groups for date filters. Without a key rows stay evenly spread
-    (never partition by a low-cardinality key like facility)."""
+    ``dist_key`` -> rows clustered by the entity key through a *rebalance*
+    (hash partitioning that AQE may split when one key is hot, so a patient
+    holding a third of the rows does not become one file/task); ``sort_keys``
+    -> local sort so Parquet min/max statistics skip row groups for date
+    filters. Without a key rows stay evenly spread (never partition by a
+    low-cardinality key like facility)."""
     if replicate:
         return F.broadcast(df)
     out = df
     if dist_key:
-        out = out.repartition(partitions, dist_key) if partitions else out.repartition(dist_key)
+        out = out.hint("rebalance", partitions, dist_key) if partitions else out.hint("rebalance", dist_key)
     if sort_keys:
         out = out.sortWithinPartitions(*sort_keys)
     return out
