@@ -32,9 +32,14 @@ def test_every_query_has_an_oracle():
     assert set(E.oracle_sql()) == set(E.queries())
 
 
+FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "BroadcastNestedLoopJoin", "CartesianProduct"]
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in FORBIDDEN if f in plan], f"{name}: Python UDF or nested-loop join in plan"
     rows = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]

@@ -43,9 +43,25 @@ def _check(spark, rows, chunk):
 def test_chunked_lag_matches_brute_force_with_hot_entity(spark):
     rows = _rows(1, 600, 12, hot=True)
     _check(spark, rows, "day")
+    _check(spark, rows, "hour")
     _check(spark, rows, None)
 
 
+def test_hot_entity_is_split_across_tasks(spark):
+    rows = _rows(2, 400, 3, hot=True)
+    df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
+    out = lag_by_entity(df, "entity", ["start", "id"], "end", "prev")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the big side is shuffled on (entity, chunk), never on the entity alone
+    assert "hashpartitioning(entity#" in plan and ", __chunk#" in plan
+    big = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert any("__chunk" in ln for ln in big)
+    per_task = (out.groupBy("entity", __import__("pyspark.sql.functions", fromlist=["to_date"]).to_date("start"))
+                .count().agg({"count": "max"}).collect()[0][0])
+    hot_total = sum(1 for r in rows if r[1] == 0)
+    assert per_task < hot_total / 5    # the hot entity spans many (entity, day) groups
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 80), st.integers(1, 6))
 def test_chunked_lag_property(spark, seed, n, entities):

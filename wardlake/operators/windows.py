@@ -27,8 +27,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _day_chunk(order_col: str) -> Column:
-    return F.to_date(F.col(order_col))
+def _time_chunk(order_col: str, grain: str) -> Column:
+    """Monotone chunk of the first ordering column: "day" or "hour"."""
+    if grain == "day":
+        return F.to_date(F.col(order_col))
+    if grain == "hour":
+        return F.date_trunc("hour", F.col(order_col))
+    raise ValueError("chunk must be 'day', 'hour', a Column or None")
 
 
 def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str, out: str,
@@ -36,15 +41,17 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
     """Adds ``out`` = ``value`` of the previous row of the same ``entity`` in
     ``order`` (ascending, NULLs first, as Spark's window does).
 
-    ``chunk``: "day" (default) chunks by the day of ``order[0]``; a Column
-    must be monotone in ``order``; ``None`` uses the single plain window.
+    ``chunk``: "day" (default) or "hour" chunks by that bucket of
+    ``order[0]`` (finer chunks spread a hot entity over more tasks, at the
+    price of more chunk tails); a Column must be monotone in ``order``;
+    ``None`` uses the single plain window.
     """
     order = list(order)
     if chunk is None:
         w = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumn(out, F.lag(value).over(w))
 
-    chunk_col = _day_chunk(order[0]) if isinstance(chunk, str) else chunk
+    chunk_col = _time_chunk(order[0], chunk) if isinstance(chunk, str) else chunk
     ck, rn, last = "__chunk", "__rn", "__last"
     base = df.withColumn(ck, chunk_col)
     w = Window.partitionBy(entity, ck).orderBy(*[F.col(c).asc_nulls_first() for c in order])

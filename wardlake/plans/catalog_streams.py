@@ -18,6 +18,7 @@ from ..streaming import streams as ST
 from . import bindings as B
 from .bindings import with_ctes
 from .catalog import query
+from .sqlparts import over
 from .catalog_rules import _valid_sql, vitals_preds, vitals_rules
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
@@ -342,7 +343,6 @@ query("stream_lag", """
 
 
 def _write_dq_results(s, d):
-    from .catalog_rules import SUMMARY_COLS  # noqa: F401
     root = scratch_path(s, "clean")
     IO.write_dq_results(R.evaluate_rules_summary(B.vitals(s, d), vitals_rules()), root, "vitals", "2024-01-31")
     return s.read.parquet(f"{root}/{IO.DQ_RESULTS_DIR}/source=vitals/dt=2024-01-31").select(
@@ -365,8 +365,7 @@ def _write_curated(s, d):
     return s.read.parquet(path)
 
 
-query("write_curated", __import__("wardlake.plans.sqlparts", fromlist=["over"]).over(
-    "SELECT * FROM ds_claims", "ds_claims"))(_write_curated)
+query("write_curated", over("SELECT * FROM ds_claims", "ds_claims"))(_write_curated)
 
 
 def _table_layout(s, d):
@@ -375,8 +374,7 @@ def _table_layout(s, d):
     return WH.table_layout(fact_visit(s, d), lay["dist_key"], lay["sort_keys"])
 
 
-query("table_layout", __import__("wardlake.plans.sqlparts", fromlist=["over"]).over(
-    "SELECT * FROM fact_patient_visit", "fact_patient_visit"))(_table_layout)
+query("table_layout", over("SELECT * FROM fact_patient_visit", "fact_patient_visit"))(_table_layout)
 
 
 def _register_tables(s, d):
