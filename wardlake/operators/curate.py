@@ -170,7 +170,11 @@ def fact_vitals_alert(df: DataFrame, limits: Mapping[str, tuple] = DEFAULT_VITAL
 
     Flags are three-valued; the filter keeps a row when any flag is TRUE even
     if another is NULL. The OR-of-ranges filter is pushed into the scan."""
-    flags = breach_flag_columns(limits)
+    present = {f: lim for f, lim in limits.items() if f in df.columns}
+    flags = breach_flag_columns(present)
+    # a reading column the source lacks gives a NULL flag (never a breach)
+    for name in breach_flag_columns({f: lim for f, lim in limits.items() if f not in present}):
+        flags[name] = F.lit(None).cast("boolean")
     any_breach = None
     for c in flags.values():
         any_breach = c if any_breach is None else (any_breach | c)

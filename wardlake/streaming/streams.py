@@ -49,7 +49,8 @@ def alerts_from_readings(df: DataFrame, limits: Mapping[str, tuple] = DEFAULT_VI
     """Stateless: one alert per breaching reading with id, patient, facility,
     source event, time, reasons, the reading itself and its expiry."""
     vit = [c for c in READING_COLUMNS if c in df.columns]
-    reasons = breach_reasons(limits)
+    # a reading field the payload lacks is skipped, like a NULL reading
+    reasons = breach_reasons({f: lim for f, lim in limits.items() if f in df.columns})
     out = df.select(
         "patient_id", alert_id(F.col("event_id")).alias("alert_id"), "facility_id",
         F.col("event_id").alias("source_event_id"), F.col("event_ts").alias("triggered_at"),
@@ -113,19 +114,28 @@ def stream_alerts_per_hour(readings: DataFrame, out: str, checkpoint: str, trigg
 
 
 def stream_land_raw(stream: DataFrame, out: str, checkpoint: str, trigger: Mapping | None = None,
-                    error_out: str | None = None, corrupt_col: str = "_corrupt_record") -> StreamingQuery:
-    """Land raw events as NDJSON under the *arrival* date (``dt`` = processing
-    day, so late events stay where they arrived); malformed records go to a
-    separate error prefix when ``error_out`` is given."""
-    def land(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("dt", F.to_date(F.current_timestamp()))
-        if error_out and corrupt_col in b.columns:
-            bad = b.filter(F.col(corrupt_col).isNotNull())
-            bad.select(corrupt_col, "dt").write.mode("append").partitionBy("dt").json(error_out)
-            b = b.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)
-        b.write.mode("append").partitionBy("dt").json(out)
+                    error_out: str | None = None, corrupt_col: str = "_corrupt_record"):
+    """Land raw events as NDJSON under the *arrival* date (``dt`` = the
+    micro-batch's processing day, so late events stay where they arrived).
+
+    Uses the built-in file sink, which commits every batch in its metadata
+    log: a batch replayed after a failure is not landed twice. Malformed
+    records (``corrupt_col`` set) go to ``error_out`` through a second,
+    independently checkpointed sink; then a (landing, errors) pair is
+    returned."""
     trig = trigger or {"processingTime": "60 seconds"}
-    return stream.writeStream.option("checkpointLocation", checkpoint).trigger(**trig).foreachBatch(land).start()
+    day = stream.withColumn("dt", F.to_date(F.current_timestamp()))
+    has_corrupt = corrupt_col in stream.columns
+    good = day.filter(F.col(corrupt_col).isNull()).drop(corrupt_col) if has_corrupt else day
+    main = (good.writeStream.option("checkpointLocation", checkpoint).trigger(**trig)
+            .partitionBy("dt").format("json").start(out))
+    if not (error_out and has_corrupt):
+        return main
+    # whole rows: Spark rejects a query that reads only the corrupt-record column
+    bad = day.filter(F.col(corrupt_col).isNotNull())
+    errors = (bad.writeStream.option("checkpointLocation", checkpoint.rstrip("/") + "-errors").trigger(**trig)
+              .partitionBy("dt").format("json").start(error_out))
+    return main, errors
 
 
 def stream_to_gold(readings: DataFrame, out: str, checkpoint: str, rules, limits: Mapping[str, tuple],
