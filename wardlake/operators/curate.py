@@ -14,15 +14,10 @@ from pyspark.sql import functions as F
 from ..functions.timefn import as_timestamp, hours_between
 from ..functions.vitals import DEFAULT_VITAL_LIMITS, breach_flag
 
-# Fixed values (reference calendar range, department and facility lists).
+# Fixed values (reference calendar range and department list).
 CALENDAR_START = "2025-01-01"
 CALENDAR_END = "2027-12-31"
 DEPARTMENTS = ["ER", "ICU", "Cardiology", "Pediatrics", "Orthopedics"]
-FACILITIES = [
-    ("FAC01", "Meridian General - Springfield"),
-    ("FAC02", "Meridian North - Rivertown"),
-    ("FAC03", "Meridian West - Lakeside"),
-]
 PII_COLUMNS = ["full_name", "date_of_birth", "phone", "government_id"]
 
 
@@ -85,7 +80,8 @@ def dim_department_from(df: DataFrame, key: str = "department", prefix: str = "D
         "department_name")
 
 
-def dim_facility(spark: SparkSession, rows: Sequence[tuple] = FACILITIES) -> DataFrame:
+def dim_facility(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    """Literal (facility_id, facility_name) rows; the caller owns the list."""
     return spark.createDataFrame(list(rows), "facility_id string, facility_name string")
 
 
