@@ -144,3 +144,25 @@ def test_hourly_append_emits_only_closed_hours(spark, scratch):
     rows = spark.read.parquet(out).collect()
     # hour 00 is closed by the watermark of the 03:10 event; hour 03 is still open
     assert [(r.hour.hour, r.alert_count) for r in rows] == [(0, 2)]
+
+
+def test_read_raw_json_split_glued_option(spark, scratch):
+    root = scratch("raw")
+    recs = [{"event_id": f"E{i}", "heart_rate": 60 + i} for i in range(4)]
+    for day, part in [("2025-01-01", recs[:2]), ("2025-01-02", recs[2:])]:
+        _write(f"{root}/vitals/dt={day}", "a.json", "".join(json.dumps(r) for r in part) + "\n")
+    schema = StructType.fromDDL("event_id string, heart_rate double")
+    assert IO.read_raw_json(spark, root, "vitals", schema, "2025-01-01").count() == 1
+    assert IO.read_raw_json(spark, root, "vitals", schema, "2025-01-01", split_glued=True).count() == 2
+    every = IO.read_raw_json(spark, root, "vitals", schema, IO.ALL_DAYS, split_glued=True)
+    assert sorted((r.event_id, str(r.dt)) for r in every.collect()) == [
+        ("E0", "2025-01-01"), ("E1", "2025-01-01"), ("E2", "2025-01-02"), ("E3", "2025-01-02")]
+
+
+def test_register_tables_merges_schemas_additively(spark, scratch):
+    root = scratch("clean")
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{root}/src/dt=2025-01-01")
+    spark.createDataFrame([(2, "x")], "a int, b string").write.parquet(f"{root}/src/dt=2025-01-02")
+    (name,) = WH.register_tables(spark, root, ["src"], prefix="quarantine_")
+    rows = sorted(tuple(r) for r in spark.table(name).select("a", "b", F.col("dt").cast("string")).collect())
+    assert name == "quarantine_src" and rows == [(1, None, "2025-01-01"), (2, "x", "2025-01-02")]

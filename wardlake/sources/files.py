@@ -71,15 +71,30 @@ def read_raw_csv(spark: SparkSession, root: str, source: str, schema: StructType
 
 
 def read_raw_json(spark: SparkSession, root: str, source: str, schema: StructType,
-                  run_date: str | None = None, missing: str = "error") -> DataFrame:
-    """One day of newline-delimited JSON with a declared schema."""
+                  run_date: str | None = None, missing: str = "error", split_glued: bool = False) -> DataFrame:
+    """One day of newline-delimited JSON with a declared schema.
+
+    ``split_glued=True`` reads lines that hold several ``}{``-concatenated
+    records through :func:`split_glued_json` (the plain JSON reader keeps
+    only the first object of such a line)."""
     run_date = run_date or default_run_date()
     path = partition_path(root, source, run_date)
+    if split_glued:
+        if run_date == ALL_DAYS:
+            return _read_day(spark, path, lambda p: _glued_all_days(spark, p, schema), schema, missing)
+        return _read_day(spark, path, lambda p: split_glued_json(spark, p, schema), schema, missing)
     schema = _with_dt(schema) if run_date == ALL_DAYS else schema
     reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
     return _read_day(spark, path, reader.json, schema, missing)
 
 
+def _glued_all_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    lines = spark.read.option("basePath", path).text(path)          # dt discovered from the folders
+    objs = lines.select(F.explode(F.split(F.col("value"), GLUE_BOUNDARY)).alias("obj"), "dt")
+    objs = objs.filter(F.length(F.trim("obj")) > 0)
+    return objs.select(F.from_json("obj", schema, {"mode": "PERMISSIVE"}).alias("r"), "dt").select("r.*", "dt")
+
+
 # A record boundary inside a line: "}" directly followed by "{" (optionally
 # separated by blanks). Flat objects only, as the stream payloads are.
 GLUE_BOUNDARY = r"(?<=\})\s*(?=\{)"
