@@ -44,9 +44,21 @@ def test_chunked_lag_matches_brute_force_with_hot_entity(spark):
     rows = _rows(1, 600, 12, hot=True)
     _check(spark, rows, "day")
     _check(spark, rows, "hour")
+    _check(spark, rows, "range")
     _check(spark, rows, None)
 
 
+def test_range_strategy_with_one_hot_timestamp(spark):
+    """A third of all rows share one entity AND one exact timestamp: only the
+    range strategy can split them; it must still equal the plain LAG."""
+    rows = _rows(3, 300, 8)
+    t0 = dt.datetime(2024, 1, 5, 12, 0)
+    rows += [(1000 + i, 0, t0, None if i % 3 == 0 else t0 + dt.timedelta(hours=i)) for i in range(150)]
+    _check(spark, rows, "range")
+    df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
+    out = lag_by_entity(df, "entity", ["start", "id"], "end", "prev", chunk="range")
+    assert "BatchEvalPython" not in out._jdf.queryExecution().executedPlan().toString()
+
 def test_hot_entity_is_split_across_tasks(spark):
     rows = _rows(2, 400, 3, hot=True)
     df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
@@ -68,6 +80,12 @@ def test_chunked_lag_property(spark, seed, n, entities):
     _check(spark, _rows(seed, n, entities), "day")
 
 
+@settings(max_examples=4, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 60), st.integers(1, 4))
+def test_range_lag_property(spark, seed, n, entities):
+    _check(spark, _rows(seed, n, entities), "range")
+
+
 def test_readmission_edge_cases(spark):
     t = lambda d, h=0: dt.datetime(2025, 1, 1) + dt.timedelta(days=d, hours=h)
     rows = [

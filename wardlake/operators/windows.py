@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 
 def _time_chunk(order_col: str, grain: str) -> Column:
@@ -44,9 +45,13 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
     ``chunk``: "day" (default) or "hour" chunks by that bucket of
     ``order[0]`` (finer chunks spread a hot entity over more tasks, at the
     price of more chunk tails); a Column must be monotone in ``order``;
-    ``None`` uses the single plain window.
+    ``None`` uses the single plain window; "range" splits by sampled ranges
+    of the whole ordering key (see :func:`_lag_by_range`), which bounds every
+    task even when one entity-day or one timestamp holds a third of all rows.
     """
     order = list(order)
+    if isinstance(chunk, str) and chunk == "range":
+        return _lag_by_range(df, entity, order, value, out)
     if chunk is None:
         w = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumn(out, F.lag(value).over(w))
@@ -89,3 +94,91 @@ def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "ad
                   & (F.col(start) <= F.col(prior) + F.expr(f"INTERVAL {int(days)} DAYS")), 1).otherwise(0)
     res = with_prior.withColumn(out, flag)
     return res if keep_prior else res.drop(prior)
+
+
+# ------------------------------------------------------ range-split strategy
+
+RANGE_PARTITIONS = 200
+
+
+def _lag_by_range(df: DataFrame, entity: str, order: list[str], value: str, out: str,
+                  partitions: int | None = None) -> DataFrame:
+    """LAG over range partitions of (entity, *order).
+
+    1. ``repartitionByRange`` samples the composite key, so partitions hold
+       about equal row counts whatever the key distribution (a hot entity,
+       entity-day or timestamp is cut between partitions); an explicit
+       partition count keeps AQE from merging them.
+    2. One Arrow-batched pass per partition (rows arrive sorted) computes the
+       previous value inside the partition and flags the partition's first
+       and last rows; a row id (partition, position) is attached.
+    3. The result is checkpointed to the shared checkpoint folder, so the
+       partition contents are fixed for the two uses below.
+    4. Boundary rows (at most two per partition) are ordered in one small
+       window: the first row of a partition takes the last row of the
+       previous non-empty partition when the entity is the same. The fixes,
+       at most one per partition, are broadcast-joined back on the row id.
+    """
+    n = partitions or max(RANGE_PARTITIONS, df.sparkSession.sparkContext.defaultParallelism)
+    keys = [entity] + order
+    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
+              .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys]))
+    vtype = df.schema[value].dataType
+    schema = StructType(df.schema.fields + [StructField(out, vtype), StructField("__head", BooleanType()),
+                                            StructField("__tail", BooleanType()), StructField("__rid", LongType())])
+    scanned = ranged.mapInPandas(_partition_scan(entity, value, out), schema).checkpoint(eager=True)
+
+    marks = scanned.filter(F.col("__head") | F.col("__tail")).select(
+        "__rid", entity, *order, F.col(value).alias("__v"), "__head", "__tail")
+    mw = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("__rid"))
+    prev_ent = F.lag(F.col(entity)).over(mw)
+    prev_tail = F.lag(F.col("__tail")).over(mw)
+    fixes = (marks.select("__rid", "__head", F.col(entity).alias("__e"), prev_ent.alias("__pe"),
+                          F.lag("__v").over(mw).alias("__pv"), prev_tail.alias("__pt"))
+             .filter(F.col("__head"))
+             .select("__rid", F.when(F.coalesce(F.col("__pt"), F.lit(False)) & F.col("__e").eqNullSafe(F.col("__pe")),
+                                     F.col("__pv")).alias("__fix")))
+    joined = scanned.join(F.broadcast(fixes), on="__rid", how="left")
+    return joined.withColumn(out, F.when(F.col("__head"), F.col("__fix")).otherwise(F.col(out))) \
+        .drop("__head", "__tail", "__rid", "__fix")
+
+
+def _partition_scan(entity: str, value: str, out: str):
+    """Per-partition pass over sorted Arrow batches (vectorised with pandas)."""
+    def scan(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        seen, offset = False, 0
+        carry_e, carry_v = None, None
+        held = None
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ent, val = pdf[entity], pdf[value]
+            prev_e = ent.shift(1)
+            prev_v = val.shift(1)
+            if seen:
+                prev_e.iloc[0] = carry_e
+                prev_v.iloc[0] = carry_v
+            same = (ent == prev_e) | (ent.isna() & prev_e.isna())
+            if not seen:
+                same.iloc[0] = False
+            lagged = prev_v.where(same, None)
+            pdf = pdf.assign(**{out: lagged})
+            pdf["__head"] = False
+            pdf["__tail"] = False
+            if not seen:
+                pdf.iloc[0, pdf.columns.get_loc("__head")] = True
+            pdf["__rid"] = (pid << 40) + offset + pd.RangeIndex(len(pdf))
+            offset += len(pdf)
+            carry_e, carry_v = ent.iloc[-1], val.iloc[-1]
+            seen = True
+            if held is not None:
+                yield held
+            held = pdf
+        if held is not None:
+            held.iloc[-1, held.columns.get_loc("__tail")] = True
+            yield held
+    return scan
