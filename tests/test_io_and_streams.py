@@ -105,7 +105,10 @@ def test_decode_and_stream_equals_batch(spark, scratch):
 def test_dedupe_stream_keeps_one_copy(spark, scratch):
     src = scratch("in")
     lines = [json.dumps({"event_id": f"E{i % 5}", "event_ts": "2025-01-01T00:00:00+00:00"}) for i in range(10)]
+    # plus a flood of copies of one event (a third of the stream) spread over several files
+    lines += [json.dumps({"event_id": "E0", "event_ts": "2025-01-01T00:00:00+00:00"})] * 5
     _write(src, "a.json", "\n".join(lines) + "\n")
+    _write(src, "b.json", "\n".join(lines[-5:]) + "\n")
     schema = StructType.fromDDL("event_id string, event_ts string")
     s = ST.stream_source(spark, src, schema, event_time="event_ts", fmt="json")
     out, ck = scratch("dd"), scratch("ck")

@@ -70,10 +70,33 @@ def active_alerts(alerts: DataFrame, now: Column | str | None = None) -> DataFra
     return alerts.filter(F.col("expires_at") > clock)
 
 
-def dedupe_stream(df: DataFrame, id_cols: Sequence[str], event_time: str, delay: str) -> DataFrame:
+def dedupe_stream(df: DataFrame, id_cols: Sequence[str], event_time: str, delay: str,
+                  pre_dedupe: bool = True) -> DataFrame:
     """Drop redelivered events: state keeps ids for ``delay`` past the
-    watermark, so ``delay`` must cover the expected redelivery lateness."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(id_cols))
+    watermark, so ``delay`` must cover the expected redelivery lateness.
+
+    ``pre_dedupe`` first drops copies inside every input partition (stateless,
+    Arrow-batched, memory bounded by the partition's own rows). The stateful
+    operator shuffles by id, so without it a flood of copies of one event
+    would all land in one task; with it each partition sends at most one
+    copy per id (the streaming analogue of map-side combining)."""
+    ids = list(id_cols)
+    if pre_dedupe:
+        df = df.mapInPandas(_drop_copies_in_partition(ids), df.schema)
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(ids)
+
+
+def _drop_copies_in_partition(ids: list[str]):
+    def drop(batches):
+        seen: set = set()
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            key = pdf[ids[0]] if len(ids) == 1 else pdf[ids].apply(tuple, axis=1)
+            keep = ~key.duplicated() & ~key.isin(seen)
+            seen.update(key[keep].tolist())
+            yield pdf[keep.values]
+    return drop
 
 
 def hourly_alert_counts(df: DataFrame, time_col: str = "event_ts", key: str = "facility_id") -> DataFrame:
