@@ -67,5 +67,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/wardlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def cluster_conf(executor_cores: int = 4) -> dict[str, str]:
+    """Settings for a large cluster (hundreds of executors, ~100 TB input).
+
+    Partitions are sized by bytes, not by count: AQE picks the number of
+    post-shuffle partitions from the advisory size and splits skewed ones,
+    so the same job fits executor memory at any scale factor.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        # upper bound for the initial shuffle; AQE coalesces down from it
+        "spark.sql.shuffle.partitions": "20000",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        # dimensions are broadcast only when Spark's size estimate (and, for
+        # the hinted ones, broadcast_if_small's row count) says they are small
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": SESSION_TIME_ZONE,
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.executor.cores": str(executor_cores),
+    }
+
+
 def cpu_count() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
