@@ -4,9 +4,10 @@ check; above the bound Spark's own size estimate and AQE pick the join."""
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A facility/department/payer dimension has tens of rows; an access map has
@@ -14,6 +15,12 @@ from pyspark.sql import functions as F
 # it is joined without a hint.
 BROADCAST_MAX_ROWS = 1_000_000
 
+# Per-session memo of counted sides, keyed by the plan's semantic hash. Only
+# sides at most a tenth of the bound are remembered, so a remembered side
+# would have to grow more than tenfold within one session before the
+# broadcast decision could be wrong.
+_SMALL_SIDES: "weakref.WeakKeyDictionary[SparkSession, dict[int, int]]" = weakref.WeakKeyDictionary()
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Return ``broadcast(df)`` when it provably holds at most ``max_rows`` rows.
@@ -25,7 +32,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     bound the side is returned unhinted: Spark then plans a shuffle join, or
     AQE converts it at runtime from real shuffle sizes.
     """
-    n = df.count()
+    memo = _SMALL_SIDES.setdefault(df.sparkSession, {})
+    key = df.semanticHash()
+    n = memo.get(key)
+    if n is None:
+        n = df.count()
+        if n <= max_rows // 10:
+            memo[key] = n
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -8,6 +8,8 @@ are large tables, so nothing here is force-broadcast.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,21 @@ ACCESS_ROWS = [("exec", None), ("north", 1), ("north", 2), ("north", 2), ("south
                ("strict_null", None)]
 
 
+# Schemas of the (read-only) driver tables, remembered per session: Parquet
+# schema inference reads file footers on every ``spark.read``; with the
+# schema given, a read only lists the files.
+_SCHEMAS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     prepare(spark)
-    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+    path = f"{d.rstrip('/')}/{name}.parquet"
+    known = _SCHEMAS.setdefault(spark, {})
+    if path in known:
+        return spark.read.schema(known[path]).parquet(path)
+    df = spark.read.parquet(path)
+    known[path] = df.schema
+    return df
 
 
 def facilities(spark, d) -> DataFrame:
