@@ -38,7 +38,7 @@ def _time_chunk(order_col: str, grain: str) -> Column:
 
 
 def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str, out: str,
-                  chunk: Column | None | str = "day") -> DataFrame:
+                  chunk: Column | None | str = "day", range_partitions: int | None = None) -> DataFrame:
     """Adds ``out`` = ``value`` of the previous row of the same ``entity`` in
     ``order`` (ascending, NULLs first, as Spark's window does).
 
@@ -47,11 +47,13 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
     price of more chunk tails); a Column must be monotone in ``order``;
     ``None`` uses the single plain window; "range" splits by sampled ranges
     of the whole ordering key (see :func:`_lag_by_range`), which bounds every
-    task even when one entity-day or one timestamp holds a third of all rows.
+    task even when one entity-day or one timestamp holds a third of all rows;
+    ``range_partitions`` sets its partition count (size it as input bytes /
+    ~256 MB on a cluster; every task then holds about that much).
     """
     order = list(order)
     if isinstance(chunk, str) and chunk == "range":
-        return _lag_by_range(df, entity, order, value, out)
+        return _lag_by_range(df, entity, order, value, out, range_partitions)
     if chunk is None:
         w = Window.partitionBy(entity).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumn(out, F.lag(value).over(w))
@@ -83,13 +85,14 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
 def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "admission_time",
                      end: str = "discharge_time", days: int = 30, tie: str | None = "visit_id",
                      out: str = "readmission_flag", prior: str = "prior_discharge_time",
-                     chunk: Column | None | str = "day", keep_prior: bool = False) -> DataFrame:
+                     chunk: Column | None | str = "day", keep_prior: bool = False,
+                     range_partitions: int | None = None) -> DataFrame:
     """1 when this stay starts no later than ``days`` after the *immediately*
     previous stay of the same entity ended; 0 otherwise (first stay, or the
     previous stay is still open). Overlapping stays count (no lower bound).
     ``tie`` makes the order deterministic for equal start times."""
     order = [start] + ([tie] if tie else [])
-    with_prior = lag_by_entity(df, entity, order, end, prior, chunk=chunk)
+    with_prior = lag_by_entity(df, entity, order, end, prior, chunk=chunk, range_partitions=range_partitions)
     flag = F.when(F.col(prior).isNotNull()
                   & (F.col(start) <= F.col(prior) + F.expr(f"INTERVAL {int(days)} DAYS")), 1).otherwise(0)
     res = with_prior.withColumn(out, flag)
