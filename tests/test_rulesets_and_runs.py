@@ -67,3 +67,30 @@ def test_single_day_batch_run(spark, scratch):
             for r in spark.read.parquet(f"{cur}/fact_patient_visit").collect()}
     assert fact == {"V1": (False, 24.0), "V2": (True, None)}
     assert spark.read.parquet(f"{clean}/_quarantine/visits/dt=2025-01-02").count() == 1
+
+
+def test_rerun_of_a_day_is_idempotent(spark, scratch):
+    root = scratch("clean")
+    df = spark.createDataFrame([("F", "ER", 4, 5, "d"), ("F", "ER", 4, 1, "d"), ("F", "ER", 0, 0, "d")],
+                               "facility_id string, department string, total_beds int, occupied_beds int, "
+                               "snapshot_date string")
+    rules = RS.bed_capacity_rules(["F"], ["ER"])
+    extra = RS.bed_capacity_extra()
+    first = IO.write_cleansing_run(df, rules, root, "beds", "2025-01-02", extra)
+    snap = [sorted(map(tuple, spark.read.parquet(p).collect())) for p in
+            (f"{root}/beds/dt=2025-01-02", f"{root}/_quarantine/beds/dt=2025-01-02")]
+    second = IO.write_cleansing_run(df, rules, root, "beds", "2025-01-02", extra)
+    again = [sorted(map(tuple, spark.read.parquet(p).collect())) for p in
+             (f"{root}/beds/dt=2025-01-02", f"{root}/_quarantine/beds/dt=2025-01-02")]
+    assert first == second and snap == again and (first["promoted"], first["quarantined"]) == (1, 2)
+
+
+def test_one_threshold_config_drives_fact_and_stream(spark):
+    from wardlake.operators.curate import fact_vitals_alert
+    from wardlake.plans import bindings as B
+    from wardlake.streaming.streams import alerts_from_readings
+    v = B.vitals(spark, "/root/testdata/sf0.001")
+    for limits in (B.VITAL_LIMITS, {"heart_rate": (5, 400), "spo2": (None, 90)}):
+        fact_ids = {r.event_id for r in fact_vitals_alert(v, limits).select("event_id").collect()}
+        stream_ids = {r.source_event_id for r in alerts_from_readings(v, limits).select("source_event_id").collect()}
+        assert fact_ids == stream_ids and fact_ids
