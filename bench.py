@@ -33,7 +33,9 @@ def main() -> None:
     from wardlake.plans import registry
     from wardlake.session import get_session
 
-    spark = get_session(f"local[{cpus}]", max(8, cpus * 2), "wardlake-bench")
+    # one shuffle partition per core locally (AQE coalesces further); a cluster
+    # sizes partitions by bytes instead (session.cluster_conf)
+    spark = get_session(f"local[{cpus}]", cpus, "wardlake-bench")
     spark.sparkContext.setLogLevel("ERROR")
     qs = registry.queries()
 

@@ -36,6 +36,29 @@ def norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def spark_type(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    if t.startswith("array<"):
+        return spark_type(t[6:-1]) + "[]"
+    return SPARK_TO_DUCK.get(t, t.upper())
+
+
+def type_mismatches(df, cur):
+    duck = {d[0]: str(d[1]).upper().replace(" ", "") for d in cur.description}
+    out = []
+    for name, t in df.dtypes:
+        want = spark_type(t).replace(" ", "")
+        if duck.get(name) != want:
+            out.append(f"{name}: spark {want} vs duckdb {duck.get(name)}")
+    return out
+
+
 def digest(rows, cols):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     keys = sorted(repr(tuple(norm(r[i]) for i in order)) for r in rows)
@@ -80,6 +103,9 @@ def main(argv):
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
+        mism = type_mismatches(df, cur)
+        if mism:
+            print(f"TYPE {name}: {mism}")
         if sorted(cols) != sorted(ocols):
             print(f"FAIL {name}: columns {sorted(cols)} vs {sorted(ocols)}")
             bad += 1

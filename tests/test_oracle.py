@@ -10,7 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,6 +42,7 @@ def test_query_matches_oracle(spark, con, name):
     assert not [f for f in FORBIDDEN if f in plan], f"{name}: Python UDF or nested-loop join in plan"
     rows = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
+    assert type_mismatches(df, cur) == []
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)

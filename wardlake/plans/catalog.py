@@ -77,10 +77,11 @@ def ds_alerts(s, d):
 # ---------------------------------------------------------------- dimensions
 
 query("dim_date", over("""
-    SELECT full_date, strftime(full_date, '%Y-%m-%d') AS date_key, year(full_date) AS year,
-           quarter(full_date) AS quarter, month(full_date) AS month, strftime(full_date, '%B') AS month_name,
-           day(full_date) AS day_of_month, dayofweek(full_date) + 1 AS day_of_week,
-           strftime(full_date, '%A') AS day_name, weekofyear(full_date) AS week_of_year,
+    SELECT full_date, strftime(full_date, '%Y-%m-%d') AS date_key, CAST(year(full_date) AS INTEGER) AS year,
+           CAST(quarter(full_date) AS INTEGER) AS quarter, CAST(month(full_date) AS INTEGER) AS month,
+           strftime(full_date, '%B') AS month_name, CAST(day(full_date) AS INTEGER) AS day_of_month,
+           CAST(dayofweek(full_date) + 1 AS INTEGER) AS day_of_week,
+           strftime(full_date, '%A') AS day_name, CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
            dayofweek(full_date) IN (0, 6) AS is_weekend
     FROM (SELECT CAST(unnest(generate_series(CAST(min(admission_ts) AS DATE), CAST(max(admission_ts) AS DATE),
                                              INTERVAL 1 DAY)) AS DATE) AS full_date FROM visits) t""",

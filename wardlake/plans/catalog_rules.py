@@ -322,7 +322,7 @@ query("split_quarantine", with_ctes(f"SELECT * FROM vitals WHERE NOT ({_valid_sq
     lambda s, d: R.split_quarantine(_evaluated_vitals(s, d), VITAL_COLS))
 
 query("cleanse_counts", with_ctes(f"""
-    SELECT payer, count_if(v) AS promoted, count_if(NOT v) AS quarantined
+    SELECT payer, CAST(count_if(v) AS BIGINT) AS promoted, CAST(count_if(NOT v) AS BIGINT) AS quarantined
     FROM (SELECT payer, {_valid_sql(billing_claims_preds())} AS v FROM claims) t GROUP BY payer""", ["claims"]))(
     lambda s, d: R.cleanse_counts(R.evaluate_rules_rows(B.claims(s, d), billing_claims_rules()), ["payer"]))
 
@@ -340,10 +340,10 @@ def _cleanse(s, d):
 
 _CL = f"SELECT claim_amount, {_valid_sql(billing_claims_preds())} AS v FROM claims"
 query("cleanse", with_ctes(f"""
-    SELECT 'promoted' AS part, count_if(v) AS n,
+    SELECT 'promoted' AS part, CAST(count_if(v) AS BIGINT) AS n,
            CAST(sum(CASE WHEN v THEN CAST(claim_amount AS DECIMAL(18, 2)) END) AS DOUBLE) AS amount FROM cl
     UNION ALL
-    SELECT 'quarantined' AS part, count_if(NOT v) AS n,
+    SELECT 'quarantined' AS part, CAST(count_if(NOT v) AS BIGINT) AS n,
            CAST(sum(CASE WHEN NOT v THEN CAST(claim_amount AS DECIMAL(18, 2)) END) AS DOUBLE) AS amount FROM cl
     UNION ALL
     SELECT 'failed_rules' AS part, count(*) AS n, CAST(NULL AS DOUBLE) AS amount

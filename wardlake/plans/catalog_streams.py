@@ -473,8 +473,8 @@ def _run_batch_sql():
     parts, binds = [], []
     for name, (_, cte, _, preds_fn, _, extra_sql, _) in _batch_sources().items():
         valid = " AND ".join([f"({p})" for p in preds_fn(cte) if isinstance(p, str)] + [f"({x})" for x in extra_sql])
-        parts.append(f"SELECT '{name}' AS source, '*' AS run_date, count_if(v) AS promoted, "
-                     f"count_if(NOT v) AS quarantined FROM (SELECT {valid} AS v FROM {cte}) t")
+        parts.append(f"SELECT '{name}' AS source, '*' AS run_date, CAST(count_if(v) AS BIGINT) AS promoted, "
+                     f"CAST(count_if(NOT v) AS BIGINT) AS quarantined FROM (SELECT {valid} AS v FROM {cte}) t")
         binds.append(cte)
     return with_ctes("\nUNION ALL\n".join(parts), binds)
 
