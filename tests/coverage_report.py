@@ -40,7 +40,7 @@ IMPL = {
     "row_filter_strict": "operators.access:row_filter_strict", "row_filter_viewer": "operators.access:row_filter_viewer",
     "iso_timestamp": "functions.timefn:iso_timestamp", "decode_event": "functions.vitals:decode_event",
     "breach_reasons": "functions.vitals:breach_reasons", "stream_alerts": "streaming.streams:stream_alerts",
-    "alert_expiry": "functions.vitals:alert_expiry", "active_alerts": "streaming.streams:active_alerts",
+    "alert_expiry": "functions.vitals:alert_expiry", "active_alerts": "streaming.streams:active_alerts, compact_alerts",
     "dedupe_stream": "streaming.streams:dedupe_stream", "stream_to_gold": "streaming.streams:stream_to_gold",
     "stream_alerts_per_hour": "streaming.streams:stream_alerts_per_hour",
     "quarantine_metric": "operators.monitor:quarantine_metric", "stream_lag": "operators.monitor:stream_lag",

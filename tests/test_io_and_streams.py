@@ -169,3 +169,12 @@ def test_register_tables_merges_schemas_additively(spark, scratch):
     (name,) = WH.register_tables(spark, root, ["src"], prefix="quarantine_")
     rows = sorted(tuple(r) for r in spark.table(name).select("a", "b", F.col("dt").cast("string")).collect())
     assert name == "quarantine_src" and rows == [(1, None, "2025-01-01"), (2, "x", "2025-01-02")]
+
+
+def test_compact_alerts_keeps_only_active(spark, scratch):
+    alerts = spark.createDataFrame([("A1", 100), ("A2", 200), ("A3", 300)], "alert_id string, expires_at long")
+    path = scratch("alerts")
+    alerts.write.parquet(path)
+    out = ST.compact_alerts(spark, path, scratch("compacted"), now=F.lit(150))
+    assert sorted(r.alert_id for r in spark.read.parquet(out).collect()) == ["A2", "A3"]
+    assert spark.read.parquet(path).count() == 3          # the source version is untouched

@@ -70,6 +70,19 @@ def active_alerts(alerts: DataFrame, now: Column | str | None = None) -> DataFra
     return alerts.filter(F.col("expires_at") > clock)
 
 
+def compact_alerts(spark: SparkSession, alerts_path: str, out_root: str, now: Column | str | None = None) -> str:
+    """Compaction job for the alert table: keep only unexpired alerts.
+
+    Spark cannot overwrite a folder it is reading, so the active rows are
+    written to a new version folder under ``out_root`` and its path is
+    returned; readers switch to it (the old version can then be retired).
+    """
+    import uuid
+    target = f"{out_root.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    active_alerts(spark.read.parquet(alerts_path), now).write.mode("overwrite").parquet(target)
+    return target
+
+
 def dedupe_stream(df: DataFrame, id_cols: Sequence[str], event_time: str, delay: str,
                   pre_dedupe: bool = True) -> DataFrame:
     """Drop redelivered events: state keeps ids for ``delay`` past the
