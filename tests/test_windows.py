@@ -22,14 +22,18 @@ def brute_lag(rows):
     return out
 
 
-def _rows(seed, n, entities, hot=False):
+def _rows(seed, n, entities, hot=False, nulls=False):
     rnd = random.Random(seed)
     base = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(n):
         e = 0 if hot and rnd.random() < 0.4 else rnd.randrange(entities)
+        if nulls and rnd.random() < 0.15:
+            e = None
         start = base + dt.timedelta(hours=rnd.randrange(0, 24 * 20))
         end = None if rnd.random() < 0.3 else start + dt.timedelta(hours=rnd.randrange(0, 24 * 40))
+        if nulls and rnd.random() < 0.1:
+            start = None
         rows.append((i, e, start, end))
     return rows
 
@@ -64,10 +68,9 @@ def test_hot_entity_is_split_across_tasks(spark):
     df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
     out = lag_by_entity(df, "entity", ["start", "id"], "end", "prev")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # the big side is shuffled on (entity, chunk), never on the entity alone
-    assert "hashpartitioning(entity#" in plan and ", __chunk#" in plan
+    # the big side is shuffled on (entity key, null flag, chunk), never on the entity alone
     big = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
-    assert any("__chunk" in ln for ln in big)
+    assert any("__ek#" in ln and "__en#" in ln and "__chunk#" in ln for ln in big)
     per_task = (out.groupBy("entity", __import__("pyspark.sql.functions", fromlist=["to_date"]).to_date("start"))
                 .count().agg({"count": "max"}).collect()[0][0])
     hot_total = sum(1 for r in rows if r[1] == 0)
@@ -80,6 +83,12 @@ def test_chunked_lag_property(spark, seed, n, entities):
     _check(spark, _rows(seed, n, entities), "day")
 
 
+@settings(max_examples=6, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 80), st.integers(1, 4), st.sampled_from(["day", "hour", "range"]))
+def test_lag_with_null_entities_and_times(spark, seed, n, entities, chunk):
+    _check(spark, _rows(seed, n, entities, nulls=True), chunk)
+
+
 @settings(max_examples=4, deadline=None)
 @given(st.integers(0, 10_000), st.integers(1, 60), st.integers(1, 4))
 def test_range_lag_property(spark, seed, n, entities):

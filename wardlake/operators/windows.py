@@ -25,16 +25,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, NumericType, StringType, StructField, StructType
 
 
 def _time_chunk(order_col: str, grain: str) -> Column:
-    """Monotone chunk of the first ordering column: "day" or "hour"."""
+    """Monotone, never-NULL chunk of the first ordering column: "day" or
+    "hour". A NULL time (sorted first) joins the earliest chunk, which keeps
+    chunks contiguous in the ordering."""
+    c = F.col(order_col)
     if grain == "day":
-        return F.to_date(F.col(order_col))
+        return F.coalesce(F.to_date(c), F.lit("0001-01-01").cast("date"))
     if grain == "hour":
-        return F.date_trunc("hour", F.col(order_col))
-    raise ValueError("chunk must be 'day', 'hour', a Column or None")
+        return F.coalesce(F.date_format(c, "yyyy-MM-dd HH"), F.lit(""))
+    raise ValueError("chunk must be 'day', 'hour', 'range', a Column or None")
+
+
+def _non_null_key(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """(value with NULL replaced, is-NULL flag): equal for equal values and for
+    two NULLs, so plain equi-joins and hash partitioning treat NULL as one
+    group, as a window's PARTITION BY does."""
+    dt = df.schema[col].dataType
+    if isinstance(dt, NumericType):
+        filler = F.lit(0).cast(dt)
+    elif isinstance(dt, StringType):
+        filler = F.lit("")
+    else:
+        return F.coalesce(F.col(col).cast("string"), F.lit("")), F.col(col).isNull()
+    return F.coalesce(F.col(col), filler), F.col(col).isNull()
 
 
 def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str, out: str,
@@ -44,7 +61,8 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
 
     ``chunk``: "day" (default) or "hour" chunks by that bucket of
     ``order[0]`` (finer chunks spread a hot entity over more tasks, at the
-    price of more chunk tails); a Column must be monotone in ``order``;
+    price of more chunk tails); a Column must be monotone in ``order`` and
+    never NULL;
     ``None`` uses the single plain window; "range" splits by sampled ranges
     of the whole ordering key (see :func:`_lag_by_range`), which bounds every
     task even when one entity-day or one timestamp holds a third of all rows;
@@ -60,26 +78,30 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
 
     chunk_col = _time_chunk(order[0], chunk) if isinstance(chunk, str) else chunk
     ck, rn, last = "__chunk", "__rn", "__last"
-    base = df.withColumn(ck, chunk_col)
-    w = Window.partitionBy(entity, ck).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    ek, en = _non_null_key(df, entity)
+    base = df.withColumns({"__ek": ek, "__en": en, ck: chunk_col})
+    keys = ["__ek", "__en", ck]
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     # lag, row_number and lead share one window spec: one shuffle, one sort.
     local = base.withColumns({out: F.lag(value).over(w), rn: F.row_number().over(w),
                               last: F.lead(F.lit(True)).over(w).isNull()})
 
-    # The last row of every (entity, chunk) comes out of the same window
-    # (the exchange is reused, the source is not scanned again). An entity has
-    # at most one tail per chunk, so the tail window per entity stays small
-    # even for a hot entity.
-    tails = local.filter(F.col(last)).select(entity, ck, F.col(value).alias("__v"))
-    tw = Window.partitionBy(entity).orderBy(F.col(ck).asc_nulls_first())
-    prev = tails.select(entity, ck, F.lag("__v").over(tw).alias("__prev_v"),
+    # The last row of every (entity, chunk), flagged in the same window pass.
+    # (Column pruning gives this narrow branch its own exchange, so it
+    # re-reads only the key, order and value columns.) An entity has at most
+    # one tail per chunk, so the tail window per entity stays small even for
+    # a hot entity.
+    tails = local.filter(F.col(last)).select(*keys, F.col(value).alias("__v"))
+    tw = Window.partitionBy("__ek", "__en").orderBy(F.col(ck).asc())
+    prev = tails.select(*keys, F.lag("__v").over(tw).alias("__prev_v"),
                         F.lag(F.lit(True)).over(tw).isNotNull().alias("__has_prev"))
 
-    # Equi-join on (entity, chunk): the big side is already hash partitioned
-    # and sorted on these keys by the window, so only the tails shuffle.
-    stitched = local.join(prev, on=[entity, ck], how="left")
+    # Equi-join on the never-NULL (entity, chunk) keys: the big side is
+    # already hash partitioned and sorted on them by the window, so only the
+    # tails shuffle.
+    stitched = local.join(prev, on=keys, how="left")
     fixed = F.when(F.col(rn) == 1, F.when(F.col("__has_prev"), F.col("__prev_v"))).otherwise(F.col(out))
-    return stitched.withColumn(out, fixed).drop(ck, rn, last, "__prev_v", "__has_prev")
+    return stitched.withColumn(out, fixed).drop(*keys, rn, last, "__prev_v", "__has_prev")
 
 
 def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "admission_time",
