@@ -144,7 +144,11 @@ def _lag_by_range(df: DataFrame, entity: str, order: list[str], value: str, out:
        previous non-empty partition when the entity is the same. The fixes,
        at most one per partition, are broadcast-joined back on the row id.
     """
-    n = partitions or max(RANGE_PARTITIONS, df.sparkSession.sparkContext.defaultParallelism)
+    from ..session import checkpoint_root
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:          # the cluster's shared folder, else a test-local one
+        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
+    n = partitions or max(RANGE_PARTITIONS, sc.defaultParallelism)
     keys = [entity] + order
     ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
               .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys]))
