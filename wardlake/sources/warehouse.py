@@ -64,7 +64,9 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 
 def table_layout(df: DataFrame, dist_key: str | None = None, sort_keys: Sequence[str] = (),
                  replicate: bool = False, partitions: int | None = None) -> DataFrame:
-    """Distribution/sort layout: ``replicate`` -> broadcast hint (small dims);
+    """Distribution/sort layout: ``replicate`` -> broadcast hint for a small
+    dimension, only after its row count is checked (above the bound it stays
+    a normal, evenly spread table);
     ``dist_key`` -> rows clustered by the entity key through a *rebalance*
     (hash partitioning that AQE may split when one key is hot, so a patient
     holding a third of the rows does not become one file/task); ``sort_keys``
@@ -72,7 +74,8 @@ def table_layout(df: DataFrame, dist_key: str | None = None, sort_keys: Sequence
     filters. Without a key rows stay evenly spread (never partition by a
     low-cardinality key like facility)."""
     if replicate:
-        return F.broadcast(df)
+        from ..operators.joins import broadcast_if_small
+        return broadcast_if_small(df)
     out = df
     if dist_key:
         out = out.hint("rebalance", partitions, dist_key) if partitions else out.hint("rebalance", dist_key)
