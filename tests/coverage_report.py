@@ -43,7 +43,8 @@ IMPL = {
     "alert_expiry": "functions.vitals:alert_expiry", "active_alerts": "streaming.streams:active_alerts, compact_alerts",
     "dedupe_stream": "streaming.streams:dedupe_stream", "stream_to_gold": "streaming.streams:stream_to_gold",
     "stream_alerts_per_hour": "streaming.streams:stream_alerts_per_hour",
-    "quarantine_metric": "operators.monitor:quarantine_metric", "stream_lag": "operators.monitor:stream_lag",
+    "quarantine_metric": "operators.monitor:quarantine_metric",
+    "stream_lag": "operators.monitor:stream_lag, streaming.streams:stream_lag_monitor",
     "run_batch_daily": "plans.runs:run_batch_daily", "run_streaming_curation": "plans.runs:run_streaming_curation",
 }
 

@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+
+def _ts(df: DataFrame, name: str) -> Column:
+    """The column itself when it already is a TIMESTAMP (keeps a streaming
+    watermark attached to it), else a cast."""
+    c = F.col(name)
+    return c if isinstance(df.schema[name].dataType, TimestampType) else c.cast("timestamp")
 
 
 def quarantine_metric(run_log: DataFrame, time_col: str = "run_ts", value: str = "quarantined",
@@ -20,9 +28,8 @@ def stream_lag(df: DataFrame, arrival: str, event_time: str, window: str = "5 mi
                threshold_ms: int = 300_000) -> DataFrame:
     """Max consumer delay (arrival - event time, ms) per arrival window;
     ``alarm`` above ``threshold_ms``."""
-    lag_ms = F.floor((F.unix_micros(F.col(arrival).cast("timestamp"))
-                      - F.unix_micros(F.col(event_time).cast("timestamp"))) / 1000).cast("bigint")
-    g = df.groupBy(F.window(F.col(arrival).cast("timestamp"), window).alias("w")).agg(
+    lag_ms = F.floor((F.unix_micros(_ts(df, arrival)) - F.unix_micros(_ts(df, event_time))) / 1000).cast("bigint")
+    g = df.groupBy(F.window(_ts(df, arrival), window).alias("w")).agg(
         F.max(lag_ms).alias("max_lag_ms"))
     return g.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "max_lag_ms",
                     (F.col("max_lag_ms") > threshold_ms).alias("alarm"))

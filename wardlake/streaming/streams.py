@@ -174,6 +174,19 @@ def stream_land_raw(stream: DataFrame, out: str, checkpoint: str, trigger: Mappi
     return main, errors
 
 
+def stream_lag_monitor(stream: DataFrame, event_time: str, out: str, checkpoint: str,
+                       window: str = "5 minutes", threshold_ms: int = 300_000,
+                       trigger: Mapping | None = None) -> StreamingQuery:
+    """Live consumer-lag alarm: arrival = the micro-batch's processing time,
+    delay = arrival - event time; max delay per arrival window with an
+    ``alarm`` flag, written once the window closes (append, watermark on
+    arrival)."""
+    from ..operators.monitor import stream_lag
+    arrived = stream.withColumn("__arrival", F.current_timestamp()).withWatermark("__arrival", window)
+    lag = stream_lag(arrived, "__arrival", event_time, window, threshold_ms)
+    return _writer(lag, checkpoint, trigger).format("parquet").start(out)
+
+
 def stream_to_gold(readings: DataFrame, out: str, checkpoint: str, rules, limits: Mapping[str, tuple],
                    trigger: Mapping | None = None) -> StreamingQuery:
     """Incremental curation: every micro-batch is cleansed (promoted rows
