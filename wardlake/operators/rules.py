@@ -51,6 +51,7 @@ class DatasetRule:
     metric: Callable[[DataFrame], DataFrame] = field(compare=False)
     op: str
     threshold: float
+    unique_column: str | None = None     # set for uniqueness rules (lets the summary share one pass)
 
 
 def rule_is_complete(col: str) -> RowRule:
@@ -105,7 +106,7 @@ def uniqueness_metric(col: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def rule_uniqueness(col: str, op: str = ">", threshold: float = 0.99) -> DatasetRule:
-    return DatasetRule(f'Uniqueness "{col}" {op} {threshold}', uniqueness_metric(col), op, threshold)
+    return DatasetRule(f'Uniqueness "{col}" {op} {threshold}', uniqueness_metric(col), op, threshold, col)
 
 
 _PRIMARY = re.compile(r"\bprimary\b", re.IGNORECASE)
@@ -145,44 +146,71 @@ def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRu
     failure_reason, metric (pass ratio for row rules, the measured value for
     dataset rules) and evaluated_metrics (map<string,double>).
 
-    All row rules are counted in ONE global aggregate (partial per task);
-    every dataset rule is its own small aggregate; the rows are unioned."""
+    All row rules are counted in ONE aggregate (partial per task). With a
+    uniqueness rule present, that aggregate is the uniqueness rule's per-value
+    aggregate, so both read the input once; every other dataset rule is its
+    own small aggregate; the rows are unioned."""
     row_rules, ds_rules = _split(rules)
     row_rules = row_rules + list(extra)
     parts = []
     if row_rules:
-        aggs = [F.count(F.lit(1)).alias("__n")]
-        aggs += [F.count_if(~r.condition(df)).alias(f"__f{i}") for i, r in enumerate(row_rules)]
-        counts = df.agg(*aggs)
-        entries = [F.struct(F.lit(r.name).alias("rule"), F.col(f"__f{i}").alias("failed"))
-                   for i, r in enumerate(row_rules)]
-        per_rule = counts.select(F.col("__n").alias("rows"), F.inline(F.array(*entries)))
-        ratio = F.coalesce(F.try_divide((F.col("rows") - F.col("failed")).cast("double"),
-                                        F.col("rows").cast("double")), F.lit(1.0))
-        parts.append(per_rule.select(
-            "rule", F.lit("row").alias("rule_type"),
-            F.when(F.col("failed") == 0, "Passed").otherwise("Failed").alias("outcome"),
-            F.when(F.col("failed") > 0, F.format_string("%d of %d rows failed", "failed", "rows"))
-             .alias("failure_reason"),
-            ratio.alias("metric"),
-            F.create_map(F.lit("rows"), F.col("rows").cast("double"),
-                         F.lit("failed_rows"), F.col("failed").cast("double"),
-                         F.lit("pass_ratio"), ratio).alias("evaluated_metrics")))
+        fails = [F.count_if(~r.condition(df)).alias(f"__f{i}") for i, r in enumerate(row_rules)]
+        shared = next((r for r in ds_rules if r.unique_column), None)
+        if shared is None:
+            counts = df.agg(F.count(F.lit(1)).alias("__n"), *fails)
+        else:
+            # One pass for the row rules AND one uniqueness rule: failure counts
+            # ride along as partial sums of the per-value aggregate the
+            # uniqueness rule needs anyway (no second scan of the input).
+            u = F.col("__u")
+            per_value = df.groupBy(F.col(shared.unique_column).alias("__u")).agg(
+                F.count(F.lit(1)).alias("__n"), *fails)
+            counts = per_value.agg(
+                F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"),
+                *[F.coalesce(F.sum(f"__f{i}"), F.lit(0)).alias(f"__f{i}") for i in range(len(row_rules))],
+                F.try_divide(F.sum(F.when(u.isNotNull() & (F.col("__n") == 1), 1).otherwise(0)).cast("double"),
+                             F.sum(F.when(u.isNotNull(), F.col("__n"))).cast("double")).alias("__um"))
+            ds_rules = [r for r in ds_rules if r is not shared]
+        entries = [_row_entry(r.name, F.col(f"__f{i}"), F.col("__n")) for i, r in enumerate(row_rules)]
+        if shared is not None:
+            entries.append(_dataset_entry(shared, F.col("__um")))
+        # every outcome row comes from the one aggregate row: a single consumer,
+        # so column pruning cannot split it into two scans
+        parts.append(counts.select(F.inline(F.array(*entries))))
     for r in ds_rules:
-        m = r.metric(df)
-        ok = F.coalesce(_OPS[r.op](F.col("metric"), F.lit(r.threshold)), F.col("metric").isNull())
-        parts.append(m.select(
-            F.lit(r.name).alias("rule"), F.lit("dataset").alias("rule_type"),
-            F.when(ok, "Passed").otherwise("Failed").alias("outcome"),
-            F.when(~ok, F.lit(f"metric does not satisfy {r.op} {r.threshold}")).alias("failure_reason"),
-            F.col("metric"),
-            F.create_map(F.lit("metric"), F.col("metric")).alias("evaluated_metrics")))
+        parts.append(_dataset_outcome(r.metric(df), r))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _row_entry(name: str, failed: Column, rows: Column) -> Column:
+    ratio = F.coalesce(F.try_divide((rows - failed).cast("double"), rows.cast("double")), F.lit(1.0))
+    return F.struct(
+        F.lit(name).alias("rule"), F.lit("row").alias("rule_type"),
+        F.when(failed == 0, "Passed").otherwise("Failed").alias("outcome"),
+        F.when(failed > 0, F.format_string("%d of %d rows failed", failed, rows)).alias("failure_reason"),
+        ratio.alias("metric"),
+        F.create_map(F.lit("rows"), rows.cast("double"), F.lit("failed_rows"), failed.cast("double"),
+                     F.lit("pass_ratio"), ratio).alias("evaluated_metrics"))
+
+
+def _dataset_entry(r: DatasetRule, metric: Column) -> Column:
+    """Outcome of a dataset rule; a NULL metric (nothing to measure) passes."""
+    ok = F.coalesce(_OPS[r.op](metric, F.lit(r.threshold)), metric.isNull())
+    return F.struct(
+        F.lit(r.name).alias("rule"), F.lit("dataset").alias("rule_type"),
+        F.when(ok, "Passed").otherwise("Failed").alias("outcome"),
+        F.when(~ok, F.lit(f"metric does not satisfy {r.op} {r.threshold}")).alias("failure_reason"),
+        metric.cast("double").alias("metric"),
+        F.create_map(F.lit("metric"), metric.cast("double")).alias("evaluated_metrics"))
+
+
+def _dataset_outcome(m: DataFrame, r: DatasetRule) -> DataFrame:
+    return m.select(F.inline(F.array(_dataset_entry(r, F.col("metric")))))
+
+
 def split_valid(evaluated: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Promoted rows, original columns only."""
     return evaluated.filter(F.col(VALID)).select(*cols)
