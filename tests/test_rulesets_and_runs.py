@@ -94,3 +94,22 @@ def test_one_threshold_config_drives_fact_and_stream(spark):
         fact_ids = {r.event_id for r in fact_vitals_alert(v, limits).select("event_id").collect()}
         stream_ids = {r.source_event_id for r in alerts_from_readings(v, limits).select("source_event_id").collect()}
         assert fact_ids == stream_ids and fact_ids
+
+
+def test_backfill_writes_rule_outcomes_per_day(spark, scratch):
+    raw, clean = scratch("raw"), scratch("clean")
+    header = "facility_id,department,total_beds,occupied_beds,snapshot_date\n"
+    _write(f"{raw}/beds/dt=2025-01-01", header + "FAC01,ER,10,3,2025-01-01\nFAC01,ER,10,12,2025-01-01\n")
+    _write(f"{raw}/beds/dt=2025-01-02", header + "FAC01,ER,10,4,2025-01-02\n")
+    schema = StructType.fromDDL("facility_id string, department string, total_beds int, occupied_beds int, "
+                                "snapshot_date string")
+    df = IO.read_raw_csv(spark, raw, "beds", schema, run_date=IO.ALL_DAYS)
+    log = IO.write_cleansing_run(df, RS.bed_capacity_rules(), clean, "beds", IO.ALL_DAYS, RS.bed_capacity_extra())
+    assert (log["promoted"], log["quarantined"]) == (2, 1)
+    dq = spark.read.parquet(f"{clean}/_dq_results/source=beds")
+    by_day = {(str(r.dt), r.rule): r.outcome for r in dq.collect()}
+    assert by_day[("2025-01-01", "occupied_beds <= total_beds")] == "Failed"
+    assert by_day[("2025-01-02", "occupied_beds <= total_beds")] == "Passed"
+    sql_rule = 'CustomSql "select count(*) from primary where occupied_beds > total_beds" = 0'
+    assert by_day[("all-days", sql_rule)] == "Failed"
+    assert spark.read.parquet(f"{clean}/beds").count() == 2

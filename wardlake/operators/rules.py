@@ -141,7 +141,8 @@ def evaluate_rules_rows(df: DataFrame, rules: Sequence, extra: Sequence[RowRule]
     return df.withColumn(FAILED, failed).withColumn(VALID, F.size(F.col(FAILED)) == 0)
 
 
-def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRule] = ()) -> DataFrame:
+def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRule] = (),
+                           keys: Sequence[str] = ()) -> DataFrame:
     """One row per rule: rule, rule_type, outcome (Passed/Failed),
     failure_reason, metric (pass ratio for row rules, the measured value for
     dataset rules) and evaluated_metrics (map<string,double>).
@@ -149,7 +150,15 @@ def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRu
     All row rules are counted in ONE aggregate (partial per task). With a
     uniqueness rule present, that aggregate is the uniqueness rule's per-value
     aggregate, so both read the input once; every other dataset rule is its
-    own small aggregate; the rows are unioned."""
+    own small aggregate; the rows are unioned.
+
+    ``keys`` (e.g. ``["dt"]``) gives one outcome row per rule and key value in
+    the same passes (grouped instead of global aggregates). Custom-SQL rules
+    are scalar over the whole input and have no per-key form: they are
+    rejected here and must be evaluated without keys."""
+    keys = list(keys)
+    if keys and any(isinstance(r, DatasetRule) and not r.unique_column for r in rules):
+        raise ValueError("custom SQL rules cannot be evaluated per key; evaluate them without keys")
     row_rules, ds_rules = _split(rules)
     row_rules = row_rules + list(extra)
     parts = []
@@ -157,15 +166,15 @@ def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRu
         fails = [F.count_if(~r.condition(df)).alias(f"__f{i}") for i, r in enumerate(row_rules)]
         shared = next((r for r in ds_rules if r.unique_column), None)
         if shared is None:
-            counts = df.agg(F.count(F.lit(1)).alias("__n"), *fails)
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *fails)
         else:
             # One pass for the row rules AND one uniqueness rule: failure counts
             # ride along as partial sums of the per-value aggregate the
             # uniqueness rule needs anyway (no second scan of the input).
             u = F.col("__u")
-            per_value = df.groupBy(F.col(shared.unique_column).alias("__u")).agg(
+            per_value = df.groupBy(*keys, F.col(shared.unique_column).alias("__u")).agg(
                 F.count(F.lit(1)).alias("__n"), *fails)
-            counts = per_value.agg(
+            counts = per_value.groupBy(*keys).agg(
                 F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"),
                 *[F.coalesce(F.sum(f"__f{i}"), F.lit(0)).alias(f"__f{i}") for i in range(len(row_rules))],
                 F.try_divide(F.sum(F.when(u.isNotNull() & (F.col("__n") == 1), 1).otherwise(0)).cast("double"),
@@ -176,9 +185,17 @@ def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRu
             entries.append(_dataset_entry(shared, F.col("__um")))
         # every outcome row comes from the one aggregate row: a single consumer,
         # so column pruning cannot split it into two scans
-        parts.append(counts.select(F.inline(F.array(*entries))))
+        parts.append(counts.select(*keys, F.inline(F.array(*entries))))
     for r in ds_rules:
-        parts.append(_dataset_outcome(r.metric(df), r))
+        if keys:   # a uniqueness rule, per key value
+            per_value = df.filter(F.col(r.unique_column).isNotNull()).groupBy(*keys, r.unique_column).agg(
+                F.count(F.lit(1)).alias("n"))
+            m = per_value.groupBy(*keys).agg(F.try_divide(
+                F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).cast("double"),
+                F.sum("n").cast("double")).alias("metric"))
+            parts.append(m.select(*keys, F.inline(F.array(_dataset_entry(r, F.col("metric"))))))
+        else:
+            parts.append(_dataset_outcome(r.metric(df), r))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

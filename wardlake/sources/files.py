@@ -163,12 +163,16 @@ BACKFILL_TAG = "all-days"
 
 def write_dq_results(summary: DataFrame, root: str, source: str, run_date: str) -> None:
     """One row per rule under ``_dq_results/source=<s>/dt=<d>/``; the keys live
-    in the path only, metrics are serialised to JSON text. A run over all
-    days records its outcomes under ``dt=all-days``."""
-    out = summary.select("rule", "outcome", "failure_reason",
-                         F.to_json("evaluated_metrics").alias("evaluated_metrics"))
-    tag = BACKFILL_TAG if run_date == ALL_DAYS else run_date
-    out.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{DQ_RESULTS_DIR}/source={source}/dt={tag}")
+    in the path only, metrics are serialised to JSON text. With
+    ``run_date="*"`` the summary carries a ``dt`` column (per-day outcomes of
+    a backfill) and every day gets its folder in one partitioned write."""
+    cols = ["rule", "outcome", "failure_reason", F.to_json("evaluated_metrics").alias("evaluated_metrics")]
+    base = f"{root.rstrip('/')}/{DQ_RESULTS_DIR}/source={source}"
+    if run_date == ALL_DAYS:
+        (summary.select(*cols, "dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("dt").parquet(base))
+    else:
+        summary.select(*cols).write.mode("overwrite").parquet(f"{base}/dt={run_date}")
 
 
 def write_curated(df: DataFrame, root_or_table: str, schema: StructType | None = None) -> None:
@@ -204,7 +208,8 @@ def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date:
     """Evaluate once, write promoted rows, quarantine (always overwritten) and
     rule outcomes; promoted/quarantined counts are observed during the writes
     (no extra count jobs). Returns the run-log entry."""
-    from ..operators.rules import VALID, evaluate_rules_rows, evaluate_rules_summary, split_quarantine, split_valid
+    from ..operators.rules import (VALID, DatasetRule, evaluate_rules_rows, evaluate_rules_summary,
+                                   split_quarantine, split_valid)
     cols = df.columns
     ev = evaluate_rules_rows(df, rules, extra)
     obs = Observation(f"cleanse_{source}_{uuid.uuid4().hex[:8]}")
@@ -222,8 +227,16 @@ def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date:
     finally:
         if cache:
             ev.unpersist()
-    write_dq_results(evaluate_rules_summary(df.drop("dt") if run_date == ALL_DAYS else df, rules, extra),
-                     root, source, run_date)
+    if run_date == ALL_DAYS:
+        # per-day outcomes for every rule that has a per-key form; custom-SQL
+        # rules are scalar over the whole input and go under dt=all-days
+        keyed = [r for r in rules if not (isinstance(r, DatasetRule) and not r.unique_column)]
+        whole = [r for r in rules if r not in keyed]
+        write_dq_results(evaluate_rules_summary(df, keyed, extra, keys=["dt"]), root, source, ALL_DAYS)
+        if whole:
+            write_dq_results(evaluate_rules_summary(df.drop("dt"), whole), root, source, BACKFILL_TAG)
+    else:
+        write_dq_results(evaluate_rules_summary(df, rules, extra), root, source, run_date)
     m = obs.get
     return {"source": source, "run_date": run_date, "promoted": int(m.get("promoted", 0)),
             "quarantined": int(m.get("quarantined", 0))}
