@@ -104,3 +104,14 @@ def test_dim_date_calendar(spark):
     assert d.count() == 1095
     r = d.filter(F.col("date_key") == "2027-01-01").collect()[0]
     assert r.week_of_year == 53 and r.day_name == "Friday" and r.day_of_week == 6 and not r.is_weekend
+
+
+def test_replicated_layout_is_size_checked(spark):
+    from wardlake.operators import joins as J
+    from wardlake.sources.warehouse import table_layout
+    small = spark.createDataFrame([(1, "a")], "k int, v string")
+    big = spark.range(50).withColumnRenamed("id", "k")
+    hinted = big.join(table_layout(small, replicate=True), "k")
+    assert "BroadcastHashJoin" in _plan(hinted)
+    # above the bound the side is returned unhinted (bound lowered for the test)
+    assert J.broadcast_if_small(big, max_rows=10) is big
