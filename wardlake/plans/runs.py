@@ -18,8 +18,9 @@ from ..sources.files import read_cleansed, read_raw_csv, write_cleansing_run, wr
 def run_batch_daily(spark: SparkSession, roots: Mapping[str, str], run_date: str,
                     sources: Mapping[str, tuple[StructType, list, list]],
                     gold: Mapping[str, tuple[str, callable]] | None = None) -> DataFrame:
-    """Cleanse every batch source for ``run_date`` then rebuild the gold
-    tables from all cleansed days (full refresh).
+    """Cleanse every batch source for ``run_date`` then rebuild, from all
+    cleansed days (full refresh), the gold tables whose source took part in
+    this run.
 
     ``roots``: {"raw", "cleansed", "curated"}; ``sources``: name -> (schema,
     rules, extra row rules); ``gold``: table -> (source, builder(df)->df).
@@ -29,6 +30,8 @@ def run_batch_daily(spark: SparkSession, roots: Mapping[str, str], run_date: str
         raw = read_raw_csv(spark, roots["raw"], name, schema, run_date=run_date, missing="empty")
         log.append(write_cleansing_run(raw, rules, roots["cleansed"], name, run_date, extra))
     for table, (source, build) in (gold or {}).items():
+        if source not in sources:      # unchanged by this run; nothing to refresh
+            continue
         write_curated(build(read_cleansed(spark, roots["cleansed"], source)),
                       f"{roots['curated'].rstrip('/')}/{table}")
     return spark.createDataFrame(log, "source string, run_date string, promoted long, quarantined long")
