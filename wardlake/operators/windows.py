@@ -15,8 +15,14 @@ first row of every chunk to the last row of the entity's previous chunk:
   partitioned on exactly these keys by the chunk window, so only the tails
   are shuffled for the join.
 
+The keys are never NULL (a value/is-NULL pair for the entity, a coalesced
+chunk), so NULL entities and times group exactly as in a window's PARTITION
+BY without a null-safe join. ``chunk="range"`` is the fallback for one hot
+entity-day or timestamp (see ``_lag_by_range``).
+
 The result is identical to the plain window for every input (the tests check
-it against brute force), including NULL previous values (open stays).
+it against brute force), including NULL previous values (open stays) and
+NULL entities and times.
 """
 
 from __future__ import annotations
