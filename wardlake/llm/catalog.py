@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import packing
-from .common import table
+from . import linededup, packing, simhash
+from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -49,3 +49,27 @@ def packed(docs: DataFrame) -> DataFrame:
 @query("op10_packing")
 def op10(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
+
+
+_SQL_SPACE = "".join(f"chr({ord(c)}) || " for c in ASCII_SPACE)[:-4]
+OP2_SQL = f"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+    l AS (SELECT r, i, ls[i] AS line, translate(trim(ls[i], {_SQL_SPACE}), '{UPPER}', '{LOWER}') AS k
+          FROM d, unnest(range(1, len(ls) + 1)) AS u(i)),
+    f AS (SELECT k FROM l WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10),
+    t AS (SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (k NOT IN (SELECT k FROM f)) AS kept,
+                 count(*) FILTER (k IN (SELECT k FROM f)) AS n_dropped, count(*) AS n_lines
+          FROM l GROUP BY r)
+    SELECT d.doc_id, t.n_lines, t.n_dropped, sha256(coalesce(t.kept, '')) AS kept_sha256 FROM d JOIN t USING (r)"""
+
+
+@query("op2_line_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    out = linededup.dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op4_simhash")
+def op4(spark, sf_dir):
+    out = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
