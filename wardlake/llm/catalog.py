@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import linededup, packing, simhash
+from . import linededup, packing, simhash, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,25 @@ def op2(spark, sf_dir):
 def op4(spark, sf_dir):
     out = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return out.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# base32 of the SHA-1: digit i holds bits 5i to 5i + 4 of the 40 hexadecimal digits
+OP9_SQL = """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hx FROM pages),
+    b AS (SELECT *, list_transform(range(0, 32), lambda i:
+              ((16 * (instr('0123456789abcdef', substr(hx, CAST(5 * i // 4 + 1 AS INT), 1)) - 1)
+                + greatest(instr('0123456789abcdef', nullif(substr(hx, CAST(5 * i // 4 + 2 AS INT), 1), '')) - 1, 0))
+               >> CAST(3 - (5 * i) % 4 AS INT)) & 31) AS digits FROM p),
+    m AS (SELECT hx, min(page_id) AS low FROM p GROUP BY hx)
+    SELECT b.page_id, octet_length(encode(b.html)) AS payload_bytes,
+           list_aggregate(list_transform(digits, lambda v: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v + 1 AS INT), 1)),
+                          'string_agg', '') AS payload_digest,
+           CASE WHEN b.page_id = m.low THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN b.page_id <> m.low THEN m.low END AS refers_to
+    FROM b JOIN m USING (hx)"""
+
+
+@query("op9_warc", OP9_SQL)
+def op9(spark, sf_dir):
+    out = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
