@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import linededup, packing, simhash, warc
+from . import linededup, packing, risk, simhash, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,47 @@ OP9_SQL = """
 def op9(spark, sf_dir):
     out = warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def _op6_sql() -> str:
+    values = {"symbol_share": "n_symbols / greatest(n_words, 1)", "dup_line_share": "n_dup_lines / greatest(n_lines, 1)",
+              "repeat_share": "n_repeat_words / greatest(n_words, 1)", "long_words": "word_chars / greatest(n_words, 1)",
+              "short_words": "-word_chars / greatest(n_words, 1)"}
+    cells = ", ".join(f"('{rule}', {level}, CAST({cut} AS DOUBLE))"
+                      for rule, cuts in risk.GRID.items() for level, cut in enumerate(cuts))
+    value = "CASE rule " + " ".join(f"WHEN '{r}' THEN {v}" for r, v in values.items()) + " END"
+    rules, rate = len(risk.GRID), 0.05 / len(risk.GRID)
+    return rf"""
+    WITH w AS (SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text,
+                      regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    g AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS s FROM w, unnest(range(1, len(ws) - 6)) AS u(i)),
+    tw AS (SELECT doc_id, s FROM g GROUP BY doc_id, s HAVING count(*) > 1),
+    rp AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM g JOIN tw USING (doc_id, s), unnest(range(0, 8)) AS v(o)
+           GROUP BY doc_id),
+    ln AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup
+           FROM w, unnest(string_split(text, chr(10))) AS u(l)
+           WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    m AS (SELECT doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+                 coalesce(n_lines, 0) AS n_lines, coalesce(n_dup, 0) AS n_dup_lines, coalesce(rp.n, 0) AS n_repeat_words,
+                 n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed
+          FROM w LEFT JOIN rp USING (doc_id) LEFT JOIN ln USING (doc_id)),
+    good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1),
+    grid(rule, level, cutoff) AS (VALUES {cells}),
+    k AS (SELECT stratum, rule, level, cutoff, count(*) AS n, sum(CAST({value} > cutoff AS INTEGER)) AS k
+          FROM m JOIN good USING (doc_id), grid WHERE NOT base_failed GROUP BY ALL),
+    p AS (SELECT *, CASE WHEN k > n * {rate} THEN 1.0 ELSE list_sum(list_transform(range(0, CAST(k + 1 AS BIGINT)), lambda j:
+                 exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({rate}) + (n - j) * ln(1 - {rate})))) END
+                 <= 0.1 / ((SELECT count(DISTINCT stratum) FROM k) * {rules}) AS passed FROM k),
+    c AS (SELECT a.stratum, a.rule, arg_max(a.cutoff, a.level) AS cutoff FROM p a
+          WHERE NOT EXISTS (SELECT 1 FROM p b WHERE b.stratum = a.stratum AND b.rule = a.rule AND b.level <= a.level
+                            AND NOT b.passed) GROUP BY a.stratum, a.rule),
+    bad AS (SELECT DISTINCT doc_id FROM m JOIN c USING (stratum) WHERE {value} > cutoff)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM bad) AS kept FROM m"""
+
+
+@query("op6_risk_rules", _op6_sql())
+def op6(spark, sf_dir):
+    out = risk.controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
