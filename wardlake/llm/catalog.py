@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import linededup, packing, risk, simhash, warc
+from . import bloomlm, linededup, packing, risk, simhash, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,13 @@ def _op6_sql() -> str:
 def op6(spark, sf_dir):
     out = risk.controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op8_bloom_lm")
+def op8(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(bloomlm.fold(F.col("doc_id"), 7) == 2, F.lit(False))
+    model = bloomlm.train(docs.where(~held_out))
+    return bloomlm.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")

@@ -85,7 +85,7 @@ class LineRuns:
                   .repartition(self.buckets, "h1"))
         for name in self.runs():
             known = self.spark.table(name).where(F.col("n_docs") >= self.min_docs).select(*KEY)
-            counts = counts.join(known, KEY, "left_anti")
+            counts = counts.join(known.hint("merge"), KEY, "left_anti")
         self._add(0, self._write(counts))
 
     def frequent(self) -> DataFrame:
