@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bloomlm, linededup, packing, risk, simhash, warc
+from . import bloomlm, fm, linededup, packing, risk, simhash, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,16 @@ def op8(spark, sf_dir):
     return bloomlm.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
         "base_score", "score")
+
+
+#: A document is kept from this score on.
+QUALITY_CUT = 0.3
+
+
+@query("op5_factorisation")
+def op5(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    machine = fm.train(docs, table(spark, sf_dir, "labels"))
+    scored = fm.score(docs, machine, keep=["doc_id"])
+    return scored.select("row.doc_id", fm.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
