@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bloomlm, fm, linededup, packing, risk, simhash, warc
+from . import bloomlm, fm, latent, linededup, packing, risk, simhash, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,9 @@ def op5(spark, sf_dir):
     scored = fm.score(docs, machine, keep=["doc_id"])
     return scored.select("row.doc_id", fm.held_out(F.col("row.doc_id")).alias("held_out"), "score",
                          (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
+
+
+@query("op7_latent_decontamination")
+def op7(spark, sf_dir):
+    found = latent.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "lcs_share", "answer_share", "cosine", "first_word")
