@@ -1,17 +1,20 @@
 """Language-model scoring from a log-frequency Bloom filter.
 
-Training counts words and word pairs of all training texts. The count c of a pair is
-quantised to level q = 1 + floor(log_b c), and the pair is stored q times, once with each
-level number, in a Bloom filter. A reader probes level 1, 2, ... until one is missing and
-so gets q back, never too small. A token's probability interpolates the pair estimate with
-the add-one word probability:  p = (1 - w) (c(v) + 1) / (N + V + 1) + w c(u v) / c(u).
-
-Scale: tasks combine their counts before the shuffle, so a very frequent word or pair is
-one row per task. The filter is cut into segments of fixed size; the hash of a pair names
-its segment and each segment is built in one task. While filter and word counts fit
-``broadcast_bytes`` (checked from their exact sizes), they are broadcast and texts are scored
-where they lie. Beyond it, the texts' pairs are sent to the segments instead and the word
-counts are joined; both ways probe the same bits and give the same scores.
+Training counts words and word pairs of all training texts. A count c is quantised to level
+q = 1 + floor(log_b c), and the n-gram is stored q times, once with each level number, in a
+Bloom filter. A reader probes level 1, 2, ... until one is missing and so gets q back, never
+too small. A token's probability interpolates the pair estimate with the add-one word
+probability, both from such probes:
+  p = (1 - w) (c(v) + 1) / (N + V + 1) + w c(u v) / c(u).
+Beside it stands the exact add-one word score, from exact word counts.
+
+Scale: tasks combine their counts before the one shuffle of training, so a very frequent word
+or pair is one row per task. The hash of an n-gram names its segment of the filter; a segment
+is built in one task, with bits in proportion to what it stores. While the filter fits
+``broadcast_bytes`` (checked from its exact size) it is broadcast and texts are scored where
+they lie; beyond it the texts' n-grams are sent to the segments, which give the same answers.
+Exact counts of the ``frequent_words`` commonest words are broadcast, a bounded table; the
+other words of the texts are joined with the table of counts.
 """
 
 from __future__ import annotations
@@ -41,8 +44,9 @@ class Params:
     probes: int = 6              # bits set for each stored level
     bits_each: float = 9.0       # filter bits for each stored level
     pair_weight: float = 0.4     # w
-    segment_bits: int = 1 << 23
+    segments_per_partition: int = 8     # filter segments for each shuffle partition
     broadcast_bytes: int = 256 << 20
+    frequent_words: int = 1 << 17
 
 
 class _Hashes(dict):
@@ -97,232 +101,282 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
 
 
-def counts(texts: DataFrame) -> DataFrame:
-    """(kind, h, n): kind 0 the words (and the end), kind 1 the pairs, kind 2 the texts."""
+def counts(texts: DataFrame, segments: int) -> DataFrame:
+    """(seg, kind, h, n): kind 0 the words (and the end), kind 1 the pairs. Rows of a segment
+    lie in one partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "h", "n"]
-        for rows, tokens, starts in _blocks(batches, _COUNT_TOKENS):
+        for _, tokens, starts in _blocks(batches, _COUNT_TOKENS):
             for kind, values in ((0, tokens), (1, _pairs(tokens, starts)[0])):
                 h, n = np.unique(values, return_counts=True)
                 for at in range(0, len(h), 1 << 18):
-                    cut = slice(at, at + (1 << 18))
+                    some = h[at:at + (1 << 18)]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(h[cut]), kind, np.int8)), _signed(h[cut]), pa.array(n[cut], pa.int64())], names)
-            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int8()), pa.array([0], pa.int64()),
-                                              pa.array([len(rows)], pa.int64())], names)
+                        [pa.array(segment_of(some, segments)), pa.array(np.full(len(some), kind, np.int8)), _signed(some),
+                         pa.array(n[at:at + (1 << 18)], pa.int64())], ["seg", "kind", "h", "n"])
 
-    got = texts.select(F.col("text").cast("binary")).mapInArrow(run, "kind byte, h long, n long")
-    return got.groupBy("kind", "h").agg(F.sum("n").alias("n"))
+    got = texts.select(F.col("text").cast("binary")).mapInArrow(run, "seg int, kind byte, h long, n long")
+    return got.repartition("seg").groupBy("seg", "kind", "h").agg(F.sum("n").alias("n"))
 
 
-def level_of(n: Column, base: float) -> Column:
-    return (F.floor(F.log(n.cast("double")) / math.log(base) + 1e-9) + 1).cast("long")
+def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
+    return (_mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(segments)).astype(np.int32)
+
 
+def levels_of(n: np.ndarray, base: float) -> np.ndarray:
+    return 1 + np.floor(np.log(n) / math.log(base) + 1e-9).astype(np.int64)
 
-def level_values(base: float, levels: int) -> np.ndarray:
+
+def level_values(base: float, levels: int = 256) -> np.ndarray:
     """Count that stands for each level: the middle of the counts that share it; 0 at 0."""
-    low = np.ceil(base ** np.arange(levels) - 1e-9)
-    high = np.ceil(base ** np.arange(1, levels + 1) - 1e-9) - 1
-    return np.concatenate([[0.0], (low + np.maximum(low, high)) / 2])
+    with np.errstate(over="ignore"):
+        low = np.ceil(base ** np.arange(levels) - 1e-9)
+        high = np.ceil(base ** np.arange(1, levels + 1) - 1e-9) - 1
+        return np.concatenate([[0.0], (low + np.maximum(low, high)) / 2])
+
+
+def _positions(h: np.ndarray, level: int, bits: np.ndarray | np.uint64, probes: int) -> Iterator[np.ndarray]:
+    """Bit positions of each hash at ``level`` in a segment of ``bits`` bits, one array per probe."""
+    x = _mix(h + np.uint64(level * 0xD1342543DE82EF95 % (1 << 64)))
+    step = _mix(x) | np.uint64(1)
+    return ((x + np.uint64(i) * step) % bits for i in range(probes))
 
 
 class Filter:
-    """Probing side of the filter: ``bits`` holds segments one after another, from segment
-    ``first`` on, of ``segments`` in all."""
+    """Probing side: segments one after another in ``data``; ``starts`` are their first bytes
+    and the end, by segment number minus ``first``."""
 
-    def __init__(self, bits: np.ndarray, segments: int, p: Params, first: int = 0):
-        self.bits, self.segments, self.p, self.first = bits, segments, p, first
+    def __init__(self, data: np.ndarray, starts: np.ndarray, segments: int, p: Params, first: int = 0):
+        self.data, self.starts, self.segments, self.p, self.first = data, starts, segments, p, first
+        self.values = level_values(p.base)
 
-    def has(self, h: np.ndarray, level: int) -> np.ndarray:
-        seg, pos = positions(h, level, self.segments, self.p)
-        at = (seg - np.uint64(self.first)) * np.uint64(self.p.segment_bits)
+    def _has(self, h: np.ndarray, at: np.ndarray, bits: np.ndarray, level: int) -> np.ndarray:
+        """Indices of those stored at ``level``."""
         alive = np.arange(len(h))
-        for i in range(self.p.probes):
-            bit = at[alive] + next(pos)[alive]
-            hit = self.bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1
-            alive = alive[hit.astype(bool)]
-        out = np.zeros(len(h), dtype=bool)
-        out[alive] = True
-        return out
-
-    def levels(self, h: np.ndarray) -> np.ndarray:
-        q, alive, level = np.zeros(len(h), dtype=np.int64), np.arange(len(h)), 1
+        for pos in _positions(h, level, bits, self.p.probes):
+            bit = at[alive] + pos[alive]
+            alive = alive[(self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+        return alive
+
+    def counts(self, h: np.ndarray) -> np.ndarray:
+        """Estimated count of each hash."""
+        seg = segment_of(h, self.segments) - self.first
+        at = (self.starts[seg] * 8).astype(np.uint64)
+        bits = ((self.starts[seg + 1] - self.starts[seg]) * 8).astype(np.uint64)
+        q, alive, level = np.zeros(len(h), dtype=np.int64), np.flatnonzero(bits), 1
         while len(alive):
-            alive = alive[self.has(h[alive], level)]
+            alive = alive[self._has(h[alive], at[alive], bits[alive], level)]
             q[alive] = level
             level += 1
-        return q
-
-
-def segment_of(h: np.ndarray, segments: int) -> np.ndarray:
-    return _mix(h ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(segments)
-
-
-def positions(h: np.ndarray, level: int, segments: int, p: Params):
-    """Segment of each hash, and its bit positions there, one array per probe."""
-    x = _mix(h + np.uint64(level * 0xD1342543DE82EF95 % (1 << 64)))
-    step = _mix(x) | np.uint64(1)
-    return segment_of(h, segments), ((x + np.uint64(i) * step) % np.uint64(p.segment_bits) for i in range(p.probes))
+        return self.values[np.minimum(q, len(self.values) - 1)]
 
 
-def segment_tables(pairs: DataFrame, segments: int, p: Params) -> DataFrame:
-    """(seg, bits): one row for each segment that holds something. ``pairs``: h, n."""
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(segment_of(h, segments).astype(np.int64)), batch.column(0),
-                                              batch.column(1)], ["seg", "h", "q"])
-
+def segment_tables(counted: DataFrame, p: Params) -> DataFrame:
+    """(seg, bits, words_h, words_n): the filter's segments, each with its words' exact counts."""
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        h, q = part["h"].to_numpy().view(np.uint64), part["q"].to_numpy()
-        flags = np.zeros(p.segment_bits, dtype=bool)
+        h, n = part["h"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        q = levels_of(n, p.base)
+        size = max(64, math.ceil(q.sum() * p.bits_each / 64) * 64)
+        flags = np.zeros(size, dtype=bool)
         for level in range(1, int(q.max()) + 1):
-            for pos in positions(h[q >= level], level, segments, p)[1]:
+            for pos in _positions(h[q >= level], level, np.uint64(size), p.probes):
                 flags[pos] = True
-        return pd.DataFrame({"seg": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()]})
+        word = part["kind"].to_numpy() == 0
+        return pd.DataFrame({"seg": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()],
+                             "words_h": [part["h"].to_numpy()[word]], "words_n": [n[word]]})
 
-    rows = pairs.select("h", level_of(F.col("n"), p.base).alias("q")).mapInArrow(named, "seg long, h long, q long")
-    return rows.groupBy("seg").applyInPandas(build, "seg long, bits binary")
+    return counted.groupBy("seg").applyInPandas(build, "seg int, bits binary, words_h array<long>, words_n array<long>")
 
 
 @dataclass
 class Model:
-    """A trained model: tables in the shared folder and their exact sizes."""
-    words: DataFrame            # h, n
-    segments: DataFrame         # seg, bits
-    n_segments: int
+    """A trained model: its table in the shared folder, and exact totals."""
+    table: DataFrame            # seg, bits, words_h, words_n
+    segments: int
+    bytes: int                  # of the filter
     tokens: int                 # N
     vocabulary: int             # V
-    texts: int
     params: Params
 
-    def bytes(self) -> int:
-        return self.vocabulary * 16 + self.n_segments * self.params.segment_bits // 8
+    def words(self) -> DataFrame:
+        return self.table.select(F.explode(F.arrays_zip("words_h", "words_n")).alias("w")).select(
+            F.col("w.words_h").alias("h"), F.col("w.words_n").alias("n"))
+
+    def total(self) -> float:
+        return float(self.tokens + self.vocabulary + 1)
 
 
 def train(texts: DataFrame, p: Params = Params()) -> Model:
     """Counts over every row of ``texts`` (``text``; null: empty)."""
-    all_counts = written(counts(texts), "ngram-counts")
-    sums = {r["kind"]: r for r in all_counts.groupBy("kind").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("types"), F.sum(level_of(F.col("n"), p.base)).alias("stored")).collect()}    # three rows
-    words = all_counts.where("kind = 0").select("h", "n")
-    if not sums:
-        return Model(words, words.selectExpr("h AS seg", "CAST(NULL AS BINARY) AS bits"), 1, 0, 0, 0, p)
-    n = max(1, math.ceil(int(sums[1]["stored"]) * p.bits_each / p.segment_bits))
-    segments = written(segment_tables(all_counts.where("kind = 1").select("h", "n"), n, p), "filter-segments")
-    return Model(words, segments, n, int(sums[0]["n"]), int(sums[0]["types"]), int(sums[2]["n"]), p)
-
-
-def _token_logs(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total: float, w: float):
-    """log10 of the add-one and of the interpolated probability of each token."""
+    segments = p.segments_per_partition * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    made = written(segment_tables(counts(texts, segments), p), "filter-segments")
+    size, tokens, words = made.agg(
+        F.sum(F.octet_length("bits")), F.sum(F.aggregate("words_n", F.lit(0).cast("long"), lambda s, n: s + n)),
+        F.sum(F.size("words_n"))).first()
+    return Model(made, segments, size or 0, tokens or 0, words or 0, p)
+
+
+def _share_filter(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """The filter's bytes (at most broadcast_bytes, checked by the caller) and segment starts."""
+    sizes = np.zeros(model.segments, dtype=np.int64)
+    for seg, size in model.table.select("seg", F.octet_length("bits")).collect():
+        sizes[seg] = size
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    data = np.zeros(max(1, int(starts[-1])), dtype=np.uint8)
+    for seg, bits in model.table.select("seg", "bits").toLocalIterator():
+        data[starts[seg]:starts[seg + 1]] = np.frombuffer(bits, dtype=np.uint8)
+    return data, starts
+
+
+def _log_share(word_n: np.ndarray, before_n: np.ndarray, pair_n: np.ndarray, total: float, w: float) -> np.ndarray:
+    """log10 of the interpolated probability of each token."""
     plain = (word_n + 1) / total
     share = np.minimum(pair_n, before_n) / np.maximum(before_n, 1)
-    return np.log10(plain), np.log10(np.where(before_n > 0, (1 - w) * plain + w * share, plain))
+    return np.log10(np.where(before_n > 0, (1 - w) * plain + w * share, plain))
 
 
-SCORES = "n_tokens long, n_known long, base_score double, score double"
+def _frequent(model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and exact counts of the commonest words, a table of bounded size."""
+    top = model.words().orderBy(F.desc("n"), "h").limit(model.params.frequent_words).toPandas()
+    h, n = top["h"].to_numpy(dtype=np.int64).view(np.uint64), top["n"].to_numpy(dtype=np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
 
 
-def _score_broadcast(rows: DataFrame, model: Model) -> DataFrame:
-    """rows: doc_id, text_hash, text (binary) -> doc_id, text_hash and SCORES."""
-    spark, p = rows.sparkSession, model.params
-    words = model.words.toPandas()          # at most broadcast_bytes, checked by the caller
-    order = np.argsort(words["h"].to_numpy().view(np.uint64))
-    known, known_n = words["h"].to_numpy().view(np.uint64)[order], words["n"].to_numpy()[order]
-    bits = np.zeros(model.n_segments * p.segment_bits // 8, dtype=np.uint8)
-    for row in model.segments.toLocalIterator():
-        at = row["seg"] * p.segment_bits // 8
-        bits[at:at + p.segment_bits // 8] = np.frombuffer(row["bits"], dtype=np.uint8)
-    shared = spark.sparkContext.broadcast((known, known_n, bits))
-    total, texts, n_segments = model.tokens + model.vocabulary + 1, model.texts, model.n_segments
-    values = level_values(p.base, 256)
+def _look_up(h: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Exact count of each hash, 0 where it is not in the table."""
+    if not len(known):
+        return np.zeros(len(h), dtype=np.int64)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return np.where(known[at] == h, n[at], 0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, known_n, bits = shared.value
-        table = Filter(bits, n_segments, p)
 
-        def count(h: np.ndarray) -> np.ndarray:
-            if not len(known):
-                return np.zeros(len(h), dtype=np.int64)
-            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            return np.where(known[at] == h, known_n[at], 0)
+def _texts_scored(rows: DataFrame, model: Model, shared, with_filter: bool) -> DataFrame:
+    """One row per text: tokens, the frequent words' part of the exact score, and, where the
+    filter is shared, the model's score."""
+    total, p, segments = model.total(), model.params, model.segments
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_n, stored = shared.value
+        table = Filter(*stored, segments, p) if with_filter else None
         for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
-            pair, before = _pairs(tokens, starts)
-            word_n = count(tokens)
-            before_n = np.empty_like(word_n)
-            before_n[1:] = word_n[:-1]
-            before_n[starts] = texts
-            pair_n = values[np.minimum(table.levels(pair), len(values) - 1)]
-            plain, full = _token_logs(word_n, before_n, pair_n, total, p.pair_weight)
-            sizes = np.diff(np.append(starts, len(tokens)))
+            n = _look_up(tokens, known, known_n)
+            exact = np.where(n > 0, np.log10((n + 1) / total), 0.0)
+            if table is not None:
+                pair, before = _pairs(tokens, starts)
+                word_n = table.counts(tokens)
+                before_n = np.empty_like(word_n)
+                before_n[1:] = word_n[:-1]
+                before_n[starts] = table.counts(np.array([END], dtype=np.uint64))[0]    # as many ends as texts
+                score = np.add.reduceat(_log_share(word_n, before_n, table.counts(pair), total, p.pair_weight), starts)
+            else:
+                score = np.zeros(len(starts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(np.add.reduceat((word_n > 0).astype(np.int64), starts), pa.int64()),
-                 pa.array(np.add.reduceat(plain, starts)), pa.array(np.add.reduceat(full, starts))],
-                ["doc_id", "text_hash", "n_tokens", "n_known", "base_score", "score"])
+                [pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()),
+                 pa.array(np.diff(np.append(starts, len(tokens))), pa.int64()),
+                 pa.array(np.add.reduceat((n > 0).astype(np.int64), starts), pa.int64()),
+                 pa.array(np.add.reduceat(exact, starts)), pa.array(score)],
+                ["doc_id", "text_hash", "n_tokens", "known", "exact", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, text_hash long, " + SCORES)
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_tokens long, known long, exact double, score double")
 
 
-def _score_shuffled(rows: DataFrame, model: Model) -> DataFrame:
-    """The same scores without a broadcast: pairs go to their segments, word counts are joined."""
-    p, n_segments = model.params, model.n_segments
-    total, texts = float(model.tokens + model.vocabulary + 1), model.texts
-    values = level_values(p.base, 256)
+def _rare_words(rows: DataFrame, model: Model, shared) -> DataFrame:
+    """Per (doc_id, text_hash): known tokens and exact score of the words outside the frequent
+    ones. Each text also sends one row without a hash, which counts repeated rows."""
+    total = model.total()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_n, _ = shared.value
+        for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
+            row = np.repeat(np.arange(len(ids)), np.diff(np.append(starts, len(tokens))))
+            rare = _look_up(tokens, known, known_n) == 0
+            h, row = tokens[rare], row[rare]
+            order = np.lexsort((h, row))
+            h, row = h[order], row[order]
+            first = np.flatnonzero(np.r_[len(h) > 0, (row[1:] != row[:-1]) | (h[1:] != h[:-1])][:len(h)])
+            tf = np.diff(np.append(first, len(h)))
+            doc = np.array([x[1] for x in ids], dtype=np.int64)
+            pick = np.r_[row[first], np.arange(len(ids))].astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in ids], pa.int64()).take(pa.array(pick)), pa.array(doc[pick]),
+                 pa.concat_arrays([_signed(h[first]), pa.nulls(len(ids), pa.int64())]),
+                 pa.array(np.r_[tf, np.ones(len(ids), dtype=np.int64)].astype(np.int64))],
+                ["doc_id", "text_hash", "h", "tf"])
+
+    asked = rows.mapInArrow(run, "doc_id long, text_hash long, h long, tf long")
+    words = model.words().select(F.col("h").alias("w_h"), "n")
+    n = F.coalesce("n", F.lit(0))
+    word = F.col("h").isNotNull()
+    repeats = F.sum(F.when(~word, F.col("tf")))
+    return (asked.join(words, F.col("h") == F.col("w_h"), "left")
+            .groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
+            .agg((F.coalesce(F.sum(F.when(n > 0, F.col("tf"))), F.lit(0)) / repeats).cast("long").alias("rare_known"),
+                 (F.coalesce(F.sum(F.when(word, F.col("tf") * F.log10((n + 1) / total))), F.lit(0.0)) / repeats).alias("rare_exact")))
+
+
+def _shuffled_scores(rows: DataFrame, model: Model) -> DataFrame:
+    """(s_id, s_hash, score) without a broadcast of the filter: n-grams go to its segments."""
+    p, segments = model.params, model.segments
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
             pair, before = _pairs(tokens, starts)
+            before[starts] = END        # as many ends as texts
             row = np.repeat(np.arange(len(ids)), np.diff(np.append(starts, len(tokens))))
-            order = np.lexsort((pair, row))
-            first = np.flatnonzero(np.r_[True, (np.diff(row[order]) != 0) | (pair[order][1:] != pair[order][:-1])])
-            pick = order[first]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i][0] for i in row[pick]], pa.int64()), pa.array([ids[i][1] for i in row[pick]], pa.int64()),
-                 pa.array(segment_of(pair[pick], n_segments).astype(np.int64)), _signed(pair[pick]), _signed(before[pick]),
-                 _signed(tokens[pick]), pa.array(np.diff(np.append(first, len(order))), pa.int64())],
-                ["doc_id", "text_hash", "seg", "pair", "before", "word", "tf"])
+                [pa.array([ids[i][0] for i in row], pa.int64()), pa.array([ids[i][1] for i in row], pa.int64()),
+                 _signed(pair), _signed(before), _signed(tokens)], ["doc_id", "text_hash", "pair", "before", "word"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(segment_of(h, segments)), batch.column(0)], ["seg", "h"])
 
     def probe(asked: pd.DataFrame, segment: pd.DataFrame) -> pd.DataFrame:
-        h = asked["pair"].to_numpy().view(np.uint64)
-        q = np.zeros(len(h), dtype=np.int64)
-        if len(segment) and len(h):
-            bits = np.frombuffer(segment["bits"].iloc[0], dtype=np.uint8)
-            q = Filter(bits, n_segments, p, int(segment["seg"].iloc[0])).levels(h)
-        return pd.DataFrame({"pair": asked["pair"], "pair_n": values[np.minimum(q, len(values) - 1)]})
-
-    grams = written(rows.dropDuplicates(["doc_id", "text_hash"]).mapInArrow(
-        run, "doc_id long, text_hash long, seg long, pair long, before long, word long, tf long"), "pairs-asked")
-    found = (grams.select("seg", "pair").distinct().groupBy("seg")
-             .cogroup(model.segments.groupBy("seg")).applyInPandas(probe, "pair long, pair_n double"))
-    start = int(np.array([START], dtype=np.uint64).view(np.int64)[0])
-    word, before = (model.words.select(F.col("h").alias(k), F.col("n").alias(k + "_n")) for k in ("word", "before"))
-    full = (grams.join(found, "pair").join(word, "word", "left").join(before, "before", "left")
-            .withColumn("word_n", F.coalesce("word_n", F.lit(0)))
-            .withColumn("before_n", F.when(F.col("before") == start, F.lit(texts)).otherwise(F.coalesce("before_n", F.lit(0)))))
-    plain = (F.col("word_n") + 1) / F.lit(total)
+        n = np.zeros(len(asked))
+        if len(segment) and len(asked):
+            data = np.frombuffer(segment["bits"].iloc[0], dtype=np.uint8)
+            n = Filter(data, np.array([0, len(data)]), segments, p, int(segment["seg"].iloc[0])).counts(
+                asked["h"].to_numpy().view(np.uint64))
+        return pd.DataFrame({"h": asked["h"], "n": n})
+
+    keys = ["doc_id", "text_hash", "pair", "before", "word"]
+    grams = written(rows.dropDuplicates(["doc_id", "text_hash"])
+                    .mapInArrow(run, ", ".join(f"{k} long" for k in keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("tf")), "asked")
+    every = grams.select(F.explode(F.array("pair", "before", "word")).alias("h")).distinct()
+    found = written(every.mapInArrow(named, "seg int, h long").groupBy("seg")
+                    .cogroup(model.table.select("seg", "bits").groupBy("seg")).applyInPandas(probe, "h long, n double"), "answers")
+    for k in ("pair", "before", "word"):
+        grams = grams.join(found.select(F.col("h").alias(k), F.col("n").alias(k + "_n")), k)
+    plain = (F.col("word_n") + 1) / model.total()
     mixed = F.when(F.col("before_n") > 0, (1 - p.pair_weight) * plain
-                   + p.pair_weight * F.least("pair_n", "before_n") / F.greatest("before_n", F.lit(1))).otherwise(plain)
-    sums = full.groupBy(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash")).agg(
-        F.sum("tf").alias("n_tokens"), F.sum(F.when(F.col("word_n") > 0, F.col("tf")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("tf") * F.log10(plain)).alias("base_score"), F.sum(F.col("tf") * F.log10(mixed)).alias("score"))
-    return (rows.select("doc_id", "text_hash")
-            .join(sums, F.col("doc_id").eqNullSafe(F.col("s_id")) & F.col("text_hash").eqNullSafe(F.col("s_hash")))
-            .select("doc_id", "text_hash", "n_tokens", "n_known", "base_score", "score"))
+                   + p.pair_weight * F.least("pair_n", "before_n") / F.greatest("before_n", F.lit(1.0))).otherwise(plain)
+    return grams.groupBy(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash")).agg(
+        F.sum(F.col("tf") * F.log10(mixed)).alias("score"))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``text_hash`` and n_tokens, n_known, base_score (log10, add-one words), score
-    (log10, the model) of every row of ``docs`` (``doc_id``, ``text``; other columns are ignored).
+    """``doc_id``, ``text_hash``, n_tokens, n_known (tokens that training has seen), base_score
+    (log10, exact add-one words) and score (log10, the model) of every row of ``docs``
+    (``doc_id``, ``text``; other columns are ignored).
 
     Null and empty text: the end alone. Null ``doc_id`` and repeated rows: scored like any other
-    row. Words that training has not seen have count 0. Empty table: no rows. A model trained
-    on nothing gives every token the same probability.
+    row. Empty table: no rows. A model trained on nothing gives every token the same probability.
     """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    way = _score_broadcast if model.bytes() <= model.params.broadcast_bytes else _score_shuffled
-    return way(rows, model)
+    fits = model.bytes <= model.params.broadcast_bytes
+    shared = spark.sparkContext.broadcast((*_frequent(model), _share_filter(model) if fits else None))
+    out = _texts_scored(rows, model, shared, fits)
+
+    def same(a: str, b: str) -> Column:
+        return F.col("doc_id").eqNullSafe(F.col(a)) & (F.col("text_hash") == F.col(b))
+
+    if not fits:
+        out = out.drop("score").join(_shuffled_scores(rows, model), same("s_id", "s_hash")).drop("s_id", "s_hash")
+    out = out.join(_rare_words(rows, model, shared), same("r_id", "r_hash"))
+    return out.select("doc_id", "text_hash", "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"),
+                      (F.col("exact") + F.col("rare_exact")).alias("base_score"), "score")
 
 
 def fold(doc_id: Column, folds: int) -> Column:
