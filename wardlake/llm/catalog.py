@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bloomlm, fm, latent, linededup, packing, pii, risk, simhash, warc
+from . import bloomlm, fm, latent, linededup, packing, pii, risk, simhash, toolcalls, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,9 @@ def op1(spark, sf_dir):
     # a real run passes its own secret; a fixed one keeps this query repeatable
     out = pii.replace(table(spark, sf_dir, "documents"), key="surrogate-key")
     return out.select("doc_id", F.col("clean_text").alias("text"), "n_entities", "row.lang", "row.source")
+
+
+@query("op3_tool_calls")
+def op3(spark, sf_dir):
+    calls, results = toolcalls.from_conversations(table(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.TOOLS)
