@@ -134,11 +134,10 @@ def level_values(base: float, levels: int = 256) -> np.ndarray:
         return np.concatenate([[0.0], (low + np.maximum(low, high)) / 2])
 
 
-def _positions(h: np.ndarray, level: int, bits: np.ndarray | np.uint64, probes: int) -> Iterator[np.ndarray]:
-    """Bit positions of each hash at ``level`` in a segment of ``bits`` bits, one array per probe."""
+def _start_and_step(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Probe i of a hash at ``level`` is bit (start + i * step) modulo the segment's bits."""
     x = _mix(h + np.uint64(level * 0xD1342543DE82EF95 % (1 << 64)))
-    step = _mix(x) | np.uint64(1)
-    return ((x + np.uint64(i) * step) % bits for i in range(probes))
+    return x, _mix(x) | np.uint64(1)
 
 
 class Filter:
@@ -152,13 +151,17 @@ class Filter:
     def _has(self, h: np.ndarray, at: np.ndarray, bits: np.ndarray, level: int) -> np.ndarray:
         """Indices of those stored at ``level``."""
         alive = np.arange(len(h))
-        for pos in _positions(h, level, bits, self.p.probes):
-            bit = at[alive] + pos[alive]
+        x, step = _start_and_step(h, level)
+        for _ in range(self.p.probes):
+            bit = at[alive] + x[alive] % bits[alive]
             alive = alive[(self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+            x += step
         return alive
 
     def counts(self, h: np.ndarray) -> np.ndarray:
-        """Estimated count of each hash."""
+        """Estimated count of each hash. Common words and pairs have the most levels, so each
+        distinct hash is probed once."""
+        h, back = np.unique(h, return_inverse=True)
         seg = segment_of(h, self.segments) - self.first
         at = (self.starts[seg] * 8).astype(np.uint64)
         bits = ((self.starts[seg + 1] - self.starts[seg]) * 8).astype(np.uint64)
@@ -167,7 +170,7 @@ class Filter:
             alive = alive[self._has(h[alive], at[alive], bits[alive], level)]
             q[alive] = level
             level += 1
-        return self.values[np.minimum(q, len(self.values) - 1)]
+        return self.values[np.minimum(q, len(self.values) - 1)][back]
 
 
 def segment_tables(counted: DataFrame, p: Params) -> DataFrame:
@@ -178,8 +181,10 @@ def segment_tables(counted: DataFrame, p: Params) -> DataFrame:
         size = max(64, math.ceil(q.sum() * p.bits_each / 64) * 64)
         flags = np.zeros(size, dtype=bool)
         for level in range(1, int(q.max()) + 1):
-            for pos in _positions(h[q >= level], level, np.uint64(size), p.probes):
-                flags[pos] = True
+            x, step = _start_and_step(h[q >= level], level)
+            for _ in range(p.probes):
+                flags[x % np.uint64(size)] = True
+                x += step
         word = part["kind"].to_numpy() == 0
         return pd.DataFrame({"seg": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()],
                              "words_h": [part["h"].to_numpy()[word]], "words_n": [n[word]]})
