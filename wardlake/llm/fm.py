@@ -13,6 +13,7 @@ Every text is scored whole, where it lies, without a shuffle.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 from collections import Counter
@@ -171,16 +172,22 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Machine:
         for batch in batches:
             got = [inputs(t.as_py(), buckets) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1).cast(pa.int32()), pa.array([i.tolist() for i, _, _ in got], pa.list_(pa.int64())),
-                 pa.array([v.tolist() for _, v, _ in got], pa.list_(pa.float64())),
-                 pa.array([s.tolist() for _, _, s in got], pa.list_(pa.float64()))], ["doc_id", "label", "i", "v", "s"])
-
-    made = rows.mapInArrow(run, "doc_id long, label int, i array<long>, v array<double>, s array<double>")
-    # repeated rows of one id share a sample place; a fixed order makes the fit repeatable
-    got = made.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
-    parts = [(np.asarray(i, dtype=np.int64), np.asarray(v, dtype=float), np.asarray(s, dtype=float))
-             for i, v, s in zip(got["i"], got["v"], got["s"])]
-    return fit(parts, got["label"].to_numpy(dtype=float), p)
+                [batch.column(0), batch.column(1).cast(pa.int32()), *(pa.array([x[k].astype(kind).tobytes() for x in got], pa.binary())
+                                                                      for k, kind in enumerate(("<i4", "<f4", "<f8")))],
+                ["doc_id", "label", "i", "v", "s"])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = {r["doc_id"]: r for batch in batches for r in batch.to_pylist()}      # repeated rows share a place
+        rows = [got[k] for k in sorted(got)]        # a fixed order makes the fit repeatable
+        parts = [(np.frombuffer(r["i"], "<i4").astype(np.int64), np.frombuffer(r["v"], "<f4").astype(float), np.frombuffer(r["s"], "<f8"))
+                 for r in rows]
+        m = fit(parts, np.array([r["label"] for r in rows], dtype=float), p)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(m)], pa.binary())], ["machine"])
+
+    # the sample, at most max_rows rows, goes to one task; only the machine comes back
+    made = rows.mapInArrow(run, "doc_id long, label int, i binary, v binary, s binary")
+    done = made.repartition(1).mapInArrow(fitted, "machine binary").collect()
+    return pickle.loads(done[0]["machine"]) if done else fit([], np.zeros(0), p)
 
 
 def score(docs: DataFrame, machine: Machine, keep: list[str] | None = None) -> DataFrame:
