@@ -186,10 +186,12 @@ def _fit(docs: DataFrame, block: Block, p: Params) -> None:
         for at, v in got:
             (back if at >= 0 else gram)[at] = v
         root = np.linalg.cholesky(gram + np.eye(columns) * (1e-10 * np.trace(gram) + 1e-30))
-        m = np.linalg.solve(root, back.T).T       # A' Q
+        m = back @ np.linalg.inv(root).T      # A' Q; the factor is small
         shared.unpersist()
-    u, s, vt = np.linalg.svd(m, full_matrices=False)
-    place(block, u[:, :p.rank])
+    # left singular vectors of m, by the small matrix m' m
+    size, turn = np.linalg.eigh(m.T @ m)
+    best = np.flatnonzero(size > 1e-12 * size[-1])[::-1][:p.rank]
+    place(block, m @ turn[:, best] / np.sqrt(size[best]))
 
 
 def place(block: Block, basis: np.ndarray) -> None:
