@@ -114,4 +114,4 @@ def test_replicated_layout_is_size_checked(spark):
     hinted = big.join(table_layout(small, replicate=True), "k")
     assert "BroadcastHashJoin" in _plan(hinted)
     # above the bound the side is returned unhinted (bound lowered for the test)
-    assert J.broadcast_if_small(big, max_rows=10) is big
+    assert J.broadcast_if_small(big, max_bytes=10) is big

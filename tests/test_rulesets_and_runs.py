@@ -62,8 +62,8 @@ def test_single_day_batch_run(spark, scratch):
            runs.run_batch_daily(spark, {"raw": raw, "cleansed": clean, "curated": cur}, "2025-01-02",
                                 sources, runs.DEFAULT_GOLD).collect()}
     # only gold tables of sources in this run are rebuilt
-    assert sorted(os.listdir(cur)) == ["dim_payer", "fact_claim", "fact_patient_visit"]
-    assert log == {"visits": (2, 1), "billing_claims": (0, 0)}    # missing day -> empty, not an error
+    assert sorted(os.listdir(cur)) == ["fact_patient_visit"]
+    assert log == {"visits": (2, 1), "billing_claims": (None, None)}    # missing day -> skipped, nothing written
     fact = {r.visit_id: (r.still_admitted, r.length_of_stay_hours)
             for r in spark.read.parquet(f"{cur}/fact_patient_visit").collect()}
     assert fact == {"V1": (False, 24.0), "V2": (True, None)}
@@ -112,5 +112,7 @@ def test_backfill_writes_rule_outcomes_per_day(spark, scratch):
     assert by_day[("2025-01-01", "occupied_beds <= total_beds")] == "Failed"
     assert by_day[("2025-01-02", "occupied_beds <= total_beds")] == "Passed"
     sql_rule = 'CustomSql "select count(*) from primary where occupied_beds > total_beds" = 0'
-    assert by_day[("all-days", sql_rule)] == "Failed"
+    assert dict(dq.dtypes)["dt"] == "date"
+    whole = {r.rule: r.outcome for r in spark.read.parquet(f"{clean}/_dq_results_whole/source=beds").collect()}
+    assert whole[sql_rule] == "Failed"
     assert spark.read.parquet(f"{clean}/beds").count() == 2

@@ -60,13 +60,14 @@ def breach_reasons(limits: Mapping[str, tuple] = DEFAULT_VITAL_LIMITS) -> Column
 
 
 def decode_event(payload, schema: StructType, corrupt_column: str | None = None) -> Column:
-    """base64 text -> JSON -> struct with ``schema``. Malformed JSON gives NULL
-    fields (PERMISSIVE) instead of failing the whole micro-batch."""
+    """base64 text -> JSON -> struct with ``schema``. Malformed base64 gives a
+    NULL struct and malformed JSON NULL fields (PERMISSIVE) instead of failing
+    the whole micro-batch."""
     c = F.col(payload) if isinstance(payload, str) else payload
     opts = {"mode": "PERMISSIVE"}
     if corrupt_column:
         opts["columnNameOfCorruptRecord"] = corrupt_column
-    return F.from_json(F.unbase64(c).cast("string"), schema, opts)
+    return F.from_json(F.try_to_binary(c, F.lit("base64")).cast("string"), schema, opts)
 
 
 def alert_expiry(ttl_seconds: int = ALERT_TTL_SECONDS, now: Column | None = None) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.timefn import as_timestamp, hours_between
@@ -72,12 +72,17 @@ def dim_department_from(df: DataFrame, key: str = "department", prefix: str = "D
     """Departments found in a fact, id synthesised in name order.
 
     The distinct set is aggregated first (partial aggregation), so only the
-    handful of department names reaches the single ordered numbering step."""
+    handful of department names reaches the single ordered numbering step
+    (one task over the distinct names, so the key must have few values)."""
     names = df.select(F.col(key).alias("department_name")).where(F.col("department_name").isNotNull()).distinct()
     w = Window.orderBy("department_name")
     return names.select(
-        F.concat(F.lit(prefix), F.lpad(F.row_number().over(w).cast("string"), 2, "0")).alias("department_id"),
-        "department_name")
+        F.concat(F.lit(prefix), _padded(F.row_number().over(w).cast("string"))).alias("department_id"), "department_name")
+
+
+def _padded(number: Column) -> Column:
+    """At least two digits; longer numbers stay whole."""
+    return F.when(F.length(number) < 2, F.lpad(number, 2, "0")).otherwise(number)
 
 
 def dim_facility(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

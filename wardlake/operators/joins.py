@@ -1,45 +1,36 @@
 """Joins used by the datasets: dimension lookup, pre-aggregated left join and
-access semi-join. Dimension sides are broadcast only behind a row-count
+access semi-join. Dimension sides are broadcast only behind a size
 check; above the bound Spark's own size estimate and AQE pick the join."""
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A facility/department/payer dimension has tens of rows; an access map has
-# users x facilities rows. Both are far below this bound, and anything above
-# it is joined without a hint.
-BROADCAST_MAX_ROWS = 1_000_000
+# A facility/department/payer dimension or an access map is a few KB; anything
+# whose estimated size is above this bound is joined without a hint.
+BROADCAST_MAX_BYTES = 64 << 20
+# A side without an estimate (made from driver rows) is small if it has no more rows than this.
+UNSIZED_MAX_ROWS = 10_000
 
-# Per-session memo of counted sides, keyed by the plan's semantic hash. Only
-# sides at most a tenth of the bound are remembered, so a remembered side
-# would have to grow more than tenfold within one session before the
-# broadcast decision could be wrong.
-_SMALL_SIDES: "weakref.WeakKeyDictionary[SparkSession, dict[int, int]]" = weakref.WeakKeyDictionary()
 
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``broadcast(df)`` when the optimizer's size estimate is at most ``max_bytes``.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` when it provably holds at most ``max_rows`` rows.
-
-    The check is a plain ``count()``: partial counts per task, one row per
-    task shuffled, and no column data read from a Parquet dimension. (A
-    ``limit(n).count()`` would instead gather up to n rows from *every*
-    partition into one task when the side is unexpectedly large.) Above the
-    bound the side is returned unhinted: Spark then plans a shuffle join, or
-    AQE converts it at runtime from real shuffle sizes.
+    The estimate comes from the plan's statistics (file sizes below filters),
+    an upper bound for the lookups, projections and filters used here; no job
+    runs. A side made from driver rows has no estimate: up to
+    ``UNSIZED_MAX_ROWS`` + 1 empty rows of it are fetched to tell. Above the bound the side is returned unhinted: Spark then plans a
+    shuffle join, or AQE converts it at runtime from real shuffle sizes.
     """
-    memo = _SMALL_SIDES.setdefault(df.sparkSession, {})
-    key = df.semanticHash()
-    n = memo.get(key)
-    if n is None:
-        n = df.count()
-        if n <= max_rows // 10:
-            memo[key] = n
-    return F.broadcast(df) if n <= max_rows else df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:
+        small = len(df.select(F.lit(1)).take(UNSIZED_MAX_ROWS + 1)) <= UNSIZED_MAX_ROWS
+    else:
+        small = size <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def join_facility_name(df: DataFrame, dim: DataFrame, key: str = "facility_id",

@@ -66,7 +66,7 @@ def rule_in_set(col: str, values: Sequence, null_policy: str = "pass") -> RowRul
 
 
 def rule_matches(col: str, pattern: str, anchored: bool = True, null_policy: str = "pass") -> RowRule:
-    rx = f"^(?:{pattern})$" if anchored else pattern
+    rx = f"\\A(?:{pattern})\\z" if anchored else pattern
     return RowRule(f'ColumnValues "{col}" matches "{pattern}"',
                    lambda df: _null_policy(F.col(col), F.col(col).cast("string").rlike(rx), null_policy))
 
@@ -109,16 +109,19 @@ def rule_uniqueness(col: str, op: str = ">", threshold: float = 0.99) -> Dataset
     return DatasetRule(f'Uniqueness "{col}" {op} {threshold}', uniqueness_metric(col), op, threshold, col)
 
 
-_PRIMARY = re.compile(r"\bprimary\b", re.IGNORECASE)
+_WITH = re.compile(r"\s*with\s+", re.IGNORECASE)
 
 
 def rule_custom_sql(sql: str, op: str = "=", threshold: float = 0) -> DatasetRule:
-    """``select <scalar> from primary ...`` evaluated with the dataset bound as
-    ``primary`` (DataFrame argument of ``spark.sql``, no global temp view)."""
-    bound = _PRIMARY.sub("{primary}", sql)
+    """``select <scalar> from primary ...`` with the dataset bound as the CTE
+    ``primary`` (a DataFrame argument of ``spark.sql``, no global temp view);
+    the rule's own text, literals and braces included, is left as it is."""
+    text = sql.replace("{", "{{").replace("}", "}}")
+    own = _WITH.match(text)
+    bound = "WITH primary AS (SELECT * FROM {dataset})" + (f", {text[own.end():]}" if own else f" {text}")
 
     def metric(df: DataFrame) -> DataFrame:
-        res = df.sparkSession.sql(bound, primary=df)
+        res = df.sparkSession.sql(bound, dataset=df)
         return res.select(F.col(res.columns[0]).cast("double").alias("metric"))
     return DatasetRule(f'CustomSql "{sql}" {op} {threshold}', metric, op, threshold)
 

@@ -31,7 +31,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, NumericType, StringType, StructField, StructType
+from pyspark.sql.types import NumericType, StringType
 
 
 def _time_chunk(order_col: str, grain: str) -> Column:
@@ -72,8 +72,7 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
     ``None`` uses the single plain window; "range" splits by sampled ranges
     of the whole ordering key (see :func:`_lag_by_range`), which bounds every
     task even when one entity-day or one timestamp holds a third of all rows;
-    ``range_partitions`` sets its partition count (size it as input bytes /
-    ~256 MB on a cluster; every task then holds about that much).
+    ``range_partitions`` sets its partition count (default: input bytes / 256 MB).
     """
     order = list(order)
     if isinstance(chunk, str) and chunk == "range":
@@ -83,21 +82,20 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
         return df.withColumn(out, F.lag(value).over(w))
 
     chunk_col = _time_chunk(order[0], chunk) if isinstance(chunk, str) else chunk
-    ck, rn, last = "__chunk", "__rn", "__last"
+    ck, rn = "__chunk", "__rn"
     ek, en = _non_null_key(df, entity)
     base = df.withColumns({"__ek": ek, "__en": en, ck: chunk_col})
     keys = ["__ek", "__en", ck]
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    # lag, row_number and lead share one window spec: one shuffle, one sort.
-    local = base.withColumns({out: F.lag(value).over(w), rn: F.row_number().over(w),
-                              last: F.lead(F.lit(True)).over(w).isNull()})
-
-    # The last row of every (entity, chunk), flagged in the same window pass.
-    # (Column pruning gives this narrow branch its own exchange, so it
-    # re-reads only the key, order and value columns.) An entity has at most
-    # one tail per chunk, so the tail window per entity stays small even for
-    # a hot entity.
-    tails = local.filter(F.col(last)).select(*keys, F.col(value).alias("__v"))
+    # lag and row_number share one window spec: one shuffle, one sort.
+    local = base.withColumns({out: F.lag(value).over(w), rn: F.row_number().over(w)})
+
+    # The last row of every (entity, chunk), by an aggregate that is combined
+    # before its shuffle and needs no sort of the rows (a struct orders NULL
+    # first, as the window does). An entity has at most one tail per chunk, so
+    # the tail window per entity stays small even for a hot entity.
+    tails = base.groupBy(*keys).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__t")).select(
+        *keys, F.col("__t.v").alias("__v"))
     tw = Window.partitionBy("__ek", "__en").orderBy(F.col(ck).asc())
     prev = tails.select(*keys, F.lag("__v").over(tw).alias("__prev_v"),
                         F.lag(F.lit(True)).over(tw).isNotNull().alias("__has_prev"))
@@ -107,7 +105,7 @@ def lag_by_entity(df: DataFrame, entity: str, order: Sequence[str], value: str,
     # tails shuffle.
     stitched = local.join(prev, on=keys, how="left")
     fixed = F.when(F.col(rn) == 1, F.when(F.col("__has_prev"), F.col("__prev_v"))).otherwise(F.col(out))
-    return stitched.withColumn(out, fixed).drop(*keys, rn, last, "__prev_v", "__has_prev")
+    return stitched.withColumn(out, fixed).drop(*keys, rn, "__prev_v", "__has_prev")
 
 
 def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "admission_time",
@@ -129,91 +127,31 @@ def readmission_flag(df: DataFrame, entity: str = "patient_id", start: str = "ad
 
 # ------------------------------------------------------ range-split strategy
 
-RANGE_PARTITIONS = 200
+RANGE_BYTES = 256 << 20
 
 
 def _lag_by_range(df: DataFrame, entity: str, order: list[str], value: str, out: str,
                   partitions: int | None = None) -> DataFrame:
-    """LAG over range partitions of (entity, *order).
-
-    1. ``repartitionByRange`` samples the composite key, so partitions hold
-       about equal row counts whatever the key distribution (a hot entity,
-       entity-day or timestamp is cut between partitions); an explicit
-       partition count keeps AQE from merging them.
-    2. One Arrow-batched pass per partition (rows arrive sorted) computes the
-       previous value inside the partition and flags the partition's first
-       and last rows; a row id (partition, position) is attached.
-    3. The result is checkpointed to the shared checkpoint folder, so the
-       partition contents are fixed for the two uses below.
-    4. Boundary rows (at most two per partition) are ordered in one small
-       window: the first row of a partition takes the last row of the
-       previous non-empty partition when the entity is the same. The fixes,
-       at most one per partition, are broadcast-joined back on the row id.
+    """LAG over sampled ranges of (entity, *order).
+
+    ``repartitionByRange`` samples the composite key, so ranges hold about
+    equal row counts whatever the key distribution (a hot entity or
+    entity-day is cut between ranges; only rows equal in the whole key stay
+    together). The rows are written to the shared folder with their range
+    number, which fixes the ranges, and are then stitched like any other
+    chunk: the range number is monotone in the ordering of an entity. Without
+    ``partitions`` their count follows the estimated input bytes, about
+    ``RANGE_BYTES`` each.
     """
-    from ..session import checkpoint_root
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:          # the cluster's shared folder, else a test-local one
-        sc.setCheckpointDir(checkpoint_root(df.sparkSession))
-    n = partitions or max(RANGE_PARTITIONS, sc.defaultParallelism)
-    keys = [entity] + order
-    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-              .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys]))
-    vtype = df.schema[value].dataType
-    schema = StructType(df.schema.fields + [StructField(out, vtype), StructField("__head", BooleanType()),
-                                            StructField("__tail", BooleanType()), StructField("__rid", LongType())])
-    scanned = ranged.mapInPandas(_partition_scan(entity, value, out), schema).checkpoint(eager=True)
-
-    marks = scanned.filter(F.col("__head") | F.col("__tail")).select(
-        "__rid", entity, *order, F.col(value).alias("__v"), "__head", "__tail")
-    mw = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys], F.col("__rid"))
-    prev_ent = F.lag(F.col(entity)).over(mw)
-    prev_tail = F.lag(F.col("__tail")).over(mw)
-    fixes = (marks.select("__rid", "__head", F.col(entity).alias("__e"), prev_ent.alias("__pe"),
-                          F.lag("__v").over(mw).alias("__pv"), prev_tail.alias("__pt"))
-             .filter(F.col("__head"))
-             .select("__rid", F.when(F.coalesce(F.col("__pt"), F.lit(False)) & F.col("__e").eqNullSafe(F.col("__pe")),
-                                     F.col("__pv")).alias("__fix")))
-    joined = scanned.join(F.broadcast(fixes), on="__rid", how="left")
-    return joined.withColumn(out, F.when(F.col("__head"), F.col("__fix")).otherwise(F.col(out))) \
-        .drop("__head", "__tail", "__rid", "__fix")
-
-
-def _partition_scan(entity: str, value: str, out: str):
-    """Per-partition pass over sorted Arrow batches (vectorised with pandas)."""
-    def scan(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        seen, offset = False, 0
-        carry_e, carry_v = None, None
-        held = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            ent, val = pdf[entity], pdf[value]
-            prev_e = ent.shift(1)
-            prev_v = val.shift(1)
-            if seen:
-                prev_e.iloc[0] = carry_e
-                prev_v.iloc[0] = carry_v
-            same = (ent == prev_e) | (ent.isna() & prev_e.isna())
-            if not seen:
-                same.iloc[0] = False
-            lagged = prev_v.where(same, None)
-            pdf = pdf.assign(**{out: lagged})
-            pdf["__head"] = False
-            pdf["__tail"] = False
-            if not seen:
-                pdf.iloc[0, pdf.columns.get_loc("__head")] = True
-            pdf["__rid"] = (pid << 40) + offset + pd.RangeIndex(len(pdf))
-            offset += len(pdf)
-            carry_e, carry_v = ent.iloc[-1], val.iloc[-1]
-            seen = True
-            if held is not None:
-                yield held
-            held = pdf
-        if held is not None:
-            held.iloc[-1, held.columns.get_loc("__tail")] = True
-            yield held
-    return scan
+    from ..session import scratch_path
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 60:     # no estimate: the session's own partition count
+        size = int(spark.conf.get("spark.sql.shuffle.partitions")) * RANGE_BYTES
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
+    path = scratch_path(spark, "lag-ranges")
+    ranged = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in [entity, *order]]).withColumn(
+        "__range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    fixed = spark.read.schema(ranged.schema).parquet(path)
+    return lag_by_entity(fixed, entity, order, value, out, chunk=F.col("__range")).drop("__range")

@@ -88,8 +88,7 @@ query("dim_date", over("""
     extra_bindings=["visits"]))(lambda s, d: C.dim_date_covering(B.visits(s, d), "admission_ts"))
 
 query("dim_department", over("""
-    SELECT 'DEPT' || lpad(CAST(row_number() OVER (ORDER BY department_name) AS VARCHAR), 2, '0') AS department_id,
-           department_name
+    SELECT printf('DEPT%02d', row_number() OVER (ORDER BY department_name)) AS department_id, department_name
     FROM (SELECT DISTINCT department AS department_name FROM visits WHERE department IS NOT NULL) t""",
     extra_bindings=["visits"]))(lambda s, d: C.dim_department_from(B.visits(s, d), "department"))
 

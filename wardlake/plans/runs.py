@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -22,15 +23,25 @@ def run_batch_daily(spark: SparkSession, roots: Mapping[str, str], run_date: str
     cleansed days (full refresh), the gold tables whose source took part in
     this run.
 
+    A source whose raw day has not arrived is skipped: nothing of it is
+    written, and its log entry has NULL counts.
+
     ``roots``: {"raw", "cleansed", "curated"}; ``sources``: name -> (schema,
     rules, extra row rules); ``gold``: table -> (source, builder(df)->df).
     """
-    log = []
+    log, done = [], set()
     for name, (schema, rules, extra) in sources.items():
-        raw = read_raw_csv(spark, roots["raw"], name, schema, run_date=run_date, missing="empty")
+        try:
+            raw = read_raw_csv(spark, roots["raw"], name, schema, run_date=run_date)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            log.append({"source": name, "run_date": run_date, "promoted": None, "quarantined": None})
+            continue
+        done.add(name)
         log.append(write_cleansing_run(raw, rules, roots["cleansed"], name, run_date, extra))
     for table, (source, build) in (gold or {}).items():
-        if source not in sources:      # unchanged by this run; nothing to refresh
+        if source not in done:      # unchanged by this run; nothing to refresh
             continue
         write_curated(build(read_cleansed(spark, roots["cleansed"], source)),
                       f"{roots['curated'].rstrip('/')}/{table}")

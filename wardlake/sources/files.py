@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.errors import AnalysisException
@@ -90,22 +90,34 @@ def read_raw_json(spark: SparkSession, root: str, source: str, schema: StructTyp
 
 def _glued_all_days(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     lines = spark.read.option("basePath", path).text(path)          # dt discovered from the folders
-    objs = lines.select(F.explode(F.split(F.col("value"), GLUE_BOUNDARY)).alias("obj"), "dt")
-    objs = objs.filter(F.length(F.trim("obj")) > 0)
+    objs = lines.select(F.explode(_objects(F.col("value"))).alias("obj"), "dt")
     return objs.select(F.from_json("obj", schema, {"mode": "PERMISSIVE"}).alias("r"), "dt").select("r.*", "dt")
 
 
-# A record boundary inside a line: "}" directly followed by "{" (optionally
-# separated by blanks). Flat objects only, as the stream payloads are.
-GLUE_BOUNDARY = r"(?<=\})\s*(?=\{)"
+def _object_pattern(depth: int = 4) -> str:
+    """A JSON object up to ``depth`` levels deep; braces inside strings are text."""
+    string = r'"(?:[^"\\]++|\\.)*+"'
+    inner = "(?!)"
+    for _ in range(depth):
+        inner = r"\{(?:[^{}\"]++|" + string + "|" + inner + r")*+\}"
+    return inner
+
+
+GLUED_OBJECT = _object_pattern()
+
+
+def _objects(line: Column) -> Column:
+    """The objects of a line; what is left over, if not blank, is one more (corrupt) record."""
+    rest = F.trim(F.regexp_replace(line, GLUED_OBJECT, ""))
+    return F.concat(F.regexp_extract_all(line, F.lit(GLUED_OBJECT), F.lit(0)),
+                    F.when(F.length(rest) > 0, F.array(rest)).otherwise(F.array().cast("array<string>")))
 
 
 def split_glued_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Repair read for delivery that concatenated records without newlines:
     every object of a ``}{``-glued line becomes its own row."""
     lines = spark.read.text(path)
-    objs = lines.select(F.explode(F.split(F.col("value"), GLUE_BOUNDARY)).alias("obj"))
-    objs = objs.filter(F.length(F.trim("obj")) > 0)
+    objs = lines.select(F.explode(_objects(F.col("value"))).alias("obj"))
     return objs.select(F.from_json("obj", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
@@ -158,7 +170,7 @@ def write_quarantine(df: DataFrame, root: str, source: str, run_date: str) -> No
     _write_days(df, f"{root.rstrip('/')}/{QUARANTINE_DIR}", source, run_date)
 
 
-BACKFILL_TAG = "all-days"
+WHOLE_RESULTS_DIR = "_dq_results_whole"      # outcomes that hold for a whole backfill, without a day
 
 
 def write_dq_results(summary: DataFrame, root: str, source: str, run_date: str) -> None:
@@ -166,13 +178,20 @@ def write_dq_results(summary: DataFrame, root: str, source: str, run_date: str)
     in the path only, metrics are serialised to JSON text. With
     ``run_date="*"`` the summary carries a ``dt`` column (per-day outcomes of
     a backfill) and every day gets its folder in one partitioned write."""
-    cols = ["rule", "outcome", "failure_reason", F.to_json("evaluated_metrics").alias("evaluated_metrics")]
     base = f"{root.rstrip('/')}/{DQ_RESULTS_DIR}/source={source}"
     if run_date == ALL_DAYS:
-        (summary.select(*cols, "dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (summary.select(*_outcome(), "dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("dt").parquet(base))
     else:
-        summary.select(*cols).write.mode("overwrite").parquet(f"{base}/dt={run_date}")
+        _write_outcomes(summary, f"{base}/dt={run_date}")
+
+
+def _outcome() -> list:
+    return ["rule", "outcome", "failure_reason", F.to_json("evaluated_metrics").alias("evaluated_metrics")]
+
+
+def _write_outcomes(summary: DataFrame, path: str) -> None:
+    summary.select(*_outcome()).write.mode("overwrite").parquet(path)
 
 
 def write_curated(df: DataFrame, root_or_table: str, schema: StructType | None = None) -> None:
@@ -229,12 +248,12 @@ def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date:
             ev.unpersist()
     if run_date == ALL_DAYS:
         # per-day outcomes for every rule that has a per-key form; custom-SQL
-        # rules are scalar over the whole input and go under dt=all-days
+        # rules are scalar over the whole input and have a folder of their own
         keyed = [r for r in rules if not (isinstance(r, DatasetRule) and not r.unique_column)]
         whole = [r for r in rules if r not in keyed]
         write_dq_results(evaluate_rules_summary(df, keyed, extra, keys=["dt"]), root, source, ALL_DAYS)
         if whole:
-            write_dq_results(evaluate_rules_summary(df.drop("dt"), whole), root, source, BACKFILL_TAG)
+            _write_outcomes(evaluate_rules_summary(df.drop("dt"), whole), f"{root.rstrip('/')}/{WHOLE_RESULTS_DIR}/source={source}")
     else:
         write_dq_results(evaluate_rules_summary(df, rules, extra), root, source, run_date)
     m = obs.get

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,13 +53,21 @@ def warehouse_schema(table: str) -> StructType:
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns in declared order with declared types
-    (try_cast: a value that does not fit becomes NULL instead of failing);
-    a missing column raises."""
+    """Select the declared columns in declared order with declared types. A
+    missing column raises at once; a non-NULL value that does not fit its type
+    fails the load, naming the column, and never becomes NULL silently."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing for the declared schema: {missing}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+    def fitted(f) -> Column:
+        cast = F.col(f.name).try_cast(f.dataType)
+        fault = F.raise_error(F.concat(F.lit(f"{f.name} does not fit {f.dataType.simpleString()}: "), F.col(f.name).cast("string")))
+        lost = F.col(f.name).isNotNull() & cast.isNull()
+        return F.when(lost, fault.cast(f.dataType)).otherwise(cast).alias(f.name)
+
+    return df.select(*[fitted(f) for f in schema.fields])
 
 
 def table_layout(df: DataFrame, dist_key: str | None = None, sort_keys: Sequence[str] = (),

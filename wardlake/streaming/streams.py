@@ -9,12 +9,13 @@ after executor or driver loss).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from ..functions.vitals import ALERT_TTL_SECONDS, DEFAULT_VITAL_LIMITS, alert_expiry, breach_reasons
 
@@ -66,7 +67,8 @@ def active_alerts(alerts: DataFrame, now: Column | str | None = None) -> DataFra
     elif isinstance(now, str):
         clock = F.unix_timestamp(F.to_timestamp(F.lit(now)))
     else:
-        clock = now
+        is_time = isinstance(alerts.select(now.alias("n")).schema["n"].dataType, (DateType, TimestampType, TimestampNTZType))
+        clock = F.unix_timestamp(now.cast("timestamp")) if is_time else now
     return alerts.filter(F.col("expires_at") > clock)
 
 
@@ -83,33 +85,11 @@ def compact_alerts(spark: SparkSession, alerts_path: str, out_root: str, now: Co
     return target
 
 
-def dedupe_stream(df: DataFrame, id_cols: Sequence[str], event_time: str, delay: str,
-                  pre_dedupe: bool = True) -> DataFrame:
+def dedupe_stream(df: DataFrame, id_cols: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """Drop redelivered events: state keeps ids for ``delay`` past the
-    watermark, so ``delay`` must cover the expected redelivery lateness.
-
-    ``pre_dedupe`` first drops copies inside every input partition (stateless,
-    Arrow-batched, memory bounded by the partition's own rows). The stateful
-    operator shuffles by id, so without it a flood of copies of one event
-    would all land in one task; with it each partition sends at most one
-    copy per id (the streaming analogue of map-side combining)."""
-    ids = list(id_cols)
-    if pre_dedupe:
-        df = df.mapInPandas(_drop_copies_in_partition(ids), df.schema)
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(ids)
-
-
-def _drop_copies_in_partition(ids: list[str]):
-    def drop(batches):
-        seen: set = set()
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            key = pdf[ids[0]] if len(ids) == 1 else pdf[ids].apply(tuple, axis=1)
-            keep = ~key.duplicated() & ~key.isin(seen)
-            seen.update(key[keep].tolist())
-            yield pdf[keep.values]
-    return drop
+    watermark, so ``delay`` must cover the expected redelivery lateness. Rows
+    never leave the JVM, so ids of any size and NULL ids keep their value."""
+    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(id_cols))
 
 
 def hourly_alert_counts(df: DataFrame, time_col: str = "event_ts", key: str = "facility_id") -> DataFrame:
@@ -191,14 +171,17 @@ def stream_to_gold(readings: DataFrame, out: str, checkpoint: str, rules, limits
                    trigger: Mapping | None = None) -> StreamingQuery:
     """Incremental curation: every micro-batch is cleansed (promoted rows
     only) and reduced to the alert fact, written to a folder keyed by the
-    batch id, so a replayed batch overwrites itself (idempotent)."""
+    query (its id lives in the checkpoint) and the batch id. A replayed batch
+    overwrites itself; a new checkpoint is a new query and overwrites nothing."""
     from ..operators.curate import fact_vitals_alert
     from ..operators.rules import evaluate_rules_rows, split_valid
 
     cols = readings.columns
 
     def curate(batch: DataFrame, batch_id: int) -> None:
+        meta = batch.sparkSession.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
         good = split_valid(evaluate_rules_rows(batch, rules), cols)
-        fact_vitals_alert(good, limits).write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={batch_id}")
+        fact_vitals_alert(good, limits).write.mode("overwrite").parquet(
+            f"{out.rstrip('/')}/query={json.loads(meta)['id']}/batch={batch_id}")
     return (readings.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).foreachBatch(curate).start())
