@@ -22,7 +22,7 @@ HEADLINE = [
     "ds_claims", "denial_rate_by_payer", "trend_claim_value", "ds_pharmacy_stock", "stockout_worklist",
     "ds_vitals_alerts", "alerts_per_hour", "row_filter_viewer", "row_filter_strict", "evaluate_rules_rows",
     "evaluate_rules_summary", "cleanse_visits", "cleanse_billing_claims", "cleanse_vitals", "split_valid",
-    "rule_uniqueness", "dim_date", "stream_alerts", "breach_reasons", "quarantine_metric",
+    "rule_uniqueness", "dim_date", "stream_alerts", "breach_reasons", "quarantine_metric", "run_batch_daily",
 ]
 
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from wardlake.functions.vitals import decode_event
 from wardlake.operators import curate as C
+from wardlake.operators import metrics as M
 from wardlake.operators import rules as R
 from wardlake.operators import rulesets as RS
 from wardlake.operators.windows import lag_by_entity
@@ -128,6 +129,13 @@ def test_active_alerts_take_a_timestamp_column(spark):
         assert [r.id for r in ST.active_alerts(df, now).collect()] == ["y"]
 
 
+def test_sums_and_means_are_exact(spark):
+    claims = spark.createDataFrame([(1, 1.004), (2, 1.004), (3, 1.004)], "claim_id int, claim_amount double")
+    assert M.kpi_total_claim_value(claims).first()[0] == 3.012
+    visits = spark.createDataFrame([(1.00000001,), (1.00000003,)], "length_of_stay_hours double")
+    assert M.kpi_avg_length_of_stay(visits).first()[0] == pytest.approx(1.00000002, abs=1e-12)
+
+
 def test_more_than_99_departments_have_their_own_ids(spark):
     df = spark.createDataFrame([(f"d{i:03d}",) for i in range(120)], "department string")
     ids = [r.department_id for r in C.dim_department_from(df).collect()]

@@ -13,8 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MEAN_DIGITS = 6
-MONEY = "decimal(18,2)"
+# Money is summed in decimals, so a total does not depend on the order of its rows.
+MONEY = "decimal(38,10)"
 
 
 def _keys(keys) -> list:
@@ -41,7 +41,7 @@ def ratio_of_aggregates(df: DataFrame, flag: str, id_col: str, keys: Sequence[st
 
 
 def _mean(c) -> Column:
-    return F.round(F.avg(c), MEAN_DIGITS)
+    return F.avg(c)
 
 
 def _money_sum(c) -> Column:

@@ -32,6 +32,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Means to six digits, for the side-by-side check only (a mean of doubles
+    depends on the order of its rows in the last digits)."""
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else c for c, t in df.dtypes])
+
+
 # ------------------------------------------------------------- gold builders
 
 def fact_visit(s, d):
@@ -198,7 +204,7 @@ query("kpi_total_visits", over("SELECT count(visit_id) AS total_visits FROM ds_v
     lambda s, d: M.kpi_total_visits(ds_visits(s, d)))
 query("kpi_avg_length_of_stay", over(
     "SELECT round(avg(length_of_stay_hours), 6) AS avg_length_of_stay_hours FROM ds_visits", "ds_visits"))(
-    lambda s, d: M.kpi_avg_length_of_stay(ds_visits(s, d)))
+    lambda s, d: _rounded(M.kpi_avg_length_of_stay(ds_visits(s, d))))
 query("kpi_readmission_rate", over("""
     SELECT CAST(sum(readmission_flag) AS DOUBLE) / CAST(count(visit_id) AS DOUBLE) AS readmission_rate
     FROM ds_visits""", "ds_visits"))(lambda s, d: M.kpi_readmission_rate(ds_visits(s, d)))
@@ -209,7 +215,7 @@ query("trend_occupancy", over("""
     SELECT CAST(snapshot_date AS DATE) AS period, facility_name,
            round(avg(occupancy_rate), 6) AS avg_occupancy_rate
     FROM ds_bed_occupancy GROUP BY ALL""", "ds_bed_occupancy"))(
-    lambda s, d: M.trend_occupancy(ds_beds(s, d)))
+    lambda s, d: _rounded(M.trend_occupancy(ds_beds(s, d))))
 query("visits_by_facility_type", over("""
     SELECT facility_name, visit_type, count(visit_id) AS visit_count FROM ds_visits GROUP BY ALL""",
     "ds_visits"))(lambda s, d: M.visits_by_facility_type(ds_visits(s, d)))
@@ -222,10 +228,10 @@ query("denial_rate_by_payer", over("""
     FROM ds_claims GROUP BY payer""", "ds_claims"))(lambda s, d: M.denial_rate_by_payer(ds_claims(s, d)))
 query("staffing_ratio", over("""
     SELECT facility_name, department, round(avg(beds_per_staff), 6) AS avg_beds_per_staff
-    FROM ds_staffing GROUP BY ALL""", "ds_staffing"))(lambda s, d: M.staffing_ratio(ds_staffing(s, d)))
+    FROM ds_staffing GROUP BY ALL""", "ds_staffing"))(lambda s, d: _rounded(M.staffing_ratio(ds_staffing(s, d))))
 query("kpi_avg_occupancy", over(
     "SELECT round(avg(occupancy_rate), 6) AS avg_occupancy_rate FROM ds_bed_occupancy", "ds_bed_occupancy"))(
-    lambda s, d: M.kpi_avg_occupancy(ds_beds(s, d)))
+    lambda s, d: _rounded(M.kpi_avg_occupancy(ds_beds(s, d))))
 query("kpi_capacity_risk", over(
     "SELECT CAST(sum(at_capacity_risk) AS BIGINT) AS capacity_risk_count FROM ds_bed_occupancy",
     "ds_bed_occupancy"))(lambda s, d: M.kpi_capacity_risk(ds_beds(s, d)))
@@ -238,7 +244,7 @@ query("kpi_critical_alerts", over(
 query("occupancy_by_department", over("""
     SELECT department, facility_name, round(avg(occupancy_rate), 6) AS avg_occupancy_rate
     FROM ds_bed_occupancy GROUP BY ALL""", "ds_bed_occupancy"))(
-    lambda s, d: M.occupancy_by_department(ds_beds(s, d)))
+    lambda s, d: _rounded(M.occupancy_by_department(ds_beds(s, d))))
 query("staff_by_shift", over("""
     SELECT shift_name, department, CAST(sum(staff_count) AS BIGINT) AS staff_total
     FROM ds_staffing GROUP BY ALL""", "ds_staffing"))(lambda s, d: M.staff_by_shift(ds_staffing(s, d)))
