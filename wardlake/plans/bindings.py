@@ -119,14 +119,20 @@ def vitals(spark, d) -> DataFrame:
 
 
 def vitals_from_events(e: DataFrame) -> DataFrame:
-    """Works on batch and streaming event frames alike."""
-    null_d = F.lit(None).cast("double")
+    """Works on batch and streaming event frames alike. Blood pressure and
+    temperature follow from the event's ids: mostly normal, some beyond the
+    alert limits, a few missing or beyond the physical ranges. Temperatures
+    are halves, so both engines print them alike."""
+    e_id = F.col("event_id")
+    systolic = (F.when(e_id % 89 == 0, F.lit(310)).when(F.col("user_id") % 11 != 0, 60 + e_id * 7 % 140)).cast("double")
+    diastolic = F.when(e_id % 97 == 0, F.lit(250)).otherwise(40 + e_id * 3 % 100).cast("double")
+    temperature = F.when(e_id % 101 == 0, F.lit(50.0)).otherwise(34 + (e_id % 17) / 2)
     return e.select(
         "event_id", F.col("user_id").alias("patient_id"),
         (F.col("user_id") % N_FACILITIES).cast("int").alias("facility_id"),
         F.col("value").alias("heart_rate"),
         F.get_json_object("props", "$.k").try_cast("double").alias("spo2"),
-        null_d.alias("systolic_bp"), null_d.alias("diastolic_bp"), null_d.alias("temperature_c"),
+        systolic.alias("systolic_bp"), diastolic.alias("diastolic_bp"), temperature.alias("temperature_c"),
         F.col("ts").alias("event_ts"))
 
 
@@ -201,8 +207,11 @@ BINDING_SQL = {
     "vitals": """
         SELECT event_id, user_id AS patient_id, CAST(user_id % 25 AS INTEGER) AS facility_id,
                value AS heart_rate, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS spo2,
-               CAST(NULL AS DOUBLE) AS systolic_bp, CAST(NULL AS DOUBLE) AS diastolic_bp,
-               CAST(NULL AS DOUBLE) AS temperature_c, ts AS event_ts
+               CAST(CASE WHEN event_id % 89 = 0 THEN 310 WHEN user_id % 11 <> 0 THEN 60 + event_id * 7 % 140 END AS DOUBLE)
+                   AS systolic_bp,
+               CAST(CASE WHEN event_id % 97 = 0 THEN 250 ELSE 40 + event_id * 3 % 100 END AS DOUBLE) AS diastolic_bp,
+               CAST(CASE WHEN event_id % 101 = 0 THEN 50 ELSE 34 + (event_id % 17) / 2 END AS DOUBLE) AS temperature_c,
+               ts AS event_ts
         FROM events""",
     "prescriptions": """
         SELECT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS event_id,

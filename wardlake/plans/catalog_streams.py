@@ -255,20 +255,28 @@ def _dedupe(s, d):
 query("dedupe_stream", "SELECT event_id, user_id, event_type, value FROM events")(_dedupe)
 
 
+_READINGS = ["heart_rate", "spo2", "systolic_bp", "diastolic_bp", "temperature_c"]
+_BREACHES = {"heart_rate_breach": "(heart_rate < 1 OR heart_rate > 150)", "spo2_breach": "spo2 < 5",
+             "systolic_bp_breach": "(systolic_bp < 70 OR systolic_bp > 180)",
+             "temperature_breach": "(temperature_c < 35.0 OR temperature_c > 40.0)"}
+_GOLD_ALERTS = with_ctes(f"""
+    SELECT event_id, patient_id, facility_id, {", ".join(_READINGS)}, event_ts,
+           {", ".join(f"{sql} AS {name}" for name, sql in _BREACHES.items())}
+    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ({" OR ".join(_BREACHES.values())})""", ["vitals"])
+
+
+def _gold_alerts(g):
+    return g.select("event_id", "patient_id", "facility_id", *_READINGS,
+                    F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), *_BREACHES)
+
+
 def _stream_to_gold(s, d):
     out, ck = scratch_path(s, "gold"), scratch_path(s, "ckpt")
     _run(ST.stream_to_gold(B.vitals_from_events(_event_stream(s, d)), out, ck, vitals_rules(), B.VITAL_LIMITS))
-    g = s.read.parquet(out).drop("batch")
-    return g.select("event_id", "patient_id", "facility_id", "heart_rate", "spo2",
-                    F.col("event_ts").cast("timestamp_ntz").alias("event_ts"),
-                    "heart_rate_breach", "spo2_breach")
+    return _gold_alerts(s.read.parquet(out))
 
 
-query("stream_to_gold", with_ctes(f"""
-    SELECT event_id, patient_id, facility_id, heart_rate, spo2, event_ts,
-           (heart_rate < 1 OR heart_rate > 150) AS heart_rate_breach, spo2 < 5 AS spo2_breach
-    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ((heart_rate < 1 OR heart_rate > 150) OR spo2 < 5)""",
-    ["vitals"]))(_stream_to_gold)
+query("stream_to_gold", _GOLD_ALERTS)(_stream_to_gold)
 
 
 def _stream_per_hour(s, d):
@@ -487,13 +495,7 @@ def _run_streaming(s, d):
     cur, ck = scratch_path(s, "curated"), scratch_path(s, "ckpt")
     runs.run_streaming_curation(s, B.vitals_from_events(_event_stream(s, d)), {"curated": cur}, vitals_rules(),
                                 B.VITAL_LIMITS, ck)
-    g = s.read.parquet(f"{cur}/fact_vitals_alert")
-    return g.select("event_id", "patient_id", "facility_id", "heart_rate", "spo2",
-                    F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), "heart_rate_breach", "spo2_breach")
+    return _gold_alerts(s.read.parquet(f"{cur}/fact_vitals_alert"))
 
 
-query("run_streaming_curation", with_ctes(f"""
-    SELECT event_id, patient_id, facility_id, heart_rate, spo2, event_ts,
-           (heart_rate < 1 OR heart_rate > 150) AS heart_rate_breach, spo2 < 5 AS spo2_breach
-    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ((heart_rate < 1 OR heart_rate > 150) OR spo2 < 5)""",
-    ["vitals"]))(_run_streaming)
+query("run_streaming_curation", _GOLD_ALERTS)(_run_streaming)
