@@ -142,3 +142,23 @@ def test_conversations_become_calls(spark):
     calls, results = toolcalls.from_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
     assert calls.count() == 2 and results.count() == 1
     assert toolcalls.link(calls, results, toolcalls.TOOLS).count() == 2
+
+
+def test_repeated_identifiers_keep_every_call_and_result(spark):
+    turns = range(30)
+    calls = [(1, "a", "t", json.dumps({"n": i}), 10 * i, "x") for i in turns]
+    calls += [(1, "b", "t", json.dumps({"n": i, "after": [{"$ref": "a"}]}), 10 * i + 2, "x") for i in turns]
+    results = [(1, "a", f"r{i}", 10 * i + 1, "x") for i in turns] + [(1, "b", f"s{i}", 10 * i + 3, "x") for i in range(33)]
+    calls += [(2, "c", "t", '{"n":7}', 0, "x")] * 4                                             # identical rows
+    calls += [(None, "call_0", "t", json.dumps({"n": i}), 0, "x") for i in turns]               # conversations without an id
+    results += [(None, "call_0", f"u{i}", 1, "x") for i in turns]
+    rows = toolcalls.link(spark.createDataFrame(calls, CALLS), spark.createDataFrame(results, RESULTS), SCHEMAS).collect()
+    lines = [json.loads(r.line) for r in rows]
+    assert sorted(json.dumps(x["arguments"]) for x in lines if "arguments" in x) == sorted(json.dumps(json.loads(c[3]), sort_keys=True) for c in calls)
+    assert sorted(x["result"] for x in lines if "result" in x) == sorted(r[2] for r in results)
+    for x in lines:
+        if x.get("conv_id") == 1 and "arguments" in x:
+            assert x["result"] == "rs"["ab".index(x["call_id"])] + str(x["arguments"]["n"])
+            assert x["level"] == "ab".index(x["call_id"]) and "call identifier repeats" in x["faults"]
+    assert sorted(x["result"] for x in lines if x["status"] == "orphan_result" and "conv_id" in x) == ["s30", "s31", "s32"]
+    assert all(x["status"] in ("no_result", "orphan_result") and x["faults"] for x in lines if "conv_id" not in x)

@@ -1,12 +1,12 @@
 """Tool calls of conversations, linked to their results and put in dependency order.
 
-Calls and results meet in a hash join on (conversation, identifier). A call's arguments are
+Calls and results meet in a hash join on (conversation, identifier, number of the repeat). A call's arguments are
 checked against its tool's schema, and may refer to other calls of the conversation with
 {"$ref": "<call id>"}; these references order the calls. Each call becomes one line of canonical
 JSON (sorted keys, no spare white space, integral numbers without a fraction).
 
-Scale: everything is keyed by (conversation, identifier), so a conversation of any length is
-spread over tasks; none is gathered in one. Ordering peels off calls whose references are all
+Scale: everything is keyed by (conversation, identifier, number of the repeat), so a conversation
+of any length, or one identifier used throughout, is spread over tasks; none is gathered in one. Ordering peels off calls whose references are all
 settled, round by round; a round joins only the references of the calls settled last, so the
 work is linear and the rounds are as many as the longest chain of references. Each round is
 written to the shared folder.
@@ -18,7 +18,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -119,39 +119,54 @@ def _same(a: str, b: str) -> Column:
     return F.col(f"{a}conv_id").eqNullSafe(F.col(f"{b}conv_id")) & (F.col(f"{a}call_id") == F.col(f"{b}call_id"))
 
 
-def _first(rows: DataFrame, prefix: str, *cols: str) -> DataFrame:
-    """Of rows with the same key the first by position (ties: smallest), and how many there were."""
-    return (rows.where(F.col("call_id").isNotNull()).groupBy(*_SEP)
-            .agg(F.min(F.struct("position", *cols)).alias("first"), F.count(F.lit(1)).alias("n"))
-            .select(*[F.col(c).alias(prefix + c) for c in _SEP], F.col("first.position").alias(prefix + "position"),
-                    *[F.col(f"first.{c}").alias(prefix + c) for c in cols], F.col("n").alias(prefix + "n")))
+def _numbered(rows: DataFrame, prefix: str, *cols: str) -> DataFrame:
+    """All rows that have an identifier, each with a ``node`` of its own, its place ``k`` among
+    those of its key by position (ties: by a hash of the row), and their number ``n``.
+
+    One key may hold a third of all rows: the sorted rows are cut into ranges, places are counted
+    within (range, key), and what the ranges before hold of the key is added."""
+    cut = written(rows.where(F.col("call_id").isNotNull())
+                  .select(*_SEP, "position", *cols, F.xxhash64(*cols).alias("tie"), F.monotonically_increasing_id().alias("node"))
+                  .repartitionByRange(*_SEP, "position", "tie", "node").withColumn("range", F.spark_partition_id()), "ranges")
+    key = Window.partitionBy(*_SEP)
+    before = (cut.groupBy("range", *_SEP).agg(F.count(F.lit(1)).alias("own"))       # a key: at most a row for each range
+              .select(F.col("range").alias("b_range"), F.col("conv_id").alias("b_conv_id"), F.col("call_id").alias("b_call_id"),
+                      F.sum("own").over(key).alias("n"), (F.sum("own").over(key.orderBy("range")) - F.col("own")).alias("before")))
+    inside = cut.withColumn("inside", F.row_number().over(Window.partitionBy("range", *_SEP).orderBy("position", "tie", "node")))
+    return (inside.join(before, (F.col("range") == F.col("b_range")) & F.col("conv_id").eqNullSafe(F.col("b_conv_id"))
+                        & (F.col("call_id") == F.col("b_call_id")))
+            .select(*[F.col(c).alias(prefix + c) for c in (*_SEP, "position", *cols, "node", "n")],
+                    (F.col("inside") + F.col("before")).alias(prefix + "k")))
+
+
+def _place(prefix: str, alone: int) -> Column:
+    """Place under which a row meets the other side. Rows without a conversation may belong to
+    different ones, so repeats among them meet nothing: ``alone`` sets the two sides apart."""
+    k = F.col(prefix + "k")
+    return F.when(F.col(prefix + "conv_id").isNull() & (F.col(prefix + "n") > 1), -2 * k - alone).otherwise(k)
 
 
 def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level): 0 without references, else one more than the highest level
-    referred to; null on a cycle and behind one. ``edges``: conv_id, call_id -> ref."""
-    waiting = written(edges.groupBy(*_SEP).agg(F.count(F.lit(1)).alias("open")), "waiting")
-    back = edges.select(F.col("conv_id").alias("e_conv_id"), F.col("ref").alias("e_call_id"), F.col("call_id").alias("e_next"))
-    done = written(nodes.join(waiting, _keys(nodes, waiting), "left_anti").select(*_SEP, F.lit(0).alias("level")), "settled")
+    """(node, level): 0 without references, else one more than the highest level referred to; null
+    on a cycle and behind one. ``edges``: node -> to."""
+    waiting = written(edges.groupBy("node").agg(F.count(F.lit(1)).alias("open")), "waiting")
+    back = edges.select(F.col("to").alias("e_to"), F.col("node").alias("e_next"))
+    done = written(nodes.join(waiting, "node", "left_anti").select("node", F.lit(0).alias("level")), "settled")
     settled, level = done, 0
     while not done.isEmpty():
         level += 1
-        freed = (back.join(done.select(F.col("conv_id").alias("d_conv_id"), F.col("call_id").alias("d_call_id")), _same("e_", "d_"))
-                 .groupBy(F.col("e_conv_id").alias("f_conv_id"), F.col("e_next").alias("f_call_id")).agg(F.count(F.lit(1)).alias("freed")))
-        left = written(waiting.join(freed, F.col("conv_id").eqNullSafe(F.col("f_conv_id")) & (F.col("call_id") == F.col("f_call_id")), "left")
-                       .select(*_SEP, (F.col("open") - F.coalesce("freed", F.lit(0))).alias("open")), "waiting")
-        done = left.where("open = 0").select(*_SEP, F.lit(level).alias("level"))
+        freed = (back.join(done.select(F.col("node").alias("d_node")), F.col("e_to") == F.col("d_node"))
+                 .groupBy(F.col("e_next").alias("f_node")).agg(F.count(F.lit(1)).alias("freed")))
+        left = written(waiting.join(freed, F.col("node") == F.col("f_node"), "left")
+                       .select("node", (F.col("open") - F.coalesce("freed", F.lit(0))).alias("open")), "waiting")
+        done = left.where("open = 0").select("node", F.lit(level).alias("level"))
         waiting = left.where("open > 0")
         settled = settled.unionByName(done)
-    return settled.unionByName(waiting.select(*_SEP, F.lit(None).cast("int").alias("level")))
-
-
-def _keys(a: DataFrame, b: DataFrame) -> Column:
-    return a["conv_id"].eqNullSafe(b["conv_id"]) & (a["call_id"] == b["call_id"])
+    return settled.unionByName(waiting.select("node", F.lit(None).cast("int").alias("level")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One row per call, and per result without a call.
+    """One row per call, and per result without a call of its own.
 
     ``calls``: conv_id, call_id, name, arguments (JSON text), position; ``results``: conv_id,
     call_id, content, position; other columns are ignored. Returned: conv_id, call_id, position,
@@ -159,14 +174,17 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     (level, position, call_id) is a dependency order of the conversation's calls. ``line`` is the
     canonical JSON.
 
-    Repeated identifiers: the first by position counts (ties: smallest), the fault list says so.
-    Null identifiers link to nothing: a row each, status no_id. Null conversation: one
-    conversation of its own. Null or broken arguments, unknown tools, references to absent calls,
+    Repeated identifiers: by position (ties: by a hash of the row), call k gets result k, and its
+    references mean call k of the identifier they name, or the last one if there are fewer; what
+    is left over is a row too, and the fault lists say so. Null identifiers link to nothing: a row
+    each, status no_id. Null conversation: identifiers that occur once there link; of repeated
+    ones nobody knows which belong together, so they link to nothing and no reference finds them. Null or broken arguments, unknown tools, references to absent calls,
     and cycles are faults; calls on or behind a cycle have no level. Empty tables: no rows.
     """
     spark = calls.sparkSession
-    pairs = _first(calls, "c_", "name", "arguments").join(
-        _first(results, "r_", "content").hint("shuffle_hash"), _same("c_", "r_"), "full")
+    pairs = _numbered(calls, "c_", "name", "arguments").withColumn("c_place", _place("c_", 0)).join(
+        _numbered(results, "r_", "content").withColumn("r_place", _place("r_", 1)).hint("shuffle_hash"),
+        _same("c_", "r_") & (F.col("c_place") == F.col("r_place")), "full")
     shared = spark.sparkContext.broadcast(schemas)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,16 +199,20 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
 
     checked = written(pairs.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in pairs.dtypes)
                                        + ", canonical string, wrong array<string>, refs array<string>"), "checked-calls")
-    nodes = checked.where("c_call_id IS NOT NULL").select(F.col("c_conv_id").alias("conv_id"), F.col("c_call_id").alias("call_id"))
-    asked = checked.select(F.col("c_conv_id").alias("conv_id"), F.col("c_call_id").alias("call_id"), F.explode("refs").alias("ref"))
-    there = nodes.select(F.col("conv_id").alias("t_conv_id"), F.col("call_id").alias("t_call_id"))
-    refs = written(asked.join(there, F.col("conv_id").eqNullSafe(F.col("t_conv_id")) & (F.col("ref") == F.col("t_call_id")), "left")
-                   .select(*_SEP, "ref", F.col("t_call_id").isNotNull().alias("known")), "references")
-    lost = refs.where("NOT known").groupBy(*_SEP).agg(F.array_sort(F.collect_set("ref")).alias("lost"))    # of one call
-    order = levels(nodes, refs.where("known").select(*_SEP, "ref"))
-
-    ranked = (checked.join(order.select(F.col("conv_id").alias("o_conv_id"), F.col("call_id").alias("o_call_id"), "level"), _same("c_", "o_"), "left")
-              .join(lost.select(F.col("conv_id").alias("l_conv_id"), F.col("call_id").alias("l_call_id"), "lost"), _same("c_", "l_"), "left"))
+    asked = checked.select(F.col("c_conv_id").alias("conv_id"), F.col("c_node").alias("node"), F.col("c_k").alias("k"), F.explode("refs").alias("ref"))
+    there = (checked.where("c_call_id IS NOT NULL AND c_k = 1")
+             .select(F.col("c_conv_id").alias("t_conv_id"), F.col("c_call_id").alias("t_call_id"), F.col("c_n").alias("t_n")))
+    named = (asked.join(there, F.col("conv_id").eqNullSafe(F.col("t_conv_id")) & (F.col("ref") == F.col("t_call_id")), "left")
+             .select("conv_id", "node", "ref", F.when(F.col("conv_id").isNotNull() | (F.col("t_n") == 1), F.least("k", "t_n")).alias("at")))
+    target = checked.where("c_call_id IS NOT NULL").select(
+        F.col("c_conv_id").alias("t_conv_id"), F.col("c_call_id").alias("t_call_id"), F.col("c_k").alias("t_k"), F.col("c_node").alias("to"))
+    refs = written(named.join(target, F.col("conv_id").eqNullSafe(F.col("t_conv_id")) & (F.col("ref") == F.col("t_call_id"))
+                              & (F.col("at") == F.col("t_k")), "left").select("node", "ref", "to"), "references")
+    lost = refs.where("to IS NULL").groupBy("node").agg(F.array_sort(F.collect_set("ref")).alias("lost"))    # of one call
+    order = levels(checked.where("c_call_id IS NOT NULL").select(F.col("c_node").alias("node")), refs.where("to IS NOT NULL").select("node", "to"))
+
+    ranked = (checked.join(order.select(F.col("node").alias("o_node"), "level"), F.col("c_node") == F.col("o_node"), "left")
+              .join(lost.select(F.col("node").alias("l_node"), "lost"), F.col("c_node") == F.col("l_node"), "left"))
     call = F.col("c_call_id").isNotNull()
     more = [F.when(F.col("c_n") > 1, F.lit("call identifier repeats")), F.when(F.col("r_n") > 1, F.lit("more than one result")),
             F.when(call & F.col("level").isNull(), F.lit("references form a cycle")),
