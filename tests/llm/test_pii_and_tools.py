@@ -55,6 +55,20 @@ def test_surrogates_are_distinct_and_new(spark):
     assert len(new) == len(set(new)) == len(values) and not set(new) & set(values)
 
 
+def test_formats_without_a_free_value_get_wider(spark):
+    values = [f"{i:02d}" for i in range(100)] + ["****", "----", "____", "密码密码", "٣٤٥٦"]
+    rows = [("secret", v) for v in values] + [("ssn", f"{i}") for i in range(10)]
+    new = [(r.kind, r.new) for r in pii.assign(spark.createDataFrame(rows, "kind string, value string"), "k").collect()]
+    assert len(new) == len(set(new)) == len(rows) and not set(new) & set(rows)
+    assert all(re.fullmatch(r"[a-z0-9]+", n) for _, n in new)
+
+
+def test_masked_secrets_are_replaced(make_docs):
+    texts = [(1, "password: **** and token: ----"), (2, "Password: ____"), (3, "secret=密码是一二三四"), (4, "token=1234")]
+    for r in pii.replace(make_docs(texts), "k").collect():
+        assert r.n_entities == (2 if r.doc_id == 1 else 1) and not re.search(r"[*_密一]|----|1234", r.clean_text)
+
+
 def test_key_changes_surrogates(make_docs):
     df = make_docs(TEXTS[:1])
     assert pii.replace(df, "a").first().clean_text != pii.replace(df, "b").first().clean_text

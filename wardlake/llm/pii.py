@@ -6,7 +6,7 @@ is a function of a secret key, the entity's type and its canonical value, so all
 entity get the same one, in every document (names are mapped word by word, so "Ms Ada Byron" and
 "Ms Byron" still share a surname). A check over all distinct entities finds replacements that
 two entities share or that equal a real entity; those move to their next candidate until all
-are distinct and new.
+are distinct and new. Where a format has too few values for that, candidates get wider.
 
 Scale: documents are scanned where they lie; only mentions are shuffled to be mapped. Distinct
 entities stay a distributed table, and the check is a grouped count and a join on it. A mention
@@ -59,7 +59,8 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds: texts without it are passed over.
 HINT = f"[0-9@=:]|AKIA|gh[pousr]_|sk-|eyJ|{PATTERNS['person']}"
 _DIGITS = ("phone", "card", "ssn")
-MAX_ROUNDS = 64
+#: So many candidates keep the value's format; later ones are wider by WIDER digits each.
+IN_FORMAT, WIDER = 8, 4
 
 
 def _kind(e: Column) -> Column:
@@ -108,16 +109,19 @@ def _letter(seed: Column, i: Column, letters: str) -> Column:
     return F.substring(F.lit(letters), _pick(seed, i, len(letters)) + 1, F.lit(1))
 
 
-def _same_classes(value: Column, seed: Column) -> Column:
-    """Digits for digits, letters for letters of the same case (hexadecimal stays so), the rest kept."""
+def _same_classes(value: Column, seed: Column, fill: bool = False) -> Column:
+    """Digits for digits, letters for letters of the same case (hexadecimal stays so; small ones
+    for letters without case), the rest kept. ``fill``: a value of marks alone becomes letters."""
     hexadecimal = F.regexp_like(value, F.lit("\\A[0-9a-fA-F:]+\\z"))
+    marks = ~F.regexp_like(value, F.lit("[\\p{L}\\p{N}]")) if fill else F.lit(False)
     low, up = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
     def char(c: Column, i: Column) -> Column:
         return (F.when(F.regexp_like(c, F.lit("[0-9]")), _letter(seed, i, "0123456789"))
                 .when(F.regexp_like(c, F.lit("\\p{Ll}")), F.when(hexadecimal, _letter(seed, i, low[:6])).otherwise(_letter(seed, i, low)))
                 .when(F.regexp_like(c, F.lit("\\p{Lu}")), F.when(hexadecimal, _letter(seed, i, up[:6])).otherwise(_letter(seed, i, up)))
-                .otherwise(c))
+                .when(F.regexp_like(c, F.lit("\\p{N}")), _letter(seed, i, "0123456789"))
+                .when(F.regexp_like(c, F.lit("\\p{L}")) | marks, _letter(seed, i, low)).otherwise(c))
 
     return F.array_join(F.transform(F.split(value, ""), char), "")
 
@@ -151,8 +155,11 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
     def seeded(what: Column) -> Column:
         return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, what, attempt.cast("string")), 256)
 
+    def wider(seed: Column) -> Column:
+        return F.left(F.translate(seed, "abcdef", "012345"), F.greatest(attempt - (IN_FORMAT - 1), F.lit(0)) * WIDER)
+
     def digits(seed: Column) -> Column:
-        same = F.concat(F.substring(value, 1, 1), _same_classes(F.substr(value, F.lit(2)), seed))
+        same = F.concat(F.substring(value, 1, 1), _same_classes(F.substr(value, F.lit(2)), seed), wider(seed))
         check = F.concat(F.left(same, F.length(same) - 1), F.lit("0"))
         luhn = F.concat(F.left(same, F.length(same) - 1), F.pmod(10 - _luhn(check) % 10, F.lit(10)).cast("string"))
         return F.when((kind == "card") & (_luhn(value) % 10 == 0), luhn).otherwise(same)
@@ -163,25 +170,29 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
         # the host depends on the host alone: addresses of one host still share one
         moved = let(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("host"), host), 256),
                     lambda s: _same_classes(F.left(host, F.length(host) - F.length(top)), s))
-        return F.concat(_same_classes(F.substring_index(value, "@", 1), seed), F.lit("@"), moved, top)
+        return F.concat(_same_classes(F.substring_index(value, "@", 1), seed), wider(seed), F.lit("@"), moved, top)
 
     def any_kind(seed: Column) -> Column:
         octets = F.concat_ws(".", (_pick(seed, 0, 223) + 1).cast("string"), _pick(seed, 1, 256).cast("string"),
                              _pick(seed, 2, 256).cast("string"), (_pick(seed, 3, 254) + 1).cast("string"))
-        return (F.when(kind.isin(*_DIGITS), digits(seed)).when(kind == "email", address(seed)).when(kind == "ip", octets)
-                .when(kind == "iban", F.concat(F.left(value, F.lit(2)), _same_classes(F.substr(value, F.lit(3)), seed)))
+        groups = F.regexp_replace(F.left(seed, F.lit(32)), "(.{4})(?=.)", "$1:")     # no address is wider than this
+        return (F.when(kind.isin(*_DIGITS), digits(seed)).when(kind == "email", address(seed))
+                .when(kind.isin("ip", "ip6") & (attempt >= IN_FORMAT), groups).when(kind == "ip", octets)
+                .when(kind == "iban", F.concat(F.left(value, F.lit(2)), _same_classes(F.substr(value, F.lit(3)), seed), wider(seed)))
                 .when((kind == "surname") | kind.startswith("given_"), _name(value, kind, seed, attempt))
-                .otherwise(_same_classes(value, seed)))
+                .otherwise(F.concat(_same_classes(value, seed, fill=True), wider(seed))))
 
     return let(seeded(value), any_kind)
 
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """(kind, value, new): a replacement for each distinct entity (kind, value); within a kind no
-    two are equal and none is the value of an entity."""
+    two are equal and none is the value of an entity. It ends for any input: the entities stay as
+    many as they are, and each round past IN_FORMAT (names: each eighth) multiplies the values
+    that a candidate can have."""
     known = written(entities.select("kind", "value", F.lit(0).alias("attempt")), "entities")
     originals = known.select(F.col("kind").alias("o_kind"), F.col("value").alias("o_value"))
-    for _ in range(MAX_ROUNDS):
+    while True:
         tried = written(known.withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))), "surrogates")
         shared = (tried.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first")).where("n > 1")
                   .select(F.col("kind").alias("s_kind"), F.col("new").alias("s_new"), "first"))
@@ -192,16 +203,16 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         if marked.where("clash").isEmpty():
             return marked.select("kind", "value", "new")
         known = marked.select("kind", "value", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
-    raise ValueError(f"no distinct surrogates after {MAX_ROUNDS} rounds: some type has more entities than its format allows")
 
 
 def _shown(shown: Column, kind: Column, new: Column) -> Column:
-    """The replacement in the mention's own format: digit groups, capitals."""
+    """The replacement in the mention's own format: digit groups (more digits go behind), capitals."""
     regrouped = F.aggregate(
         F.split(shown, ""), F.struct(F.lit("").alias("out"), F.lit(1).alias("next")),
         lambda s, c: F.when(F.regexp_like(c, F.lit("[0-9]")), F.struct(
             F.concat(s["out"], F.substr(new, s["next"], F.lit(1))).alias("out"), (s["next"] + 1).alias("next")))
-        .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["next"].alias("next"))), lambda s: s["out"])
+        .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["next"].alias("next"))),
+        lambda s: F.concat(s["out"], F.substr(new, s["next"])))
     cased = F.when((shown == F.upper(shown)) & (F.length(shown) > 1), F.upper(new)).otherwise(F.initcap(new))
     return (F.when(kind == "title", shown).when(kind.isin(*_DIGITS), regrouped)
             .when((kind == "surname") | kind.startswith("given_"), cased).otherwise(new))
