@@ -237,6 +237,24 @@ def test_exact_copies_and_paraphrases_are_found(spark, make_docs):
     assert latent.leaks(make_docs(clean), bench).count() == 0
 
 
+def test_items_of_frequent_words_are_found(spark, make_docs):
+    """Short items, three quarters of them words of nearly every document, in text without the benchmark's words."""
+    rnd = random.Random(8)
+    stop = ["the", "of", "and", "to", "in", "is", "that", "it"]
+    items, pairs, want = [], [], set()
+    for n in range(5, 21):
+        items.append((n, " ".join(f"item{n}x{j}" if j % 4 == 1 else rnd.choice(stop) for j in range(n))))
+        loose = [f"zz{n}" if j == 2 else w for j, w in enumerate(items[-1][1].split())]      # one word replaced
+        for k, words in enumerate((items[-1][1].split(), loose)):
+            home = [f"f{n}x{j}" for j in range(60)]
+            pairs.append((100 * n + k, " ".join(home[:30] + words + home[30:])))
+            want.add((100 * n + k, n))
+    pairs += [(9000 + i, " ".join(stop + [f"g{i}x{j}" for j in range(12)])) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in latent.leaks(make_docs(pairs), bench).collect()}
+    assert want <= found and not {d for d, _ in found if d >= 9000}
+
+
 def test_blocks_of_items_give_the_same_leaks(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
     rows = [{(r.doc_id, r.item_id) for r in latent.leaks(docs, bench, latent.Params(block_items=n)).collect()} for n in (2000, 15)]

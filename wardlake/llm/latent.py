@@ -36,11 +36,10 @@ _SENTENCE = re.compile(r"[.?!\n]+")
 
 @dataclass(frozen=True)
 class Params:
-    window: int = 32            # words of the largest window; shorter items get 24, 16 or 8
+    window: int = 32            # words of the largest window; shorter items get windows of their own length
     rank: int = 128             # dimensions of the latent space
     oversample: int = 8
     passes: int = 2             # power iterations of the SVD
-    min_energy: float = 0.35    # least share of a window's TF-IDF energy on words of the block's items
     min_cosine: float = 0.6
     min_lcs: float = 0.6        # share of the item's words in common order
     sure_lcs: float = 0.85      # from here on no answer check is needed
@@ -201,36 +200,66 @@ def place(block: Block, basis: np.ndarray) -> None:
     block.latent = latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)
 
 
-def _candidates(ids: np.ndarray, starts: np.ndarray, block: Block, sizes: dict[int, np.ndarray],
+@dataclass
+class Size:
+    """The passages of one length, and what a window of that length must hold to be compared."""
+    passages: np.ndarray
+    marks: np.ndarray       # words of which a window needs one; the last stands for all other words
+
+
+def _sizes(block: Block, p: Params) -> dict[int, Size]:
+    """A text with the share ``min_lcs`` of a passage's n words lacks at most the other n - need
+    of them, so it holds one of any n - need + 1: the rarest are the passage's marks."""
+    by_size: dict[int, list[int]] = {}
+    for k, (_, _, n) in enumerate(block.passages):
+        by_size.setdefault(n, []).append(k)
+    out = {}
+    for n, passages in sorted(by_size.items()):
+        marks = np.zeros(len(block.vocabulary) + 1, dtype=bool)
+        few = n - max(1, math.ceil(p.min_lcs * n - 1e-9)) + 1
+        for i, at, _ in (block.passages[k] for k in passages):
+            words = np.array(block.items[i][1][at:at + n])
+            marks[words[np.argsort(-block.idf[words], kind="stable")[:few]]] = True
+        out[n] = Size(np.array(passages), marks)
+    return out
+
+
+def _candidates(ids: np.ndarray, starts: np.ndarray, block: Block, sizes: dict[int, Size],
                 p: Params) -> Iterator[tuple[int, int, int, float]]:
     """(document, passage, first word of the window, cosine). ``ids`` holds some documents' words
-    one after another, ``starts`` where each begins, and the end."""
-    other = len(block.vocabulary)
-    word = np.where(ids < 0, other, ids)
-    energy = block.idf[word].astype(np.float64) ** 2
-    total, own = np.cumsum(np.r_[0.0, energy]), np.cumsum(np.r_[0.0, np.where(ids < 0, 0.0, energy)])
+    one after another, ``starts`` where each begins, and the end. Passages as long as the largest
+    window overlap and are met at every fourth of it, shorter ones at every word."""
+    word = np.where(ids < 0, len(block.vocabulary), ids)
     lengths = np.diff(starts)
-    for size, passages in sizes.items():
-        step, last = max(1, size // 4), np.maximum(lengths - size, 0)
+    for size, group in sizes.items():
+        step, last = max(1, size // 4) if size >= p.window else 1, np.maximum(lengths - size, 0)
         many = np.where(lengths > 0, -(-last // step) + 1, 0)
         doc = np.repeat(np.arange(len(lengths)), many)
         k = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
         low = starts[doc] + np.minimum(k * step, last[doc])
         high = np.minimum(low + size, starts[doc + 1])
-        near = own[high] - own[low] >= p.min_energy * (total[high] - total[low])
+        marked = np.cumsum(np.r_[0, group.marks[word]])
+        near = marked[high] > marked[low]
         doc, low, high = doc[near], low[near], high[near]
-        for at in range(0, len(low), 1024):
-            cut = slice(at, at + 1024)
-            grid = low[cut, None] + np.arange(size)
-            inside = np.where(grid < high[cut, None], word[np.minimum(grid, len(word) - 1)], other)
-            x = block.weighted[inside].sum(axis=1)
-            cosine = (x @ block.latent[passages].T) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+        latent = block.latent[group.passages].T
+        for at in range(0, len(low), 2048):
+            cut = slice(at, at + 2048)
+            # sums of windows as differences of running sums over the words that the windows cover
+            used = np.zeros(high[cut].max() - low[at] + 1, dtype=np.int64)
+            np.add.at(used, low[cut] - low[at], 1)
+            np.add.at(used, high[cut] - low[at], -1)
+            covered = np.cumsum(used[:-1]) > 0
+            place = np.r_[0, np.cumsum(covered)]
+            running = np.zeros((place[-1] + 1, block.weighted.shape[1]))
+            np.cumsum(block.weighted[word[low[at] + np.flatnonzero(covered)]], axis=0, dtype=np.float64, out=running[1:])
+            x = (running[place[high[cut] - low[at]]] - running[place[low[cut] - low[at]]]).astype(np.float32)
+            cosine = (x @ latent) / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
             for w, j in zip(*np.nonzero(cosine >= p.min_cosine)):
                 d = doc[at + w]
-                yield int(d), int(passages[j]), int(low[at + w] - starts[d]), float(cosine[w, j])
+                yield int(d), int(group.passages[j]), int(low[at + w] - starts[d]), float(cosine[w, j])
 
 
-def _leaks(docs: list[np.ndarray], block: Block, sizes: dict[int, np.ndarray], p: Params) -> dict[tuple[int, int], tuple]:
+def _leaks(docs: list[np.ndarray], block: Block, sizes: dict[int, Size], p: Params) -> dict[tuple[int, int], tuple]:
     """(document, item) -> best checked region: LCS share, answer share, cosine, first word."""
     best: dict[tuple[int, int], tuple] = {}
     seen: set[tuple[int, int, int]] = set()
@@ -265,10 +294,7 @@ def _search(docs: DataFrame, block: Block, p: Params) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
-        by_size: dict[int, list[int]] = {}
-        for k, (_, _, n) in enumerate(block.passages):
-            by_size.setdefault(min(s for s in (8, 16, 24, p.window) if s >= n or s == p.window), []).append(k)
-        sizes = {s: np.array(k) for s, k in sorted(by_size.items())}
+        sizes = _sizes(block, p)
         for batch in batches:
             out, at = [], 0
             while at < batch.num_rows:
