@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bloomlm, fm, latent, linededup, packing, pii, risk, simhash, toolcalls, warc
+from . import bloomlm, exactdedup, fm, latent, linededup, packing, pii, risk, simhash, spelling, toolcalls, warc
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,20 @@ def op1(spark, sf_dir):
 def op3(spark, sf_dir):
     calls, results = toolcalls.from_conversations(table(spark, sf_dir, "conversations"))
     return toolcalls.link(calls, results, toolcalls.TOOLS)
+
+
+OP13_SQL = r"""
+    WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+    g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
+    SELECT d.doc_id, keep_id, group_size, d.doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)"""
+
+
+@query("op13_exact_dedup", OP13_SQL)
+def op13(spark, sf_dir):
+    return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op12_spelling_variants")
+def op12(spark, sf_dir):
+    words = spelling.count_words(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, one_in=31)
+    return spelling.variants(words, ratio=10)
