@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import bloomlm, exactdedup, fm, latent, linededup, packing, pii, risk, simhash, spelling, toolcalls, warc
+from . import bloomlm, exactdedup, fm, latent, linededup, packing, pii, risk, simhash, spelling, toolcalls, warc, whitening
 from .common import ASCII_SPACE, LOWER, UPPER, table
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +198,10 @@ def op13(spark, sf_dir):
 def op12(spark, sf_dir):
     words = spelling.count_words(table(spark, sf_dir, "documents"), min_chars=7, min_count=2, one_in=31)
     return spelling.variants(words, ratio=10)
+
+
+@query("op11_whitening")
+def op11(spark, sf_dir):
+    rows, fitted = whitening.whiten(table(spark, sf_dir, "embeddings"), "embedding", components=16, keep=["vec_id"])
+    return whitening.by_component(rows, fitted).select(
+        "row.vec_id", "component", "n", F.col("deviation").cast("long").alias("deviation"), "whitened", "explained", "identity_error")
