@@ -84,5 +84,5 @@ def test_whitening_edge_cases(spark):
     two, w = run([(1, [1.0, 2.0]), (2, [3.0, 2.0]), (2, [3.0, 2.0]), (3, [1e30, 0.0, 0.0])])
     assert w.n == 2 and len(two) == 3 and sorted(round(abs(r.whitened), 9) for r in two) == [1, 1, 1]
     wide, w = run([(i, [float(i) * 1e9, float(i)]) for i in range(-3, 4)])     # held at the limit, no overflow
-    assert w.n == 7 and len(wide) == 14 and w.identity_error < 1e-6
+    assert w.n == 7 and len(wide) == 7 and w.identity_error < 1e-6     # beside it the other dimension is flat
     assert all(r.deviation > 0 for r in wide if r.row.vec_id)

@@ -123,6 +123,7 @@ def _solve(v: np.ndarray, shift: float, x: np.ndarray, found: np.ndarray) -> np.
             y = np.full(n, np.nan)
         if not np.isfinite(y).all():        # the shift is an eigenvalue to the last bit
             y = np.linalg.solve(v - (shift + 4 * _EPS * (np.abs(v).sum(axis=1).max() or 1.0)) * np.eye(n), x)
+    y /= np.abs(y).max()        # near an eigenvalue the entries may be too large to square
     y /= np.linalg.norm(y)
     for _ in range(2):
         y -= found.T @ (found @ y)
@@ -322,7 +323,7 @@ def transform(rows: DataFrame, w: Whitening) -> DataFrame:
     """``row``, ``deviation`` (decimal) and ``whitened`` (one double per component) of each of ``rows``
     that has the fitted length."""
     size, k = len(w.sums), len(w.values)
-    schema = StructType([rows.schema["row"]]).add("deviation", "decimal(38,0)").add("whitened", "array<double>")
+    schema = StructType([rows.schema["row"], *StructType.fromDDL("deviation decimal(38,0), whitened array<double>").fields])
     of_size = rows.where(F.size("x") == size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
