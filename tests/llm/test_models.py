@@ -255,10 +255,76 @@ def test_items_of_frequent_words_are_found(spark, make_docs):
     assert want <= found and not {d for d, _ in found if d >= 9000}
 
 
+def exhaustive_leaks(docs, items, p):
+    """Every document and item by LCS over every region of the length the operator checks."""
+    out = set()
+    for d, text in docs:
+        words = latent.normal(text)
+        for i, item in items:
+            want = latent.normal(item)
+            answer = [latent.normal(x) for x in latent._SENTENCE.split(item)]
+            answer = [x for x in answer if x][-1]
+            span = len(want) + p.window // 2 + 2 * latent._slack(len(want), p)
+            for at in range(max(1, len(words) - span // 2)):
+                region = words[at:at + span]
+                if len(set(want) & set(region)) < 0.3 * len(set(want)):
+                    continue
+                lcs = latent.common_subsequence(want, region) / len(want)
+                if lcs >= p.min_lcs and (lcs >= p.sure_lcs or latent.common_subsequence(answer, region) / len(answer) >= p.min_answer):
+                    out.add((d, i))
+                    break
+    return out
+
+
+def test_recall_of_loose_paraphrases_against_exhaustive_search(spark, make_docs):
+    """Items with a quarter to two fifths of their words replaced, dropped or moved apart by others."""
+    rnd = random.Random(11)
+    p = latent.Params()
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()][:24]
+    home = [r.text.split() for r in spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 60").collect()]
+    docs = []
+    for share in (0.25, 0.3, 0.35, 0.4):
+        for item, text in items:
+            words = text.split()
+            tail = len(latent._SENTENCE.split(text.strip(".?! \n"))[-1].split()) + 1
+            change = set(rnd.sample(range(len(words) - tail), round(share * (len(words) - tail)))) if len(words) > tail else set()
+            new = []
+            for j, w in enumerate(words):
+                kind = rnd.randrange(3) if j in change else 3
+                new += [[f"zz{rnd.randrange(10 ** 6)}"], [], [w, "zy"], [w]][kind]
+            base = rnd.choice(home)[:150]
+            at = rnd.randrange(len(base) + 1)
+            docs.append((len(docs), " ".join(base[:at] + new + base[at:])))
+    want = exhaustive_leaks(docs, items, p)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in latent.leaks(make_docs(docs), bench, p).collect()}
+    assert len(want) >= 80 and found <= want and len(found) >= 0.97 * len(want)
+
+
+def test_short_items_and_unspaced_scripts_are_found(spark, make_docs):
+    ja = "\u5bcc\u58eb\u5c71\u306e\u9ad8\u3055\u306f\u4f55\u30e1\u30fc\u30c8\u30eb\u3067\u3059\u304b\uff1f\u4e09\u5343\u4e03\u767e\u4e03\u5341\u516d\u30e1\u30fc\u30c8\u30eb\u3067\u3059\u3002"
+    th = "\u0e41\u0e21\u0e48\u0e19\u0e49\u0e33\u0e40\u0e08\u0e49\u0e32\u0e1e\u0e23\u0e30\u0e22\u0e32\u0e44\u0e2b\u0e25\u0e1c\u0e48\u0e32\u0e19\u0e40\u0e21\u0e37\u0e2d\u0e07\u0e43\u0e14"
+    items = [(1, "Who wrote Hamlet? Shakespeare"), (2, "Capital: Paris"), (3, ja), (4, th), (5, "the the"), (6, "lone")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(1, "A quiz. Who wrote HAMLET? Shakespeare! And more."), (2, "who wrote Shakespeare Hamlet"), (3, "so capital paris"),
+            (4, f"\u524d\u66f8\u304d{ja}\u5f8c\u66f8\u304d"), (5, f"x {th} y"), (6, ja[:9] + "\u3042" + ja[10:]), (7, "\u5bcc\u58eb\u5c71"), (8, "the"),
+            (9, "the the the"), (10, "paris capital"), (11, "Who wrote Hamlet?"), (12, "Shakespeare who wrote Hamlet"), (13, "a lone star")]
+    found = {(r.doc_id, r.item_id) for r in latent.leaks(make_docs(docs), bench).collect()}
+    assert found == {(1, 1), (3, 2), (4, 3), (6, 3), (5, 4), (9, 5), (13, 6)}
+
+
+def test_copies_of_one_item_stay_in_one_block_row(spark):
+    bench = spark.createDataFrame([(1, "one item of six plain words")] * 500 + [(2, "another item of six plain words")], "item_id long, text string")
+    blocks = list(latent._blocks(bench, latent.Params(block_items=1)))
+    assert sorted(len(b.items) for b in blocks) in ([1, 1], [2])
+    assert [len(r) for r in latent._rounds(iter(blocks), latent.Params(round_bytes=1))] == [1] * len(blocks)
+
+
 def test_blocks_of_items_give_the_same_leaks(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "benchmark"))
-    rows = [{(r.doc_id, r.item_id) for r in latent.leaks(docs, bench, latent.Params(block_items=n)).collect()} for n in (2000, 15)]
-    assert rows[0] == rows[1] and rows[0]
+    rows = [{(r.doc_id, r.item_id) for r in latent.leaks(docs, bench, latent.Params(block_items=n, round_bytes=b)).collect()}
+            for n, b in ((2000, 64 << 20), (15, 64 << 20), (15, 1))]
+    assert rows[0] == rows[1] == rows[2] and rows[0]
 
 
 def test_decontamination_edge_cases(spark, make_docs):
