@@ -8,13 +8,17 @@ probability, both from such probes:
   p = (1 - w) (c(v) + 1) / (N + V + 1) + w c(u v) / c(u).
 Beside it stands the exact add-one word score, from exact word counts.
 
+The bits of a stored level lie in one 64-bit word of the filter, so a probe reads one word.
+
 Scale: tasks combine their counts before the one shuffle of training, so a very frequent word
 or pair is one row per task. The hash of an n-gram names its segment of the filter; a segment
 is built in one task, with bits in proportion to what it stores. While the filter fits
 ``broadcast_bytes`` (checked from its exact size) it is broadcast and texts are scored where
 they lie; beyond it the texts' n-grams are sent to the segments, which give the same answers.
-Exact counts of the ``frequent_words`` commonest words are broadcast, a bounded table; the
-other words of the texts are joined with the table of counts.
+(Sending a larger filter in waves would read the corpus once per wave: the work would grow with
+the square of the corpus.) Exact counts of the ``frequent_words`` commonest words are broadcast, a
+bounded table; the other words of the texts are joined with the table of counts. Scoring cuts
+texts into words once; what is known of a word is kept per task, up to a bound.
 """
 
 from __future__ import annotations
@@ -41,7 +45,7 @@ _COUNT_TOKENS = 1 << 22
 @dataclass(frozen=True)
 class Params:
     base: float = 1.5            # b of the count levels
-    probes: int = 6              # bits set for each stored level
+    probes: int = 5              # bits set for each stored level, in one word of 64
     bits_each: float = 9.0       # filter bits for each stored level
     pair_weight: float = 0.4     # w
     segments_per_partition: int = 8     # filter segments for each shuffle partition
@@ -49,21 +53,24 @@ class Params:
     frequent_words: int = 1 << 17
 
 
-class _Hashes(dict):
-    """Word -> 64-bit hash, remembered up to a bound."""
+class _Words(dict):
+    """Word -> its number in this task; ``hashes`` has the 64-bit hash of each. Number 0 is the end."""
+
+    def __init__(self):
+        super().__init__()
+        self.hashes = [END]
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, 1)
-        return h
+        n = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh64_intdigest(word, 1))
+        return n
 
 
-def _tokens(text: bytes | None, hashes: _Hashes) -> np.ndarray:
-    words = (text or b"").lower().split()       # bytes: A-Z and ASCII white space only
-    out = np.empty(len(words) + 1, dtype=np.uint64)
-    out[:-1] = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    out[-1] = END
+def _tokens(text: bytes | None, words: _Words) -> np.ndarray:
+    """Numbers of the words (A-Z lower-cased, cut at ASCII white space) and the end."""
+    cut = (text or b"").lower().split()       # bytes: A-Z and ASCII white space only
+    out = np.zeros(len(cut) + 1, dtype=np.int64)
+    out[:-1] = np.fromiter(map(words.__getitem__, cut), dtype=np.int64, count=len(cut))
     return out
 
 
@@ -81,20 +88,22 @@ def _pairs(tokens: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return _mix(before * np.uint64(0x9E3779B97F4A7C15) + _mix(tokens)), before
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(other columns' values by row, token hashes, first token of each row) of up to about
-    ``size`` tokens; the text is the last column."""
-    hashes, rows, parts, n = _Hashes(), [], [], 0
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[list, np.ndarray, np.ndarray, _Words]]:
+    """(other columns' values by row, word numbers, first token of each row, words) of up to about
+    ``size`` tokens; the text is the last column. Once ``words`` has ``_CACHE_WORDS`` it is begun anew."""
+    words, rows, parts, n = _Words(), [], [], 0
     for batch in batches:
         for *row, text in zip(*batch.columns):
             rows.append([x.as_py() for x in row])
-            parts.append(_tokens(text.as_py(), hashes))
+            parts.append(_tokens(text.as_py(), words))
             n += len(parts[-1])
             if n >= size:
-                yield rows, np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+                yield rows, np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])]), words
                 rows, parts, n = [], [], 0
+                if len(words) >= _CACHE_WORDS:
+                    words = _Words()
     if rows:
-        yield rows, np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])])
+        yield rows, np.concatenate(parts), np.cumsum([0, *map(len, parts[:-1])]), words
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -105,9 +114,11 @@ def counts(texts: DataFrame, segments: int) -> DataFrame:
     """(seg, kind, h, n): kind 0 the words (and the end), kind 1 the pairs. Rows of a segment
     lie in one partition."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, tokens, starts in _blocks(batches, _COUNT_TOKENS):
-            for kind, values in ((0, tokens), (1, _pairs(tokens, starts)[0])):
-                h, n = np.unique(values, return_counts=True)
+        for _, numbers, starts, words in _blocks(batches, _COUNT_TOKENS):
+            hashes = np.array(words.hashes, dtype=np.uint64)
+            times = np.bincount(numbers, minlength=len(hashes))
+            pairs = np.unique(_pairs(hashes[numbers], starts)[0], return_counts=True)
+            for kind, (h, n) in ((0, (hashes[times > 0], times[times > 0])), (1, pairs)):
                 for at in range(0, len(h), 1 << 18):
                     some = h[at:at + (1 << 18)]
                     yield pa.RecordBatch.from_arrays(
@@ -134,59 +145,58 @@ def level_values(base: float, levels: int = 256) -> np.ndarray:
         return np.concatenate([[0.0], (low + np.maximum(low, high)) / 2])
 
 
-def _start_and_step(h: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """Probe i of a hash at ``level`` is bit (start + i * step) modulo the segment's bits."""
+def _word_and_mask(h: np.ndarray, level: int, words: np.ndarray | np.uint64, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit word, of ``words``, that has a hash's bits at ``level``, and the bits."""
     x = _mix(h + np.uint64(level * 0xD1342543DE82EF95 % (1 << 64)))
-    return x, _mix(x) | np.uint64(1)
+    y = _mix(x)
+    mask = np.zeros(len(h), dtype=np.uint64)
+    for i in range(probes):
+        mask |= np.uint64(1) << ((y >> np.uint64(6 * i)) & np.uint64(63))
+    # the high half of a product with the 32 high bits is even over any number of words under 2**32
+    return ((x >> np.uint64(32)) * words) >> np.uint64(32), mask
 
 
 class Filter:
-    """Probing side: segments one after another in ``data``; ``starts`` are their first bytes
-    and the end, by segment number minus ``first``."""
+    """Probing side: segments one after another in ``data`` (64-bit words); ``starts`` are their first
+    words and the end, by segment number minus ``first``."""
 
     def __init__(self, data: np.ndarray, starts: np.ndarray, segments: int, p: Params, first: int = 0):
         self.data, self.starts, self.segments, self.p, self.first = data, starts, segments, p, first
         self.values = level_values(p.base)
 
-    def _has(self, h: np.ndarray, at: np.ndarray, bits: np.ndarray, level: int) -> np.ndarray:
-        """Indices of those stored at ``level``."""
-        alive = np.arange(len(h))
-        x, step = _start_and_step(h, level)
-        for _ in range(self.p.probes):
-            bit = at[alive] + x[alive] % bits[alive]
-            alive = alive[(self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
-            x += step
-        return alive
-
     def counts(self, h: np.ndarray) -> np.ndarray:
-        """Estimated count of each hash. Common words and pairs have the most levels, so each
-        distinct hash is probed once."""
-        h, back = np.unique(h, return_inverse=True)
+        """Estimated count of each hash: levels are probed until one is missing."""
         seg = segment_of(h, self.segments) - self.first
-        at = (self.starts[seg] * 8).astype(np.uint64)
-        bits = ((self.starts[seg + 1] - self.starts[seg]) * 8).astype(np.uint64)
-        q, alive, level = np.zeros(len(h), dtype=np.int64), np.flatnonzero(bits), 1
+        start, words = self.starts[seg], (self.starts[seg + 1] - self.starts[seg]).astype(np.uint64)
+        q, alive, level = np.zeros(len(h), dtype=np.int64), np.flatnonzero(words), 1
         while len(alive):
-            alive = alive[self._has(h[alive], at[alive], bits[alive], level)]
+            word, mask = _word_and_mask(h[alive], level, words[alive], self.p.probes)
+            alive = alive[self.data[start[alive] + word.astype(np.int64)] & mask == mask]
             q[alive] = level
             level += 1
-        return self.values[np.minimum(q, len(self.values) - 1)][back]
+        return self.values[np.minimum(q, len(self.values) - 1)]
+
+
+def segment_bits(h: np.ndarray, q: np.ndarray, p: Params) -> np.ndarray:
+    """The filter's words that store each hash at the levels 1 to its q."""
+    size = max(1, math.ceil(q.sum() * p.bits_each / 64))
+    bits = np.zeros(size, dtype=np.uint64)
+    for level in range(1, int(q.max()) + 1):
+        at, mask = _word_and_mask(h[q >= level], level, np.uint64(size), p.probes)
+        order = np.argsort(at, kind="stable")
+        at, mask = at[order].astype(np.int64), mask[order]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        bits[at[first]] |= np.bitwise_or.reduceat(mask, first)
+    return bits
 
 
 def segment_tables(counted: DataFrame, p: Params) -> DataFrame:
     """(seg, bits, words_h, words_n): the filter's segments, each with its words' exact counts."""
     def build(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         h, n = part["h"].to_numpy().view(np.uint64), part["n"].to_numpy()
-        q = levels_of(n, p.base)
-        size = max(64, math.ceil(q.sum() * p.bits_each / 64) * 64)
-        flags = np.zeros(size, dtype=bool)
-        for level in range(1, int(q.max()) + 1):
-            x, step = _start_and_step(h[q >= level], level)
-            for _ in range(p.probes):
-                flags[x % np.uint64(size)] = True
-                x += step
+        bits = segment_bits(h, levels_of(n, p.base), p)
         word = part["kind"].to_numpy() == 0
-        return pd.DataFrame({"seg": [key[0]], "bits": [np.packbits(flags, bitorder="little").tobytes()],
+        return pd.DataFrame({"seg": [key[0]], "bits": [bits.astype("<u8").tobytes()],
                              "words_h": [part["h"].to_numpy()[word]], "words_n": [n[word]]})
 
     return counted.groupBy("seg").applyInPandas(build, "seg int, bits binary, words_h array<long>, words_n array<long>")
@@ -221,14 +231,14 @@ def train(texts: DataFrame, p: Params = Params()) -> Model:
 
 
 def _share_filter(model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """The filter's bytes (at most broadcast_bytes, checked by the caller) and segment starts."""
+    """The filter's words (at most broadcast_bytes, checked by the caller) and segment starts."""
     sizes = np.zeros(model.segments, dtype=np.int64)
     for seg, size in model.table.select("seg", F.octet_length("bits")).collect():
-        sizes[seg] = size
+        sizes[seg] = size // 8
     starts = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.zeros(max(1, int(starts[-1])), dtype=np.uint8)
+    data = np.zeros(max(1, int(starts[-1])), dtype=np.uint64)
     for seg, bits in model.table.select("seg", "bits").toLocalIterator():
-        data[starts[seg]:starts[seg + 1]] = np.frombuffer(bits, dtype=np.uint8)
+        data[starts[seg]:starts[seg + 1]] = np.frombuffer(bits, dtype="<u8")
     return data, starts
 
 
@@ -255,68 +265,89 @@ def _look_up(h: np.ndarray, known: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.where(known[at] == h, n[at], 0)
 
 
+class _Known:
+    """What a task knows of its words: exact count (0: not a frequent one) and the filter's estimate."""
+
+    def __init__(self, known: np.ndarray, known_n: np.ndarray, table: Filter | None):
+        self.known, self.known_n, self.table = known, known_n, table
+        self.words: _Words | None = None
+
+    def of(self, words: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, exact, estimate) of all ``words`` so far; only new ones are looked up."""
+        if words is not self.words:
+            self.words = words
+            self.hashes, self.exact, self.estimate = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0)
+        new = np.array(words.hashes[len(self.hashes):], dtype=np.uint64)
+        self.hashes = np.r_[self.hashes, new]
+        self.exact = np.r_[self.exact, _look_up(new, self.known, self.known_n)]
+        self.estimate = np.r_[self.estimate, self.table.counts(new) if self.table else np.zeros(len(new))]
+        return self.hashes, self.exact, self.estimate
+
+
+_SCORED = ("doc_id long, text_hash long, h long, tf long, n_tokens long, known long, exact double, score double")
+
+
 def _texts_scored(rows: DataFrame, model: Model, shared, with_filter: bool) -> DataFrame:
-    """One row per text: tokens, the frequent words' part of the exact score, and, where the
-    filter is shared, the model's score."""
+    """Two kinds of rows. One per text: tokens, the frequent words' part of the exact score, and, where the
+    filter is shared, the model's score (its h only spreads the rows). One per text
+    and other word: its hash and how often it occurs; n_tokens is null there."""
     total, p, segments = model.total(), model.params, model.segments
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, known_n, stored = shared.value
         table = Filter(*stored, segments, p) if with_filter else None
-        for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
-            n = _look_up(tokens, known, known_n)
-            exact = np.where(n > 0, np.log10((n + 1) / total), 0.0)
+        cache = _Known(known, known_n, table)
+        for ids, numbers, starts, words in _blocks(batches, _BLOCK_TOKENS):
+            hashes, exact_n, estimate = cache.of(words)
+            exact_log = np.where(exact_n > 0, np.log10((exact_n + 1) / total), 0.0)
+            frequent = exact_n[numbers] > 0
             if table is not None:
-                pair, before = _pairs(tokens, starts)
-                word_n = table.counts(tokens)
+                word_n = estimate[numbers]
                 before_n = np.empty_like(word_n)
                 before_n[1:] = word_n[:-1]
-                before_n[starts] = table.counts(np.array([END], dtype=np.uint64))[0]    # as many ends as texts
-                score = np.add.reduceat(_log_share(word_n, before_n, table.counts(pair), total, p.pair_weight), starts)
+                before_n[starts] = estimate[0]          # as many ends as texts
+                pair_n = table.counts(_pairs(hashes[numbers], starts)[0])
+                score = np.add.reduceat(_log_share(word_n, before_n, pair_n, total, p.pair_weight), starts)
             else:
                 score = np.zeros(len(starts))
+            size = np.diff(np.append(starts, len(numbers)))
+            doc = pa.array([x[0] for x in ids], pa.int64())
+            text = pa.array([x[1] for x in ids], pa.int64())
+            spread = _mix(np.array([x[0] or 0 for x in ids], dtype=np.int64).view(np.uint64)
+                          + _mix(np.array([x[1] for x in ids], dtype=np.int64).view(np.uint64)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in ids], pa.int64()), pa.array([x[1] for x in ids], pa.int64()),
-                 pa.array(np.diff(np.append(starts, len(tokens))), pa.int64()),
-                 pa.array(np.add.reduceat((n > 0).astype(np.int64), starts), pa.int64()),
-                 pa.array(np.add.reduceat(exact, starts)), pa.array(score)],
-                ["doc_id", "text_hash", "n_tokens", "known", "exact", "score"])
+                [doc, text, _signed(spread), pa.array(np.zeros(len(ids), np.int64)), pa.array(size),
+                 pa.array(np.add.reduceat(frequent.astype(np.int64), starts)),
+                 pa.array(np.add.reduceat(exact_log[numbers], starts)), pa.array(score)], _NAMES)
+            # the others, counted by (text, word)
+            row = np.repeat(np.arange(len(ids)), size)[~frequent]
+            key, tf = np.unique(row * len(hashes) + numbers[~frequent], return_counts=True)
+            row, h = pa.array(key // len(hashes)), hashes[key % len(hashes)]
+            none = pa.nulls(len(tf), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [doc.take(row), text.take(row), _signed(h), pa.array(tf), none, none,
+                 pa.nulls(len(tf), pa.float64()), pa.nulls(len(tf), pa.float64())], _NAMES)
 
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n_tokens long, known long, exact double, score double")
+    return rows.mapInArrow(run, _SCORED)
 
 
-def _rare_words(rows: DataFrame, model: Model, shared) -> DataFrame:
-    """Per (doc_id, text_hash): known tokens and exact score of the words outside the frequent
-    ones. Each text also sends one row without a hash, which counts repeated rows."""
-    total = model.total()
+_NAMES = [c.split()[0] for c in _SCORED.split(", ")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, known_n, _ = shared.value
-        for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
-            row = np.repeat(np.arange(len(ids)), np.diff(np.append(starts, len(tokens))))
-            rare = _look_up(tokens, known, known_n) == 0
-            h, row = tokens[rare], row[rare]
-            order = np.lexsort((h, row))
-            h, row = h[order], row[order]
-            first = np.flatnonzero(np.r_[len(h) > 0, (row[1:] != row[:-1]) | (h[1:] != h[:-1])][:len(h)])
-            tf = np.diff(np.append(first, len(h)))
-            doc = np.array([x[1] for x in ids], dtype=np.int64)
-            pick = np.r_[row[first], np.arange(len(ids))].astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in ids], pa.int64()).take(pa.array(pick)), pa.array(doc[pick]),
-                 pa.concat_arrays([_signed(h[first]), pa.nulls(len(ids), pa.int64())]),
-                 pa.array(np.r_[tf, np.ones(len(ids), dtype=np.int64)].astype(np.int64))],
-                ["doc_id", "text_hash", "h", "tf"])
 
-    asked = rows.mapInArrow(run, "doc_id long, text_hash long, h long, tf long")
+def _with_rare_words(scored: DataFrame, model: Model) -> DataFrame:
+    """One row per text from both kinds of rows: the exact counts of the other words are joined in."""
     words = model.words().select(F.col("h").alias("w_h"), "n")
-    n = F.coalesce("n", F.lit(0))
-    word = F.col("h").isNotNull()
-    repeats = F.sum(F.when(~word, F.col("tf")))
-    return (asked.join(words, F.col("h") == F.col("w_h"), "left")
-            .groupBy(F.col("doc_id").alias("r_id"), F.col("text_hash").alias("r_hash"))
-            .agg((F.coalesce(F.sum(F.when(n > 0, F.col("tf"))), F.lit(0)) / repeats).cast("long").alias("rare_known"),
-                 (F.coalesce(F.sum(F.when(word, F.col("tf") * F.log10((n + 1) / total))), F.lit(0.0)) / repeats).alias("rare_exact")))
+    n, word = F.coalesce("n", F.lit(0)), F.col("n_tokens").isNull()
+    joined = scored.join(words, F.col("h") == F.col("w_h"), "left")
+    rare_known = F.coalesce(F.sum(F.when(word & (n > 0), F.col("tf"))), F.lit(0))
+    rare_exact = F.coalesce(F.sum(F.when(word, F.col("tf") * F.log10((n + 1) / model.total()))), F.lit(0.0))
+    one = joined.groupBy("doc_id", "text_hash").agg(
+        F.count("n_tokens").alias("repeats"), rare_known.alias("rare_known"), rare_exact.alias("rare_exact"),
+        *[F.max(c).alias(c) for c in ("n_tokens", "known", "exact", "score")])
+    return one.select(
+        "doc_id", "text_hash", "n_tokens", (F.col("known") + (F.col("rare_known") / F.col("repeats")).cast("long")).alias("n_known"),
+        (F.col("exact") + F.col("rare_exact") / F.col("repeats")).alias("base_score"), "score",
+        F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("repeat")).drop("repeat")
 
 
 def _shuffled_scores(rows: DataFrame, model: Model) -> DataFrame:
@@ -324,7 +355,8 @@ def _shuffled_scores(rows: DataFrame, model: Model) -> DataFrame:
     p, segments = model.params, model.segments
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, tokens, starts in _blocks(batches, _BLOCK_TOKENS):
+        for ids, numbers, starts, words in _blocks(batches, _BLOCK_TOKENS):
+            tokens = np.array(words.hashes, dtype=np.uint64)[numbers]
             pair, before = _pairs(tokens, starts)
             before[starts] = END        # as many ends as texts
             row = np.repeat(np.arange(len(ids)), np.diff(np.append(starts, len(tokens))))
@@ -340,7 +372,7 @@ def _shuffled_scores(rows: DataFrame, model: Model) -> DataFrame:
     def probe(asked: pd.DataFrame, segment: pd.DataFrame) -> pd.DataFrame:
         n = np.zeros(len(asked))
         if len(segment) and len(asked):
-            data = np.frombuffer(segment["bits"].iloc[0], dtype=np.uint8)
+            data = np.frombuffer(segment["bits"].iloc[0], dtype="<u8")
             n = Filter(data, np.array([0, len(data)]), segments, p, int(segment["seg"].iloc[0])).counts(
                 asked["h"].to_numpy().view(np.uint64))
         return pd.DataFrame({"h": asked["h"], "n": n})
@@ -372,16 +404,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
     fits = model.bytes <= model.params.broadcast_bytes
     shared = spark.sparkContext.broadcast((*_frequent(model), _share_filter(model) if fits else None))
-    out = _texts_scored(rows, model, shared, fits)
-
-    def same(a: str, b: str) -> Column:
-        return F.col("doc_id").eqNullSafe(F.col(a)) & (F.col("text_hash") == F.col(b))
-
+    out = _with_rare_words(_texts_scored(rows, model, shared, fits), model)
     if not fits:
-        out = out.drop("score").join(_shuffled_scores(rows, model), same("s_id", "s_hash")).drop("s_id", "s_hash")
-    out = out.join(_rare_words(rows, model, shared), same("r_id", "r_hash"))
-    return out.select("doc_id", "text_hash", "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"),
-                      (F.col("exact") + F.col("rare_exact")).alias("base_score"), "score")
+        same = F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_hash") == F.col("s_hash"))
+        out = out.drop("score").join(_shuffled_scores(rows, model), same)
+    return out.select("doc_id", "text_hash", "n_tokens", "n_known", "base_score", "score")
 
 
 def fold(doc_id: Column, folds: int) -> Column:
