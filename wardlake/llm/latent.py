@@ -12,7 +12,8 @@ Only windows that can pass the check are projected. A region with the share ``mi
 passage's n words lacks at most the other n - need of them; of any n - need + k of its words it
 holds k. The rarest are the passage's marks: places where k of them lie within the length of a
 region are found by one sort of (passage, position), and the windows there are compared with
-that passage alone. No pair that passes the check at a passage is lost by that.
+that passage alone, unless the words there cannot share need words with it, each counted as
+often as the passage has it. No pair that passes the check at a passage is lost by that.
 
 Scale: documents are read twice (frequencies, search) for each round of blocks, never shuffled,
 and cut into words once per reading. Items go in blocks of bounded size, and as many blocks form
@@ -56,7 +57,7 @@ class Params:
     sure_lcs: float = 0.85      # from here on no answer check is needed
     min_answer: float = 0.5     # share of the answer's words in common order
     min_words: int = 5          # items with fewer words are matched as whole phrases
-    marks: int = 4              # k: marks that must lie together
+    marks: int = 3              # k: marks that must lie together
     block_items: int = 2000
     block_bytes: int = 1 << 20
     round_bytes: int = 64 << 20
@@ -256,8 +257,10 @@ class Index:
     block: np.ndarray       # of each passage: its block, its number there, its words,
     number: np.ndarray
     size: np.ndarray
-    together: np.ndarray    # how many marks must lie within
+    need: np.ndarray        # how many of its words a region must hold,
+    together: np.ndarray    # and how many of its marks, within
     span: np.ndarray        # this many words
+    words: list[tuple[np.ndarray, np.ndarray]]      # its distinct words, as its block numbers them, and how often it has each
     local: list[np.ndarray]         # per block: number of each of the round's words in it
     phrase_first: np.ndarray
     phrase: np.ndarray
@@ -277,7 +280,7 @@ def _slack(words: int, p: Params) -> int:
 
 
 def _index(blocks: list[Block], vocabulary: dict[bytes, int], p: Params) -> Index:
-    block_of, number, size, together, span, local, pairs = [], [], [], [], [], [], []
+    block_of, number, size, needs, together, span, distinct, local, pairs = [], [], [], [], [], [], [], [], []
     phrases, phrase_pairs = [], []
     for b, block in enumerate(blocks):
         place = np.array([vocabulary[w] for w in block.vocabulary], dtype=np.int64)
@@ -295,6 +298,8 @@ def _index(blocks: list[Block], vocabulary: dict[bytes, int], p: Params) -> Inde
             block_of.append(b)
             number.append(k)
             size.append(n)
+            needs.append(need)
+            distinct.append((word, times))
             together.append(few)
             span.append(n + p.window // 2 + 2 * _slack(n, p))
         for item, words in block.phrases:
@@ -304,7 +309,7 @@ def _index(blocks: list[Block], vocabulary: dict[bytes, int], p: Params) -> Inde
     first, passage = _by_word(pairs, len(vocabulary))
     phrase_first, phrase = _by_word(phrase_pairs, len(vocabulary))
     longest = max((len(w) for _, w, _ in phrases), default=1)
-    return Index(first, passage, *(np.array(x, dtype=np.int64) for x in (block_of, number, size, together, span)), local,
+    return Index(first, passage, *(np.array(x, dtype=np.int64) for x in (block_of, number, size, needs, together, span)), distinct, local,
                  phrase_first, phrase, np.array([w + [-1] * (longest - len(w)) for _, w, _ in phrases], dtype=np.int64).reshape(-1, longest),
                  np.array([m for _, _, m in phrases], dtype=np.int64), [i for i, _, _ in phrases])
 
@@ -346,6 +351,18 @@ def _places(ids: np.ndarray, starts: np.ndarray, index: Index) -> Iterator[tuple
         yield d, k, a - k * wide - d * gap, b - k * wide - d * gap
 
 
+def _enough(region: np.ndarray, passage: np.ndarray, times: np.ndarray, words: int, need: int, span: int) -> bool:
+    """Can some ``span`` words of ``region`` share ``need`` words with a passage, no word more often than
+    the passage has it? (``passage``: its distinct words, ``times``: how often.)"""
+    found = np.bincount(region, minlength=words)[passage]
+    if int(np.minimum(found, times).sum()) < need:
+        return False
+    member = np.zeros(words, dtype=bool)
+    member[passage] = True
+    running = np.r_[0, np.cumsum(member[region])]
+    return len(region) <= span or int((running[span:] - running[:-span]).max()) >= need
+
+
 def _windows(ids: np.ndarray, low: int, high: int, start: int, end: int, local: np.ndarray, block: Block, k: int,
              p: Params) -> list[tuple[float, int]]:
     """(cosine, first word) of the windows of a passage's length that meet [low, high] and are near enough to
@@ -394,6 +411,9 @@ def _leaks(docs: list[np.ndarray], blocks: list[Block], index: Index, p: Params)
         i, first, _ = block.passages[number]
         item, words, answer = block.items[i]
         slack = _slack(len(words), p)
+        span = int(index.span[k])
+        if not _enough(local[ids[max(start, low - span):min(end, high + span)]], *index.words[k], int(local[-1]) + 1, int(index.need[k]), span):
+            continue
         for cosine, at in _windows(ids, low, high, start, end, local, block, number, p):
             at -= start
             begin = max(0, at - first - slack)
