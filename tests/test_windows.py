@@ -66,7 +66,7 @@ def test_range_strategy_with_one_hot_timestamp(spark):
 def test_hot_entity_is_split_across_tasks(spark):
     rows = _rows(2, 400, 3, hot=True)
     df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
-    out = lag_by_entity(df, "entity", ["start", "id"], "end", "prev")
+    out = lag_by_entity(df, "entity", ["start", "id"], "end", "prev", chunk="day")
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the big side is shuffled on (entity key, null flag, chunk), never on the entity alone
     big = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
@@ -111,3 +111,42 @@ def test_readmission_edge_cases(spark):
                                      "discharge_time timestamp_ntz")
     got = {r.visit_id: r.readmission_flag for r in readmission_flag(df).collect()}
     assert got == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1, 7: 0, 8: 1}
+
+
+def _hot(seed, n, entity, start, others=6):
+    """``n`` rows of one entity at one time and as many of others, each with its own id."""
+    rnd = random.Random(seed)
+    base = dt.datetime(2024, 1, 1)
+    end = lambda i: None if i % 4 == 0 else base + dt.timedelta(hours=i)
+    return [(i, entity, start, end(i)) for i in range(n)] + [
+        (10_000 + i, rnd.randrange(1, others * 40), base + dt.timedelta(hours=rnd.randrange(500)), end(i)) for i in range(2 * n)]
+
+
+def test_hot_patient_day_is_cut_by_default(spark):
+    from pyspark.sql import functions as F
+
+    from wardlake.operators import windows as W
+    for entity, start in ((0, dt.datetime(2024, 1, 5)), (None, None)):      # a third of all rows
+        rows = _hot(5, 400, entity, start)
+        rows += [(50_000, entity, dt.datetime(2023, 1, 1), None), (50_001, entity, dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2))]
+        _check(spark, rows, "auto")
+        df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
+        assert len(W.heavy_entities(df, "entity")) == 1
+        sizes = W.with_chunks(df, "entity", ["start", "id"]).groupBy(F.col("entity"), W.CHUNK).count().collect()
+        hot = [r["count"] for r in sizes if r[W.CHUNK] > 0]
+        assert len(hot) >= 4 and sum(hot) == 402 and max(hot) <= 202        # over all partitions, none twice its share
+        assert all(r[W.CHUNK] == 0 for r in sizes if r.entity not in (0, None))
+
+
+def test_without_a_heavy_entity_it_is_the_plain_window(spark):
+    rows = _rows(6, 500, 100)
+    _check(spark, rows, "auto")
+    df = spark.createDataFrame(rows, "id long, entity long, start timestamp_ntz, end timestamp_ntz")
+    plan = lag_by_entity(df, "entity", ["start", "id"], "end", "prev")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.integers(0, 10_000), st.integers(0, 80), st.integers(1, 5))
+def test_auto_lag_property(spark, seed, n, entities):
+    _check(spark, _rows(seed, n, entities, hot=True, nulls=True), "auto")

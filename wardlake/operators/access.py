@@ -89,15 +89,33 @@ def row_filter_viewer(df: DataFrame, access: DataFrame, user, universe: DataFram
     if isinstance(user, str):
         allowed = _allowed_keys(access, user, key, user_col, universe, True)
         return df.join(broadcast_if_small(allowed), on=key, how="left_semi")
-    users = list(user)
-    mine = access.filter(F.col(user_col).isin(users)).select(F.col(user_col).alias(viewer_col), key)
+    return df.join(broadcast_if_small(_viewer_pairs(access, user, universe, key, user_col, viewer_col)), on=key, how="inner")
+
+
+def _viewer_pairs(access: DataFrame, users: Sequence[str], universe: DataFrame, key: str, user_col: str,
+                  viewer_col: str) -> DataFrame:
+    """(viewer, facility) pairs of the BI policy."""
+    mine = access.filter(F.col(user_col).isin(list(users))).select(F.col(user_col).alias(viewer_col), key)
     explicit = mine.filter(F.col(key).isNotNull())
     wildcard = F.lit("*")
     want = mine.select(viewer_col, F.coalesce(F.col(key).cast("string"), wildcard).alias("__m"))
     offered = universe.select(key, F.explode(F.array(F.col(key).cast("string"), wildcard)).alias("__m"))
     expanded = offered.join(want, on="__m", how="inner").select(viewer_col, key)
-    pairs = explicit.unionByName(expanded).distinct()
-    return df.join(broadcast_if_small(pairs), on=key, how="inner")
+    return explicit.unionByName(expanded).distinct()
+
+
+def viewer_counts(df: DataFrame, access: DataFrame, users: Sequence[str], universe: DataFrame | None = None,
+                  key: str = "facility_id", user_col: str = "user_name", viewer_col: str = "viewer") -> DataFrame:
+    """Rows each viewer sees per facility (``rows_seen``): the rows are counted per facility first, so
+    only one row per facility meets the viewers. With ``universe`` the BI policy, without it the strict
+    one (a NULL mapping shows nothing)."""
+    if universe is not None:
+        pairs = _viewer_pairs(access, users, universe, key, user_col, viewer_col)
+    else:
+        pairs = (access.filter(F.col(user_col).isin(list(users)) & F.col(key).isNotNull())
+                 .select(F.col(user_col).alias(viewer_col), key).distinct())
+    per_facility = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_seen"))
+    return per_facility.join(broadcast_if_small(pairs), on=key, how="inner").select(viewer_col, key, "rows_seen")
 
 
 def filter_facilities(datasets: Mapping[str, DataFrame], selected: Sequence[str] | None,

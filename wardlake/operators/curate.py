@@ -90,6 +90,13 @@ def dim_facility(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), "facility_id string, facility_name string")
 
 
+def dim_facility_from(df: DataFrame, key: str = "facility_id", name: str = "facility_name") -> DataFrame:
+    """Facilities found in a table, ids as text: one row per id that is not NULL, with the least of
+    its names (one aggregate, combined per task)."""
+    return (df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("facility_id"))
+            .agg(F.min(name).alias("facility_name")))
+
+
 def dim_distinct(df: DataFrame, key: str, alias: str | None = None) -> DataFrame:
     """Distinct values of one column (column pruned, partially aggregated)."""
     return df.select(F.col(key).alias(alias or key)).distinct()
@@ -147,6 +154,7 @@ def fact_pharmacy_inventory(df: DataFrame, stock: str = "current_stock",
     return df.withColumn("stockout_risk", F.col(stock) <= F.col(threshold))
 
 
+# The columns of the two facts that are a selection.
 STAFFING_COLUMNS = ["staff_id", "facility_id", "department", "role", "shift_date",
                     "shift_name", "shift_start", "shift_end"]
 CLAIM_COLUMNS = ["claim_id", "patient_id", "facility_id", "payer", "claim_amount",

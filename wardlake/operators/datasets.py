@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 
 from ..functions.timefn import as_timestamp
 from .joins import join_facility_name, join_staffing_beds
-from .windows import readmission_flag
+from .windows import CHUNK, readmission_flag
 
 # Threshold for a department at capacity, claim status names
 # and the two counted staff roles.
@@ -41,9 +41,10 @@ def flag01(c: Column) -> Column:
 
 
 def ds_visits(fact_visit: DataFrame, dim_facility: DataFrame, days: int = 30,
-              chunk="day") -> DataFrame:
+              chunk="auto") -> DataFrame:
+    laid = [CHUNK] if CHUNK in fact_visit.columns else []      # a loaded table carries its chunks
     v = fact_visit.select(
-        "visit_id", "patient_id", "facility_id", "department", "visit_type", "attending_staff_id",
+        *laid, "visit_id", "patient_id", "facility_id", "department", "visit_type", "attending_staff_id",
         _ts(fact_visit, "admission_ts").alias("admission_time"),
         _ts(fact_visit, "discharge_ts").alias("discharge_time"),
         "still_admitted", "length_of_stay_hours")

@@ -9,6 +9,7 @@ recorded in the summary but never quarantine a row.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -43,6 +44,14 @@ class RowRule:
         return self.build(df)
 
 
+@dataclass(frozen=True)
+class LookupRule(RowRule):
+    """A row rule on membership in a table of values. ``prepare(df)`` joins the values, once each,
+    and adds the column ``flag``; ``build`` reads it."""
+    prepare: Callable[[DataFrame], DataFrame] = field(compare=False, default=None)
+    flag: str = ""
+
+
 @dataclass(frozen=True)
 class DatasetRule:
     """A rule over the whole dataset: metric(df) -> one-row DataFrame with a
@@ -65,6 +74,22 @@ def rule_in_set(col: str, values: Sequence, null_policy: str = "pass") -> RowRul
                    lambda df: _null_policy(F.col(col), F.col(col).isin(vals), null_policy))
 
 
+def rule_in_table(col: str, values: DataFrame, value: str, name: str | None = None,
+                  null_policy: str = "pass") -> LookupRule:
+    """``rule_in_set`` for a set too large for a list: the column ``value`` of ``values`` (repeats
+    and NULLs in it do not matter). An existence join gives one more boolean beside the other rules; a
+    small set is broadcast behind its size check, a large one joined by shuffle. No row is multiplied."""
+    from .joins import broadcast_if_small
+    flag = f"__in_{uuid.uuid4().hex[:8]}"
+    known = values.where(F.col(value).isNotNull()).select(F.col(value).alias(f"{flag}_v")).distinct()
+
+    def prepare(df: DataFrame) -> DataFrame:
+        found = broadcast_if_small(known.withColumn(flag, F.lit(True)))
+        return df.join(found, F.col(col) == F.col(f"{flag}_v"), "left").drop(f"{flag}_v")
+    return LookupRule(name or f'ColumnValues "{col}" in table of {value}',
+                      lambda df: _null_policy(F.col(col), F.col(flag).isNotNull(), null_policy), prepare, flag)
+
+
 def rule_matches(col: str, pattern: str, anchored: bool = True, null_policy: str = "pass") -> RowRule:
     rx = f"\\A(?:{pattern})\\z" if anchored else pattern
     return RowRule(f'ColumnValues "{col}" matches "{pattern}"',
@@ -132,16 +157,25 @@ def _split(rules) -> tuple[list[RowRule], list[DatasetRule]]:
     return ([r for r in rules if isinstance(r, RowRule)], [r for r in rules if isinstance(r, DatasetRule)])
 
 
+def _with_lookups(df: DataFrame, row_rules: Sequence[RowRule]) -> DataFrame:
+    for r in row_rules:
+        if isinstance(r, LookupRule):
+            df = r.prepare(df)
+    return df
+
+
 def evaluate_rules_rows(df: DataFrame, rules: Sequence, extra: Sequence[RowRule] = ()) -> DataFrame:
     """Input columns + ``dq_valid`` (every row rule passes, never NULL) +
     ``dq_failed_rules`` (names of the failing row rules, in rule order)."""
     row_rules, _ = _split(rules)
     row_rules = row_rules + list(extra)
+    df = _with_lookups(df, row_rules)
+    flags = [r.flag for r in row_rules if isinstance(r, LookupRule)]
     conds = [r.condition(df) for r in row_rules]
     if not conds:
         return df.withColumns({VALID: F.lit(True), FAILED: F.array().cast("array<string>")})
     failed = F.array_compact(F.array(*[F.when(~c, F.lit(r.name)) for r, c in zip(row_rules, conds)]))
-    return df.withColumn(FAILED, failed).withColumn(VALID, F.size(F.col(FAILED)) == 0)
+    return df.withColumn(FAILED, failed).withColumn(VALID, F.size(F.col(FAILED)) == 0).drop(*flags)
 
 
 def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRule] = (),
@@ -150,44 +184,54 @@ def evaluate_rules_summary(df: DataFrame, rules: Sequence, extra: Sequence[RowRu
     failure_reason, metric (pass ratio for row rules, the measured value for
     dataset rules) and evaluated_metrics (map<string,double>).
 
-    All row rules are counted in ONE aggregate (partial per task). With a
-    uniqueness rule present, that aggregate is the uniqueness rule's per-value
-    aggregate, so both read the input once; every other dataset rule is its
-    own small aggregate; the rows are unioned.
+    All row rules are counted in ONE aggregate, combined per task to one row.
+    Each uniqueness rule reads its own column only and shuffles (value, count);
+    every other dataset rule is its own small aggregate. The rows are unioned.
 
     ``keys`` (e.g. ``["dt"]``) gives one outcome row per rule and key value in
     the same passes (grouped instead of global aggregates). Custom-SQL rules
     are scalar over the whole input and have no per-key form: they are
     rejected here and must be evaluated without keys."""
-    keys = list(keys)
-    if keys and any(isinstance(r, DatasetRule) and not r.unique_column for r in rules):
-        raise ValueError("custom SQL rules cannot be evaluated per key; evaluate them without keys")
+    row_rules, ds_rules = _checked(rules, extra, keys)
+    counts = _failures(_with_lookups(df, row_rules), row_rules, keys) if row_rules else None
+    return _outcomes(counts, df, row_rules, ds_rules, list(keys))
+
+
+def summary_of_split(promoted: DataFrame, quarantined: DataFrame, rules: Sequence, extra: Sequence[RowRule] = (),
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """What :func:`evaluate_rules_summary` gives for all rows, from the two halves of a split by the
+    same rules: promoted rows pass every row rule and are only counted."""
+    row_rules, ds_rules = _checked(rules, extra, keys)
+    counts = None
+    if row_rules:
+        bad = _failures(_with_lookups(quarantined, row_rules), row_rules, keys)
+        good = promoted.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        zeros = [F.lit(0).cast("long").alias(f"__f{i}") for i in range(len(row_rules))]
+        names = ["__n", *[f"__f{i}" for i in range(len(row_rules))]]
+        counts = good.select(*keys, "__n", *zeros).unionByName(bad).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    return _outcomes(counts, promoted.unionByName(quarantined), row_rules, ds_rules, list(keys))
+
+
+def _checked(rules: Sequence, extra: Sequence[RowRule], keys: Sequence[str]) -> tuple[list[RowRule], list[DatasetRule]]:
     row_rules, ds_rules = _split(rules)
-    row_rules = row_rules + list(extra)
+    if keys and any(not r.unique_column for r in ds_rules):
+        raise ValueError("custom SQL rules cannot be evaluated per key; evaluate them without keys")
+    return row_rules + list(extra), ds_rules
+
+
+def _failures(df: DataFrame, row_rules: Sequence[RowRule], keys: Sequence[str]) -> DataFrame:
+    """keys, rows (__n) and failures per rule (__f0, ...)."""
+    fails = [F.count_if(~r.condition(df)).alias(f"__f{i}") for i, r in enumerate(row_rules)]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *fails)
+
+
+def _outcomes(counts: DataFrame | None, df: DataFrame, row_rules: Sequence[RowRule], ds_rules: Sequence[DatasetRule],
+              keys: list[str]) -> DataFrame:
     parts = []
-    if row_rules:
-        fails = [F.count_if(~r.condition(df)).alias(f"__f{i}") for i, r in enumerate(row_rules)]
-        shared = next((r for r in ds_rules if r.unique_column), None)
-        if shared is None:
-            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *fails)
-        else:
-            # One pass for the row rules AND one uniqueness rule: failure counts
-            # ride along as partial sums of the per-value aggregate the
-            # uniqueness rule needs anyway (no second scan of the input).
-            u = F.col("__u")
-            per_value = df.groupBy(*keys, F.col(shared.unique_column).alias("__u")).agg(
-                F.count(F.lit(1)).alias("__n"), *fails)
-            counts = per_value.groupBy(*keys).agg(
-                F.coalesce(F.sum("__n"), F.lit(0)).alias("__n"),
-                *[F.coalesce(F.sum(f"__f{i}"), F.lit(0)).alias(f"__f{i}") for i in range(len(row_rules))],
-                F.try_divide(F.sum(F.when(u.isNotNull() & (F.col("__n") == 1), 1).otherwise(0)).cast("double"),
-                             F.sum(F.when(u.isNotNull(), F.col("__n"))).cast("double")).alias("__um"))
-            ds_rules = [r for r in ds_rules if r is not shared]
-        entries = [_row_entry(r.name, F.col(f"__f{i}"), F.col("__n")) for i, r in enumerate(row_rules)]
-        if shared is not None:
-            entries.append(_dataset_entry(shared, F.col("__um")))
+    if counts is not None:
         # every outcome row comes from the one aggregate row: a single consumer,
         # so column pruning cannot split it into two scans
+        entries = [_row_entry(r.name, F.col(f"__f{i}"), F.col("__n")) for i, r in enumerate(row_rules)]
         parts.append(counts.select(*keys, F.inline(F.array(*entries))))
     for r in ds_rules:
         if keys:   # a uniqueness rule, per key value

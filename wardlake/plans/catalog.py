@@ -98,8 +98,10 @@ query("dim_department", over("""
     FROM (SELECT DISTINCT department AS department_name FROM visits WHERE department IS NOT NULL) t""",
     extra_bindings=["visits"]))(lambda s, d: C.dim_department_from(B.visits(s, d), "department"))
 
-query("dim_facility", over("SELECT facility_id, facility_name FROM facilities",
-                           extra_bindings=["facilities"]))(lambda s, d: B.facilities(s, d))
+query("dim_facility", over("""
+    SELECT CAST(facility_id AS VARCHAR) AS facility_id, facility_name FROM facilities
+    WHERE facility_id IN (SELECT facility_id FROM visits)""", extra_bindings=["facilities", "visits"]))(
+    lambda s, d: C.dim_facility_from(J.join_facility_name(B.visits(s, d), B.facilities(s, d))))
 
 query("dim_drug", over("SELECT DISTINCT drug_name FROM pharmacy_inventory",
                        extra_bindings=["pharmacy_inventory"]))(
@@ -272,19 +274,20 @@ SELECTED_FACILITIES = ["NATION_1", "NATION_7", "NATION_13"]
 
 def _filter_facilities(s, d):
     sheet = A.filter_facilities({"beds": ds_beds(s, d), "alerts": ds_alerts(s, d)}, SELECTED_FACILITIES)
-    beds = sheet["beds"].groupBy("facility_name").agg(F.count(F.lit(1)).alias("rows_seen"))
-    alerts = sheet["alerts"].groupBy("facility_name").agg(F.count(F.lit(1)).alias("rows_seen"))
-    return (beds.select(F.lit("beds").alias("dataset"), "facility_name", "rows_seen")
-            .unionByName(alerts.select(F.lit("alerts").alias("dataset"), "facility_name", "rows_seen")))
+    beds = sheet["beds"].select(F.lit("beds").alias("dataset"), "facility_name", "department",
+                                F.col("occupied_beds").cast("long").alias("number"))
+    alerts = sheet["alerts"].select(F.lit("alerts").alias("dataset"), "facility_name",
+                                    F.lit(None).cast("string").alias("department"), F.col("event_id").alias("number"))
+    return beds.unionByName(alerts)
 
 
 _SEL = ", ".join(f"'{x}'" for x in SELECTED_FACILITIES)
 query("filter_facilities", over(f"""
-    SELECT 'beds' AS dataset, facility_name, count(*) AS rows_seen FROM ds_bed_occupancy
-    WHERE facility_name IN ({_SEL}) GROUP BY facility_name
+    SELECT 'beds' AS dataset, facility_name, department, CAST(occupied_beds AS BIGINT) AS number FROM ds_bed_occupancy
+    WHERE facility_name IN ({_SEL})
     UNION ALL
-    SELECT 'alerts' AS dataset, facility_name, count(*) AS rows_seen FROM ds_vitals_alerts
-    WHERE facility_name IN ({_SEL}) GROUP BY facility_name""", "ds_bed_occupancy", "ds_vitals_alerts"))(
+    SELECT 'alerts' AS dataset, facility_name, NULL AS department, event_id AS number FROM ds_vitals_alerts
+    WHERE facility_name IN ({_SEL})""", "ds_bed_occupancy", "ds_vitals_alerts"))(
     _filter_facilities)
 
 GRANTS = {
@@ -298,29 +301,48 @@ query("mask_columns", over("""
                                 "analyst", GRANTS, table="dim_patient"))
 
 
+_ALL_VIEWERS = ["exec", "north", "south", "nobody", "strict_null"]
+_VIEWERS_SQL = "(VALUES " + ", ".join(f"('{v}')" for v in _ALL_VIEWERS) + ") u(viewer)"
+
+
+def _seen(rows, counts):
+    """What viewers see, row by row, and how much every viewer sees per facility."""
+    n = counts.select("viewer", F.lit("count").alias("part"), F.lit(None).cast("bigint").alias("claim_id"), "facility_id",
+                      F.col("rows_seen").cast("double").alias("amount"))
+    return rows.select("viewer", F.lit("row").alias("part"), "claim_id", "facility_id",
+                       F.col("claim_amount").alias("amount")).unionByName(n)
+
+
 def _row_filter_viewer(s, d):
-    seen = A.row_filter_viewer(ds_claims(s, d), B.access_map(s), ["exec", "north", "south", "nobody"],
-                               B.facilities(s, d))
-    return seen.groupBy("viewer", "facility_name").agg(F.count(F.lit(1)).alias("rows_seen"))
+    claims, access, universe = ds_claims(s, d), B.access_map(s), B.facilities(s, d)
+    rows = A.row_filter_viewer(claims, access, ["exec", "north", "nobody"], universe).unionByName(
+        A.row_filter_viewer(claims, access, "south", universe).withColumn("viewer", F.lit("south")))
+    return _seen(rows, A.viewer_counts(claims, access, _ALL_VIEWERS, universe))
+
+
+_SEEN_SQL = """
+    WITH seen AS (SELECT u.viewer, c.claim_id, c.facility_id, c.claim_amount FROM {viewers} JOIN {claims} c ON {sees})
+    SELECT viewer, 'row' AS part, claim_id, facility_id, claim_amount AS amount FROM seen WHERE viewer IN ({rows})
+    UNION ALL
+    SELECT viewer, 'count', NULL, facility_id, CAST(count(*) AS DOUBLE) FROM seen GROUP BY viewer, facility_id"""
+
+
+def _seen_sql(claims, sees, rows):
+    return f"SELECT * FROM ({_SEEN_SQL.format(viewers=_VIEWERS_SQL, claims=claims, sees=sees, rows=rows)}) t"
 
 
-query("row_filter_viewer", over("""
-    SELECT u.viewer, c.facility_name, count(*) AS rows_seen
-    FROM (VALUES ('exec'), ('north'), ('south'), ('nobody')) u(viewer)
-    JOIN ds_claims c ON EXISTS (SELECT 1 FROM access_map m WHERE m.user_name = u.viewer
-                                AND (m.facility_id IS NULL OR m.facility_id = c.facility_id))
-    GROUP BY u.viewer, c.facility_name""", "ds_claims", extra_bindings=["access_map"]))(_row_filter_viewer)
+query("row_filter_viewer", over(_seen_sql("ds_claims", """EXISTS (
+    SELECT 1 FROM access_map m WHERE m.user_name = u.viewer AND (m.facility_id IS NULL OR m.facility_id = c.facility_id))""",
+    "'exec', 'north', 'south', 'nobody'"), "ds_claims", extra_bindings=["access_map"]))(_row_filter_viewer)
 
 
 def _row_filter_strict(s, d):
-    seen = A.row_filter_strict(C.fact_claim(B.claims(s, d)), B.access_map(s),
-                               ["exec", "north", "south", "strict_null"])
-    return seen.groupBy("db_user", "facility_id").agg(F.count(F.lit(1)).alias("rows_seen"))
+    claims, access = C.fact_claim(B.claims(s, d)), B.access_map(s)
+    rows = A.row_filter_strict(claims, access, ["exec", "north", "strict_null"], viewer_col="viewer").unionByName(
+        A.row_filter_strict(claims, access, "south").withColumn("viewer", F.lit("south")))
+    return _seen(rows, A.viewer_counts(claims, access, _ALL_VIEWERS))
 
 
-query("row_filter_strict", over("""
-    SELECT u.db_user, c.facility_id, count(*) AS rows_seen
-    FROM (VALUES ('exec'), ('north'), ('south'), ('strict_null')) u(db_user)
-    JOIN fact_claim c ON c.facility_id IN (SELECT facility_id FROM access_map m
-                                           WHERE m.user_name = u.db_user AND m.facility_id IS NOT NULL)
-    GROUP BY u.db_user, c.facility_id""", "fact_claim", extra_bindings=["access_map"]))(_row_filter_strict)
+query("row_filter_strict", over(_seen_sql("fact_claim", """c.facility_id IN (
+    SELECT facility_id FROM access_map m WHERE m.user_name = u.viewer AND m.facility_id IS NOT NULL)""",
+    "'exec', 'north', 'south', 'strict_null'"), "fact_claim", extra_bindings=["access_map"]))(_row_filter_strict)

@@ -74,7 +74,7 @@ def summary_sql(rules, preds, src: str) -> str:
                 f"CASE WHEN f{i} = 0 THEN 'Passed' ELSE 'Failed' END AS outcome, "
                 f"CASE WHEN f{i} > 0 THEN printf('%d of %d rows failed', f{i}, n) END AS failure_reason, "
                 f"COALESCE(CASE WHEN n = 0 THEN NULL ELSE CAST(n - f{i} AS DOUBLE) / CAST(n AS DOUBLE) END, 1.0) "
-                f"AS metric FROM (SELECT {aggs} FROM {src}) a")
+                f"AS metric, CAST(n AS DOUBLE) AS rows, CAST(f{i} AS DOUBLE) AS failed_rows FROM (SELECT {aggs} FROM {src}) a")
     for r, (_, msql) in dsr:
         op = "=" if r.op == "==" else r.op
         parts.append(
@@ -82,15 +82,22 @@ def summary_sql(rules, preds, src: str) -> str:
             f"CASE WHEN metric IS NULL OR metric {op} {r.threshold} THEN 'Passed' ELSE 'Failed' END AS outcome, "
             f"CASE WHEN NOT (metric IS NULL OR metric {op} {r.threshold}) "
             f"THEN {_q(f'metric does not satisfy {r.op} {r.threshold}')} END AS failure_reason, "
-            f"metric FROM ({msql}) m")
+            f"metric, CAST(NULL AS DOUBLE) AS rows, CAST(NULL AS DOUBLE) AS failed_rows FROM ({msql}) m")
     return "\nUNION ALL\n".join(parts)
 
 
-SUMMARY_COLS = ["rule", "rule_type", "outcome", "failure_reason", "metric"]
+SUMMARY_COLS = ["rule", "rule_type", "outcome", "failure_reason"]
+
+
+def measured(summary):
+    """Outcome rows with the evaluated metrics as columns."""
+    m = F.col("evaluated_metrics")
+    return summary.select(*[c for c in SUMMARY_COLS if c in summary.columns], F.coalesce(m["pass_ratio"], m["metric"]).alias("metric"),
+                          m["rows"].alias("rows"), m["failed_rows"].alias("failed_rows"))
 
 
 def spark_summary(df, rules, extra=()):
-    return R.evaluate_rules_summary(df, rules, extra).select(*SUMMARY_COLS)
+    return measured(R.evaluate_rules_summary(df, rules, extra))
 
 
 # ------------------------------------------------------------ single rules
@@ -101,6 +108,16 @@ def _docs_labels(s, d):
     return docs.join(labels, "doc_id", "left")
 
 
+def _rule_in_set(s, d):
+    """The same set as a list and as a table of values."""
+    e = B.table(s, d, "events")
+    values = s.createDataFrame([(t,) for t in B.EVENT_TYPES_KNOWN + [None, "view"]], "known string")
+    rule = R.rule_in_table("event_type", values, "known")
+    by_table = R.evaluate_rules_rows(e, [rule]).select("event_id", F.lit("table").alias("form"), F.col(R.VALID).alias("passed"))
+    by_list = _rule_rows(e, R.rule_in_set("event_type", B.EVENT_TYPES_KNOWN), ["event_id"])
+    return by_table.unionByName(by_list.withColumn("form", F.lit("list")))
+
+
 def _rule_rows(df, rule, keys):
     return df.select(*keys, rule.condition(df).alias("passed"))
 
@@ -111,9 +128,8 @@ query("rule_is_complete", """
     lambda s, d: _rule_rows(_docs_labels(s, d), R.rule_is_complete("quality"), ["doc_id"]))
 
 query("rule_in_set", f"""
-    SELECT event_id, {s_in('event_type', B.EVENT_TYPES_KNOWN)} AS passed FROM events""")(
-    lambda s, d: _rule_rows(B.table(s, d, "events"), R.rule_in_set("event_type", B.EVENT_TYPES_KNOWN),
-                            ["event_id"]))
+    SELECT event_id, form, {s_in('event_type', B.EVENT_TYPES_KNOWN)} AS passed
+    FROM events, (VALUES ('list'), ('table')) f(form)""")(_rule_in_set)
 
 query("rule_matches", f"""
     SELECT c_custkey, {s_match('c_name', B.CUSTOMER_NAME_PATTERN)} AS passed FROM customer""")(

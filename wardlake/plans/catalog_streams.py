@@ -4,15 +4,20 @@ checkpoint folder (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import functools
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.timefn import iso_timestamp
 from ..functions.vitals import breach_reasons, decode_event
+from ..operators import datasets as D
 from ..operators import monitor as MO
 from ..operators import rules as R
 from ..session import scratch_path
 from ..sources import files as IO
+from ..sources import versions as VS
 from ..sources import warehouse as WH
 from ..streaming import streams as ST
 from . import bindings as B
@@ -25,6 +30,7 @@ ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
 CLAIMS_RAW_DDL = ("claim_id string, patient_id string, facility_id string, payer string, "
                                 "claim_amount double, status string, service_date string")
+_READINGS = ["heart_rate", "spo2", "systolic_bp", "diastolic_bp", "temperature_c"]
 VITALS_RAW_DDL = ("event_id string, patient_id string, facility_id string, heart_rate double, "
                                 "spo2 double, systolic_bp double, diastolic_bp double, temperature_c double, "
                                 "event_ts string")
@@ -78,17 +84,22 @@ query("read_raw_json", with_ctes("SELECT * FROM vt", ["vitals"], [("vt", VITALS_
 
 
 def _split_glued(s, d):
-    """Five records per line glued as ``}{`` (the delivery bug), then repaired."""
+    """Five records per line glued as ``}{`` (the delivery bug), six levels deep and with braces in
+    their text, then repaired."""
     v = _vitals_text(s, d).drop("land_day")
+    note = F.concat(F.lit('}{"'), F.col("event_id"))
+    for level in "edcba":
+        note = F.struct(note.alias(level))
     lines = (v.groupBy(F.floor(F.col("event_id").cast("bigint") / 5).alias("g"))
-             .agg(F.concat_ws("", F.collect_list(F.to_json(F.struct(*v.columns)))).alias("value")))
+             .agg(F.concat_ws("", F.collect_list(F.to_json(F.struct(*v.columns, note.alias("note"))))).alias("value")))
     path = scratch_path(s, "glued")
     lines.select("value").write.text(path)
-    return IO.split_glued_json(s, path, StructType.fromDDL(VITALS_RAW_DDL))
+    schema = VITALS_RAW_DDL + ", note struct<a:struct<b:struct<c:struct<d:struct<e:string>>>>>"
+    return IO.split_glued_json(s, path, StructType.fromDDL(schema)).withColumn("note", F.col("note.a.b.c.d.e"))
 
 
-query("split_glued_json", with_ctes("SELECT * EXCLUDE (dt) FROM vt", ["vitals"], [("vt", VITALS_TEXT_SQL)]))(
-    _split_glued)
+query("split_glued_json", with_ctes("SELECT * EXCLUDE (dt), '}{\"' || event_id AS note FROM vt", ["vitals"],
+                                    [("vt", VITALS_TEXT_SQL)]))(_split_glued)
 
 
 def _write_cleansed(s, d):
@@ -144,7 +155,7 @@ def _load_warehouse(s, d):
     df = fact_beds(s, d).withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
     WH.load_warehouse(df, "fact_bed_occupancy", path=path)
     WH.load_warehouse(df, "fact_bed_occupancy", path=path)   # re-run: replaced, never doubled
-    return s.read.parquet(path)
+    return WH.read_warehouse(s, path)
 
 
 query("load_warehouse", with_ctes("""
@@ -214,16 +225,24 @@ ALERT_SQL = f"""
     FROM vitals WHERE {_reasons_sql(B.VITAL_LIMITS)} <> ''"""
 
 
+def _raised():
+    """The registered queries raise alerts at the event, not at the clock."""
+    return F.col("event_ts").cast("timestamp")
+
+
 def _stream_alerts(s, d):
     out, ck = scratch_path(s, "alerts"), scratch_path(s, "ckpt")
-    _run(ST.stream_alerts(B.vitals_from_events(_event_stream(s, d)), out, ck, limits=B.VITAL_LIMITS))
+    _run(ST.stream_alerts(B.vitals_from_events(_event_stream(s, d)), out, ck, limits=B.VITAL_LIMITS, raised=_raised()))
     a = s.read.parquet(out)
     return a.select("patient_id", "alert_id", "facility_id", "source_event_id",
                     F.col("triggered_at").cast("timestamp_ntz").alias("triggered_at"),
-                    F.array_join("reasons", "; ").alias("reasons"))
+                    F.array_join("reasons", "; ").alias("reasons"), *[f"vitals.{c}" for c in _READINGS], "expires_at")
 
 
-query("stream_alerts", with_ctes(ALERT_SQL, ["vitals"]))(_stream_alerts)
+query("stream_alerts", with_ctes(f"""
+    SELECT a.*, heart_rate, spo2, systolic_bp, diastolic_bp, temperature_c,
+           CAST(floor(epoch(triggered_at)) AS BIGINT) + 86400 AS expires_at
+    FROM ({ALERT_SQL}) a JOIN vitals ON event_id = source_event_id""", ["vitals"]))(_stream_alerts)
 
 
 def _alerts_batch(s, d):
@@ -236,18 +255,38 @@ query("alert_expiry", with_ctes(f"""
     ["vitals"]))(lambda s, d: _alerts_batch(s, d).select("source_event_id", "expires_at"))
 
 ACTIVE_AT = "2024-01-20 00:00:00"
+
+
+def _active_alerts(s, d):
+    """Every alert delivered twice into the keyed store, in two runs; then what is active at a time."""
+    store = scratch_path(s, "alert-store")
+    for _ in range(2):
+        _run(ST.stream_alert_store(B.vitals_from_events(_event_stream(s, d)), store, scratch_path(s, "ckpt"),
+                                   limits=B.VITAL_LIMITS, raised=_raised(), now="2024-01-01 00:00:00"))
+    ST.put_alerts(s, store, now=ACTIVE_AT)
+    return ST.read_alerts(s, store, ACTIVE_AT).select("patient_id", "source_event_id", "alert_id", "expires_at")
+
+
 query("active_alerts", with_ctes(f"""
-    SELECT source_event_id, alert_id FROM ({ALERT_SQL}) a
+    SELECT patient_id, source_event_id, alert_id, CAST(floor(epoch(triggered_at)) AS BIGINT) + 86400 AS expires_at
+    FROM ({ALERT_SQL}) a
     WHERE CAST(floor(epoch(triggered_at)) AS BIGINT) + 86400 > CAST(floor(epoch(TIMESTAMP '{ACTIVE_AT}')) AS BIGINT)""",
-    ["vitals"]))(lambda s, d: ST.active_alerts(_alerts_batch(s, d), ACTIVE_AT).select("source_event_id", "alert_id"))
+    ["vitals"]))(_active_alerts)
 
 
 def _dedupe(s, d):
-    """Every event delivered twice (two reads of the same log) -> once."""
-    src = _event_stream(s, d)
-    twice = src.unionByName(_event_stream(s, d))
+    """Events in three slices of time, each slice delivered twice in micro-batches of its own, and
+    the first slice once more at the end, later than the watermark."""
+    src = scratch_path(s, "delivered")
+    e = B.table(s, d, "events")
+    low, high = e.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    slices = [e.where((at >= low + (high - low + 1) * i // 3) & (at < low + (high - low + 1) * (i + 1) // 3)) for i in range(3)]
+    for part in (*[x for x in slices for _ in range(2)], slices[0]):
+        part.coalesce(1).write.mode("append").parquet(src)
+    stream = ST.stream_source(s, src, StructType.fromDDL(EVENTS_SCHEMA_DDL), event_time="ts", fmt="parquet", max_files_per_trigger=1)
     out, ck = scratch_path(s, "dedup"), scratch_path(s, "ckpt")
-    dd = ST.dedupe_stream(twice, ["event_id"], "ts", "1 hour")
+    dd = ST.dedupe_stream(stream, ["event_id"], "ts", "1 hour")
     _run(dd.writeStream.option("checkpointLocation", ck).trigger(availableNow=True).format("parquet").start(out))
     return s.read.parquet(out).select("event_id", "user_id", "event_type", "value")
 
@@ -255,14 +294,13 @@ def _dedupe(s, d):
 query("dedupe_stream", "SELECT event_id, user_id, event_type, value FROM events")(_dedupe)
 
 
-_READINGS = ["heart_rate", "spo2", "systolic_bp", "diastolic_bp", "temperature_c"]
 _BREACHES = {"heart_rate_breach": "(heart_rate < 1 OR heart_rate > 150)", "spo2_breach": "spo2 < 5",
              "systolic_bp_breach": "(systolic_bp < 70 OR systolic_bp > 180)",
              "temperature_breach": "(temperature_c < 35.0 OR temperature_c > 40.0)"}
-_GOLD_ALERTS = with_ctes(f"""
+_GOLD_ALERTS_BODY = f"""
     SELECT event_id, patient_id, facility_id, {", ".join(_READINGS)}, event_ts,
            {", ".join(f"{sql} AS {name}" for name, sql in _BREACHES.items())}
-    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ({" OR ".join(_BREACHES.values())})""", ["vitals"])
+    FROM vitals WHERE {_valid_sql(vitals_preds())} AND ({" OR ".join(_BREACHES.values())})"""
 
 
 def _gold_alerts(g):
@@ -270,35 +308,94 @@ def _gold_alerts(g):
                     F.col("event_ts").cast("timestamp_ntz").alias("event_ts"), *_BREACHES)
 
 
+def _curated_rows(output, df, detail):
+    return df.select(F.lit(output).alias("output"), F.col("event_id").cast("string").alias("key"),
+                     F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in detail]).alias("detail"))
+
+
+def _outcome_rows(output, df):
+    return df.select(F.lit(output).alias("output"), F.col("rule").alias("key"),
+                     F.concat_ws("|", "outcome", F.coalesce("failure_reason", F.lit("-"))).alias("detail"))
+
+
+def _curated_sql(output, source, detail, key="event_id"):
+    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in detail)
+    return f"SELECT '{output}' AS output, CAST({key} AS VARCHAR) AS key, concat_ws('|', {parts}) AS detail FROM ({source}) t"
+
+
+_VITALS_OUT = [
+    _curated_sql("gold", _GOLD_ALERTS_BODY, ["patient_id", "event_ts", *_BREACHES]),
+    _curated_sql("promoted", f"SELECT * FROM vitals WHERE {_valid_sql(vitals_preds())}", ["patient_id", "facility_id"]),
+    _curated_sql("quarantine", f"SELECT * FROM vitals WHERE NOT ({_valid_sql(vitals_preds())})", ["patient_id", "facility_id"]),
+]
+
+
+def _vitals_outcomes_sql(output, rules, preds, src):
+    from .catalog_rules import summary_sql
+    return _curated_sql(output, summary_sql(rules, preds, src), ["outcome", "failure_reason"], "rule")
+
+
 def _stream_to_gold(s, d):
     out, ck = scratch_path(s, "gold"), scratch_path(s, "ckpt")
     _run(ST.stream_to_gold(B.vitals_from_events(_event_stream(s, d)), out, ck, vitals_rules(), B.VITAL_LIMITS))
-    return _gold_alerts(s.read.parquet(out))
+    read = functools.partial(VS.read_committed, s, out)
+    return (_curated_rows("gold", _gold_alerts(read()), ["patient_id", "event_ts", *_BREACHES])
+            .unionByName(_curated_rows("promoted", read(ST.PROMOTED_DIR), ["patient_id", "facility_id"]))
+            .unionByName(_curated_rows("quarantine", read(ST.BAD_DIR), ["patient_id", "facility_id"]))
+            .unionByName(_outcome_rows("outcomes", read(ST.OUTCOMES_DIR))))
 
 
-query("stream_to_gold", _GOLD_ALERTS)(_stream_to_gold)
+query("stream_to_gold", with_ctes("\nUNION ALL\n".join(
+    [*_VITALS_OUT, _vitals_outcomes_sql("outcomes", vitals_rules(), vitals_preds(), "vitals")]), ["vitals"]))(_stream_to_gold)
 
 
 def _stream_per_hour(s, d):
-    out, ck = scratch_path(s, "hourly"), scratch_path(s, "ckpt")
-    _run(ST.stream_alerts_per_hour(B.vitals_from_events(_event_stream(s, d)), out, ck, limits=B.VITAL_LIMITS,
-                                   mode="complete"))
-    return s.read.parquet(out).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    """Both forms: the closed hours (append) and the snapshot with the open ones (complete)."""
+    out = {form: scratch_path(s, f"hourly-{form}") for form in ("append", "complete")}
+    for form, path in out.items():
+        _run(ST.stream_alerts_per_hour(B.vitals_from_events(_event_stream(s, d)), path, scratch_path(s, "ckpt"),
+                                       limits=B.VITAL_LIMITS, mode=form))
+    rows = (s.read.parquet(out["append"]).withColumn("form", F.lit("append"))
+            .unionByName(VS.read_current(s, out["complete"]).withColumn("form", F.lit("complete"))))
+    return rows.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
 
 
 query("stream_alerts_per_hour", with_ctes(f"""
-    SELECT date_trunc('hour', triggered_at) AS hour, facility_id, count(*) AS alert_count
-    FROM ({ALERT_SQL}) a GROUP BY ALL""", ["vitals"]))(_stream_per_hour)
-
+    SELECT * FROM (
+        SELECT date_trunc('hour', triggered_at) AS hour, facility_id, count(*) AS alert_count, form
+        FROM ({ALERT_SQL}) a, (VALUES ('append'), ('complete')) f(form) GROUP BY ALL) c
+    WHERE form = 'complete' OR hour + INTERVAL 1 HOUR <= (SELECT max(triggered_at) FROM ({ALERT_SQL}) b) - INTERVAL 1 HOUR""",
+    ["vitals"]))(_stream_per_hour)
 
-def _land_raw(s, d):
-    out, ck = scratch_path(s, "landed"), scratch_path(s, "ckpt")
-    _run(ST.stream_land_raw(_event_stream(s, d), out, ck, trigger={"availableNow": True}))
-    return s.read.schema("event_id bigint, user_id bigint, event_type string, value double, dt date").json(out) \
-        .select("event_id", "user_id", "event_type", "value")
+LANDED_DDL = "event_id bigint, user_id bigint, event_type string, value double"
 
 
-query("stream_land_raw", "SELECT event_id, user_id, event_type, value FROM events")(_land_raw)
+def _land_raw(s, d):
+    """Events delivered as JSON files with a broken record for every 50th event, admitted in batches of
+    64 KiB: records and errors land in their own folders."""
+    src, out, err, ck = (scratch_path(s, n) for n in ("delivered", "landed", "errors", "ckpt"))
+    e = B.table(s, d, "events")
+    line = F.to_json(F.struct("event_id", "user_id", "event_type", "value"))
+    broken = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", torn"))
+    lines = e.select(F.explode(F.when(F.col("event_id") % 50 == 0, F.array(line, broken)).otherwise(F.array(line))).alias("value"))
+    lines.repartition(16).write.text(src)
+    stream = ST.stream_source(s, src, StructType.fromDDL(LANDED_DDL + ", _corrupt_record string"), fmt="json", max_bytes_per_trigger=1 << 16,
+                              options={"columnNameOfCorruptRecord": "_corrupt_record"})
+    for q in ST.stream_land_raw(stream, out, ck, trigger={"availableNow": True}, error_out=err):
+        _run(q)
+    good = s.read.schema(LANDED_DDL + ", dt date").json(out).select(
+        F.lit("landed").alias("sink"), "event_id", "user_id", "event_type", "value", F.lit(None).cast("string").alias("record"))
+    bad = s.read.option("columnNameOfCorruptRecord", "none").schema("_corrupt_record string, dt date").json(err).select(
+        F.lit("error").alias("sink"), *[F.lit(None).cast(t).alias(c) for c, t in
+                                        (("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double"))],
+        F.col("_corrupt_record").alias("record"))
+    return good.unionByName(bad)
+
+
+query("stream_land_raw", """
+    SELECT 'landed' AS sink, event_id, user_id, event_type, value, NULL AS record FROM events
+    UNION ALL
+    SELECT 'error', NULL, NULL, NULL, NULL, '{"event_id": ' || event_id || ', torn' FROM events WHERE event_id % 50 = 0""")(_land_raw)
 
 # ----------------------------------------------------------------- monitoring
 
@@ -351,15 +448,16 @@ query("stream_lag", """
 
 
 def _write_dq_results(s, d):
+    from .catalog_rules import measured
     root = scratch_path(s, "clean")
     IO.write_dq_results(R.evaluate_rules_summary(B.vitals(s, d), vitals_rules()), root, "vitals", "2024-01-31")
-    return s.read.parquet(f"{root}/{IO.DQ_RESULTS_DIR}/source=vitals/dt=2024-01-31").select(
-        "rule", "outcome", "failure_reason")
+    saved = s.read.parquet(f"{root}/{IO.DQ_RESULTS_DIR}/source=vitals/dt=2024-01-31")
+    return measured(saved.withColumn("evaluated_metrics", F.from_json("evaluated_metrics", "map<string,double>")))
 
 
 def _dq_sql():
     from .catalog_rules import summary_sql
-    return with_ctes(f"SELECT rule, outcome, failure_reason FROM ({summary_sql(vitals_rules(), vitals_preds(), 'vitals')}) s",
+    return with_ctes(f"SELECT * EXCLUDE (rule_type) FROM ({summary_sql(vitals_rules(), vitals_preds(), 'vitals')}) s",
                      ["vitals"])
 
 
@@ -377,28 +475,44 @@ query("write_curated", over("SELECT * FROM ds_claims", "ds_claims"))(_write_cura
 
 
 def _table_layout(s, d):
+    """The visit fact loaded twice into its bucketed table, and the visits dataset over it."""
     from .catalog import fact_visit
-    lay = WH.TABLE_LAYOUT["fact_patient_visit"]
-    return WH.table_layout(fact_visit(s, d), lay["dist_key"], lay["sort_keys"])
-
-
-query("table_layout", over("SELECT * FROM fact_patient_visit", "fact_patient_visit"))(_table_layout)
+    name = f"laid_visits_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        WH.load_warehouse(fact_visit(s, d), name, WH.warehouse_schema("fact_patient_visit"),
+                          layout=WH.TABLE_LAYOUT["fact_patient_visit"], location=scratch_path(s, "tables"))
+    facilities = B.facilities(s, d).withColumn("facility_id", F.col("facility_id").cast("string"))
+    return D.ds_visits(s.table(name), facilities).withColumn("admission_time", F.col("admission_time").cast("timestamp_ntz"))
+
+
+# ids are text in the declared table, and equal admission times are told apart by that text
+_LAID_SQL = """
+    WITH ordered AS (
+        SELECT *, lag(discharge_ts) OVER (PARTITION BY patient_id ORDER BY admission_ts NULLS FIRST, CAST(visit_id AS VARCHAR)) AS before
+        FROM fact_patient_visit)
+    SELECT CAST(visit_id AS VARCHAR) AS visit_id, CAST(patient_id AS VARCHAR) AS patient_id,
+           CAST(facility_id AS VARCHAR) AS facility_id, facility_name, department, visit_type,
+           CAST(attending_staff_id AS VARCHAR) AS attending_staff_id, admission_ts AS admission_time,
+           CAST(admission_ts AS DATE) AS admission_date, length_of_stay_hours,
+           CAST(still_admitted AS INTEGER) AS still_admitted_flag,
+           CAST(coalesce(admission_ts <= before + INTERVAL 30 DAY, false) AS INTEGER) AS readmission_flag
+    FROM ordered JOIN facilities USING (facility_id)"""
+query("table_layout", over(f"SELECT * FROM ({_LAID_SQL}) t", "fact_patient_visit", extra_bindings=["facilities"]))(_table_layout)
 
 
 def _register_tables(s, d):
     root = scratch_path(s, "clean")
     for name, df, col in [("vitals", B.vitals(s, d), "event_ts"), ("claims", B.claims(s, d), "service_date")]:
         # one folder per month keeps the partition count small for a multi-year table
-        df.withColumn("dt", F.trunc(col, "month")).hint("rebalance", "dt").write.partitionBy("dt") \
-            .parquet(f"{root}/{name}")
+        IO.write_cleansed(df.withColumn("dt", F.to_date(F.trunc(col, "month"))), root, name, IO.ALL_DAYS)
     views = WH.register_tables(s, root, ["vitals", "claims"], prefix="cleansed_")
-    return s.sql(f"SELECT 'vitals' AS src, count(*) AS n, count(DISTINCT dt) AS days FROM {views[0]} "
-                 f"UNION ALL SELECT 'claims', count(*), count(DISTINCT dt) FROM {views[1]}")
+    return s.sql(f"SELECT 'vitals' AS src, event_id AS id, heart_rate AS number, dt FROM {views[0]} "
+                 f"UNION ALL SELECT 'claims', claim_id, claim_amount, dt FROM {views[1]}")
 
 
 query("register_tables", with_ctes("""
-    SELECT 'vitals' AS src, count(*) AS n, count(DISTINCT date_trunc('month', event_ts)) AS days FROM vitals
-    UNION ALL SELECT 'claims', count(*), count(DISTINCT date_trunc('month', service_date)) FROM claims""",
+    SELECT 'vitals' AS src, event_id AS id, heart_rate AS number, CAST(date_trunc('month', event_ts) AS DATE) AS dt FROM vitals
+    UNION ALL SELECT 'claims', claim_id, claim_amount, CAST(date_trunc('month', service_date) AS DATE) FROM claims""",
     ["vitals", "claims"]))(_register_tables)
 
 PATIENTS_RAW_DDL = "patient_id string, full_name string, account_balance double, facility_id string, segment string"
@@ -465,25 +579,62 @@ def _batch_sources():
     }
 
 
+#: Per loaded table: the columns that tell its content, doubles as whole hundredths.
+_LOADED = {
+    "fact_patient_visit": (["visit_id", "patient_id", "department", "still_admitted"], "length_of_stay_hours"),
+    "fact_bed_occupancy": (["facility_id", "department", "total_beds", "occupied_beds", "snapshot_date"], "occupancy_rate"),
+    "fact_staffing": (["staff_id", "facility_id", "department", "role", "shift_date", "shift_name"], None),
+    "fact_claim": (["claim_id", "patient_id", "facility_id", "payer", "status"], "claim_amount"),
+    "fact_pharmacy_inventory": (["facility_id", "drug_name", "current_stock", "reorder_threshold", "stockout_risk"], "unit_cost"),
+    "dim_drug": (["drug_name"], None),
+    "dim_payer": (["payer"], None),
+}
+
+
 def _run_batch(s, d):
+    """The log of the run, and the content of the seven tables it loaded."""
     from . import runs
-    raw, clean, cur = scratch_path(s, "raw"), scratch_path(s, "clean"), scratch_path(s, "curated")
+    roots = {k: scratch_path(s, k) for k in ("raw", "cleansed", "curated", "warehouse")}
     sources = {}
     for name, (bind, _, rules_fn, _, extra, _, day) in _batch_sources().items():
         text = _as_raw_text(bind(s, d), day)
-        IO.land_partitioned(text, raw, name, "land_day", "csv")
+        if name == "staff_schedules":       # the declared fact has the shift's hours, which the test tables lack
+            text = text.withColumns({c: F.lit(None).cast("string") for c in ("shift_start", "shift_end")})
+        IO.land_partitioned(text, roots["raw"], name, "land_day", "csv")
         sources[name] = (text.drop("land_day").schema, rules_fn(), extra)
-    return runs.run_batch_daily(s, {"raw": raw, "cleansed": clean, "curated": cur}, IO.ALL_DAYS, sources,
-                                runs.DEFAULT_GOLD)
+    log = runs.run_batch_daily(s, roots, IO.ALL_DAYS, sources, runs.DEFAULT_GOLD)
+    out = log.select(F.lit("log").alias("part"), F.concat_ws("|", "source", "run_date").alias("content"),
+                     "promoted", "quarantined")
+    for table, (cols, number) in _LOADED.items():
+        value = F.round(F.col(number) * 100).cast("long") if number else F.lit(None).cast("long")
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in cols])
+        out = out.unionByName(WH.read_warehouse(s, f"{roots['warehouse']}/{table}").select(
+            F.lit(table).alias("part"), text.alias("content"), value.alias("promoted"), F.lit(None).cast("long").alias("quarantined")))
+    return out
 
 
 def _run_batch_sql():
-    parts, binds = [], []
+    parts, binds, valid_rows = [], [], {}
     for name, (_, cte, _, preds_fn, _, extra_sql, _) in _batch_sources().items():
         valid = " AND ".join([f"({p})" for p in preds_fn(cte) if isinstance(p, str)] + [f"({x})" for x in extra_sql])
-        parts.append(f"SELECT '{name}' AS source, '*' AS run_date, CAST(count_if(v) AS BIGINT) AS promoted, "
+        parts.append(f"SELECT 'log' AS part, '{name}|*' AS content, CAST(count_if(v) AS BIGINT) AS promoted, "
                      f"CAST(count_if(NOT v) AS BIGINT) AS quarantined FROM (SELECT {valid} AS v FROM {cte}) t")
         binds.append(cte)
+        valid_rows[name] = f"(SELECT * FROM {cte} WHERE {valid})"
+    made = {
+        "fact_patient_visit": f"""SELECT *, discharge_ts IS NULL AS still_admitted, date_diff('second', admission_ts, discharge_ts) / 3600.0
+            AS length_of_stay_hours FROM {valid_rows['visits']} v""",
+        "fact_bed_occupancy": f"SELECT *, occupied_beds / total_beds AS occupancy_rate FROM {valid_rows['bed_capacity']} b",
+        "fact_staffing": f"SELECT * FROM {valid_rows['staff_schedules']} s",
+        "fact_claim": f"SELECT * FROM {valid_rows['billing_claims']} c",
+        "fact_pharmacy_inventory": f"SELECT *, current_stock <= reorder_threshold AS stockout_risk FROM {valid_rows['pharmacy_inventory']} p",
+        "dim_drug": f"SELECT DISTINCT drug_name FROM {valid_rows['pharmacy_inventory']} p",
+        "dim_payer": f"SELECT DISTINCT payer FROM {valid_rows['billing_claims']} c",
+    }
+    for table, (cols, number) in _LOADED.items():
+        text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in cols)
+        value = f"CAST(round(CAST({number} AS DOUBLE) * 100) AS BIGINT)" if number else "CAST(NULL AS BIGINT)"
+        parts.append(f"SELECT '{table}', concat_ws('|', {text}), {value}, CAST(NULL AS BIGINT) FROM ({made[table]}) t")
     return with_ctes("\nUNION ALL\n".join(parts), binds)
 
 
@@ -491,11 +642,48 @@ query("run_batch_daily", _run_batch_sql())(_run_batch)
 
 
 def _run_streaming(s, d):
+    """Both streaming sources: every committed output, the loaded fact and the log."""
     from . import runs
-    cur, ck = scratch_path(s, "curated"), scratch_path(s, "ckpt")
-    runs.run_streaming_curation(s, B.vitals_from_events(_event_stream(s, d)), {"curated": cur}, vitals_rules(),
-                                B.VITAL_LIMITS, ck)
-    return _gold_alerts(s.read.parquet(f"{cur}/fact_vitals_alert"))
-
-
-query("run_streaming_curation", _GOLD_ALERTS)(_run_streaming)
+    from .catalog_rules import prescriptions_rules
+    roots = {k: scratch_path(s, k) for k in ("curated", "cleansed", "warehouse")}
+    landed = scratch_path(s, "prescriptions")
+    doses = B.prescriptions(s, d)
+    doses.write.parquet(landed)
+    stream = ST.stream_source(s, landed, doses.schema, fmt="parquet", max_files_per_trigger=4)
+    log = runs.run_streaming_curation(s, B.vitals_from_events(_event_stream(s, d)), roots, vitals_rules(), B.VITAL_LIMITS,
+                                      scratch_path(s, "ckpt"), {"prescriptions": (stream, prescriptions_rules())})
+    read = functools.partial(VS.read_committed, s, f"{roots['curated']}/fact_vitals_alert")
+    doses = functools.partial(VS.read_committed, s, f"{roots['cleansed']}/prescriptions")
+    fact = WH.read_warehouse(s, f"{roots['warehouse']}/fact_vitals_alert")
+    return (_curated_rows("gold", _gold_alerts(read()), ["patient_id", "event_ts", *_BREACHES])
+            .unionByName(_curated_rows("loaded", fact, ["patient_id", "facility_id", *_BREACHES]))
+            .unionByName(_curated_rows("promoted", read(ST.PROMOTED_DIR), ["patient_id", "facility_id"]))
+            .unionByName(_curated_rows("quarantine", read(ST.BAD_DIR), ["patient_id", "facility_id"]))
+            .unionByName(_outcome_rows("outcomes", read(ST.OUTCOMES_DIR)))
+            .unionByName(_curated_rows("doses promoted", doses(ST.PROMOTED_DIR), ["patient_id", "drug_name", "dosage_mg"]))
+            .unionByName(_curated_rows("doses quarantine", doses(ST.BAD_DIR), ["patient_id", "drug_name", "dosage_mg"]))
+            .unionByName(doses(ST.OUTCOMES_DIR).groupBy("rule").agg(F.min("outcome").alias("worst")).select(
+                F.lit("doses outcomes").alias("output"), F.col("rule").alias("key"), F.col("worst").alias("detail")))
+            .unionByName(log.select(F.lit("log").alias("output"), F.col("source").alias("key"),
+                                    F.concat_ws("|", F.col("promoted").cast("string"), F.col("quarantined").cast("string")).alias("detail"))))
+
+
+def _run_streaming_sql():
+    from .catalog_rules import prescriptions_preds, prescriptions_rules, summary_sql
+    good = _valid_sql(prescriptions_preds())
+    outcomes = summary_sql(prescriptions_rules(), prescriptions_preds(), "prescriptions")
+    detail = ["patient_id", "drug_name", "dosage_mg"]
+
+    def counts(source, valid):
+        return (f"SELECT 'log' AS output, '{source}' AS key, count_if({valid}) || '|' || count_if(NOT ({valid})) AS detail "
+                f"FROM {source}")
+    return with_ctes("\nUNION ALL\n".join([
+        *_VITALS_OUT, _vitals_outcomes_sql("outcomes", vitals_rules(), vitals_preds(), "vitals"),
+        _curated_sql("loaded", _GOLD_ALERTS_BODY, ["patient_id", "facility_id", *_BREACHES]),
+        _curated_sql("doses promoted", f"SELECT * FROM prescriptions WHERE {good}", detail),
+        _curated_sql("doses quarantine", f"SELECT * FROM prescriptions WHERE NOT ({good})", detail),
+        _curated_sql("doses outcomes", outcomes, ["outcome"], "rule"),
+        counts("vitals", _valid_sql(vitals_preds())), counts("prescriptions", good)]), ["vitals", "prescriptions"])
+
+
+query("run_streaming_curation", _run_streaming_sql())(_run_streaming)

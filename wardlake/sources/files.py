@@ -8,13 +8,18 @@ inferred: a bad cell becomes NULL (PERMISSIVE) instead of changing a type.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
+import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.errors import AnalysisException
 
+from .versions import _delete, _exists
+
 QUARANTINE_DIR = "_quarantine"
 DQ_RESULTS_DIR = "_dq_results"
 
@@ -94,23 +99,31 @@ def _glued_all_days(spark: SparkSession, path: str, schema: StructType) -> DataF
     return objs.select(F.from_json("obj", schema, {"mode": "PERMISSIVE"}).alias("r"), "dt").select("r.*", "dt")
 
 
-def _object_pattern(depth: int = 4) -> str:
-    """A JSON object up to ``depth`` levels deep; braces inside strings are text."""
-    string = r'"(?:[^"\\]++|\\.)*+"'
-    inner = "(?!)"
-    for _ in range(depth):
-        inner = r"\{(?:[^{}\"]++|" + string + "|" + inner + r")*+\}"
-    return inner
-
-
-GLUED_OBJECT = _object_pattern()
+#: A run of text without braces (strings whole, braces in them are text), a brace, or a quote that never closes.
+_TOKEN = r'(?:[^{}"]++|"(?:[^"\\]++|\\.)*+")++|[{}"]'
 
 
 def _objects(line: Column) -> Column:
-    """The objects of a line; what is left over, if not blank, is one more (corrupt) record."""
-    rest = F.trim(F.regexp_replace(line, GLUED_OBJECT, ""))
-    return F.concat(F.regexp_extract_all(line, F.lit(GLUED_OBJECT), F.lit(0)),
-                    F.when(F.length(rest) > 0, F.array(rest)).otherwise(F.array().cast("array<string>")))
+    """The objects of a line, however deep: a scan over its tokens keeps the brace depth and cuts where
+    it falls back to zero. What lies outside of objects, or is torn, is one more (corrupt) record."""
+    tokens = F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("open"), F.lit("").alias("rest"),
+                     F.array().cast("array<string>").alias("done"))
+
+    def step(state: Column, token: Column) -> Column:
+        depth = state["depth"] + F.when(token == "{", 1).when((token == "}") & (state["depth"] > 0), -1).otherwise(0)
+        inside = (state["depth"] > 0) | (depth > 0)
+        grown = F.when(inside, F.concat(state["open"], token)).otherwise(state["open"])
+        closes = inside & (depth == 0)
+        return F.struct(
+            depth.alias("depth"), F.when(closes, F.lit("")).otherwise(grown).alias("open"),
+            F.when(inside, state["rest"]).otherwise(F.concat(state["rest"], token)).alias("rest"),
+            F.when(closes, F.array_append(state["done"], grown)).otherwise(state["done"]).alias("done"))
+
+    def end(state: Column) -> Column:
+        rest = F.trim(F.concat(state["rest"], state["open"]))
+        return F.when(F.length(rest) > 0, F.array_append(state["done"], rest)).otherwise(state["done"])
+    return F.aggregate(tokens, start, step, end)
 
 
 def split_glued_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -126,18 +139,33 @@ def read_cleansed(spark: SparkSession, root: str, source: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{source}").drop("dt")
 
 
+def day_paths(spark: SparkSession, root: str, source: str, start: str, end: str) -> list[str]:
+    """Folders of the landed days between ``start`` and ``end`` (inclusive), projected from the
+    bounds: one look-up per day, no listing of the source. Days that never landed are left out."""
+    first, last = _dt.date.fromisoformat(start), _dt.date.fromisoformat(end)
+    days = [(first + _dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+    paths = [partition_path(root, source, day) for day in days]
+    with ThreadPoolExecutor(16) as pool:
+        return [p for p, there in zip(paths, pool.map(lambda p: _exists(spark, p), paths)) if there]
+
+
 def read_date_range(spark: SparkSession, root: str, source: str, start: str, end: str,
                     schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
-    """Any day between ``start`` and ``end`` (inclusive) of a dt-partitioned
-    source. The filter is on the partition column, so only those directories
-    are listed and read (PartitionFilters in the plan)."""
+    """Any day between ``start`` and ``end`` (inclusive) of a dt-partitioned source. Only the folders
+    of those days are listed and read, whatever else the source holds (see :func:`day_paths`). No such
+    day: no rows if ``schema`` is given, else an error."""
     path = f"{root.rstrip('/')}/{source}"
+    paths = day_paths(spark, root, source, start, end)
+    if not paths:
+        if schema is None:
+            raise FileNotFoundError(f"no day of {path} between {start} and {end}")
+        return _empty(spark, _with_dt(schema))
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(_with_dt(schema))
     if fmt == "csv":
         reader = reader.option("header", True).option("nullValue", "")
-    df = reader.format(fmt).load(path)
+    df = reader.format(fmt).load(paths)
     return df.filter(F.col("dt").between(F.to_date(F.lit(start)), F.to_date(F.lit(end))))
 
 
@@ -147,10 +175,40 @@ def read_reference(spark: SparkSession, root: str, source: str, schema: StructTy
     return read_raw_csv(spark, root, source, schema, run_date=fixed_date)
 
 
+SCHEMAS_DIR = "_schemas"
+
+
+def record_columns(spark: SparkSession, root: str, source: str, schema: StructType) -> None:
+    """Note under ``<root>/_schemas/<source>/`` that days with these columns have been written: one
+    small record per distinct schema, added once."""
+    text = schema.json()
+    path = f"{root.rstrip('/')}/{SCHEMAS_DIR}/{source}/{hashlib.sha256(text.encode()).hexdigest()[:16]}"
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        row = [(_dt.datetime.now(_dt.timezone.utc), text)]
+        spark.createDataFrame(row, "at timestamp, schema string").coalesce(1).write.mode("overwrite").json(path)
+
+
+def recorded_columns(spark: SparkSession, root: str, source: str) -> StructType | None:
+    """The columns of all recorded schemas of a source: those of the first, then new ones in the
+    order they appeared. None without a record. A column whose type changed raises."""
+    path = f"{root.rstrip('/')}/{SCHEMAS_DIR}/{source}"
+    if not _exists(spark, path):
+        return None
+    fields: dict[str, StructField] = {}
+    for row in spark.read.schema("at timestamp, schema string").json(f"{path}/*").orderBy("at", "schema").collect():
+        for f in StructType.fromJson(json.loads(row.schema)).fields:
+            known = fields.setdefault(f.name, f)
+            if known.dataType != f.dataType:
+                raise ValueError(f"{source}.{f.name}: {known.dataType.simpleString()} and {f.dataType.simpleString()}")
+    return StructType(list(fields.values()))
+
+
 def _write_days(df: DataFrame, base: str, source: str, run_date: str) -> None:
     """One day: overwrite exactly ``dt=<day>``. All days (``"*"``): the rows
     carry a ``dt`` column and the whole source folder is replaced in a static
-    overwrite, so days that no longer have rows are cleared as well."""
+    overwrite, so days that no longer have rows are cleared as well. The
+    columns go to the source's manifest."""
+    record_columns(df.sparkSession, base, source, df.drop("dt").schema)
     if run_date == ALL_DAYS:
         (df.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy("dt").parquet(f"{base.rstrip('/')}/{source}"))
@@ -195,11 +253,17 @@ def _write_outcomes(summary: DataFrame, path: str) -> None:
 
 
 def write_curated(df: DataFrame, root_or_table: str, schema: StructType | None = None) -> None:
-    """Full-refresh overwrite of a curated table (path or catalog table)."""
+    """Full-refresh overwrite of a curated table (path or catalog table). A path is written
+    aside and moved into place, so a write that fails leaves the old content."""
     from .warehouse import conform
     out = conform(df, schema) if schema is not None else df
     if "/" in root_or_table:
-        out.write.mode("overwrite").parquet(root_or_table)
+        aside = f"{root_or_table.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+        try:
+            out.write.parquet(aside)
+            _move(df.sparkSession, aside, root_or_table.rstrip("/"))
+        finally:
+            _delete(df.sparkSession, aside)
     else:
         out.write.mode("overwrite").saveAsTable(root_or_table)
 
@@ -223,39 +287,61 @@ def land_partitioned(df: DataFrame, root: str, source: str, dt: str, fmt: str =
     return path
 
 
+def _move(spark: SparkSession, source: str, target: str) -> bool:
+    """Replace the folder ``target`` by ``source``; False if there is no ``source``."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, source))
+    fs = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(new):
+        return False
+    fs.mkdirs(old.getParent())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"{source} could not be moved to {target}")
+    return True
+
+
 def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date: str, extra=()) -> dict:
-    """Evaluate once, write promoted rows, quarantine (always overwritten) and
-    rule outcomes; promoted/quarantined counts are observed during the writes
-    (no extra count jobs). Returns the run-log entry."""
-    from ..operators.rules import (VALID, DatasetRule, evaluate_rules_rows, evaluate_rules_summary,
-                                   split_quarantine, split_valid)
-    cols = df.columns
-    ev = evaluate_rules_rows(df, rules, extra)
+    """Cleanse ``df`` into promoted rows, quarantine (always replaced) and rule outcomes. Returns the
+    run-log entry.
+
+    The raw rows are read and evaluated once, by one write that is partitioned by the verdict; its two
+    halves are then moved into place. Outcomes come from what was written: promoted rows pass every row
+    rule, so only quarantined rows are evaluated again, and only (key, count) is shuffled for uniqueness.
+    Counts are observed during the write."""
+    from ..operators.rules import VALID, DatasetRule, evaluate_rules_rows, summary_of_split
+    spark, every = df.sparkSession, run_date == ALL_DAYS
+    cols = df.columns if every else [c for c in df.columns if c != "dt"]
     obs = Observation(f"cleanse_{source}_{uuid.uuid4().hex[:8]}")
-    ev = ev.observe(obs, F.count_if(F.col(VALID)).alias("promoted"),
-                    F.count_if(~F.col(VALID)).alias("quarantined"))
-    # One day: persist, since the evaluated rows feed two writes. All days
-    # (backfill): no cache -- re-reading the source for the second write is
-    # cheaper than caching a whole source on executor disks.
-    cache = run_date != ALL_DAYS
-    if cache:
-        ev = ev.persist()
-    try:
-        write_cleansed(split_valid(ev, cols), root, source, run_date)
-        write_quarantine(split_quarantine(ev, cols), root, source, run_date)
-    finally:
-        if cache:
-            ev.unpersist()
-    if run_date == ALL_DAYS:
+    ev = evaluate_rules_rows(df, rules, extra).observe(
+        obs, F.count_if(F.col(VALID)).alias("promoted"), F.count_if(~F.col(VALID)).alias("quarantined"))
+    verdict = F.when(F.col(VALID), "promoted").otherwise("quarantined").alias("__verdict")
+    rows = ev.select(*cols, verdict)
+    parts = ["__verdict", "dt"] if every else ["__verdict"]
+    staged = f"{root.rstrip('/')}/_staging/{source}-{uuid.uuid4().hex[:12]}"
+    (rows.hint("rebalance", *parts) if every else rows).write.partitionBy(*parts).parquet(staged)
+
+    halves = {}
+    schema = StructType([f for f in df.schema.fields if f.name in cols])
+    for name, base in (("promoted", root.rstrip("/")), ("quarantined", f"{root.rstrip('/')}/{QUARANTINE_DIR}")):
+        target = partition_path(base, source, run_date)
+        if not _move(spark, f"{staged}/__verdict={name}", target):
+            _write_days(_empty(spark, schema), base, source, run_date)      # clears stale rows, keeps the columns
+        record_columns(spark, base, source, StructType([f for f in schema.fields if f.name != "dt"]))
+        halves[name] = spark.read.schema(schema).parquet(target).select(*cols)
+    _delete(spark, staged)
+
+    good, bad = halves["promoted"], halves["quarantined"]
+    if every:
         # per-day outcomes for every rule that has a per-key form; custom-SQL
         # rules are scalar over the whole input and have a folder of their own
         keyed = [r for r in rules if not (isinstance(r, DatasetRule) and not r.unique_column)]
         whole = [r for r in rules if r not in keyed]
-        write_dq_results(evaluate_rules_summary(df, keyed, extra, keys=["dt"]), root, source, ALL_DAYS)
+        write_dq_results(summary_of_split(good, bad, keyed, extra, keys=["dt"]), root, source, ALL_DAYS)
         if whole:
-            _write_outcomes(evaluate_rules_summary(df.drop("dt"), whole), f"{root.rstrip('/')}/{WHOLE_RESULTS_DIR}/source={source}")
+            _write_outcomes(summary_of_split(good.drop("dt"), bad.drop("dt"), whole),
+                            f"{root.rstrip('/')}/{WHOLE_RESULTS_DIR}/source={source}")
     else:
-        write_dq_results(evaluate_rules_summary(df, rules, extra), root, source, run_date)
+        write_dq_results(summary_of_split(good, bad, rules, extra), root, source, run_date)
     m = obs.get
     return {"source": source, "run_date": run_date, "promoted": int(m.get("promoted", 0)),
             "quarantined": int(m.get("quarantined", 0))}

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
+
+from ..functions.timefn import as_timestamp
+from ..operators.windows import CHUNK, with_chunks
+from . import versions
 
 # Declared column types of the 13 warehouse tables (dates/times are text, as
 # in the reference warehouse; calendar full_date is a DATE).
@@ -37,9 +42,10 @@ WAREHOUSE_DDL = {
 }
 
 # Physical layout per table: replicated (broadcast) dimensions, facts
-# distributed by their entity key and sorted by date.
+# distributed by their entity key and sorted by date. "order" tells the rows
+# of an entity apart in time.
 TABLE_LAYOUT = {
-    "fact_patient_visit": {"dist_key": "patient_id", "sort_keys": ["admission_ts"]},
+    "fact_patient_visit": {"dist_key": "patient_id", "sort_keys": ["admission_ts"], "order": ["admission_ts", "visit_id"]},
     "fact_claim": {"dist_key": "patient_id", "sort_keys": ["service_date"]},
     "fact_staffing": {"dist_key": "staff_id", "sort_keys": ["shift_date"]},
     "fact_vitals_alert": {"dist_key": "patient_id", "sort_keys": ["event_ts"]},
@@ -92,24 +98,93 @@ def table_layout(df: DataFrame, dist_key: str | None = None, sort_keys: Sequence
     return out
 
 
-def load_warehouse(df: DataFrame, table: str, schema: StructType | None = None, path: str | None = None) -> None:
-    """TRUNCATE + COPY semantics: the table's content is replaced in one
-    overwrite, so a re-run never double counts."""
+def load_warehouse(df: DataFrame, table: str, schema: StructType | None = None, path: str | None = None,
+                   layout: Mapping | None = None, buckets: int | None = None, location: str | None = None,
+                   keep: int = 2) -> None:
+    """TRUNCATE + COPY semantics that cannot leave the table empty or half full: the rows go to a
+    new version, and one step makes it the content. A load that fails changes nothing; a re-run
+    never double counts. Declared tables get their ``TABLE_LAYOUT``, others ``layout``.
+
+    ``path``: versions under that folder, read with :func:`read_warehouse`; rows clustered by the
+    distribution key (hot keys split) and sorted. Without it: a catalog table per version, bucketed by
+    the distribution key and by the chunk of its heavy entities (``operators.windows.with_chunks``) into
+    ``buckets`` (default: the shuffle partitions) and sorted, and the view ``table`` over the newest;
+    files go under ``location`` if given, else to the catalog's own folder. The newest ``keep``
+    versions stay."""
     out = conform(df, schema or warehouse_schema(table)) if (schema or table in WAREHOUSE_DDL) else df
+    layout = layout or TABLE_LAYOUT.get(table, {})
     if path:
-        out.write.mode("overwrite").parquet(path)
+        laid = table_layout(out, layout.get("dist_key"), layout.get("sort_keys", ()))
+        versions.publish(df.sparkSession, path, lambda folder: laid.write.parquet(folder), {"table": table}, keep)
+    else:
+        _load_table(out, table, layout, buckets, location, keep)
+
+
+def read_warehouse(spark: SparkSession, path: str) -> DataFrame:
+    """The content of a table loaded to ``path``."""
+    return versions.read_current(spark, path)
+
+
+def _version_tables(spark: SparkSession, table: str) -> list[str]:
+    """The version tables of ``table``, newest first."""
+    found = [r.tableName for r in spark.sql(f"SHOW TABLES LIKE '{table}__v*'").collect()]
+    return sorted((t for t in found if re.fullmatch(re.escape(table) + r"__v\d{8}", t)), reverse=True)
+
+
+def _load_table(df: DataFrame, table: str, layout: Mapping, buckets: int | None, location: str | None, keep: int) -> None:
+    spark = df.sparkSession
+    before = _version_tables(spark, table)
+    name = f"{table}__v{int(before[0][-8:]) + 1 if before else 1:08d}"
+    key, sort = layout.get("dist_key"), layout.get("sort_keys", [])
+    if key:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        laid = _chunked(df, key, layout.get("order", sort), sort)
+        # one file per bucket: the shuffle and the buckets hash alike
+        writer = laid.repartition(n, key, CHUNK).write.bucketBy(n, key, CHUNK).sortBy(*sort)
     else:
-        out.write.mode("overwrite").saveAsTable(table)
+        writer = df.sortWithinPartitions(*sort).write if sort else df.write
+    if location:
+        writer = writer.option("path", f"{location.rstrip('/')}/{name}")
+    try:
+        writer.saveAsTable(name)
+        spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {name}")
+    except Exception:
+        _drop(spark, name, location)
+        raise
+    for old in before[max(keep, 1) - 1:]:
+        _drop(spark, old, location)
+
+
+def _drop(spark: SparkSession, name: str, location: str | None) -> None:
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    if location:
+        versions._delete(spark, f"{location.rstrip('/')}/{name}")
+
+
+def _chunked(df: DataFrame, key: str, order: Sequence[str], times: Sequence[str]) -> DataFrame:
+    """``df`` with the chunk of its heavy entities; text times are ordered as times, as the LAG does."""
+    text = [c for c in order if c in times and isinstance(df.schema[c].dataType, StringType)]
+    named = {f"__{c}": as_timestamp(c, df.schema[c].dataType) for c in text}
+    return with_chunks(df.withColumns(named), key, [f"__{c}" if c in text else c for c in order]).drop(*named)
 
 
 def register_tables(spark: SparkSession, root: str, sources: Sequence[str], prefix: str = "",
                     merge_schema: bool = True) -> list[str]:
     """Register each ``<root>/<source>`` Parquet folder as a temp view
     ``<prefix><source>``; partition folders are discovered and schemas of
-    different days are merged additively (new columns appear, old ones stay)."""
+    different days are merged additively (new columns appear, old ones stay).
+
+    The columns come from the manifest that the writers keep (``files.record_columns``),
+    so no file is opened to register a table. A folder without one was written by others:
+    its footers are read (``merge_schema``)."""
+    from .files import recorded_columns
     names = []
     for src in sources:
-        df = spark.read.option("mergeSchema", merge_schema).parquet(f"{root.rstrip('/')}/{src}")
+        path, known = f"{root.rstrip('/')}/{src}", recorded_columns(spark, root, src)
+        if known is not None:
+            df = spark.read.schema(known).parquet(path)
+        else:
+            df = spark.read.option("mergeSchema", merge_schema).parquet(path)
         name = f"{prefix}{src}"
         df.createOrReplaceTempView(name)
         names.append(name)
