@@ -1,4 +1,7 @@
+import hashlib
+import os
 import random
+import re
 import struct
 import zlib
 
@@ -58,7 +61,53 @@ def test_reader_takes_plain_and_compressed_dictionaries():
     for packed in (False, True):
         assert [r["payload"] for r in warc._walk(archive(records, packed=packed))] == [b"body 0", b"body 1", b"body 2"]
     plain = zstandard.ZstdCompressor().compress(records[0])
-    assert [r["page_id"] for r in warc._walk(plain)] == [0]
+    assert [r["record_id"] for r in warc._walk(plain)] == ["<urn:wardlake:page:0>"]
+
+
+def foreign(version, kind, headers, block, ident):
+    head = {"warc-type": kind, "WARC-RECORD-ID": f"<urn:uuid:{ident}>", "Warc-Date": "2024-05-01T12:00:00Z", **headers, "content-length": str(len(block))}
+    return version + b"\r\n" + b"".join(f"{k}: {v}\r\n".encode() for k, v in head.items()) + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_archives_of_other_writers_come_back_whole(spark):
+    http = {"Content-Type": "application/http; msgtype=response", "WARC-Target-URI": "http://x/"}
+    body = b"hello world, in chunks"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n5;a=b\r\nhello\r\n11\r\n world, in chunks\r\n0\r\n\r\n"
+    sha = hashlib.sha256(body).hexdigest()
+    records = [
+        foreign(b"WARC/1.0", "warcinfo", {"Content-Type": "application/warc-fields", "WARC-Filename": "a.warc"}, b"software: x\r\n", "i"),
+        foreign(b"WARC/1.0", "request", {"Content-Type": "application/http;msgtype=request"}, b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "q"),
+        foreign(b"WARC/1.0", "response", http | {"WARC-Payload-Digest": f"sha256:{sha.upper()}"}, chunked, "r1"),
+        foreign(b"WARC/1.1", "response", http | {"WARC-Payload-Digest": "sha1:" + warc.digest(b"plain").lower()},
+                b"HTTP/1.0 404 Not Found\r\nContent-Type:\r\n text/plain\r\n\r\nplain", "r2"),
+        foreign(b"WARC/1.1", "resource", {"Content-Type": "image/png", "WARC-Block-Digest": "blake9:zz"}, b"\x00\xff", "s"),
+        foreign(b"WARC/1.1", "response", {"Content-Type": "text/dns", "WARC-Target-URI": "dns:x"}, b"20240501\r\nx. 300 IN A 1.2.3.4\r\n", "d"),
+        foreign(b"WARC/1.1", "revisit", http | {"WARC-Refers-To-Target-URI": "http://x/"}, b"", "v"),
+        foreign(b"WARC/1.1", "metadata", {}, b"", "m"),
+        foreign(b"WARC/1.1", "response", http | {"WARC-Truncated": "length"}, b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\ncut", "t"),
+        foreign(b"WARC/1.1", "resource", {"WARC-Block-Digest": "sha1:AAAA"}, b"x", "bad1"),
+        foreign(b"WARC/1.1", "response", http, b"HTTP/1.1 200 OK\r\nContent-Length: 99\r\n\r\nshort", "bad2")]
+    # streaming frames without a size, with a skippable frame between them
+    pack = zstandard.ZstdCompressor(write_content_size=False)
+    frames = []
+    for r in records:
+        out = pack.compressobj()
+        frames.append(out.compress(r) + out.flush())
+    content = frames[0] + struct.pack("<II", 0x184D2A53, 3) + b"pad" + b"".join(frames[1:])
+    path = shared_path(prepare(spark), "foreign")
+    os.makedirs(path)
+    with open(f"{path}/x.warc.zst", "wb") as f:
+        f.write(content)
+    rows = {re.sub(".*:|>", "", r.record_id): r for r in warc.read_archives(spark, path).where("error IS NULL").collect()}
+    assert {k: r.record_type for k, r in rows.items()} == {
+        "i": "warcinfo", "q": "request", "r1": "response", "r2": "response", "s": "resource", "d": "response", "v": "revisit", "m": "metadata", "t": "response"}
+    assert {k: r.payload and bytes(r.payload) for k, r in rows.items()} == {
+        "i": b"software: x\r\n", "q": b"", "r1": body, "r2": b"plain", "s": b"\x00\xff", "d": b"20240501\r\nx. 300 IN A 1.2.3.4\r\n", "v": None, "m": b"", "t": b"cut"}
+    assert rows["r1"].http_status == 200 and rows["r2"].http_status == 404 and rows["i"].version == "WARC/1.0" and rows["s"].http_status is None
+    assert rows["i"].headers["warc-filename"] == "a.warc" and rows["r1"].date == "2024-05-01T12:00:00Z" and rows["d"].url == "dns:x"
+    faults = sorted(r.error for r in warc.read_archives(spark, path).where("error IS NOT NULL").collect())
+    assert faults == ["block does not match its digest", "payload does not match its length"]
+    assert {r.page_id for r in warc.page_records(warc.read_archives(spark, path)).collect()} == {None}
 
 
 def test_frame_ends_are_found():

@@ -2,19 +2,23 @@
 
 File layout: a leading skippable frame (magic 0x184D2A5D) holds the dictionary, then
 comes one zstd frame for each record. The reader takes the dictionary from that frame,
-walks the frames by their block headers, decodes one at a time and checks the record's
-version line, headers, lengths and payload digest.
+walks the frames by their block headers, decodes one at a time (with or without a stated
+size; other skippable frames are passed over) and checks the record's version line, headers,
+lengths and whatever digests it carries. It reads records of any type and any writer; HTTP
+heads are taken off where the record says that it holds HTTP, and chunked bodies joined.
 
 Scale: equal payloads are found on (id, digest) rows, without the payloads; those move
 once, by page. Each task writes its own files, rolled at ``file_bytes``, under names that
 depend on its partition alone, finished under a hidden name and then moved: a task that
-runs again after a lost executor replaces its own files. Reading is one task per file.
+runs again after a lost executor replaces its own files. Reading is one task per file; a file
+is one row of Spark's binary source, so it must stay under 2 GB (the writer rolls far below).
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import urllib.parse
 from collections.abc import Iterator
@@ -38,10 +42,15 @@ ID_PREFIX = "urn:wardlake:page:"
 WARC_DATE = "1970-01-01T00:00:00Z"      # the pages carry no date
 REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 
-RECORDS = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, "
-           "payload_digest string, payload binary, error string")
-_ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
-                    ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
+_SKIPPABLE = range(0x184D2A50, 0x184D2A60)
+
+RECORDS = ("file string, offset long, version string, record_id string, record_type string, date string, url string, "
+           "refers_to string, content_type string, headers map<string,string>, block_bytes long, http_status int, "
+           "payload_bytes long, payload_digest string, payload binary, error string")
+_ARROW = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("version", pa.string()), ("record_id", pa.string()),
+                    ("record_type", pa.string()), ("date", pa.string()), ("url", pa.string()), ("refers_to", pa.string()),
+                    ("content_type", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("block_bytes", pa.int64()),
+                    ("http_status", pa.int32()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                     ("payload", pa.binary()), ("error", pa.string())])
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 
@@ -54,11 +63,6 @@ def _record_id(page_id: int | None) -> str:
     return f"<{ID_PREFIX}{'null' if page_id is None else page_id}>"
 
 
-def _page_id(value: str) -> int | None:
-    text = value.strip().removeprefix("<" + ID_PREFIX).removesuffix(">")
-    return None if text == "null" else int(text)
-
-
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """One WARC record: a response, or a revisit (head only) where ``refers_to`` is set."""
     target = urllib.parse.quote(url or "about:blank", safe="%/:?#[]@!$&'()*+,;=~")
@@ -177,68 +181,140 @@ def open_dictionary(buf: memoryview) -> tuple[bytes | None, int]:
     return raw, 8 + size
 
 
+def _fields(lines: list[bytes]) -> dict[str, str]:
+    """Header fields by lower-cased name; folded lines continue the one before, a repeated name the first."""
+    pairs: list[list[str]] = []
+    for line in lines:
+        text = line.decode("utf-8", "replace")
+        if text[:1] in (" ", "\t") and pairs:
+            pairs[-1][1] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
+        if not colon:
+            raise ValueError(f"malformed header {line[:40]!r}")
+        pairs.append([name.strip().lower(), value.strip()])
+    out: dict[str, str] = {}
+    for name, value in pairs:
+        out[name] = f"{out[name]}, {value}" if name in out else value
+    return out
+
+
+def _digest_fits(stated: str, *bodies: bytes) -> bool:
+    """Is ``stated`` (algorithm:value, value in base 32 or 16) the digest of one of ``bodies``? An
+    algorithm that Python does not know is not checked."""
+    algorithm, _, value = stated.partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    value = value.strip().rstrip("=")
+    for body in bodies:
+        raw = hashlib.new(algorithm, body).digest()
+        if value.lower() == raw.hex() or value.upper() == base64.b32encode(raw).decode().rstrip("="):
+            return True
+    return False
+
+
+def _dechunked(body: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not size or size.strip(b"0123456789abcdefABCDEF"):
+            raise ValueError("malformed chunk")
+        n, at = int(size, 16), end + 2
+        if not n:
+            return b"".join(out)
+        if body[at + n:at + n + 2] != b"\r\n":
+            raise ValueError("chunk is cut off")
+        out.append(body[at:at + n])
+        at += n + 2
+
+
+def _http(block: bytes) -> tuple[int | None, dict[str, str], bytes]:
+    """Status (of a response), fields and body as it was sent."""
+    head, found, body = block.partition(b"\r\n\r\n")
+    if not found:
+        head, found, body = block.partition(b"\n\n")
+    if not found:
+        head, body = block, b""
+    lines = head.replace(b"\r\n", b"\n").rstrip(b"\n").split(b"\n")
+    start = lines[0].split()
+    status = int(start[1]) if len(start) > 1 and start[0].startswith(b"HTTP/") and start[1].isdigit() else None
+    return status, _fields([x for x in lines[1:] if x.strip()]), body
+
+
 def parse(data: bytes) -> dict:
-    """Check one decoded record; raises ValueError with the fault."""
+    """One decoded record, checked; raises ValueError with the fault."""
     head, found, rest = data.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not found or lines[0] != VERSION:
-        raise ValueError("no WARC/1.1 version line")
-    fields = {}
-    for line in lines[1:]:
-        name, colon, value = line.decode("utf-8", "replace").partition(":")
-        if not colon:
-            raise ValueError(f"malformed header {line[:40]!r}")
-        fields[name.strip()] = value.strip()
+    if not found or not re.fullmatch(rb"WARC/1\.\d+", lines[0]):
+        raise ValueError("no WARC/1 version line")
+    fields = _fields(lines[1:])
     for name in REQUIRED:
-        if name not in fields:
+        if name.lower() not in fields:
             raise ValueError(f"header {name} is missing")
-    if not fields["Content-Length"].isdigit():
+    if not fields["content-length"].isdigit():
         raise ValueError("Content-Length is no number")
-    length = int(fields["Content-Length"])
+    length = int(fields["content-length"])
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise ValueError(f"block has {len(rest) - 4} bytes, Content-Length says {length}")
-    http, found, payload = rest[:length].partition(b"\r\n\r\n")
-    sizes = [x.split(b":", 1)[1].strip() for x in http.split(b"\r\n")[1:] if x.lower().startswith(b"content-length:")]
-    if not found or len(sizes) != 1 or not sizes[0].isdigit():
-        raise ValueError("malformed HTTP head")
-    kind, sha = fields["WARC-Type"], fields.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-    if kind == "response" and (len(payload) != int(sizes[0]) or digest(payload) != sha):
-        raise ValueError("payload does not match its length or digest")
-    if kind == "revisit" and (payload or "WARC-Refers-To" not in fields):
+    block, kind = rest[:length], fields["warc-type"].lower()
+    if "warc-block-digest" in fields and not _digest_fits(fields["warc-block-digest"], block):
+        raise ValueError("block does not match its digest")
+    if kind == "revisit" and not {"warc-refers-to", "warc-refers-to-target-uri", "warc-payload-digest"} & set(fields):
         raise ValueError("malformed revisit")
-    return {"page_id": _page_id(fields["WARC-Record-ID"]), "url": fields.get("WARC-Target-URI"), "record_type": kind,
-            "refers_to": _page_id(fields["WARC-Refers-To"]) if kind == "revisit" else None,
-            "payload_bytes": int(sizes[0]), "payload_digest": sha,
-            "payload": payload if kind == "response" else None, "error": None}
+    status, payload, size, cut = None, block, length, "warc-truncated" in fields
+    if fields.get("content-type", "").lower().startswith("application/http"):
+        status, http, sent = _http(block)
+        payload = _dechunked(sent) if "chunked" in http.get("transfer-encoding", "").lower() and sent and not cut else sent
+        size = len(payload)
+        stated = {x.strip() for x in http.get("content-length", "").split(",")} - {""}
+        if kind == "revisit" and not payload and len(stated) == 1 and next(iter(stated)).isdigit():
+            size = int(next(iter(stated)))      # of the payload it refers to
+        elif kind == "response" and stated and payload is sent and not cut and stated != {str(size)}:
+            raise ValueError("payload does not match its length")
+        if kind != "revisit" and not cut and not _digest_fits(fields.get("warc-payload-digest", ""), payload, sent):
+            raise ValueError("payload does not match its digest")
+    return {"version": lines[0].decode(), "record_id": fields["warc-record-id"], "record_type": kind, "date": fields["warc-date"],
+            "url": fields.get("warc-target-uri"), "refers_to": fields.get("warc-refers-to"), "content_type": fields.get("content-type"),
+            "headers": list(fields.items()), "block_bytes": length, "http_status": status, "payload_bytes": size,
+            "payload_digest": fields.get("warc-payload-digest"), "payload": None if kind == "revisit" and not payload else payload,
+            "error": None}
 
 
 def _walk(content: bytes) -> Iterator[dict]:
     """Every record of one file; a broken record or frame gives a row with ``error``."""
     buf, blank = memoryview(content), dict.fromkeys(_ARROW.names)
+    at = 0
     try:
         raw, at = open_dictionary(buf)
         unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw) if raw else None)
         while at < len(buf):
+            if len(buf) >= at + 8 and struct.unpack_from("<I", buf, at)[0] in _SKIPPABLE:
+                at += 8 + struct.unpack_from("<I", buf, at + 4)[0]
+                continue
             end = frame_end(buf, at)
             try:
-                yield parse(unpack.decompress(buf[at:end]))
+                # a frame need not state its size
+                yield blank | parse(unpack.decompressobj().decompress(buf[at:end])) | {"offset": at}
             except (ValueError, zstandard.ZstdError) as e:
-                yield blank | {"error": str(e)}
+                yield blank | {"error": str(e), "offset": at}
             at = end
     except (ValueError, zstandard.ZstdError) as e:      # nothing behind this point can be found
-        yield blank | {"error": str(e)}
+        yield blank | {"error": str(e), "offset": at}
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.warc.zst") -> DataFrame:
-    """Records of the archives in ``path``: id, url, type, what a revisit refers to, length
-    and digest of the full payload, the payload of responses, and ``error`` for records
-    that fail a check."""
+    """Every record of the archives in ``path``, in columns ``RECORDS``: ids and times as written, ``headers`` by
+    lower-cased name, ``payload`` (the body of HTTP, chunks joined; else the block; null for a revisit
+    without one), ``payload_bytes`` (of the full payload, where a revisit states it), and ``error`` for
+    a record that fails a check (the other columns but file and offset are null then)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
+            for name, content in zip(*batch.columns):
                 rows, size = [], 0
                 for row in _walk(content.as_py()):
-                    rows.append(row)
+                    rows.append(row | {"file": name.as_py()})
                     size += len(row["payload"] or b"")
                     if size > 8 << 20:
                         yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
@@ -247,7 +323,16 @@ def read_archives(spark: SparkSession, path: str, glob: str = "*.warc.zst") -> D
                     yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select("content").mapInArrow(run, RECORDS)
+    return files.select("path", "content").mapInArrow(run, RECORDS)
+
+
+def page_records(records: DataFrame) -> DataFrame:
+    """Records of our own writer by page: page_id, url, record_type, refers_to (a page_id), payload_bytes,
+    payload_digest (bare), payload, error."""
+    def page(record_id: str):
+        return F.regexp_extract(record_id, f"^<{ID_PREFIX}(.*)>$", 1).try_cast("long")
+    return records.select(page("record_id").alias("page_id"), "url", "record_type", page("refers_to").alias("refers_to"), "payload_bytes",
+                          F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "payload", "error")
 
 
 def round_trip(pages: DataFrame, min_bytes: int = 0, file_bytes: int = 32 << 20) -> DataFrame:
@@ -261,5 +346,5 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, file_bytes: int = 32 << 20)
     spark, path = pages.sparkSession, shared_path(pages.sparkSession, "warc")
     made = write_archives(pages, path, train_dictionary(pages), min_bytes, file_bytes)
     if made.isEmpty():
-        return spark.createDataFrame([], RECORDS)
-    return read_archives(spark, path + "/archives")
+        return page_records(spark.createDataFrame([], RECORDS))
+    return page_records(read_archives(spark, path + "/archives"))
