@@ -3,8 +3,10 @@
 Every detected entity gets a replacement of its own type and format: digits stay digits in
 their grouping, addresses stay addresses, names keep gender, script and case. The replacement
 is a function of a secret key, the entity's type and its canonical value, so all mentions of an
-entity get the same one, in every document (names are mapped word by word, so "Ms Ada Byron" and
-"Ms Byron" still share a surname). A check over all distinct entities finds replacements that
+entity get the same one, in every document. Names are mapped word by word, so "Ms Ada Byron" and
+"Ms Byron" still share a surname; the gender of a given name comes from all its mentions, not from
+the one at hand; and a capitalised word that is a detected name of the same text is replaced where
+it stands alone, too. Mailbox and host of an address are entities of their own. A check over all distinct entities finds replacements that
 two entities share or that equal a real entity; those move to their next candidate until all
 are distinct and new. Where a format has too few values for that, candidates get wider.
 
@@ -39,7 +41,8 @@ SYLLABLES = {"latin": (["ba", "ce", "di", "fo", "gu", "la", "me", "ni", "ro", "s
 
 _WORD = "\\p{Lu}[\\p{L}'’-]++"
 _OCTET = "(?:25[0-5]|2[0-4]\\d|1?\\d?\\d)"
-_FIRST = "".join(sorted({w[0] for g in (TITLES, GIVEN) for ws in g.values() for w in ws}))
+_FIRST = "".join(sorted({c for g in (TITLES, GIVEN) for ws in g.values() for w in ws for c in (w[0], w[0].lower())}))
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: type -> pattern, first match wins at any place. Quantifiers are possessive or bounded, and a
 #: look at the first characters lets most places fail at once.
 PATTERNS = {
@@ -48,17 +51,18 @@ PATTERNS = {
               "|(?=[Aegs])\\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_\\w{20,}+|sk-\\w{20,}+|eyJ[\\w-]{10,}+\\.[\\w.-]++)",
     "iban": "(?=[A-Z]{2}\\d)(?<!\\w)[A-Z]{2}\\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\\w)",
     "ip": f"(?=\\d)(?<![\\d.])(?:{_OCTET}\\.){{3}}{_OCTET}(?!\\d|\\.\\d)",
-    "ip6": "(?=[0-9A-Fa-f]{1,4}:)(?<![\\w:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\\w:])",
+    "ip6": f"(?=[0-9A-Fa-f:]{{1,4}}:)(?<![\\w:.])(?=[0-9A-Fa-f:]*\\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}(?::{_HEX}){{0,6}})?::(?:{_HEX}(?::{_HEX}){{0,6}})?)(?![\\w:])",
     "ssn": "(?=\\d)(?<![\\d-])\\d{3}-\\d{2}-\\d{4}(?![\\d-])",
     "phone": "(?=[0-9+(])(?<![\\w+])(?:\\+\\d{1,3}[ .-]?(?:\\(\\d{1,4}\\)|\\d{1,4})(?:[ .-]?\\d{2,4}){2,4}|(?:\\(\\d{3}\\) ?|\\d{3}[ .-])\\d{3}[ .-]\\d{4})(?!\\d)",
     "card": "(?=\\d)(?<![\\w+-])\\d(?:[ -]?\\d){12,18}(?![\\w])",
-    "person": f"(?=[{_FIRST}])(?<![\\p{{L}}])(?:(?:{'|'.join(t for g in TITLES.values() for t in g)})\\.? {_WORD}(?: {_WORD}){{0,2}}"
+    "person": f"(?=[{_FIRST}])(?<![\\p{{L}}])(?:(?iu:{'|'.join(t for g in TITLES.values() for t in g)})\\.? {_WORD}(?: {_WORD}){{0,2}}"
               f"|(?:{'|'.join(n for g in GIVEN.values() for n in g)}) {_WORD})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every entity holds: texts without it are passed over.
 HINT = f"[0-9@=:]|AKIA|gh[pousr]_|sk-|eyJ|{PATTERNS['person']}"
 _DIGITS = ("phone", "card", "ssn")
+_OWN = "['’][sS]\\z"
 #: So many candidates keep the value's format; later ones are wider by WIDER digits each.
 IN_FORMAT, WIDER = 8, 4
 
@@ -73,32 +77,49 @@ def _kind(e: Column) -> Column:
 
 
 def _one_of(word: Column, lists: dict[str, list[str]]) -> Column:
-    """Gender of the list that holds ``word``, or null."""
+    """Gender of the list that holds ``word`` in any case, or null."""
     out = F.lit(None).cast("string")
     for gender, words in lists.items():
-        out = F.when(word.isin(words), gender).otherwise(out)
+        out = F.when(F.lower(word).isin([w.lower() for w in words]), gender).otherwise(out)
     return out
 
 
 def mentions(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, pos, part, kind, shown, value): each entity of each text, a name in words;
-    ``value`` is canonical, ``kind`` "title" stays as it is."""
+    """(doc_id, th, pos, part, glue, kind, shown, value, gender): each entity of each text, names in words,
+    addresses in mailbox and host; ``glue`` joins the parts. ``value`` is canonical. ``kind`` "kept" stays as
+    it is: titles, and digits that are no card as their check digit is wrong."""
     found = (docs.where(F.regexp_like("text", F.lit(HINT)))
              .select("doc_id", F.xxhash64("text").alias("th"), F.regexp_extract_all("text", F.lit(ANY), F.lit(0)).alias("found"))
              .select("doc_id", "th", F.posexplode("found").alias("pos", "e"))
-             .withColumn("kind", _kind(F.col("e"))))
-    words = F.when(F.col("kind") == "person", F.split("e", " ")).otherwise(F.array("e"))
+             .withColumn("whole", _kind(F.col("e"))))
+    e, whole = F.col("e"), F.col("whole")
+    words = (F.when(whole == "person", F.split(e, " "))
+             .when(whole == "email", F.array(F.substring_index(e, "@", 1), F.substring_index(e, "@", -1))).otherwise(F.array(e)))
     parts = found.withColumn("words", words).select(
-        "doc_id", "th", "pos", F.col("kind").alias("whole"), "words", F.posexplode("words").alias("part", "shown"))
-    bare = F.rtrim(F.get("words", F.lit(0)), F.lit("."))
-    title, last = _one_of(bare, TITLES), F.col("part") == F.size("words") - 1
-    gender = F.coalesce(title, _one_of(F.get("words", F.lit(0)), GIVEN), F.lit("n"))
-    kind = (F.when(F.col("whole") != "person", F.col("whole"))
-            .when((F.col("part") == 0) & title.isNotNull(), "title")
-            .when(last, "surname").otherwise(F.concat(F.lit("given_"), gender)))
-    value = (F.when(F.col("kind").isin(*_DIGITS), F.regexp_replace("shown", "\\D", ""))
-             .when(F.col("kind").isin("secret", "iban"), F.col("shown")).otherwise(F.lower("shown")))
-    return parts.withColumn("kind", kind).select("doc_id", "th", "pos", "part", "kind", "shown", value.alias("value"))
+        "doc_id", "th", "pos", "whole", "e", "words", F.posexplode("words").alias("part", "shown"))
+    title, last = _one_of(F.rtrim(F.get("words", F.lit(0)), F.lit(".")), TITLES), F.col("part") == F.size("words") - 1
+    digits = F.regexp_replace("shown", "\\D", "")
+    kind = (F.when(whole == "email", F.when(F.col("part") == 0, "mailbox").otherwise("host"))
+            .when((whole == "card") & (_luhn(F.when(whole == "card", digits).otherwise("0")) % 10 != 0), "kept")
+            .when(whole != "person", whole)
+            .when((F.col("part") == 0) & title.isNotNull(), "kept")
+            .when(last, "surname").otherwise("given"))
+    name = F.lower(F.regexp_replace("shown", _OWN, ""))
+    value = (F.when(F.col("kind").isin(*_DIGITS), digits).when(F.col("kind") == "mailbox", F.lower(e))
+             .when(F.col("kind").isin("secret", "iban"), F.col("shown"))
+             .when(F.col("kind").isin("given", "surname"), name).otherwise(F.lower("shown")))
+    gender = F.when(F.col("kind") == "given", F.coalesce(_one_of(F.col("shown"), GIVEN), F.when(title != "n", title)))
+    glue = F.when(whole == "email", "@").otherwise(" ")
+    return parts.withColumn("kind", kind).select("doc_id", "th", "pos", "part", glue.alias("glue"), "kind", "shown",
+                                                 value.alias("value"), gender.alias("gender"))
+
+
+def entities(found: DataFrame) -> DataFrame:
+    """(kind, value, gender): the distinct entities; the gender of a given name is the one that more of
+    its mentions tell, "n" if neither."""
+    men, women = (F.count_if(F.col("gender") == g) for g in ("m", "f"))
+    gender = F.when(men > women, "m").when(women > men, "f").otherwise("n")
+    return found.where("kind <> 'kept'").groupBy("kind", "value").agg(gender.alias("gender"))
 
 
 def _pick(seed: Column, i: Column | int, n: int) -> Column:
@@ -133,25 +154,24 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda s, x: s + x)
 
 
-def _name(value: Column, kind: Column, seed: Column, attempt: Column) -> Column:
-    """Syllables of the value's script, one more every eighth attempt, and a gendered ending."""
+def _name(value: Column, gender: Column, seed: Column, attempt: Column) -> Column:
+    """Syllables of the value's script, one more every eighth attempt, and an ending of the gender."""
     def of(script: str) -> Column:
         syllables, endings = SYLLABLES[script]
         stem = F.array_join(F.transform(
             F.sequence(F.lit(0), 2 + F.floor(attempt / 8).cast("int")),
             lambda i: F.get(F.array(*map(F.lit, syllables)), _pick(seed, i, len(syllables)))), "")
         tail = F.lit("")
-        for gender, ends in endings.items():
-            wanted = F.when(kind == "surname", "n").otherwise(F.substring(kind, -1, 1))
-            tail = F.when(wanted == gender, F.get(F.array(*map(F.lit, ends)), _pick(seed, -1, len(ends)))).otherwise(tail)
+        for each, ends in endings.items():
+            tail = F.when(gender == each, F.get(F.array(*map(F.lit, ends)), _pick(seed, -1, len(ends)))).otherwise(tail)
         return F.concat(stem, tail)
 
     return (F.when(F.regexp_like(value, F.lit("\\p{IsCyrillic}")), of("cyrillic"))
             .when(F.regexp_like(value, F.lit("\\p{IsGreek}")), of("greek")).otherwise(of("latin")))
 
 
-def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
-    """Candidate number ``attempt`` for an entity, in canonical form."""
+def surrogate(key: str, kind: Column, value: Column, gender: Column, attempt: Column) -> Column:
+    """Candidate number ``attempt`` for an entity, in canonical form. The gender picks the ending only."""
     def seeded(what: Column) -> Column:
         return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, what, attempt.cast("string")), 256)
 
@@ -164,45 +184,44 @@ def surrogate(key: str, kind: Column, value: Column, attempt: Column) -> Column:
         luhn = F.concat(F.left(same, F.length(same) - 1), F.pmod(10 - _luhn(check) % 10, F.lit(10)).cast("string"))
         return F.when((kind == "card") & (_luhn(value) % 10 == 0), luhn).otherwise(same)
 
-    def address(seed: Column) -> Column:
-        host = F.substring_index(value, "@", -1)
-        top = F.substring_index(host, ".", -1)
-        # the host depends on the host alone: addresses of one host still share one
-        moved = let(F.sha2(F.concat_ws("\x1f", F.lit(key), F.lit("host"), host), 256),
-                    lambda s: _same_classes(F.left(host, F.length(host) - F.length(top)), s))
-        return F.concat(_same_classes(F.substring_index(value, "@", 1), seed), wider(seed), F.lit("@"), moved, top)
+    def mailbox(seed: Column) -> Column:
+        return F.concat(_same_classes(F.substring_index(value, "@", 1), seed), wider(seed), F.lit("@"), F.substring_index(value, "@", -1))
+
+    def host(seed: Column) -> Column:
+        top = F.substring_index(value, ".", -1)
+        return F.concat(_same_classes(F.left(value, F.length(value) - F.length(top) - 1), seed), wider(seed), F.lit("."), top)
 
     def any_kind(seed: Column) -> Column:
         octets = F.concat_ws(".", (_pick(seed, 0, 223) + 1).cast("string"), _pick(seed, 1, 256).cast("string"),
                              _pick(seed, 2, 256).cast("string"), (_pick(seed, 3, 254) + 1).cast("string"))
         groups = F.regexp_replace(F.left(seed, F.lit(32)), "(.{4})(?=.)", "$1:")     # no address is wider than this
-        return (F.when(kind.isin(*_DIGITS), digits(seed)).when(kind == "email", address(seed))
+        return (F.when(kind.isin(*_DIGITS), digits(seed)).when(kind == "mailbox", mailbox(seed)).when(kind == "host", host(seed))
                 .when(kind.isin("ip", "ip6") & (attempt >= IN_FORMAT), groups).when(kind == "ip", octets)
                 .when(kind == "iban", F.concat(F.left(value, F.lit(2)), _same_classes(F.substr(value, F.lit(3)), seed), wider(seed)))
-                .when((kind == "surname") | kind.startswith("given_"), _name(value, kind, seed, attempt))
+                .when(kind.isin("surname", "given"), _name(value, gender, seed, attempt))
                 .otherwise(F.concat(_same_classes(value, seed, fill=True), wider(seed))))
 
     return let(seeded(value), any_kind)
 
 
-def assign(entities: DataFrame, key: str) -> DataFrame:
-    """(kind, value, new): a replacement for each distinct entity (kind, value); within a kind no
+def assign(known: DataFrame, key: str) -> DataFrame:
+    """(kind, value, new): a replacement for each distinct entity (kind, value, gender); within a kind no
     two are equal and none is the value of an entity. It ends for any input: the entities stay as
     many as they are, and each round past IN_FORMAT (names: each eighth) multiplies the values
     that a candidate can have."""
-    known = written(entities.select("kind", "value", F.lit(0).alias("attempt")), "entities")
+    known = written(known.select("kind", "value", "gender", F.lit(0).alias("attempt")), "entities")
     originals = known.select(F.col("kind").alias("o_kind"), F.col("value").alias("o_value"))
     while True:
-        tried = written(known.withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.col("attempt"))), "surrogates")
+        tried = written(known.withColumn("new", surrogate(key, F.col("kind"), F.col("value"), F.col("gender"), F.col("attempt"))), "surrogates")
         shared = (tried.groupBy("kind", "new").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("first")).where("n > 1")
                   .select(F.col("kind").alias("s_kind"), F.col("new").alias("s_new"), "first"))
         marked = (tried.join(shared, (F.col("kind") == F.col("s_kind")) & (F.col("new") == F.col("s_new")), "left")
                   .join(originals, (F.col("kind") == F.col("o_kind")) & (F.col("new") == F.col("o_value")), "left"))
         clash = (F.col("first").isNotNull() & (F.col("value") != F.col("first"))) | F.col("o_value").isNotNull()
-        marked = written(marked.select("kind", "value", "new", "attempt", clash.alias("clash")), "checked")
+        marked = written(marked.select("kind", "value", "gender", "new", "attempt", clash.alias("clash")), "checked")
         if marked.where("clash").isEmpty():
             return marked.select("kind", "value", "new")
-        known = marked.select("kind", "value", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
+        known = marked.select("kind", "value", "gender", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
 
 
 def _shown(shown: Column, kind: Column, new: Column) -> Column:
@@ -213,9 +232,24 @@ def _shown(shown: Column, kind: Column, new: Column) -> Column:
             F.concat(s["out"], F.substr(new, s["next"], F.lit(1))).alias("out"), (s["next"] + 1).alias("next")))
         .otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["next"].alias("next"))),
         lambda s: F.concat(s["out"], F.substr(new, s["next"])))
-    cased = F.when((shown == F.upper(shown)) & (F.length(shown) > 1), F.upper(new)).otherwise(F.initcap(new))
-    return (F.when(kind == "title", shown).when(kind.isin(*_DIGITS), regrouped)
-            .when((kind == "surname") | kind.startswith("given_"), cased).otherwise(new))
+    return (F.when(kind == "kept", shown).when(kind.isin(*_DIGITS), regrouped)
+            .when(kind.isin("surname", "given"), _cased(shown, new))
+            .when(kind == "mailbox", F.substring_index(new, "@", 1)).otherwise(new))
+
+
+def _cased(shown: Column, new: Column) -> Column:
+    """A name in the capitals of the mention; what shows possession stays behind it."""
+    bare = F.regexp_replace(shown, _OWN, "")
+    cased = F.when((bare == F.upper(bare)) & (F.length(bare) > 1), F.upper(new)).otherwise(F.initcap(new))
+    return F.concat(cased, F.regexp_extract(shown, _OWN, 0))
+
+
+def _alone(gap: Column, names: Column) -> Column:
+    """Text between entities with the text's detected names replaced where they stand alone."""
+    def word(t: Column) -> Column:
+        new = F.get(F.filter(names, lambda x: x["value"] == F.lower(F.regexp_replace(t, _OWN, ""))), F.lit(0))["new"]
+        return F.when(F.regexp_like(t, F.lit("\\A\\p{Lu}")), F.coalesce(_cased(t, new), t)).otherwise(t)
+    return F.array_join(F.transform(F.regexp_extract_all(gap, F.lit("[\\p{L}'’-]++|[^\\p{L}'’-]++"), F.lit(0)), word), "")
 
 
 def replace(docs: DataFrame, key: str) -> DataFrame:
@@ -226,17 +260,25 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     Null ``doc_id`` and repeated rows: replaced like any other. Empty table: no rows.
     """
     found = written(mentions(docs), "mentions")
-    mapping = assign(found.where("kind <> 'title'").select("kind", "value").distinct(), key)
+    mapping = assign(entities(found), key)
     mapped = found.join(mapping.select(F.col("kind").alias("m_kind"), F.col("value").alias("m_value"), "new"),
                         (F.col("kind") == F.col("m_kind")) & (F.col("value") == F.col("m_value")), "left")
-    shown = mapped.select("doc_id", "th", "pos", "part", _shown(F.col("shown"), F.col("kind"), F.col("new")).alias("s"))
-    words = shown.repartition("doc_id", "th").groupBy("doc_id", "th", "pos").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_set(F.struct("part", "s"))), lambda x: x["s"]), " ").alias("s"))
+    parts = mapped.select("doc_id", "th", "pos", "part", "glue", (F.col("kind") != "kept").alias("real"),
+                          _shown(F.col("shown"), F.col("kind"), F.col("new")).alias("s"),
+                          F.when(F.col("kind").isin("given", "surname"), F.struct("value", "kind", "new")).alias("name")).repartition("doc_id", "th")
+    in_order = F.transform(F.sort_array(F.collect_set(F.struct("part", "s"))), lambda x: x["s"])
+    words = parts.groupBy("doc_id", "th", "pos").agg(
+        F.when(F.max("glue") == "@", F.array_join(in_order, "@")).otherwise(F.array_join(in_order, " ")).alias("s"),
+        F.max("real").alias("real"), F.collect_set("name").alias("names"))
     new = (words.groupBy(F.col("doc_id").alias("n_id"), F.col("th").alias("n_th"))       # a text's own mentions
-           .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]).alias("new")))
+           .agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "s"))), lambda x: x["s"]).alias("new"),
+                F.count_if("real").alias("n_real"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("names")))
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    # a word that is a given name and a surname counts as the given name
+    names = F.sort_array(F.transform("names", lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("value"), x["new"].alias("new"))))
     gaps = F.split(F.col("row.text"), ANY, -1)
+    gaps = F.when(F.size("names") > 0, F.transform(gaps, lambda g: _alone(g, names))).otherwise(gaps)
     text = F.array_join(F.zip_with(gaps, F.concat("new", F.array(F.lit(""))), lambda g, s: F.concat(g, s)), "")
     return (rows.join(new, F.col("doc_id").eqNullSafe(F.col("n_id")) & (F.col("th") == F.col("n_th")), "left")
-            .select("doc_id", F.coalesce(F.size("new"), F.lit(0)).cast("long").alias("n_entities"),
+            .select("doc_id", F.coalesce("n_real", F.lit(0)).cast("long").alias("n_entities"),
                     F.when(F.col("new").isNull(), F.col("row.text")).otherwise(text).alias("clean_text"), "row"))

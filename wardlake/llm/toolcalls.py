@@ -6,17 +6,23 @@ checked against its tool's schema, and may refer to other calls of the conversat
 JSON (sorted keys, no spare white space, integral numbers without a fraction).
 
 Scale: everything is keyed by (conversation, identifier, number of the repeat), so a conversation
-of any length, or one identifier used throughout, is spread over tasks; none is gathered in one. Ordering peels off calls whose references are all
-settled, round by round; a round joins only the references of the calls settled last, so the
-work is linear and the rounds are as many as the longest chain of references. Each round is
-written to the shared folder.
+of any length, or one identifier used throughout, is spread over tasks; none is gathered in one.
+Ordering: the references of a conversation that has few of them (``IN_ONE_TASK``) are ordered in
+one task, whatever their chain's length. The calls of larger conversations, and those without
+one, are peeled off round by round as their references settle; a round joins only the references
+of the calls settled last, so the work is linear and the rounds are as many as the longest chain.
+What has settled is written once every few rounds, so the plan does not grow with the chain.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import re
+from collections import defaultdict
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,34 +34,88 @@ _TYPES = {"string": (str,), "integer": (int,), "number": (int, float), "boolean"
           "object": (dict,), "null": (type(None),)}
 
 
+def _same_json(a, b) -> bool:
+    """Equality of JSON values: true is not 1."""
+    return canonical(a) == canonical(b)
+
+
+#: Keyword -> fault of a value of the keyword's kind, or none.
+_LIMITS = {
+    "minimum": ((int, float), lambda v, m: v < m), "maximum": ((int, float), lambda v, m: v > m),
+    "exclusiveMinimum": ((int, float), lambda v, m: v <= m), "exclusiveMaximum": ((int, float), lambda v, m: v >= m),
+    "minLength": (str, lambda v, m: len(v) < m), "maxLength": (str, lambda v, m: len(v) > m),
+    "minItems": (list, lambda v, m: len(v) < m), "maxItems": (list, lambda v, m: len(v) > m),
+    "pattern": (str, lambda v, m: not re.search(m, v)),
+}
+_LISTS = ("anyOf", "oneOf", "allOf")
+_KEYWORDS = {"type", "enum", "const", "items", "properties", "required", "additionalProperties", "title", "description",
+             "default", *_LIMITS, *_LISTS}
+
+
+def checked_schema(schema: dict, at: str = "#") -> dict:
+    """The schema itself, if every keyword and type in it is one that :func:`faults` knows; else ValueError.
+    Nothing in a schema is passed over silently."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema is an object")
+    unknown = sorted(set(schema) - _KEYWORDS)
+    if unknown:
+        raise ValueError(f"{at}: unknown keywords {unknown}")
+    for kind in _kinds(schema):
+        if kind not in _TYPES:
+            raise ValueError(f"{at}: unknown type {kind!r}")
+    if "pattern" in schema:
+        try:
+            re.compile(schema["pattern"])
+        except re.error as e:
+            raise ValueError(f"{at}: pattern {e}") from None
+    for name, part in schema.get("properties", {}).items():
+        checked_schema(part, f"{at}/{name}")
+    for i, part in enumerate(x for word in _LISTS for x in schema.get(word, [])):
+        checked_schema(part, f"{at}/{i}")
+    if "items" in schema:
+        checked_schema(schema["items"], f"{at}/items")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        checked_schema(schema["additionalProperties"], f"{at}/additionalProperties")
+    return schema
+
+
+def _kinds(schema: dict) -> list:
+    kinds = schema.get("type", [])
+    return kinds if isinstance(kinds, list) else [kinds]
+
+
 def faults(value, schema: dict, at: str = "$") -> list[str]:
-    """What is wrong with ``value`` under ``schema`` (type, enum, minimum, maximum, minLength,
-    maxLength, items, properties, required, additionalProperties)."""
+    """What is wrong with ``value`` under ``schema``: type (one or a list), enum, const, limits of numbers,
+    lengths and items, pattern, items, properties, required, additionalProperties, anyOf, oneOf, allOf."""
     if isinstance(value, dict) and set(value) == {"$ref"}:
         return []       # its value is not known before the call it names has run
-    kind = schema.get("type")
-    if kind and (not isinstance(value, _TYPES[kind]) or (isinstance(value, bool) and kind in ("integer", "number"))):
-        return [f"{at}: not of type {kind}"]
+    kinds = _kinds(schema)
+    if kinds and not any(isinstance(value, _TYPES[k]) and not (isinstance(value, bool) and k in ("integer", "number")) for k in kinds):
+        return [f"{at}: not of type {' or '.join(kinds)}"]
     out = []
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(_same_json(value, x) for x in schema["enum"]):
         out.append(f"{at}: not one of the values allowed")
-    for name, bad in (("minimum", lambda v, m: v < m), ("maximum", lambda v, m: v > m)):
-        if name in schema and isinstance(value, (int, float)) and bad(value, schema[name]):
-            out.append(f"{at}: beyond the {name}")
-    for name, bad in (("minLength", lambda v, m: len(v) < m), ("maxLength", lambda v, m: len(v) > m)):
-        if name in schema and isinstance(value, str) and bad(value, schema[name]):
-            out.append(f"{at}: beyond the {name}")
+    if "const" in schema and not _same_json(value, schema["const"]):
+        out.append(f"{at}: not the value allowed")
+    for name, (kind, bad) in _LIMITS.items():
+        if name in schema and isinstance(value, kind) and not isinstance(value, bool) and bad(value, schema[name]):
+            out.append(f"{at}: does not match the pattern" if name == "pattern" else f"{at}: beyond the {name}")
+    fits = {word: sum(not faults(value, x, at) for x in schema[word]) for word in _LISTS if word in schema}
+    if fits.get("anyOf", 1) == 0 or fits.get("oneOf", 1) != 1 or fits.get("allOf", len(schema.get("allOf", []))) < len(schema.get("allOf", [])):
+        out.append(f"{at}: not one of the forms allowed")
     if isinstance(value, list) and "items" in schema:
         for i, x in enumerate(value):
             out += faults(x, schema["items"], f"{at}[{i}]")
     if isinstance(value, dict):
-        known = schema.get("properties", {})
+        known, other = schema.get("properties", {}), schema.get("additionalProperties", True)
         out += [f"{at}: {name} is missing" for name in schema.get("required", []) if name not in value]
-        if schema.get("additionalProperties", True) is False:
-            out += [f"{at}: {name} is not allowed" for name in sorted(value) if name not in known]
-        for name in sorted(known):
-            if name in value:
+        for name in sorted(value):
+            if name in known:
                 out += faults(value[name], known[name], f"{at}.{name}")
+            elif other is False:
+                out.append(f"{at}: {name} is not allowed")
+            elif isinstance(other, dict):
+                out += faults(value[name], other, f"{at}.{name}")
     return out
 
 
@@ -146,14 +206,49 @@ def _place(prefix: str, alone: int) -> Column:
     return F.when(F.col(prefix + "conv_id").isNull() & (F.col(prefix + "n") > 1), -2 * k - alone).otherwise(k)
 
 
-def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, level): 0 without references, else one more than the highest level referred to; null
-    on a cycle and behind one. ``edges``: node -> to."""
+#: So many references of one conversation are ordered in one task.
+IN_ONE_TASK = 20_000
+_ROUNDS_KEPT = 8
+
+
+def _order(edges: list[tuple[int, int]]) -> dict[int, int | None]:
+    """Level of every node that has references in ``edges`` (node, to); null on a cycle and behind one."""
+    waits, next_of = defaultdict(int), defaultdict(list)
+    for node, to in edges:
+        waits[node] += 1
+        next_of[to].append(node)
+    level: dict[int, int | None] = {}
+    done = [to for to in next_of if to not in waits]
+    depth = 0
+    while done:
+        depth += 1
+        freed = []
+        for to in done:
+            for node in next_of[to]:
+                waits[node] -= 1
+                if not waits[node]:
+                    level[node] = depth
+                    freed.append(node)
+        done = freed
+    return {node: level.get(node) for node in waits}
+
+
+def _levels_in_tasks(edges: DataFrame) -> DataFrame:
+    """(node, level) of the nodes with references, a conversation at a time."""
+    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        got = _order(list(zip(part["node"].tolist(), part["to"].tolist())))
+        return pd.DataFrame({"node": pd.Series(list(got), dtype="int64"), "level": pd.Series(list(got.values()), dtype="Int32")})
+
+    return edges.select("conv_id", "node", "to").groupBy("conv_id").applyInPandas(run, "node long, level int")
+
+
+def _levels_in_rounds(edges: DataFrame) -> DataFrame:
+    """(node, level) of the nodes with references, for conversations of any size."""
     waiting = written(edges.groupBy("node").agg(F.count(F.lit(1)).alias("open")), "waiting")
     back = edges.select(F.col("to").alias("e_to"), F.col("node").alias("e_next"))
-    done = written(nodes.join(waiting, "node", "left_anti").select("node", F.lit(0).alias("level")), "settled")
-    settled, level = done, 0
-    while not done.isEmpty():
+    done = edges.select(F.col("to").alias("node")).distinct().join(waiting, "node", "left_anti").select("node", F.lit(0).alias("level"))
+    settled, some, level = None, [], 0
+    while True:
         level += 1
         freed = (back.join(done.select(F.col("node").alias("d_node")), F.col("e_to") == F.col("d_node"))
                  .groupBy(F.col("e_next").alias("f_node")).agg(F.count(F.lit(1)).alias("freed")))
@@ -161,8 +256,29 @@ def levels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
                        .select("node", (F.col("open") - F.coalesce("freed", F.lit(0))).alias("open")), "waiting")
         done = left.where("open = 0").select("node", F.lit(level).alias("level"))
         waiting = left.where("open > 0")
-        settled = settled.unionByName(done)
-    return settled.unionByName(waiting.select("node", F.lit(None).cast("int").alias("level")))
+        if done.isEmpty():
+            break
+        some.append(done)
+        if len(some) == _ROUNDS_KEPT:
+            settled, some = written(functools.reduce(DataFrame.unionByName, some, *([settled] if settled is not None else [])), "settled"), []
+    return functools.reduce(DataFrame.unionByName, [*([settled] if settled is not None else []), *some,
+                                                    waiting.select("node", F.lit(None).cast("int").alias("level"))])
+
+
+def levels(nodes: DataFrame, edges: DataFrame, in_one_task: int = IN_ONE_TASK) -> DataFrame:
+    """(node, level): 0 without references, else one more than the highest level referred to; null
+    on a cycle and behind one. ``edges``: conv_id, node -> to; references stay within a conversation."""
+    large = (edges.groupBy(F.col("conv_id").alias("l_conv_id")).agg(F.count(F.lit(1)).alias("n"))
+             .where((F.col("n") > in_one_task) & F.col("l_conv_id").isNotNull()).drop("n"))     # few or none
+    few = written(edges.join(large, F.col("conv_id") == F.col("l_conv_id"), "left").select(
+        "conv_id", "node", "to", (F.col("conv_id").isNotNull() & F.col("l_conv_id").isNull()).alias("few")), "ordered-edges")
+    found = _levels_in_tasks(few.where("few"))
+    many = few.where("NOT few")
+    if not many.isEmpty():
+        found = found.unionByName(_levels_in_rounds(many))
+    found = written(found, "levels").withColumnRenamed("node", "f_node")
+    return (nodes.join(found, F.col("node") == F.col("f_node"), "left")
+            .select("node", F.when(F.col("f_node").isNull(), F.lit(0)).otherwise(F.col("level")).alias("level")))
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -179,9 +295,11 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     is left over is a row too, and the fault lists say so. Null identifiers link to nothing: a row
     each, status no_id. Null conversation: identifiers that occur once there link; of repeated
     ones nobody knows which belong together, so they link to nothing and no reference finds them. Null or broken arguments, unknown tools, references to absent calls,
-    and cycles are faults; calls on or behind a cycle have no level. Empty tables: no rows.
+    and cycles are faults; calls on or behind a cycle have no level. A schema with a keyword or type
+    that the check does not know raises ValueError before anything runs. Empty tables: no rows.
     """
     spark = calls.sparkSession
+    schemas = {name: checked_schema(schema) for name, schema in schemas.items()}
     pairs = _numbered(calls, "c_", "name", "arguments").withColumn("c_place", _place("c_", 0)).join(
         _numbered(results, "r_", "content").withColumn("r_place", _place("r_", 1)).hint("shuffle_hash"),
         _same("c_", "r_") & (F.col("c_place") == F.col("r_place")), "full")
@@ -207,9 +325,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     target = checked.where("c_call_id IS NOT NULL").select(
         F.col("c_conv_id").alias("t_conv_id"), F.col("c_call_id").alias("t_call_id"), F.col("c_k").alias("t_k"), F.col("c_node").alias("to"))
     refs = written(named.join(target, F.col("conv_id").eqNullSafe(F.col("t_conv_id")) & (F.col("ref") == F.col("t_call_id"))
-                              & (F.col("at") == F.col("t_k")), "left").select("node", "ref", "to"), "references")
+                              & (F.col("at") == F.col("t_k")), "left").select("conv_id", "node", "ref", "to"), "references")
     lost = refs.where("to IS NULL").groupBy("node").agg(F.array_sort(F.collect_set("ref")).alias("lost"))    # of one call
-    order = levels(checked.where("c_call_id IS NOT NULL").select(F.col("c_node").alias("node")), refs.where("to IS NOT NULL").select("node", "to"))
+    order = levels(checked.where("c_call_id IS NOT NULL").select(F.col("c_node").alias("node")), refs.where("to IS NOT NULL").select("conv_id", "node", "to"))
 
     ranked = (checked.join(order.select(F.col("node").alias("o_node"), "level"), F.col("c_node") == F.col("o_node"), "left")
               .join(lost.select(F.col("node").alias("l_node"), "lost"), F.col("c_node") == F.col("l_node"), "left"))
@@ -263,7 +381,8 @@ TOOLS = {
 def from_conversations(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that the turns of ``conversations`` stand for: each user turn asks a tool
     (its text is the query), the assistant turn behind it answers. Other arguments, references to
-    the question before or after, and mistakes follow from the text's hash."""
+    the question before or after, and mistakes follow from the text's hash. Turns of any other role
+    (system) stand for no call."""
     h = F.pmod(F.xxhash64("text"), F.lit(1000))
 
     def call(turn: Column) -> Column:
