@@ -26,13 +26,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/corpus/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, retire: DataFrame | None = None) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: cuts the
-    lineage, and a lost executor costs a re-read, not a recomputation."""
+    lineage, and a lost executor costs a re-read, not a recomputation. The copy ``retire``,
+    which nothing may need any more, is deleted once the new one stands."""
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._copy = path
+    if retire is not None and "_copy" in vars(retire):
+        delete(spark, vars(retire)["_copy"])
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def ascii_lower(c: Column) -> Column:

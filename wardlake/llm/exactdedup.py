@@ -68,7 +68,7 @@ def groups(rows: DataFrame, fanin: int = 4, rounds: int = 2) -> DataFrame:
     best = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at")
     runs = rows.select(run.alias("run"), *KEY, best.alias("best"), F.lit(1).cast("long").alias("n"))
     for at in range(rounds):
-        runs = written(merge_round(runs, at, fanin, rounds), f"digest-runs-{at}")
+        runs = written(merge_round(runs, at, fanin, rounds), f"digest-runs-{at}", retire=runs)
     return runs.drop("run")
 
 

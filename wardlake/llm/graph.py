@@ -12,8 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the smallest node
     of its component. Alternating large-star and small-star rounds: each round is a
     pair of grouped minima joined back, and rounds grow with the logarithm of a
-    component's diameter. Every round is written to the shared folder; only two
-    numbers (edge count and checksum) come to the driver."""
+    component's diameter. Every round is written to the shared folder and replaces the
+    copy of the round before; only two numbers (edge count and checksum) come to the driver."""
     a, b = F.greatest("a", "b"), F.least("a", "b")
     stars = written(edges.where("a <> b").select(a.alias("a"), b.alias("b")).distinct(), "edges")
     mark = _mark(stars)
@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = linked.unionByName(low.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        stars = written(small, "stars")
+        stars = written(small, "stars", retire=stars)
         new = _mark(stars)
         if new == mark:
             break

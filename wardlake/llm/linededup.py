@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, ascii_lower, shared_path, written
+from .common import ASCII_SPACE, ascii_lower, delete, shared_path, written
 
 KEY = ["h1", "h2"]
 
@@ -46,14 +46,15 @@ class LineRuns:
         self.spark, self.min_docs, self.fanout, self.min_chars = spark, min_docs, fanout, min_chars
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
 
     def runs(self) -> list[str]:
         return [name for level in self.levels for name in level]
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex[:16]}"
-        (df.write.bucketBy(self.buckets, "h1").sortBy(*KEY)
-         .option("path", shared_path(self.spark, name)).saveAsTable(name))
+        self.paths[name] = shared_path(self.spark, name)
+        df.write.bucketBy(self.buckets, "h1").sortBy(*KEY).option("path", self.paths[name]).saveAsTable(name)
         return name
 
     def _add(self, level: int, name: str) -> None:
@@ -77,8 +78,9 @@ class LineRuns:
         return merged
 
     def _forget(self, names: list[str]) -> None:
-        for name in names:      # external tables: the files go with the shared folder
+        for name in names:      # external tables: their files stay until they are deleted
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            delete(self.spark, self.paths.pop(name))
 
     def add(self, docs: DataFrame) -> None:
         """Count the line keys of a batch (``text``), each once per row, and add them."""

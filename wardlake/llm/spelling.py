@@ -103,7 +103,7 @@ def _roots(links: DataFrame, rounds: int) -> DataFrame:
     for k in range(rounds):
         onward = links.select(F.col("rank").alias("o_rank"), F.col("root").alias("o_root"))
         links = written(links.join(onward, F.col("root") == F.col("o_rank"), "left")
-                        .select("rank", F.coalesce("o_root", "root").alias("root")), f"roots-{k}")
+                        .select("rank", F.coalesce("o_root", "root").alias("root")), f"roots-{k}", retire=links)
     return links
 
 
