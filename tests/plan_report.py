@@ -32,7 +32,7 @@ def summarize(plan: str) -> dict:
         "windows": count(r"^\s*[:+\- ]*Window \["),
         "scans": scans,
         "pushed": pushed,
-        "python": "yes" if re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas", plan) else "no",
+        "python": "yes" if re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|MapInArrow|FlatMapGroupsInPandas", plan) else "no",
     }
 
 

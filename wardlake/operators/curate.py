@@ -18,6 +18,7 @@ from ..functions.vitals import DEFAULT_VITAL_LIMITS, breach_flag
 CALENDAR_START = "2025-01-01"
 CALENDAR_END = "2027-12-31"
 DEPARTMENTS = ["ER", "ICU", "Cardiology", "Pediatrics", "Orthopedics"]
+# The personal columns of the patient and staff dimensions.
 PII_COLUMNS = ["full_name", "date_of_birth", "phone", "government_id"]
 
 

@@ -143,6 +143,7 @@ def stockout_worklist(pharmacy: DataFrame) -> DataFrame:
                  F.max("stockout_flag").alias("stockout_flag")))
 
 
+# The columns of the alert worklist.
 ALERT_WORKLIST_COLUMNS = ["event_time", "facility_name", "patient_id", "heart_rate", "spo2",
                           "systolic_bp", "temperature_c"]
 

@@ -28,6 +28,7 @@ from .catalog_rules import _valid_sql, vitals_preds, vitals_rules
 
 ISO_FMT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 ISO_SQL = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
+# The raw columns of the claims and vitals sources.
 CLAIMS_RAW_DDL = ("claim_id string, patient_id string, facility_id string, payer string, "
                                 "claim_amount double, status string, service_date string")
 _READINGS = ["heart_rate", "spo2", "systolic_bp", "diastolic_bp", "temperature_c"]

@@ -73,11 +73,12 @@ GOLD = {
         SELECT facility_id, facility_name, department, shift_date, shift_name, staff_count, nurse_count, physician_count,
                occupied_beds, CAST(round(CAST(occupied_beds AS DECIMAL(20, 2)) / nullif(staff_count, 0), 2) AS DOUBLE) AS beds_per_staff
         FROM both_sides JOIN facilities USING (facility_id)""",
+    # fixed values: the output columns; stock value is stock times unit cost, the flag is the fact's risk
     "ds_pharmacy_stock": """
         SELECT facility_id, facility_name, drug_name, CAST(snapshot_date AS DATE) AS snapshot_date, current_stock,
-               reorder_threshold, unit_cost, unit_cost * current_stock AS stock_value,
-               CAST(coalesce(reorder_threshold - current_stock >= 0, false) AS INTEGER) AS stockout_flag
-        FROM facilities JOIN fact_pharmacy_inventory USING (facility_id)""",
+               reorder_threshold, unit_cost, current_stock * unit_cost AS stock_value,
+               CASE WHEN stockout_risk THEN 1 ELSE 0 END AS stockout_flag
+        FROM fact_pharmacy_inventory JOIN facilities USING (facility_id)""",
     # breaches told from the readings themselves: outside their limits
     "ds_vitals_alerts": """
         SELECT event_id, patient_id, facility_id, facility_name, event_ts AS event_time, heart_rate, spo2, systolic_bp,

@@ -13,8 +13,8 @@ from ..functions.timefn import as_timestamp
 from ..operators.windows import CHUNK, with_chunks
 from . import versions
 
-# Declared column types of the 13 warehouse tables (dates/times are text, as
-# in the reference warehouse; calendar full_date is a DATE).
+# Declared column types of the 13 warehouse tables (dates/times
+# are text, calendar full_date is a DATE).
 WAREHOUSE_DDL = {
     "dim_date": "full_date date, date_key string, year int, quarter int, month int, month_name string, "
                 "day_of_month int, day_of_week int, day_name string, week_of_year int, is_weekend boolean",
