@@ -397,7 +397,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     (log10, exact add-one words) and score (log10, the model) of every row of ``docs``
     (``doc_id``, ``text``; other columns are ignored).
 
-    Null and empty text: the end alone. Null ``doc_id`` and repeated rows: scored like any other
+    Ids are numbers. Null and empty text: the end alone. Null ``doc_id`` and repeated rows: scored like any other
     row. Empty table: no rows. A model trained on nothing gives every token the same probability.
     """
     spark = docs.sparkSession

@@ -134,7 +134,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4, fanout:
     without white space at its ends, A-Z lower-cased; keys under ``min_chars`` code
     points are never dropped. Null and empty text: one empty line, which stays. A text
     that loses all lines becomes empty. Repeated rows count as so many documents; null
-    ``doc_id``: treated like any other row. Empty table: no rows.
+    ``doc_id``: treated like any other row. Ids are numbers. Empty table: no rows.
     """
     spark = docs.sparkSession
     runs = LineRuns(spark, min_docs, fanout, min_chars)

@@ -61,7 +61,7 @@ def _repeat_words(words: Column, window: int) -> Column:
 
 def measures(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     """Counts of every row: doc_id, stratum, n_words, word_chars, n_symbols, n_lines (lines
-    with a word), n_dup_lines, n_repeat_words."""
+    with a word), n_dup_lines, n_repeat_words. A null stratum counts as the empty one."""
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_remove(F.split(text, "[ \\t-\\r]+", -1), "")
     lines = F.filter(F.split(text, "\n", -1), lambda x: F.length(F.btrim(x, F.lit(ASCII_SPACE))) > 0)

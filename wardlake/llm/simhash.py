@@ -142,7 +142,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 3, bucket_size:
     smallest ``doc_id`` of the group.
 
     A text of fewer words than ``shingle`` has one shingle, all its words. Null, empty
-    and white-space texts have fingerprint zero and are linked like any other. Repeated
+    and white-space texts have fingerprint zero and are linked like any other. Ids are numbers. Repeated
     rows each give a row. Null ``doc_id``: the row is grouped, but its id is never a
     group's smallest unless all are null (then null). Empty table: no rows.
     """
