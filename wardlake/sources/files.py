@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 from pyspark.errors import AnalysisException
 
-from .versions import _delete, _exists
+from .versions import _delete, _exists, _record
 
 QUARANTINE_DIR = "_quarantine"
 DQ_RESULTS_DIR = "_dq_results"
@@ -183,9 +183,8 @@ def record_columns(spark: SparkSession, root: str, source: str, schema: StructTy
     small record per distinct schema, added once."""
     text = schema.json()
     path = f"{root.rstrip('/')}/{SCHEMAS_DIR}/{source}/{hashlib.sha256(text.encode()).hexdigest()[:16]}"
-    if not _exists(spark, f"{path}/_SUCCESS"):
-        row = [(_dt.datetime.now(_dt.timezone.utc), text)]
-        spark.createDataFrame(row, "at timestamp, schema string").coalesce(1).write.mode("overwrite").json(path)
+    if not _exists(spark, f"{path}/record.json"):
+        _record(spark, path, {"schema": text})
 
 
 def recorded_columns(spark: SparkSession, root: str, source: str) -> StructType | None:
@@ -195,7 +194,7 @@ def recorded_columns(spark: SparkSession, root: str, source: str) -> StructType
     if not _exists(spark, path):
         return None
     fields: dict[str, StructField] = {}
-    for row in spark.read.schema("at timestamp, schema string").json(f"{path}/*").orderBy("at", "schema").collect():
+    for row in sorted(spark.read.schema("at timestamp, schema string").json(f"{path}/*").collect()):
         for f in StructType.fromJson(json.loads(row.schema)).fields:
             known = fields.setdefault(f.name, f)
             if known.dataType != f.dataType:

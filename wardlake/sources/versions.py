@@ -12,6 +12,7 @@ that no record names; the content before it stays as it was.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Callable, Mapping
 
@@ -30,9 +31,19 @@ def _records(spark: SparkSession, root: str, ddl: str, depth: str) -> DataFrame:
     return spark.read.schema(ddl).option("basePath", base).json(f"{base}/{depth}")
 
 
-def _record(spark: SparkSession, path: str, row: dict, ddl: str) -> None:
-    now = _dt.datetime.now(_dt.timezone.utc)
-    spark.createDataFrame([{"at": now, **row}], ddl).coalesce(1).write.mode("overwrite").json(path)
+def _record(spark: SparkSession, path: str, row: dict) -> None:
+    """A one-row JSON file in the folder ``path``, written under a hidden name and renamed: it appears whole."""
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    hidden, name = paths(f"{path}/_record-{uuid.uuid4().hex}"), paths(f"{path}/record.json")
+    fs = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(hidden, True)
+    try:
+        out.write(bytearray(json.dumps({"at": _dt.datetime.now(_dt.timezone.utc).isoformat(), **row}) + "\n", "utf-8"))
+    finally:
+        out.close()
+    fs.delete(name, False)
+    if not fs.rename(hidden, name):
+        raise OSError(f"{path}/record.json could not be written")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -49,7 +60,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def versions(spark: SparkSession, root: str) -> list[Row]:
     """The committed versions of ``root``, newest first (as many as are kept)."""
-    return _records(spark, root, _VERSION_DDL, "*").orderBy(F.desc("version"), F.desc("at")).collect()
+    return sorted(_records(spark, root, _VERSION_DDL, "*").collect(), key=lambda r: (r.version, r.at), reverse=True)
 
 
 def publish(spark: SparkSession, root: str, fill: Callable[[str], None], info: Mapping[str, str] | None = None,
@@ -64,7 +75,7 @@ def publish(spark: SparkSession, root: str, fill: Callable[[str], None], info: M
     version = before[0].version + 1 if before else 1
     name = f"v{version:08d}-{uuid.uuid4().hex[:12]}"
     fill(f"{root}/{name}")
-    _record(spark, f"{root}/{COMMITS_DIR}/{name}", {"version": version, "name": name, "info": dict(info or {})}, _VERSION_DDL)
+    _record(spark, f"{root}/{COMMITS_DIR}/{name}", {"version": version, "name": name, "info": dict(info or {})})
     for old in before[keep - 1:]:
         _delete(spark, f"{root}/{COMMITS_DIR}/{old.name}")
         _delete(spark, f"{root}/{old.name}")
@@ -98,8 +109,7 @@ def is_committed(spark: SparkSession, root: str, query: str, batch: int) -> bool
 
 def commit_batch(spark: SparkSession, root: str, query: str, batch: int, info: Mapping[str, str] | None = None) -> None:
     """Make all outputs of a micro-batch visible at once."""
-    _record(spark, f"{root.rstrip('/')}/{COMMITS_DIR}/query={query}/batch={batch}", {"info": dict(info or {})},
-            "at timestamp, info map<string,string>")
+    _record(spark, f"{root.rstrip('/')}/{COMMITS_DIR}/query={query}/batch={batch}", {"info": dict(info or {})})
 
 
 def committed_batches(spark: SparkSession, root: str) -> DataFrame:
