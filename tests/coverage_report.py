@@ -14,13 +14,13 @@ sys.path.insert(0, ROOT)
 IMPL = {
     "read_raw_csv": "sources.files:read_raw_csv", "read_raw_json": "sources.files:read_raw_json",
     "split_glued_json": "sources.files:split_glued_json", "read_cleansed": "sources.files:read_cleansed",
-    "read_date_range": "sources.files:read_date_range", "write_cleansed": "sources.files:write_cleansed",
+    "read_date_range": "sources.files:read_date_range, day_paths", "write_cleansed": "sources.files:write_cleansed",
     "write_quarantine": "sources.files:write_quarantine", "write_dq_results": "sources.files:write_dq_results",
-    "write_curated": "sources.files:write_curated", "load_warehouse": "sources.warehouse:load_warehouse",
+    "write_curated": "sources.files:write_curated", "load_warehouse": "sources.warehouse:load_warehouse, read_warehouse",
     "warehouse_schema": "sources.warehouse:warehouse_schema, conform", "table_layout": "sources.warehouse:table_layout",
     "register_tables": "sources.warehouse:register_tables", "read_reference": "sources.files:read_reference",
     "stream_source": "streaming.streams:stream_source", "stream_land_raw": "streaming.streams:stream_land_raw",
-    "rule_is_complete": "operators.rules:rule_is_complete", "rule_in_set": "operators.rules:rule_in_set",
+    "rule_is_complete": "operators.rules:rule_is_complete", "rule_in_set": "operators.rules:rule_in_set, rule_in_table",
     "rule_matches": "operators.rules:rule_matches", "rule_compare": "operators.rules:rule_compare",
     "rule_between": "operators.rules:rule_between", "rule_uniqueness": "operators.rules:rule_uniqueness",
     "rule_custom_sql": "operators.rules:rule_custom_sql", "rule_row_predicate": "operators.rules:rule_row_predicate",
@@ -31,7 +31,7 @@ IMPL = {
     "cleanse": "operators.rules:cleanse, sources.files:write_cleansing_run",
     "dim_date": "operators.curate:dim_date, dim_date_covering",
     "dim_department": "operators.curate:dim_department, dim_department_from",
-    "dim_facility": "operators.curate:dim_facility", "dim_drug": "operators.curate:dim_drug",
+    "dim_facility": "operators.curate:dim_facility, dim_facility_from", "dim_drug": "operators.curate:dim_drug",
     "dim_payer": "operators.curate:dim_payer", "dim_patient": "operators.curate:dim_patient",
     "dim_staff": "operators.curate:dim_staff", "join_facility_name": "operators.joins:join_facility_name",
     "join_staffing_beds": "operators.joins:join_staffing_beds", "semi_join_access": "operators.joins:semi_join_access",
@@ -40,8 +40,8 @@ IMPL = {
     "row_filter_strict": "operators.access:row_filter_strict", "row_filter_viewer": "operators.access:row_filter_viewer",
     "iso_timestamp": "functions.timefn:iso_timestamp", "decode_event": "functions.vitals:decode_event",
     "breach_reasons": "functions.vitals:breach_reasons", "stream_alerts": "streaming.streams:stream_alerts",
-    "alert_expiry": "functions.vitals:alert_expiry", "active_alerts": "streaming.streams:active_alerts, compact_alerts",
-    "dedupe_stream": "streaming.streams:dedupe_stream", "stream_to_gold": "streaming.streams:stream_to_gold",
+    "alert_expiry": "functions.vitals:alert_expiry", "active_alerts": "streaming.streams:put_alerts, read_alerts, stream_alert_store, active_alerts, compact_alerts",
+    "dedupe_stream": "streaming.streams:dedupe_stream", "stream_to_gold": "streaming.streams:stream_to_gold, stream_curation",
     "stream_alerts_per_hour": "streaming.streams:stream_alerts_per_hour",
     "quarantine_metric": "operators.monitor:quarantine_metric",
     "stream_lag": "operators.monitor:stream_lag, streaming.streams:stream_lag_monitor",
