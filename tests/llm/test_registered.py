@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_each_operator_has_one_query():
     names = list(catalog.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
@@ -28,7 +28,7 @@ def test_query_matches_sql(spark, name):
     assert digest(rows, df.columns)[1] == digest(cur.fetchall(), cols)[1]
 
 
-@pytest.mark.parametrize("name", ["op1_surrogates", "op2_line_dedup", "op6_risk_rules"])
+@pytest.mark.parametrize("name", ["op1_surrogates", "op2_line_dedup", "op6_risk_rules", "op13_exact_dedup"])
 def test_native_queries_run_no_python(spark, name):
     plan = catalog.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
