@@ -22,7 +22,6 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -234,12 +233,26 @@ def _order(edges: list[tuple[int, int]]) -> dict[int, int | None]:
 
 
 def _levels_in_tasks(edges: DataFrame) -> DataFrame:
-    """(node, level) of the nodes with references, a conversation at a time."""
-    def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        got = _order(list(zip(part["node"].tolist(), part["to"].tolist())))
-        return pd.DataFrame({"node": pd.Series(list(got), dtype="int64"), "level": pd.Series(list(got.values()), dtype="Int32")})
+    """(node, level) of the nodes with references; the rows of a conversation lie together in one task,
+    which orders whole conversations, some at a time."""
+    def leveled(some: list[tuple[int, int]]) -> pa.RecordBatch:
+        got = _order(some)
+        return pa.RecordBatch.from_arrays([pa.array(list(got), pa.int64()), pa.array(list(got.values()), pa.int32())], ["node", "level"])
 
-    return edges.select("conv_id", "node", "to").groupBy("conv_id").applyInPandas(run, "node long, level int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        some, last = [], None
+        for batch in batches:
+            for conv, node, to in zip(*(c.to_pylist() for c in batch.columns)):
+                if conv != last and len(some) >= IN_ONE_TASK:
+                    yield leveled(some)
+                    some = []
+                last = conv
+                some.append((node, to))
+        if some:
+            yield leveled(some)
+
+    together = edges.select("conv_id", "node", "to").repartition("conv_id").sortWithinPartitions("conv_id")
+    return together.mapInArrow(run, "node long, level int")
 
 
 def _levels_in_rounds(edges: DataFrame) -> DataFrame:
