@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql.types import StructType
 
 from wardlake.operators import rules as R
@@ -116,3 +117,69 @@ def test_backfill_writes_rule_outcomes_per_day(spark, scratch):
     whole = {r.rule: r.outcome for r in spark.read.parquet(f"{clean}/_dq_results_whole/source=beds").collect()}
     assert whole[sql_rule] == "Failed"
     assert spark.read.parquet(f"{clean}/beds").count() == 2
+
+
+@pytest.fixture()
+def gathered(spark, monkeypatch):
+    """The columns of every rebalance hint given from here on: each is a shuffle of all rows."""
+    kind, seen = type(spark.range(0)), []
+    hint = kind.hint
+
+    def noted(self, name, *args):
+        seen.extend([args] if name == "rebalance" else [])
+        return hint(self, name, *args)
+    monkeypatch.setattr(kind, "hint", noted)
+    return seen
+
+
+def test_backfill_writes_days_from_where_they_were_read(spark, scratch, gathered):
+    roots = {k: scratch(k) for k in ("raw", "cleansed", "curated")}
+    header = "facility_id,department,total_beds,occupied_beds,snapshot_date\n"
+    for day in (1, 2, 3):
+        for part in (1, 2):
+            folder = f"{roots['raw']}/bed_capacity/dt=2025-01-0{day}"
+            os.makedirs(folder, exist_ok=True)
+            with open(f"{folder}/p{part}.csv", "w") as f:
+                f.write(header + f"FAC01,ER,{10 * day + part},3,d{day}\nFAC01,ER,{part},99,d{day}\n")
+    sources = {"bed_capacity": (StructType.fromDDL("facility_id string, department string, total_beds int, occupied_beds int, "
+                                                   "snapshot_date string"), RS.bed_capacity_rules(), RS.bed_capacity_extra())}
+    log = runs.run_batch_daily(spark, roots, IO.ALL_DAYS, sources, runs.DEFAULT_GOLD).collect()
+    assert gathered == []
+    assert [(r.promoted, r.quarantined) for r in log] == [(6, 6)]
+    good = spark.read.parquet(f"{roots['cleansed']}/bed_capacity").collect()
+    bad = spark.read.parquet(f"{roots['cleansed']}/_quarantine/bed_capacity").collect()
+    assert sorted((str(r.dt), r.total_beds, r.occupied_beds) for r in good) == sorted(
+        (f"2025-01-0{day}", 10 * day + part, 3) for day in (1, 2, 3) for part in (1, 2))
+    assert sorted((str(r.dt), r.total_beds, r.occupied_beds) for r in bad) == sorted(
+        (f"2025-01-0{day}", part, 99) for day in (1, 2, 3) for part in (1, 2))
+    assert spark.read.parquet(f"{roots['curated']}/fact_bed_occupancy").count() == 6
+
+
+def test_rows_that_do_not_lie_by_day_are_gathered(spark, scratch, gathered):
+    df = spark.range(0, 40, 1, 4).selectExpr("id", "date_add(date'2025-01-01', cast(id % 5 as int)) AS dt")
+    known = R.rule_in_table("id", spark.range(0, 30).withColumnRenamed("id", "k"), "k")
+    for rules, by_day in (([R.rule_compare("id", "<", 30)], False), ([known], True)):
+        gathered.clear()
+        log = IO.write_cleansing_run(df, rules, scratch("clean"), "ids", IO.ALL_DAYS, by_day=by_day)
+        assert gathered == [("__verdict", "dt")] and (log["promoted"], log["quarantined"]) == (30, 10)
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_landed_text_is_compressed_and_whole(spark, scratch, gathered, fmt):
+    days = IO.OPEN_FILES * 2 + 3        # one task meets more folders than it keeps files open
+    rows = spark.range(0, days * 20, 1, 1).selectExpr(
+        "id", "if(id % 7 = 0, null, concat('a,\"b\" ', id)) AS note",
+        f"cast(date_add(date'2025-01-01', cast(id % {days} as int)) as string) AS day")
+    want = sorted((r.id, r.note, r.day) for r in rows.collect())
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    for gather in (True, False):
+        gathered.clear()
+        root = scratch("raw")
+        at = IO.land_partitioned(rows, root, "notes", "day", fmt, gather=gather)
+        assert gathered == ([("dt",)] if gather else []) and spark.conf.get(key, None) == before
+        files = [f for _, _, names in os.walk(at.removeprefix("file:")) for f in names if f.startswith("part-")]
+        assert files and all(f.endswith(f".{fmt}.gz") for f in files)
+        read = IO.read_raw_csv if fmt == "csv" else IO.read_raw_json
+        got = read(spark, root, "notes", StructType.fromDDL("id long, note string"), run_date=IO.ALL_DAYS).collect()
+        assert sorted(((r.id, r.note, str(r.dt)) for r in got), key=str) == sorted(want, key=str)

@@ -601,7 +601,7 @@ def _run_batch(s, d):
         text = _as_raw_text(bind(s, d), day)
         if name == "staff_schedules":       # the declared fact has the shift's hours, which the test tables lack
             text = text.withColumns({c: F.lit(None).cast("string") for c in ("shift_start", "shift_end")})
-        IO.land_partitioned(text, roots["raw"], name, "land_day", "csv")
+        IO.land_partitioned(text, roots["raw"], name, "land_day", "csv", gather=False)      # a folder per year
         sources[name] = (text.drop("land_day").schema, rules_fn(), extra)
     log = runs.run_batch_daily(s, roots, IO.ALL_DAYS, sources, runs.DEFAULT_GOLD)
     out = log.select(F.lit("log").alias("part"), F.concat_ws("|", "source", "run_date").alias("content"),

@@ -44,7 +44,7 @@ def run_batch_daily(spark: SparkSession, roots: Mapping[str, str], run_date: str
             log.append({"source": name, "run_date": run_date, "promoted": None, "quarantined": None})
             continue
         done.add(name)
-        log.append(write_cleansing_run(raw, rules, roots["cleansed"], name, run_date, extra))
+        log.append(write_cleansing_run(raw, rules, roots["cleansed"], name, run_date, extra, by_day=True))
     for table, (source, build) in (gold or {}).items():
         if source not in done:      # unchanged by this run; nothing to refresh
             continue

@@ -11,7 +11,9 @@ import datetime as _dt
 import hashlib
 import json
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -267,22 +269,50 @@ def write_curated(df: DataFrame, root_or_table: str, schema: StructType | None =
         out.write.mode("overwrite").saveAsTable(root_or_table)
 
 
-def land_partitioned(df: DataFrame, root: str, source: str, dt: str, fmt: str = "csv") -> str:
+#: Files that a task of a partitioned write keeps open before it sorts its rows by folder.
+OPEN_FILES = 32
+
+
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Within, a task that writes few folders keeps a file open in each and does not sort its rows
+    (a sort holds the task's rows, or spills them); rows of further folders are sorted as ever."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def land_partitioned(df: DataFrame, root: str, source: str, dt: str, fmt: str = "csv", gather: bool = True) -> str:
     """Write ``df`` as a dt-partitioned raw source (one folder per day, the
-    day column dropped from the files). Returns the source folder."""
+    day column dropped from the files; CSV and JSON are compressed with gzip).
+    Returns the source folder.
+
+    ``gather`` brings the rows of a day together first, so that a day gets few
+    files: a shuffle of all rows. Without it every task writes a file per
+    folder it has rows for, which is right for a handful of folders."""
     path = f"{root.rstrip('/')}/{source}"
-    # rebalance (not repartition): AQE splits a day holding a large share of
-    # the rows into several tasks/files instead of one.
     out = df.withColumn("dt", F.col(dt))
     if dt != "dt":
         out = out.drop(dt)
-    w = out.hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt")
-    if fmt == "csv":
-        w.option("header", True).csv(path)
-    elif fmt == "json":
-        w.json(path)
-    else:
-        w.parquet(path)
+    if gather:
+        # rebalance (not repartition): AQE splits a day holding a large share of
+        # the rows into several tasks/files instead of one.
+        out = out.hint("rebalance", "dt")
+    w = out.write.mode("overwrite").partitionBy("dt")
+    with _unsorted_writes(df.sparkSession):
+        if fmt == "csv":
+            w.option("header", True).option("compression", "gzip").csv(path)
+        elif fmt == "json":
+            w.option("compression", "gzip").json(path)
+        else:
+            w.parquet(path)
     return path
 
 
@@ -299,15 +329,19 @@ def _move(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
-def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date: str, extra=()) -> dict:
+def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date: str, extra=(), by_day: bool = False) -> dict:
     """Cleanse ``df`` into promoted rows, quarantine (always replaced) and rule outcomes. Returns the
     run-log entry.
 
     The raw rows are read and evaluated once, by one write that is partitioned by the verdict; its two
     halves are then moved into place. Outcomes come from what was written: promoted rows pass every row
     rule, so only quarantined rows are evaluated again, and only (key, count) is shuffled for uniqueness.
-    Counts are observed during the write."""
-    from ..operators.rules import VALID, DatasetRule, evaluate_rules_rows, summary_of_split
+    Counts are observed during the write.
+
+    ``by_day``: ``df`` is a plain read of day folders, so a task has rows of few days. All days are then
+    written from where they were read, at most two files for each raw file or split of one. Otherwise, and
+    with lookup rules (their joins may deal the rows out anew), the rows of a day are brought together first."""
+    from ..operators.rules import VALID, DatasetRule, LookupRule, evaluate_rules_rows, summary_of_split
     spark, every = df.sparkSession, run_date == ALL_DAYS
     cols = df.columns if every else [c for c in df.columns if c != "dt"]
     obs = Observation(f"cleanse_{source}_{uuid.uuid4().hex[:8]}")
@@ -317,7 +351,10 @@ def write_cleansing_run(df: DataFrame, rules, root: str, source: str, run_date:
     rows = ev.select(*cols, verdict)
     parts = ["__verdict", "dt"] if every else ["__verdict"]
     staged = f"{root.rstrip('/')}/_staging/{source}-{uuid.uuid4().hex[:12]}"
-    (rows.hint("rebalance", *parts) if every else rows).write.partitionBy(*parts).parquet(staged)
+    if every and not (by_day and not any(isinstance(r, LookupRule) for r in [*rules, *extra])):
+        rows = rows.hint("rebalance", *parts)
+    with _unsorted_writes(spark):
+        rows.write.partitionBy(*parts).parquet(staged)
 
     halves = {}
     schema = StructType([f for f in df.schema.fields if f.name in cols])
