@@ -1,13 +1,18 @@
+import contextlib
 import math
 import random
+import threading
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import EDGES
 from pyspark.sql import functions as F
 
 from wardlake.llm import bloomlm, fm, latent, risk
+from wardlake.session import checkpoint_root
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id long, quality int, toxic int"
@@ -175,6 +180,69 @@ def test_language_model_edge_cases(make_docs):
     assert bloomlm.score(make_docs([]), bloomlm.train(docs)).count() == 0
 
 
+def test_packed_keys_and_places(spark):
+    x = np.sort(np.random.default_rng(1).integers(0, 2 ** 64, 5000, dtype=np.uint64))
+    assert (bloomlm._hashes(bloomlm._keys(x)) == x).all()
+    for n in (x, x[:0], np.zeros(3, np.uint64), np.arange(300)):
+        assert (bloomlm._unpack(bloomlm._pack(n)) == n).all()
+    parts = bloomlm.parts_of(8 * 11, bloomlm.Params())
+    kinds = (x, np.arange(1, 5001)), (x[:3],)
+    rows = [r for batch in bloomlm._parted(parts, *kinds) for r in zip(*[c.to_pylist() for c in batch])]
+    seen, counted = [], []
+    for place, keys, n, few in rows:
+        got = bloomlm._keys_of([keys, few], place % parts.n, parts.n)[0]
+        assert (got % np.uint64(parts.n) == place % parts.n).all()
+        seen += got.tolist()
+        counted += bloomlm._unpack(n).tolist()
+    assert sorted(seen) == sorted([*x.tolist(), *x[:3].tolist()]) and sorted(counted) == list(range(1, 5001))
+    places = spark.createDataFrame([(int(x),) for x in parts.places], "place int")
+    assert sorted(r[0] for r in places.select(F.pmod(F.hash("place"), F.lit(11))).collect()) == list(range(11))
+
+
+def test_blocks_ask_for_what_a_broadcast_tells(make_docs, monkeypatch):
+    """Many blocks per task, repeated rows and null ids: scores as exact as where the filter is broadcast."""
+    monkeypatch.setattr(bloomlm, "_COUNT_TOKENS", 40)
+    monkeypatch.setattr(bloomlm, "_ASK_TOKENS", 60)
+    rnd = random.Random(5)
+    texts = [(None if i % 9 == 0 else i % 50, " ".join(f"w{int(rnd.paretovariate(.7))}" for _ in range(rnd.randrange(30)))) for i in range(120)]
+    docs, asked = make_docs(texts + texts[:10] + EDGES), []
+    for limit in (1 << 20, 0):
+        model = bloomlm.train(make_docs(texts), bloomlm.Params(broadcast_bytes=limit, frequent_words=3))
+        asked.append(sorted(map(tuple, bloomlm.score(docs, model).collect()), key=repr))
+    assert len(asked[0]) == len(asked[1]) == 130 + len(EDGES)
+    for a, b in zip(*asked, strict=True):
+        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=1e-8)
+
+
+def test_scoring_by_asking_keeps_disk_in_bounds(spark, tmp_path):
+    """Beyond the broadcast, a row per n-gram of a text took some 14 times the input in shuffle and other files."""
+    rng = np.random.default_rng(6)
+    pd.DataFrame({"doc_id": range(2400), "text": [" ".join(f"{x:x}" for x in rng.zipf(1.2, 400) * 7919 % 10 ** 6) for _ in range(2400)]}).to_parquet(tmp_path / "docs.parquet")
+    local = str(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0])
+    places = [Path(local), Path(checkpoint_root(spark).removeprefix("file:")) / "corpus"]
+
+    def files():
+        return {p: p.stat().st_size for top in places for p in top.rglob("*") if p.suffix in (".data", ".parquet") and p.is_file()}
+
+    docs, before, most = spark.read.parquet(str(tmp_path / "docs.parquet")), files(), [0]
+    done = threading.Event()
+
+    def watch():
+        while not done.wait(0.1):
+            with contextlib.suppress(OSError):      # a file went meanwhile
+                most.append(sum(size for p, size in files().items() if p not in before))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        model = bloomlm.train(docs, bloomlm.Params(broadcast_bytes=0))
+        assert bloomlm.score(docs, model).agg(F.sum("n_tokens")).first()[0] == 2400 * 401
+    finally:
+        done.set()
+        watcher.join()
+    assert 0 < max(most) < 4 * (tmp_path / "docs.parquet").stat().st_size
+
+
 # ------------------------------------------------------------- latent retrieval
 
 def dp_lcs(a, b):
