@@ -48,6 +48,7 @@ _CACHE_WORDS = 1 << 19
 _BLOCK_TOKENS = 1 << 19
 _COUNT_TOKENS = 1 << 21
 _ASK_TOKENS = 1 << 21
+_PROBED = 1 << 18   # hashes at once, where a part answers
 _ROWS = 64     # of a batch of packed rows
 _ZSTD = pa.Codec("zstd")
 
@@ -196,10 +197,8 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _joined(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All numbers, and how many each item has."""
-    each = [_unpack(x) for x in packed]
-    return np.concatenate([np.zeros(0, dtype=np.uint64), *each]), np.array([len(x) for x in each], dtype=np.int64)
+def _joined(packed: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype=np.uint64), *map(_unpack, packed)]).astype(np.int64)
 
 
 def _by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -313,7 +312,7 @@ def segment_tables(counted: DataFrame, segments: int, parts: int, p: Params) ->
     schema = pa.schema([("place", pa.int32()), ("seg", pa.int32()), ("bits", pa.binary()), ("words_h", pa.list_(pa.int64())), ("words_n", pa.list_(pa.int64()))])
 
     def summed(part: int, keys: pa.ChunkedArray, n: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        keys, n = _keys_of(keys.to_pylist(), part, parts)[0], _joined(n.to_pylist())[0].astype(np.int64)
+        keys, n = _keys_of(keys.to_pylist(), part, parts)[0], _joined(n.to_pylist())
         if not len(keys):
             return keys, n
         order = np.argsort(keys)
@@ -559,12 +558,13 @@ def _answers(blocks: DataFrame, model: Model) -> DataFrame:
         known = pa.chunked_array([x.flatten() for x in stored["words_h"].chunks], pa.int64()).to_numpy().view(np.uint64)
         known_n = pa.chunked_array([x.flatten() for x in stored["words_n"].chunks], pa.int64()).to_numpy()
         order = np.argsort(known)
+        levels = lambda h: np.concatenate([table.levels(x) for x in np.split(h, range(_PROBED, len(h), _PROBED))])
         words, words_size = _keys_of(asked["words"].to_pylist(), part, n)
         pairs, pairs_size = _keys_of(asked["pairs"].to_pylist(), part, n)
         words, pairs = _hashes(words), _hashes(pairs)
         columns = [[_pack(x) for x in np.split(got, np.cumsum(size)[:-1])] if len(size) else [] for got, size in (
-            (table.levels(words), words_size), (_look_up(words, known[order], known_n[order]), words_size),
-            (table.levels(pairs), pairs_size))]
+            (levels(words), words_size), (_look_up(words, known[order], known_n[order]), words_size),
+            (levels(pairs), pairs_size))]
         return pa.table([asked["block"], asked["place"], *[pa.array(c, pa.binary()) for c in columns]], names)
 
     asked = blocks.mapInArrow(ask, "place int, block long, words binary, pairs binary")
@@ -587,7 +587,7 @@ def _asked_scores(rows: DataFrame, model: Model) -> DataFrame:
 
     def finish(key: tuple, answers: pa.Table, blocks: pa.Table) -> pa.Table:
         answers = answers.take(np.argsort(answers["place"].to_numpy() % parts))
-        words_q, words_n, pairs_q = (_joined(answers[c].to_pylist())[0].astype(np.int64) for c in ("words_q", "words_n", "pairs_q"))
+        words_q, words_n, pairs_q = (_joined(answers[c].to_pylist()) for c in ("words_q", "words_n", "pairs_q"))
         hashes, numbers, starts, size = _opened(blocks, 0)
         keys = _keys(hashes)
         order = np.argsort(keys)
